@@ -32,7 +32,6 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -44,7 +43,7 @@ from .wordhash import WordHashes, pair
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW, GRAM = 35, 8
-BITMAP_BITS, HOT_LIMIT = 1 << 28, 20_000
+BITMAP_BITS, HOT_LIMIT = 1 << 28, 2_000
 FLUSH = 400_000
 PAGE = 32768
 #: Bytes of a window's digest; a segment of words is longer (window > DIGEST / 2).
@@ -351,27 +350,29 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     none. A row stored twice repeats itself, so both copies lose every window.
     Other columns are not read.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     gone = removed_spans(base, **options)
     both = base.select("doc_id", "text", *row_key()).join(gone, ["did", "th"], "left").select("doc_id", "text", "spans")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, len(batch), 500):
-                out = []
-                some = batch.iloc[begin : begin + 500]
-                for text, spans in zip(some["text"], some["spans"], strict=True):
-                    w = (text or "").encode("utf-8", "surrogatepass").split()
-                    if spans is None or not len(spans):
-                        out.append((len(w), 0, b" ".join(w).decode("utf-8", "surrogatepass")))
-                        continue
-                    keep = np.ones(len(w), dtype=bool)
-                    for s in spans:
-                        keep[s["a"] : s["b"]] = False
-                    rest = [x for x, k in zip(w, keep.tolist(), strict=True) if k]
-                    out.append((len(w), len(w) - len(rest), b" ".join(rest).decode("utf-8", "surrogatepass")))
-                frame = pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])
-                frame.insert(0, "doc_id", some["doc_id"].array)
-                yield frame
-
-    return both.mapInPandas(run, "doc_id long, n_words long, n_removed long, kept string")
+            for begin in range(0, batch.num_rows, 250):
+                some = batch.slice(begin, 250)
+                n_words, n_removed, kept = [], [], []
+                for text, spans in zip(some.column("text"), some.column("spans"), strict=True):
+                    w = words(text.as_py())
+                    rest = w
+                    if spans.is_valid:
+                        keep = np.ones(len(w), dtype=bool)
+                        for x, y in zip(spans.values.field("a").to_pylist(), spans.values.field("b").to_pylist(), strict=True):
+                            keep[x:y] = False
+                        rest = [x for x, k in zip(w, keep.tolist(), strict=True) if k]
+                    n_words.append(len(w))
+                    n_removed.append(len(w) - len(rest))
+                    kept.append(b" ".join(rest).decode("utf-8", "surrogatepass"))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                    names=["doc_id", "n_words", "n_removed", "kept"],
+                )
+
+    return both.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
