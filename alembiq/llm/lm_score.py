@@ -1,7 +1,7 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
 One pass over the training texts counts unigrams and bigrams by 64-bit hash,
-combined in the worker before the shuffle. Counts are quantised to powers of
+combined in the worker and packed by segment before the shuffle. Counts are quantised to powers of
 two: an n-gram of count c goes into the filter with its levels 1 .. 1 +
 floor(log2 c), so that a probe of level after level, until one is missing,
 gives back the quantised count. The filter is made of segments chosen by the
@@ -27,15 +27,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .util import cut
-from .wordhash import C1, WordHashes, mix, pair
+from .wordhash import C1, C2, WordHashes, mix, pair
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 END = np.uint64(0x5851F42D4C957F2D)
 BITS_PER_ENTRY, PROBES = 8, 3
-CHUNK = 600_000
+HALF = np.uint64(32)
+CHUNK = 300_000
 LAMBDA = 0.7
-COUNTED = "kind int, seg int, key long, cnt long"
+COUNTED = "kind int, seg int, keys binary, counts binary"
 BUILT = "kind int, seg int, key long, cnt long, bits binary"
 
 
@@ -78,10 +79,17 @@ def expected(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, 0.75 * np.exp2(level.astype(np.float64)) - 0.5, 0.0)
 
 
-def _places(keys: np.ndarray, level: int | np.ndarray, bits: np.ndarray) -> list[np.ndarray]:
-    g = mix(keys + np.asarray(level, dtype=np.uint64) * C1)
-    step = (g >> np.uint64(33)) | np.uint64(1)
-    return [((g + step * np.uint64(k)) % bits).astype(np.int64) for k in range(PROBES)]
+def segment_of(keys: np.ndarray, n_segments: int) -> np.ndarray:
+    """Segments are equal ranges of the hash, so that sorted keys are in order of segment."""
+    return (((keys >> HALF) * np.uint64(n_segments)) >> HALF).astype(np.int64)
+
+
+def _places(keys: np.ndarray, level: int, bits: np.ndarray) -> Iterator[np.ndarray]:
+    """Bit numbers below ``bits`` (less than 2**32) of a key at a level, one array for each probe."""
+    g = mix(keys + np.uint64(level) * C1)
+    step = g * C2
+    for k in range(PROBES):
+        yield (((g + step * np.uint64(k)) >> HALF) * bits >> HALF).astype(np.int64)
 
 
 def build_segment(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -129,7 +137,7 @@ class Model:
         self.blocks, self.n_segments, self.n, self.v, self.hold = blocks, n_segments, n, v, hold
 
     def level(self, kind: int, keys: np.ndarray) -> np.ndarray:
-        segment = (keys % np.uint64(self.n_segments)).astype(np.int64)
+        segment = segment_of(keys, self.n_segments)
         out = np.zeros(len(keys), dtype=np.int64)
         for first, last, shared in self.blocks[kind]:
             at = np.flatnonzero((segment >= first) & (segment < last))
@@ -140,9 +148,10 @@ class Model:
         return out
 
     def log_probabilities(self, h: np.ndarray) -> np.ndarray:
-        both, context = bigrams(h)
-        own = expected(self.level(0, h))
-        seen = expected(self.level(0, context))
+        both, _ = bigrams(h)
+        distinct, place = np.unique(np.append(h, END), return_inverse=True)
+        own = expected(self.level(0, distinct))[place]
+        seen, own = np.concatenate((own[-1:], own[:-2])), own[:-1]  # a token's context is the token before it
         together = expected(self.level(1, both))
         unigram = np.minimum(1.0, (own + 0.5) / (self.n + 0.5 * (self.v + 1)))
         bigram = np.minimum(1.0, together / np.maximum(seen, 1.0))
@@ -156,28 +165,29 @@ def _counter(n_segments: int):
             texts = batch.column("text")
             for begin, end in chunks(batch):
                 h, _ = tokens(texts.slice(begin, end - begin).to_pylist(), hashes)
+                parts = []
                 for kind, keys in ((0, h), (1, bigrams(h)[0])):
                     key, cnt = np.unique(keys, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(key), kind, np.int32)),
-                            pa.array((key % np.uint64(n_segments)).astype(np.int32)),
-                            pa.array(key.view(np.int64)),
-                            pa.array(cnt.astype(np.int64)),
-                        ],
-                        names=["kind", "seg", "key", "cnt"],
-                    )
+                    seg = segment_of(key, n_segments)
+                    first = np.flatnonzero(np.concatenate(([True], seg[1:] != seg[:-1])))
+                    for x, y in zip(first.tolist(), [*first[1:].tolist(), len(key)], strict=True):
+                        parts.append((kind, int(seg[x]), key[x:y].tobytes(), cnt[x:y].astype("<u4").tobytes()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, type=t) for x, t in zip(zip(*parts, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
+                    names=["kind", "seg", "keys", "counts"],
+                )
 
     return run
 
 
 def _segment(table: pa.Table) -> pa.Table:
     kind, seg = table.column("kind")[0].as_py(), table.column("seg")[0].as_py()
-    keys = table.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(keys, kind="stable")
+    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype="<u8")
+    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype="<u4")
+    order = np.argsort(keys)
     keys = keys[order]
     start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    counts = np.add.reduceat(table.column("cnt").to_numpy()[order], start)
+    counts = np.add.reduceat(counts[order], start, dtype=np.int64)
     keys = keys[start]
     bits = build_segment(keys, counts)
     listed = len(keys) if kind == 0 else 0
