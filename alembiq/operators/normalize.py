@@ -102,11 +102,11 @@ def normalize(raw: DataFrame, fuzzy: dict[str, str] | None = None, hash_mode: st
     parsable or not.
 
     ``ordinal`` names a column with the input order; without it the order is
-    the scan's. Missing columns are null. Rows whose sides are empty, before or
+    the scan's, and a stream has none. Missing columns are null. Rows whose sides are empty, before or
     after spectators leave, have the failure ``missing_reaction_components``.
     """
     f = Fields(raw)
-    order = F.col(ordinal) if ordinal else F.monotonically_increasing_id()
+    order = F.col(ordinal) if ordinal else F.lit(0).cast("long") if raw.isStreaming else F.monotonically_increasing_id()
     other = lambda name: F.col(f"`{name}`") if f.has(name) else F.lit(None).cast("string")
     texts = [c for c in REACTION_TEXTS if f.has(c)]
     # Each step works on columns of the one before, so that no expression is planned or evaluated twice.
