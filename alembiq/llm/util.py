@@ -1,39 +1,15 @@
-"""What several operators share: lineage cuts in the cluster's shared folder and row keys."""
+"""What several operators share: row keys and the documents table."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NO_ID = -(2**63)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset (tests), one of our own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='alembiq-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
+from ..shared import cut, shared_dir
 
+__all__ = ["cut", "documents", "row_key", "shared_dir", "text_or_empty"]
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
-
-    This cuts the lineage once and for all: the files outlive any executor, the
-    work before them runs once, and values that depend on a plan (partition
-    order, for one) are fixed. The folder is removed when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/alembiq/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+NO_ID = -(2**63)
 
 
 def text_or_empty(name: str = "text") -> Column:
