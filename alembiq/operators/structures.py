@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,35 +69,34 @@ def canopies(feats: DataFrame, threshold: float = 0.6) -> DataFrame:
 
     Every row joins the earliest leader it resembles, else leads. Equal
     fingerprints share a leader, so the fold runs over the distinct
-    fingerprints of a group, ordered by their least rxn_vid, and is joined
-    back; bit sets are Python integers there. Groups of one fingerprint need
-    no fold.
+    fingerprints of a group in order of their least rxn_vid. They stream
+    through it sorted; only the current group's leaders are held.
     """
     feats = cut(feats, "features")  # read twice below
     group = ["CID", "MID", "fingerprint_bits"]
     distinct = feats.groupBy(*group).agg(F.min("rxn_vid").alias("first"))
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key: tuple = ()
         leaders: list[int] = []
-        places = []
-        pdf = pdf.sort_values("first", kind="stable")
-        for bits in pdf["fingerprint_bits"]:
-            own = sum(1 << int(b) for b in bits)
-            for place, lead in enumerate(leaders, 1):
-                union = (own | lead).bit_count()
-                if not union or (own & lead).bit_count() / union >= threshold:
-                    break
-            else:
-                leaders.append(own)
-                place = len(leaders)
-            places.append(place)
-        return pdf[["CID", "MID", "fingerprint_bits"]].assign(canopy=places)
-
-    several = distinct.groupBy("CID", "MID").agg(F.count("*").alias("n"))
-    distinct = distinct.join(several, ["CID", "MID"])
-    alone = distinct.filter("n = 1").select(*group, F.lit(1).alias("canopy"))
-    placed = distinct.filter("n > 1").groupBy("CID", "MID").applyInPandas(fold, "CID string, MID string, fingerprint_bits array<int>, canopy int")
-    placed = placed.unionByName(alone)
+        for batch in batches:
+            places = []
+            for cid, mid, bits in zip(batch["CID"], batch["MID"], batch["fingerprint_bits"], strict=True):
+                if (cid, mid) != key:
+                    key, leaders = (cid, mid), []
+                own = sum(1 << int(b) for b in bits)
+                for place, lead in enumerate(leaders, 1):
+                    union = (own | lead).bit_count()
+                    if not union or (own & lead).bit_count() / union >= threshold:
+                        break
+                else:
+                    leaders.append(own)
+                    place = len(leaders)
+                places.append(place)
+            yield batch[group].assign(canopy=places)
+
+    ordered = distinct.repartition("CID", "MID").sortWithinPartitions("CID", "MID", "first")
+    placed = ordered.mapInPandas(fold, "CID string, MID string, fingerprint_bits array<int>, canopy int")
     return feats.join(placed, group)
 
 
