@@ -39,7 +39,7 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_groups(documents(spark, sf_dir, "doc_id", "text")).drop("fp")
+    return simhash.near_groups(documents(spark, sf_dir, "doc_id", "text")).drop("fp", "root", "th")
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import cut
+from .util import cut, row_key
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -144,13 +144,16 @@ def near_groups(
 
     Returns one row per row of ``docs``: doc_id, fp (signed long), fingerprint
     (16 hex digits), component_id (least doc_id reachable), links (fingerprints
-    linked to this one). Null and wordless texts have
+    linked to this one), root (least fingerprint reachable), th (XXH64 of the
+    text). Null and wordless texts have
     fingerprint zero, which links like any other. Null doc_ids do not count for
     component_id; if a component has no other, component_id is null. Repeated
     rows get equal results. Other columns are not read.
     """
     base = cut(
-        docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col).cast("string"), shingle_words).alias("fp")),
+        docs.select(
+            F.col(id_col).alias("doc_id"), row_key(id_col, text_col)[1], fingerprints(F.col(text_col).cast("string"), shingle_words).alias("fp")
+        ),
         "fingerprints",
     )
     classes = cut(base.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
@@ -164,20 +167,23 @@ def near_groups(
     )
     held = cut(held, "roots")
     low = held.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = cut(held.join(low, "root").select("fp", "component_id", "links"), "components")
+    named = cut(held.join(low, "root").select("fp", "root", "component_id", "links"), "components")
     return base.join(named, "fp").select(
-        "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", F.col("links").cast("long")
+        "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", F.col("links").cast("long"), "root", "th"
     )
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: that of the least doc_id.
+    """``docs`` with exactly one row of each near-duplicate group, with all its columns.
 
-    Rows of a null doc_id stay only if their group has no other; rows that
-    repeat the kept one go.
+    That of the least doc_id stays, null ids counting as the largest; among
+    different texts of that id the one of the least hash; of repeated rows one.
     """
-    groups = near_groups(docs, id_col, text_col, **options)
-    keep = groups.groupBy("component_id").agg(F.min("doc_id").alias("_keep")).select("_keep")
-    rows = docs.join(keep.distinct(), F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
-    repeated = docs.groupBy(id_col).agg(F.count("*").alias("n")).filter("n > 1")
-    return rows if repeated.isEmpty() else rows.dropDuplicates([id_col])
+    groups = cut(near_groups(docs, id_col, text_col, **options), "near")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("k")
+    keep = groups.groupBy("root").agg(first).select(F.col("k.doc_id").alias("_k_id"), F.col("k.th").alias("_k_th"))
+    th = row_key(id_col, text_col)[1]
+    rows = docs.join(keep, F.col(id_col).eqNullSafe(F.col("_k_id")) & (th == F.col("_k_th")), "left_semi")
+    if groups.groupBy("doc_id", "th").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return rows
+    return rows.withColumn("_k_th", th).dropDuplicates([id_col, "_k_th"]).drop("_k_th")

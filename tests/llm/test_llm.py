@@ -58,7 +58,7 @@ def test_exact_groups(spark, texts):
             want[hashlib.sha256(t.encode()).hexdigest()] = (max(named) if named else None, len(members))
         assert {r.text_sha256: (r.keep_id, r.group_size) for r in got} == want
         kept = Counter(r.text_sha256 for r in got if r.kept)
-        assert kept == Counter(want)or set(kept.values()) == {1} and set(kept) == set(want)
+        assert kept == Counter(want) or set(kept.values()) == {1} and set(kept) == set(want)
     left = exact_dedup.drop_exact_copies(docs)
     assert left.columns == docs.columns and left.count() == len(groups)
     assert exact_dedup.exact_groups(docs.limit(0)).count() == 0
@@ -424,6 +424,11 @@ def test_pipeline(spark, tmp_path, texts):
 def test_repeated_rows_and_empty_tables(spark):
     twice = frame(spark, [prose(1, 50), prose(1, 50), None, None], [1, 1, None, None])
     assert simhash.near_groups(twice).count() == 4
+    assert simhash.drop_near_copies(twice).count() == 2
+    odd = frame(spark, [prose(1, 50), prose(2, 50), prose(1, 50) + " x", prose(3, 50)], [None, None, 7, 7])
+    kept = sorted((r.doc_id or -1, r.text) for r in simhash.drop_near_copies(odd).collect())
+    far = (brute_fingerprint(prose(1, 50)) ^ brute_fingerprint(prose(1, 50) + " x")).bit_count() > 3
+    assert len(kept) == 3 + far
     assert line_dedup.dedup_lines(twice).count() == 4
     rows = substring_dedup.drop_repeats(twice).collect()
     assert sorted(r.n_removed for r in rows) == [0, 0, 50, 50]
