@@ -23,6 +23,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .util import share, shared
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: ASCII letters in lower case; other ASCII except digits is a space; bytes from 0x80 on belong to words.
@@ -208,19 +210,19 @@ ROW = "n_words long, spans array<array<long>>, items array<string>"
 
 def occurrences(text: Column, items: list[tuple], spark, size: int = 13, shard_words: int = 1 << 18) -> Column:
     """struct(n_words, spans, items) of each text, by shards within the Arrow batch."""
-    shared = spark.sparkContext.broadcast(Windows(items, size))
+    held = share(spark, Windows(items, size))
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        rows: list = []
+        windows, rows = shared(Windows, held), []
         shard: list = []
         length = 0
         for text in texts:
             shard.append(text)
             length += len(text or "") // 6
             if length >= shard_words:
-                rows += scan(shard, shared.value)
+                rows += scan(shard, windows)
                 shard, length = [], 0
-        rows += scan(shard, shared.value)
+        rows += scan(shard, windows)
         return pd.DataFrame([(n, [list(s) for s in spans], found) for n, spans, found in rows], columns=["n_words", "spans", "items"])
 
     return F.pandas_udf(run, ROW)(text)

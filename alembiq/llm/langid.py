@@ -21,6 +21,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .util import share, shared
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS = 14
@@ -167,10 +169,10 @@ def predict(text: Column, model: Model, spark) -> Column:
     the model knows no language. Otherwise the likeliest language with its
     calibrated probability; rejected says that this is below the threshold.
     """
-    shared = spark.sparkContext.broadcast(model)
+    held = share(spark, model)
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        own, out = shared.value, []
+        own, out = shared(Model, held), []
         for text in texts:
             counts, letters = features(text)
             if not letters or not own.languages:

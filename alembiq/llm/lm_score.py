@@ -26,7 +26,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import cut
+from .util import cut, share, shared
 from .wordhash import C1, C2, WordHashes, mix, pair
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -139,12 +139,12 @@ class Model:
     def level(self, kind: int, keys: np.ndarray) -> np.ndarray:
         segment = segment_of(keys, self.n_segments)
         out = np.zeros(len(keys), dtype=np.int64)
-        for first, last, shared in self.blocks[kind]:
+        for first, last, held in self.blocks[kind]:
             at = np.flatnonzero((segment >= first) & (segment < last))
             if len(at):
-                out[at] = shared.value.probe(keys[at], segment[at])
+                out[at] = shared(Filter, held).probe(keys[at], segment[at])
                 if not self.hold:
-                    del shared._value  # read again from the worker's disk when needed
+                    del held._value  # read again from the worker's disk when needed
         return out
 
     def log_probabilities(self, h: np.ndarray) -> np.ndarray:
@@ -240,14 +240,13 @@ def frequent(unigrams: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
 
 def load_blocks(built: DataFrame, kind: int, block_bytes: int) -> list[tuple[int, int, object]]:
     """Broadcast the filter of a kind in blocks; the driver holds one block at a time."""
-    sc = built.sparkSession.sparkContext
     out: list[tuple[int, int, object]] = []
     first, next_, parts, size = 0, 0, [], 0
 
     def close() -> None:
         nonlocal first, parts, size
         if next_ > first:
-            out.append((first, next_, sc.broadcast(Filter(first, parts))))
+            out.append((first, next_, share(built.sparkSession, Filter(first, parts))))
         first, parts, size = next_, [], 0
 
     rows = built.filter((F.col("kind") == kind) & F.col("bits").isNotNull()).select("seg", "bits").orderBy("seg")

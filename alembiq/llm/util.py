@@ -1,17 +1,38 @@
-"""What several operators share: row keys and the documents table."""
+"""What several operators share: row keys, the documents table, and broadcast objects."""
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import cut, shared_dir
 
-__all__ = ["cut", "documents", "row_key", "shared_dir", "text_or_empty"]
+__all__ = ["cut", "documents", "row_key", "share", "shared", "shared_dir", "text_or_empty"]
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NO_ID = -(2**63)
 
 
+def share(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast an object's attributes.
+
+    A broadcast names the class of what it holds, which a worker can import
+    only where the package is installed; attributes are plain values.
+    """
+    return spark.sparkContext.broadcast(vars(value))
+
+
+def shared(kind: type, held: Broadcast):
+    """The object of class ``kind`` that ``share`` broadcast."""
+    value = kind.__new__(kind)
+    value.__dict__ = held.value
+    return value
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

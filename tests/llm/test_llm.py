@@ -4,8 +4,11 @@ import hashlib
 import math
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -433,3 +436,27 @@ def test_repeated_rows_and_empty_tables(spark):
     rows = substring_dedup.drop_repeats(twice).collect()
     assert sorted(r.n_removed for r in rows) == [0, 0, 50, 50]
     assert secret_scan.scan(twice).count() == 4
+
+
+OUTSIDE = """
+import importlib.util, sys
+from pyspark.sql import SparkSession
+spec = importlib.util.spec_from_file_location("__spark_entry__", sys.argv[1])
+entry = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(entry)
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").getOrCreate()
+for name, query in entry.queries().items():
+    if name.startswith("op"):
+        print(name, len(query(spark, sys.argv[2]).collect()))
+"""
+
+
+def test_workers_need_no_path(spark, tmp_path):
+    """Driven from another folder, Python workers can't import the package."""
+    frame(spark, [prose(i, 60) for i in range(12)], langs=["en", "xx"] * 6).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, prose(3, 60))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, "u", "<p>one</p>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    entry = Path(__file__).resolve().parents[2] / "__spark_entry__.py"
+    made = subprocess.run([sys.executable, "-c", OUTSIDE, str(entry), str(tmp_path)], cwd=tmp_path, capture_output=True, text=True)
+    assert made.returncode == 0, made.stderr[-3000:]
+    assert [x.split()[1] for x in sorted(made.stdout.splitlines())] == ["12"] * 4 + ["1"] + ["12"] * 5
