@@ -240,6 +240,29 @@ def benchmark_blocks(benchmark: DataFrame, block_chars: int) -> list[list[tuple]
     return [b for b in out if b]
 
 
+def merged_spans(names: list[str]) -> Column:
+    """Union of the spans in the ``occurrences`` columns ``names``: sorted, none touching the next."""
+    spans = [F.col(f"`{n}`.spans") for n in names]
+    if len(spans) == 1:
+        return spans[0]
+    merge = lambda acc, x: F.when(
+        (F.size(acc) > 0) & (x[0] <= F.element_at(acc, -1)[1]),
+        F.concat(
+            F.slice(acc, 1, F.size(acc) - 1),
+            F.array(F.array(F.element_at(acc, -1)[0], F.greatest(F.element_at(acc, -1)[1], x[1]))),
+        ),
+    ).otherwise(F.concat(acc, F.array(x)))
+    return F.aggregate(F.array_sort(F.concat(*spans)), F.array().cast("array<array<bigint>>"), merge)
+
+
+def covered(spans: Column) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
+
+
+def is_contaminated(n_hit: Column, n_words: Column) -> Column:
+    return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_chars: int = 1 << 25) -> DataFrame:
     """Benchmark windows in every document.
 
@@ -259,24 +282,13 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_chars: int
     for name, items in zip(names, blocks, strict=True):
         base = base.withColumn(name, occurrences(F.col("text"), items, spark, size))
     base = base.drop("text")
-    spans = F.array_sort(F.concat(*[F.col(f"{n}.spans") for n in names]))
-    none = F.array().cast("array<array<bigint>>")
-    merge = lambda acc, x: F.when(
-        (F.size(acc) > 0) & (x[0] <= F.element_at(acc, -1)[1]),
-        F.concat(
-            F.slice(acc, 1, F.size(acc) - 1),
-            F.array(F.array(F.element_at(acc, -1)[0], F.greatest(F.element_at(acc, -1)[1], x[1]))),
-        ),
-    ).otherwise(F.concat(acc, F.array(x)))
-    merged = F.col("o0.spans") if len(names) == 1 else F.aggregate(spans, none, merge)
     out = base.select(
         "doc_id",
         F.col("o0.n_words").alias("n_words"),
-        merged.alias("spans"),
+        merged_spans(names).alias("spans"),
         F.array_sort(F.array_distinct(F.concat(*[F.col(f"{n}.items") for n in names]))).alias("items"),
     )
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
-    out = out.withColumns({"n_hit": n_hit, "n_items": F.size("items").cast("long")})
+    out = out.withColumns({"n_hit": covered(F.col("spans")), "n_items": F.size("items").cast("long")})
     return out.select(
         "doc_id",
         "n_words",
@@ -284,23 +296,24 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_chars: int
         "n_items",
         "items",
         "spans",
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_chars: int = 1 << 25) -> DataFrame:
     """``docs`` without contaminated rows, with all its columns.
 
-    Only a benchmark of one block (32 million characters) is accepted here; it
-    is checked.
+    The hits of all blocks of the benchmark are merged before a document is
+    judged. Null and wordless texts stay.
     """
-    blocks = benchmark_blocks(benchmark, 1 << 25) or [[]]
-    name = "_hits_" + "_".join(docs.columns)
-    for items in blocks:
-        docs = docs.withColumn(name, occurrences(F.col("text").cast("string"), items, docs.sparkSession, size))
-        hit = F.aggregate(F.col(f"`{name}`.spans"), F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
-        docs = docs.filter(~((hit > 0) & (20 * hit >= F.col(f"`{name}`.n_words")))).drop(name)
-    return docs
+    blocks = benchmark_blocks(benchmark, block_chars) or [[]]
+    prefix = "_hits_" + "_".join(docs.columns)
+    names = [f"{prefix}_{i}" for i in range(len(blocks))]
+    found = docs
+    for name, items in zip(names, blocks, strict=True):
+        found = found.withColumn(name, occurrences(F.col("text").cast("string"), items, docs.sparkSession, size))
+    hit = covered(merged_spans(names))
+    return found.filter(~is_contaminated(hit, F.col(f"`{names[0]}`.n_words"))).drop(*names)
 
 
 def items_digest(items: Column) -> Column:

@@ -275,6 +275,10 @@ def test_decontamination(spark, texts):
             assert (r.n_words, r.n_hit, r.n_items, r["items"]) == (n, hit, len(found), found), t
             assert r.contaminated == (hit > 0 and 20 * hit >= n)
     left = decontam.drop_contaminated(docs, benchmark)
+    clean = {i for i, r in got.items() if not r.contaminated}
+    for block in (60, 1 << 25):
+        kept = decontam.drop_contaminated(docs, benchmark, block_chars=block)
+        assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == clean
     assert left.columns == docs.columns and left.count() == sum(not r.contaminated for r in got.values())
     assert decontam.hits(docs, benchmark.limit(0)).filter("n_hit > 0").count() == 0
 
