@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import parsing as p
 from ..functions import units
 from ..functions.hashing import hex_digest
+from . import profile
 
 
 def condition_keys(reactions: DataFrame, hash_mode: str = "sha2") -> DataFrame:
@@ -46,14 +47,12 @@ def level1_clusters(keys: DataFrame) -> DataFrame:
     return keys.groupBy(F.col("cond_hash").alias("CID")).agg(F.array_sort(F.collect_list("rxn_vid")).alias("rxn_vids"))
 
 
-def key_usage(keys: DataFrame, columns: tuple[str, ...], limit: int = 5) -> DataFrame:
-    """(name, value, n): the commonest values of each column, ties by value, in one aggregation."""
-    from pyspark.sql import Window
+REPORTED = ("cond_hash", "cond_hash_prefix", "present_mask", "temp_K_bin", "time_s_bin", "pressure_Pa_bin", "pH_bin", "solvent_key", "catalyst_key", "agent_key")
 
-    named = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])
-    counted = keys.select(F.explode(named).alias("x")).groupBy("x.name", "x.value").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("name").orderBy(F.desc("n"), F.asc_nulls_first("value"))
-    return counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit).drop("place")
+
+def usage(keys: DataFrame, limit: int = 5) -> DataFrame:
+    """The commonest hashes, masks, bins and keys."""
+    return profile.usage(keys, {c: F.col(c) for c in REPORTED}, limit)
 
 
 def summary(keys: DataFrame) -> DataFrame:

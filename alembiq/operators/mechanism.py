@@ -9,6 +9,7 @@ from ..functions import chemistry as chem
 from ..functions import parsing as p
 from ..functions.hashing import hex_digest, token_hash
 from ..shared import cut
+from . import profile
 
 
 def signatures(keys: DataFrame, reactions: DataFrame, hash_mode: str = "sha2") -> DataFrame:
@@ -113,7 +114,41 @@ def coarse_usage(sigs: DataFrame) -> DataFrame:
     return sigs.groupBy("coarse_text").agg(F.count("*").alias("n"), F.count_distinct("cond_hash").alias("n_conditions"))
 
 
+def single_condition_keys(sigs: DataFrame, limit: int = 5) -> DataFrame:
+    """The commonest coarse keys that occur in one condition only."""
+    return coarse_usage(sigs).filter("n_conditions = 1").select("coarse_text", "n").orderBy(F.desc("n"), "coarse_text").limit(limit)
+
+
+def largest_clusters(clusters: DataFrame, limit: int = 5) -> DataFrame:
+    return clusters.select("cluster_id", "coarse_text", "rxn_count").orderBy(F.desc("rxn_count"), "cluster_id").limit(limit)
+
+
+def usage(sigs: DataFrame, clusters: DataFrame, limit: int = 5) -> DataFrame:
+    """The commonest types, base signatures, tokens, scaffolds, coarse keys and families; the conditions with most clusters."""
+    wanted = {
+        "signature_type": F.col("signature_type"),
+        "mech_sig_base": F.col("mech_sig_base"),
+        "event_token": F.col("event_tokens"),
+        "scaffold_key": F.col("scaffold_key"),
+        "coarse_key": F.col("coarse_text"),
+        "scaffold_family": F.col("coarse_key.scaffold"),
+    }
+    return profile.usage(sigs, wanted, limit).unionByName(profile.usage(clusters, {"clusters_of_condition": F.col("cond_hash")}, limit))
+
+
+def spread(sigs: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Tokens of a reaction; reactions and base signatures of a cluster."""
+    by_cluster = {"rxn_count": F.col("rxn_count"), "n_bases": F.size("mech_sig_base_counts")}
+    return profile.spread(sigs, {"event_tokens": F.size("event_tokens")}).unionByName(profile.spread(clusters, by_cluster))
+
+
 def family_sizes(clusters: DataFrame) -> DataFrame:
+    """Per scaffold family: clusters, and their mean size."""
+    by = clusters.groupBy(F.col("coarse_key.scaffold").alias("family"))
+    return by.agg(F.count("*").alias("n_clusters"), F.round(F.avg("rxn_count"), 6).alias("mean_size"))
+
+
+def event_family_sizes(clusters: DataFrame) -> DataFrame:
     """Per event family: clusters, and their mean size."""
     each = clusters.select("rxn_count", F.explode(F.array_distinct(F.col("coarse_key.families.family"))).alias("family"))
     return each.groupBy("family").agg(F.count("*").alias("n_clusters"), F.round(F.avg("rxn_count"), 6).alias("mean_size"))

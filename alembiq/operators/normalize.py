@@ -10,6 +10,7 @@ from ..functions import parsing as p
 from ..functions import units
 from ..functions.hashing import hex_digest
 from ..shared import cut
+from . import profile
 
 # The columns that can hold a condition, in order of preference, and the unit each implies.
 ALIASES: dict[str, list[tuple[str, str | None]]] = {
@@ -252,3 +253,19 @@ def summary(normalized: DataFrame) -> DataFrame:
         F.min(size("agents_canonical")).cast("long").alias("min_agents"),
         F.count_distinct(F.when(ok, F.col("role_main_substrate"))).alias("n_substrates"),
     )
+
+
+def usage(good: DataFrame, deduplicated: DataFrame, limit: int = 5) -> DataFrame:
+    """The commonest masks before and after deduplication; solvents and main substrates after it."""
+    before = profile.usage(good, {"present_mask_before": F.col("present_mask")}, limit)
+    after = {
+        "present_mask": F.col("present_mask"),
+        "solvent": F.col("solvent_normalized"),
+        "main_substrate": F.coalesce(p.blank_to_null(F.col("role_main_substrate")), F.lit("unknown")),
+    }
+    return before.unionByName(profile.usage(deduplicated, after, limit))
+
+
+def spread(good: DataFrame) -> DataFrame:
+    """Sizes of the three sides before deduplication."""
+    return profile.spread(good, {c: F.size(f"{c}_canonical") for c in ("reactants", "products", "agents")})

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parsing as p
 from ..functions.hashing import token_bit
 from ..functions.units import tanimoto
 from ..shared import cut
+from . import profile
 
 
 def resolve(df: DataFrame, names: tuple[str, ...], suffixes: tuple[str, ...] = ("", "_lvl2", "_sig")) -> Column:
@@ -155,9 +156,52 @@ def summary(feats: DataFrame) -> DataFrame:
     )
 
 
+def _events(feats: DataFrame) -> Column:
+    return F.filter("tokens", lambda t: t.startswith("event:"))
+
+
+def usage(feats: DataFrame, limit: int = 5) -> DataFrame:
+    """The commonest tokens, events, mechanisms, scaffolds and groups."""
+    wanted = {
+        "token": F.col("tokens"),
+        "event": _events(feats),
+        "mechanism": F.filter("tokens", lambda t: t.startswith("mech:")),
+        "scaffold_key": F.col("scaffold_key"),
+        "group": F.concat_ws("|", "CID", "MID"),
+    }
+    return profile.usage(feats, wanted, limit)
+
+
+def spread(feats: DataFrame) -> DataFrame:
+    """Bits, tokens and events of a reaction."""
+    return profile.spread(feats, {"bits": F.size("fingerprint_bits"), "tokens": F.size("tokens"), "events": F.size(_events(feats))})
+
+
+def warnings(feats: DataFrame) -> DataFrame:
+    """(warning): signs that fingerprints tell nothing apart."""
+    found = feats.agg(
+        F.count("*").alias("n"),
+        F.count_distinct("fingerprint_bits").alias("patterns"),
+        F.count_if(F.size("fingerprint_bits") == 0).alias("empty"),
+        F.count_if(F.size(_events(feats)) == 0).alias("silent"),
+    )
+    said = F.array_compact(
+        F.array(
+            F.when((F.col("n") > 1) & (F.col("patterns") <= 1), "all fingerprints are equal"),
+            F.when(F.col("empty") > 0, F.concat(F.col("empty").cast("string"), F.lit(" fingerprints are empty"))),
+            F.when(F.col("silent") > 0, F.concat(F.col("silent").cast("string"), F.lit(" reactions have no event"))),
+        )
+    )
+    return found.select(F.explode(said).alias("warning"))
+
+
 def search(feats: DataFrame, k: int = 5) -> DataFrame:
-    """(query, place): a stand-in index that answers every query of a group with places 0 .. min(k, size)-1, whatever the query."""
-    size = F.count("*").over(Window.partitionBy("CID", "MID"))
-    sized = feats.select(F.col("rxn_vid").alias("query"), size.alias("n"))
-    return sized.select("query", F.explode(F.sequence(F.lit(0), F.least(F.lit(k), F.col("n")).cast("int") - 1)).alias("place"))
+    """(query, place): a stand-in index that answers every query of a group with places 0 .. min(k, size)-1, whatever the query.
 
+    Sizes are counted and joined, not taken over a window, so that no group
+    meets in one task.
+    """
+    feats = cut(feats.select("rxn_vid", "CID", "MID"), "search")
+    sizes = feats.groupBy("CID", "MID").agg(F.count("*").alias("n"))
+    sized = feats.join(sizes, ["CID", "MID"]).select(F.col("rxn_vid").alias("query"), "n")
+    return sized.select("query", F.explode(F.sequence(F.lit(0), F.least(F.lit(k), F.col("n")).cast("int") - 1)).alias("place"))

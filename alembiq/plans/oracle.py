@@ -121,6 +121,24 @@ EDGES = """
 ab AS (SELECT DISTINCT l_orderkey, l_linenumber, p_brand AS "CID", split_part(p_type, ' ', 1) AS "MID", p_size % 5 AS s FROM lineitem JOIN part ON l_partkey = p_partkey),
 ac AS (SELECT 'MID' AS kind, "MID" AS shared_id, "CID", count(*) AS n FROM ab GROUP BY 2, 3 UNION ALL SELECT 'SID', 'S' || s, "CID", count(*) FROM ab GROUP BY 2, 3)"""
 
+TOKENS = """
+fx AS (SELECT *, list_distinct(list_concat(['scaffold:' || main, 'mech:' || base], list_transform(tok, lambda x: 'event:' || x))) AS tks FROM sig)"""
+
+
+def usage(*parts: tuple[str, str, str], limit: int = 5) -> str:
+    """The commonest values; each part is (name, value, table)."""
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS name, ({value})::VARCHAR AS value FROM {table}" for name, value, table in parts)
+    order = "row_number() OVER (PARTITION BY name ORDER BY count(*) DESC, value NULLS FIRST)"
+    return f"SELECT name, value, n, n_distinct FROM (SELECT name, value, count(*) AS n, count(*) OVER (PARTITION BY name) AS n_distinct, {order} AS pl FROM ({rows}) GROUP BY name, value) WHERE pl <= {limit}"
+
+
+def spread(*parts: tuple[str, str, str]) -> str:
+    """Moments and percentiles; each part is (name, value, table)."""
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS name, ({value})::DOUBLE AS v FROM {table}" for name, value, table in parts)
+    points = ", ".join(f"round(quantile_cont(v, {p} / 100), 6) AS p{p}" for p in (10, 25, 50, 75, 90))
+    return f"SELECT name, count(v) AS n, round(avg(v), 6) AS mean, min(v) AS low, max(v) AS high, {points} FROM ({rows}) GROUP BY name"
+
+
 ORACLE: dict[str, str] = {
     "reaction_view": chain("raw", "SELECT * RENAME (yield_share AS yield) FROM raw"),
     "split_entities": chain("parts", "SELECT ord, array_to_string(r0, '~') AS reactants, array_to_string(p0, '~') AS products FROM parts WHERE rxn_smiles IS NULL"),
@@ -139,6 +157,8 @@ ORACLE: dict[str, str] = {
         " count(*) FILTER (NOT failed) - count(DISTINCT h) FILTER (NOT failed) AS n_duplicates, round(avg(len(r)) FILTER (NOT failed), 6) AS mean_reactants, median(len(r)) FILTER (NOT failed) AS median_reactants,"
         " max(len(p)) FILTER (NOT failed) AS max_products, min(len(a)) FILTER (NOT failed) AS min_agents, (SELECT count(DISTINCT main) FROM main) AS n_substrates FROM norm",
     ),
+    "normalization_usage": chain("norm", usage(("present_mask_before", "mask", "good"), ("present_mask", "mask", "rx"), ("solvent", "unnest(sol)", "rx"), ("main_substrate", "main", "rx"))),
+    "normalization_spread": chain("norm", spread(("reactants", "len(r)", "good"), ("products", "len(p)", "good"), ("agents", "len(a)", "good"))),
     "dedup_provenance": chain("norm", "SELECT rxn_vid, h AS reaction_hash_v1, rxn_id, provenance FROM rx"),
     "condition_keys": chain(
         "keys",
@@ -147,11 +167,7 @@ ORACLE: dict[str, str] = {
     ),
     "condition_groups": chain("keys", "SELECT cid AS cond_hash, count(*) AS n FROM keys GROUP BY cid"),
     "condition_summary": chain("keys", "SELECT count(*) AS n_rows, count(DISTINCT cid) AS n_conditions, round(avg(conf), 6) AS mean_confidence, round(median(conf), 6) AS median_confidence FROM keys"),
-    "condition_usage": chain(
-        "keys",
-        "SELECT name, value, n FROM (SELECT name, value, count(*) AS n, row_number() OVER (PARTITION BY name ORDER BY count(*) DESC, value NULLS FIRST) AS pl FROM"
-        " (SELECT 'solvent_key' AS name, sk AS value FROM keys UNION ALL SELECT 'temp_K_bin', tb FROM keys UNION ALL SELECT 'pH_bin', hb FROM keys) GROUP BY name, value) WHERE pl <= 5",
-    ),
+    "condition_usage": chain("keys", usage(*[(n, e, "keys") for n, e in (("cond_hash", "cid"), ("cond_hash_prefix", "cid[1:8]"), ("present_mask", "mask"), ("temp_K_bin", "tb"), ("time_s_bin", "sb"), ("pressure_Pa_bin", "pb"), ("pH_bin", "hb"), ("solvent_key", "sk"), ("catalyst_key", "ck"), ("agent_key", "ak"))])),
     "level1_clusters": chain("keys", """SELECT cid AS "CID", string_agg(rxn_vid::VARCHAR, ',' ORDER BY rxn_vid) AS rxn_vids FROM keys GROUP BY cid"""),
     "multiset_delta": chain("sig", "SELECT rxn_vid, array_to_string(ev, '~') AS events FROM events"),
     "mechanism_signatures": chain(
@@ -167,7 +183,12 @@ ORACLE: dict[str, str] = {
         " count(*) FILTER (kind = 'mapped' AND len(list_filter(tok, lambda x: x LIKE '+O%')) > 0) AS n_redox, count(*) FILTER (kind = 'mapped' AND len(list_filter(tok, lambda x: x LIKE '+C%')) > 0) AS n_ring, 0::BIGINT AS n_stereo FROM sig",
     ),
     "mechanism_percentiles": chain("sig", "SELECT unnest([10, 25, 50, 75, 90]) AS p, unnest(list_transform(q, lambda x: round(x, 6))) AS value FROM (SELECT quantile_cont(size::DOUBLE, [0.1, 0.25, 0.5, 0.75, 0.9]) AS q FROM c2)"),
-    "family_sizes": chain(
+    "mechanism_usage": chain("sig", usage(*[(n, e, "sig") for n, e in (("signature_type", "kind"), ("mech_sig_base", "base"), ("event_token", "unnest(tok)"), ("scaffold_key", "main"), ("coarse_key", "coarse"), ("scaffold_family", "fam"))], ("clusters_of_condition", "cid", "c2"))),
+    "mechanism_spread": chain("sig", spread(("event_tokens", "len(tok)", "sig"), ("rxn_count", "size", "c2"), ("n_bases", "diversity", "c2"))),
+    "single_condition_keys": chain("sig", "SELECT coarse AS coarse_text, count(*) AS n FROM sig GROUP BY coarse HAVING count(DISTINCT cid) = 1 ORDER BY n DESC, coarse LIMIT 5"),
+    "largest_clusters": chain("sig", "SELECT mid AS cluster_id, coarse AS coarse_text, size AS rxn_count FROM c2 ORDER BY size DESC, mid LIMIT 5"),
+    "family_sizes": chain("sig", "SELECT split_part(coarse, '|', 1) AS family, count(*) AS n_clusters, round(avg(size), 6) AS mean_size FROM c2 GROUP BY 1"),
+    "event_family_sizes": chain(
         "sig", "SELECT f AS family, count(*) AS n_clusters, round(avg(size), 6) AS mean_size FROM (SELECT DISTINCT ff.f, sig.mid, c2.size FROM ff JOIN sig USING (rxn_vid) JOIN c2 ON c2.mid = sig.mid) GROUP BY f"
     ),
     "fingerprint_bits": chain("feat", """SELECT rxn_vid, cid AS "CID", mid AS "MID", main AS scaffold_key, array_to_string(bits, ',') AS fingerprint_bits FROM feat"""),
@@ -180,6 +201,9 @@ ORACLE: dict[str, str] = {
         "SELECT count(*) AS n_rows, round(avg(len(bits)), 6) AS mean_bits, median(len(bits)) AS median_bits, min(len(bits)) AS min_bits, max(len(bits)) AS max_bits, count(DISTINCT bits) AS n_patterns, count(*) FILTER (len(bits) = 0) AS n_empty,"
         " count(DISTINCT (cid, mid)) AS n_groups, count(*) FILTER (main = 'unknown') AS n_unknown_scaffold FROM feat",
     ),
+    "structure_usage": chain("feat", usage(("token", "unnest(tks)", "fx"), ("event", "unnest(list_filter(tks, lambda x: x LIKE 'event:%'))", "fx"), ("mechanism", "'mech:' || base", "fx"), ("scaffold_key", "main", "fx"), ("group", "cid || '|' || mid", "fx")), TOKENS),
+    "structure_spread": chain("feat", spread(("bits", "len(bits)", "feat"), ("tokens", "len(tks)", "fx"), ("events", "len(list_filter(tks, lambda x: x LIKE 'event:%'))", "fx")), TOKENS),
+    "structure_warnings": chain("feat", "SELECT 'all fingerprints are equal' AS warning FROM feat HAVING count(*) > 1 AND count(DISTINCT bits) <= 1 UNION ALL SELECT count(*) || ' reactions have no event' FROM sig WHERE len(tok) = 0 HAVING count(*) > 0"),
     "sampled_similarity": chain(
         "feat",
         "SELECT count(*) AS n_pairs, round(avg(s), 6) AS mean, round(median(s), 6) AS median, round(min(s), 6) AS low, round(max(s), 6) AS high FROM (SELECT len(list_intersect(a.bits, b.bits))::DOUBLE / (len(a.bits) + len(b.bits) - len(list_intersect(a.bits, b.bits))) AS s"
@@ -206,6 +230,7 @@ ORACLE: dict[str, str] = {
     "size_top1_points": chain("sig", "SELECT size AS x, round(share, 6) AS y, count(*) AS n FROM c2 GROUP BY ALL"),
     "entropy_correlation": chain("sig", "SELECT count(*) AS n, round(corr(size, ent), 6) AS r FROM c2"),
     "event_entropy_correlation": chain("sig", "SELECT count(*) AS n, round(corr(ent, event_entropy), 6) AS r FROM c2 JOIN sm ON c2.mid = sm.mid", ENTROPY),
+    "entropy_pair_points": chain("sig", "SELECT abs(round(ent, 6)) AS x, abs(round(event_entropy, 6)) AS y, count(*) AS n FROM c2 JOIN sm ON c2.mid = sm.mid GROUP BY ALL", ENTROPY),
     "entropy_by_scaffold": chain("sig", "SELECT split_part(coarse, '|', 1) AS coarse_scaffold, array_to_string(list_transform(quantile_cont(ent, [0.0, 0.25, 0.5, 0.75, 1.0]), lambda x: round(abs(x) * 1000)::BIGINT), ',') AS q, count(*) AS n FROM c2 GROUP BY 1"),
     "mapped_share_histogram": chain("sig", "SELECT least(floor(mapped_share * 20) + 1, 20)::BIGINT AS bin, count(*) AS n FROM sm GROUP BY 1", ENTROPY),
     "coherence_overview": chain(

@@ -158,6 +158,17 @@ def normalization_summary(spark, d):
     return normalize.summary(normalized(spark, d))
 
 
+@query
+def normalization_usage(spark, d):
+    good, _ = normalize.split_failures(normalized(spark, d))
+    return normalize.usage(good, cut(normalize.deduplicate(good), "deduplicated"))
+
+
+@query
+def normalization_spread(spark, d):
+    return normalize.spread(normalize.split_failures(normalized(spark, d))[0])
+
+
 @query
 def dedup_provenance(spark, d):
     return reactions(spark, d).select("rxn_vid", "reaction_hash_v1", "rxn_id", F.array_join("provenance", ",").alias("provenance"))
@@ -183,7 +194,7 @@ def condition_summary(spark, d):
 
 @query
 def condition_usage(spark, d):
-    return conditions.key_usage(condition_keys(spark, d), ("solvent_key", "temp_K_bin", "pH_bin"))
+    return conditions.usage(condition_keys(spark, d))
 
 
 @query
@@ -244,11 +255,38 @@ def mechanism_percentiles(spark, d):
     return rounded(mechanism.percentiles(clusters2(spark, d), "rxn_count"))
 
 
+@query
+def mechanism_usage(spark, d):
+    s = sigs(spark, d)
+    return mechanism.usage(s, mechanism.level2_clusters(s))
+
+
+@query
+def mechanism_spread(spark, d):
+    s = sigs(spark, d)
+    return mechanism.spread(s, mechanism.level2_clusters(s))
+
+
+@query
+def single_condition_keys(spark, d):
+    return mechanism.single_condition_keys(sigs(spark, d))
+
+
+@query
+def largest_clusters(spark, d):
+    return mechanism.largest_clusters(clusters2(spark, d))
+
+
 @query
 def family_sizes(spark, d):
     return mechanism.family_sizes(clusters2(spark, d))
 
 
+@query
+def event_family_sizes(spark, d):
+    return mechanism.event_family_sizes(clusters2(spark, d))
+
+
 # Phase 3.
 
 
@@ -283,6 +321,21 @@ def structure_summary(spark, d):
     return structures.summary(feats(spark, d))
 
 
+@query
+def structure_usage(spark, d):
+    return structures.usage(feats(spark, d))
+
+
+@query
+def structure_spread(spark, d):
+    return structures.spread(feats(spark, d))
+
+
+@query
+def structure_warnings(spark, d):
+    return structures.warnings(feats(spark, d))
+
+
 @query
 def sampled_similarity(spark, d):
     return structures.sampled_similarity(feats(spark, d))
@@ -391,6 +444,11 @@ def event_entropy_correlation(spark, d):
     return rounded(coherence.correlation(enriched(spark, d), "base_entropy", "event_entropy"))
 
 
+@query
+def entropy_pair_points(spark, d):
+    return rounded(coherence.scatter(enriched(spark, d), "base_entropy", "event_entropy")).groupBy("x", "y").agg(F.count("*").alias("n"))
+
+
 @query
 def entropy_by_scaffold(spark, d):
     found = coherence.entropy_by_scaffold(metrics(spark, d))
