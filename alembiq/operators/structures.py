@@ -43,6 +43,13 @@ def expand(clusters: DataFrame) -> DataFrame:
     return clusters.withColumn("rxn_vid", F.explode(vids)).drop("rxn_vids")
 
 
+def join_levels(members: DataFrame, mechanisms: DataFrame) -> DataFrame:
+    """Members of level-2 clusters with their signatures, on rxn_vid; columns that both have get the suffixes _lvl2 and _sig."""
+    both = (set(members.columns) & set(mechanisms.columns)) - {"rxn_vid"}
+    left = members.withColumnsRenamed({c: f"{c}_lvl2" for c in both})
+    return left.join(mechanisms.withColumnsRenamed({c: f"{c}_sig" for c in both}), "rxn_vid")
+
+
 def features(joined: DataFrame, fp_bits: int = 128) -> DataFrame:
     """rxn_vid, CID, MID, scaffold_key, tokens, fingerprint_bits (sorted) of each joined row."""
     unknown = lambda c: F.coalesce(c, F.lit("unknown"))

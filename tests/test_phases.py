@@ -313,6 +313,56 @@ def test_files(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/e.parquet").columns == df.columns
 
 
+def test_jobs(spark, tmp_path):
+    """The jobs in a row give what the queries give; options come from the parameters."""
+    from alembiq.__main__ import main
+    from alembiq.plans import queries
+
+    d = "/root/testdata/sf0.001"
+    raw = queries.reaction_view(spark, d)
+    raw.orderBy("ord").coalesce(1).write.parquet(f"{tmp_path}/raw.parquet")
+    at = lambda name: f"{tmp_path}/{name}.parquet"
+    main(["phase0", "--input", at("raw"), "--output", at("rx"), "--failed-output", at("bad")])
+    main(["phase1", "--input", at("rx"), "--output", at("keys"), "--clusters", at("level1")])
+    main(["phase2", "--input", at("rx"), "--cond-table", at("keys"), "--output-dir", str(tmp_path)])
+    main(["phase3", "--mechanism-sigs", at("mechanism_sigs"), "--clusters-level2", at("clusters_level2"), "--output-dir", str(tmp_path)])
+    levels = [x for n in (2, 3) for x in (f"--clusters-level{n}", at(f"clusters_level{n}"))]
+    main(
+        ["phase4", "--clusters-level1", at("level1"), *levels, "--mechanism-sigs", at("mechanism_sigs"), "--structure-feats", at("structure_feats")]
+        + ["--reactions", at("rx"), "--output-dir", str(tmp_path)]
+    )
+    main(["report", "--clusters", at("clusters_level2"), "--signatures", at("mechanism_sigs"), "--outdir", f"{tmp_path}/report", "--verbose"])
+    got = spark.read.parquet(at("clusters_final"))
+    assert sorted(got.select("rxn_vid", "CID", "MID", "SID").collect()) == sorted(queries.queries()["merge_assignments"](spark, d).collect())
+    assert got.filter("cluster_card is null").count() == 0 and spark.read.parquet(at("bad")).count() > 0
+    kinds = {r.type for r in spark.read.json(f"{tmp_path}/cluster_stats.jsonl").select("type").distinct().collect()}
+    assert "cluster_card" in kinds and (tmp_path / "clusters_final.parquet/_SUCCESS").exists()
+    assert spark.read.json(f"{tmp_path}/indices").count() == spark.read.parquet(at("clusters_level2")).count()
+    assert spark.read.parquet(f"{tmp_path}/report/mapped_share_histogram.parquet").count() > 0
+    with pytest.raises(SystemExit):
+        main(["phase1", "--input", at("rx")])
+
+
+def test_usage_and_spread(spark):
+    from alembiq.operators import profile
+
+    df = spark.createDataFrame([("a", ["x", "y"], 1), ("b", ["x"], 2), ("b", None, 10), (None, [], None)], "s string, xs array<string>, n int")
+    got = {(r.name, r.value): (r.n, r.n_distinct) for r in profile.usage(df, {"s": F.col("s"), "xs": F.col("xs")}, 2).collect()}
+    assert got == {("s", "b"): (2, 3), ("s", None): (1, 3), ("xs", "x"): (2, 2), ("xs", "y"): (1, 2)}
+    assert profile.spread(df, {"n": F.col("n"), "none": F.lit(None)}).collect() == [("n", 3, 4.333333, 1.0, 10.0, 1.2, 1.5, 2.0, 6.0, 8.4)]
+    assert profile.usage(df.limit(0), {"s": F.col("s")}).count() == 0
+
+
+def test_reports_of_few_rows(spark):
+    sigs = spark.createDataFrame([("k1", "c1"), ("k1", "c1"), ("k2", "c1"), ("k2", "c2")], "coarse_text string, cond_hash string")
+    assert mechanism.single_condition_keys(sigs).collect() == [("k1", 2)]
+    clusters = spark.createDataFrame([("m1", "k", 2), ("m2", "k", 5), ("m0", "k", 5)], "cluster_id string, coarse_text string, rxn_count long")
+    assert [r.cluster_id for r in mechanism.largest_clusters(clusters, 2).collect()] == ["m0", "m2"]
+    feats = spark.createDataFrame([([1], ["event:a"]), ([1], ["mech:b"]), ([1], ["event:a"])], "fingerprint_bits array<int>, tokens array<string>")
+    assert [r.warning for r in structures.warnings(feats).collect()] == ["all fingerprints are equal", "1 reactions have no event"]
+    assert structures.warnings(feats.limit(0)).count() == 0
+
+
 def test_stream_conditions(spark, tmp_path):
     from alembiq.streaming import stream_conditions
 
