@@ -75,37 +75,39 @@ def links(classes: DataFrame, bucket_limit: int = 256) -> DataFrame:
     """Pairs (a < b) of values of classes(fp) that differ in at most three bits, each once.
 
     Every bucket that is paired is bounded: by ``bucket_limit``, or by the 128
-    values that seven open bits allow.
+    values that seven open bits allow. A bucket's key is one hash of its table
+    and kept bits; buckets that share a hash only add pairs, whose bits are
+    compared anyway.
     """
     tables = [((i,), mask, rest) for i, (mask, rest) in enumerate(covering(list(range(64))))]
     rows = classes.select(
-        F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for (i,), m, _ in tables])).alias("x"),
+        F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))).alias("key")) for (i,), m, _ in tables])).alias("x"),
         "fp",
-    ).select("x.t", F.array("x.key").alias("key"), "fp")
+    ).select("x.t", "x.key", "fp")
     found = []
     while True:
         last = max(len(rest) for _, _, rest in tables) <= 7
-        size = rows.groupBy("t", "key").agg(F.count("*").alias("m")).filter("m > 1")
+        size = rows.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
         size = cut(size, "bucket-sizes")
         paired = size if last else size.filter(F.col("m") <= bucket_limit)
-        small = rows.join(paired.select("t", "key"), ["t", "key"])
-        other = small.select("t", "key", F.col("fp").alias("b"))
+        small = rows.join(paired.select("key"), "key").select("key", "fp")
+        other = small.select("key", F.col("fp").alias("b"))
         found.append(
             small.withColumnRenamed("fp", "a")
-            .join(other, ["t", "key"])
+            .join(other, "key")
             .filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS))
             .select("a", "b")
         )
-        crowded = size.filter(F.col("m") > bucket_limit).select("t", "key")
+        crowded = size.filter(F.col("m") > bucket_limit).select("key")
         if last or crowded.isEmpty():
             break
         finer = [(path, [m for m, _ in covering(rest)], covering(rest)) for path, _, rest in tables]
         masks = F.array(*[F.array(*[F.lit(m) for m in ms]) for _, ms, _ in finer])
         deeper = F.transform(
             F.get(masks, F.col("t")),
-            lambda m, j: F.struct((F.col("t") * 15 + j).alias("t"), F.concat("key", F.array(F.col("fp").bitwiseAND(m))).alias("key")),
+            lambda m, j: F.struct((F.col("t") * 15 + j).alias("t"), F.xxhash64("key", j, F.col("fp").bitwiseAND(m)).alias("key")),
         )
-        rows = rows.join(crowded, ["t", "key"], "left_semi").select(F.explode(deeper).alias("x"), "fp").select("x.t", "x.key", "fp")
+        rows = rows.join(crowded, "key", "left_semi").select(F.explode(deeper).alias("x"), "fp").select("x.t", "x.key", "fp")
         tables = [((*path, j), mask, rest) for path, _, made in finer for j, (mask, rest) in enumerate(made)]
     out = found[0]
     for f in found[1:]:
