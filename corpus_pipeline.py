@@ -14,8 +14,17 @@ from alembiq.llm.queries import tokenizer
 from alembiq.llm.util import cut
 
 
+#: Rows of whole texts that a Python worker and the JVM hold for it at a time; Spark's 10,000 are for short rows.
+BATCH_ROWS = 1000
+
+
+def batched(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language is rejected: no letters, or below the calibrated score."""
+    batched(spark)
     return langid.keep_identified(docs)
 
 
@@ -26,16 +35,19 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by SimHash keep the document of the least doc_id."""
+    batched(spark)
     return simhash.drop_near_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents contaminated by the benchmark."""
+    batched(spark)
     return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every remaining document, decoded again as proof."""
+    batched(spark)
     path, pattern = tokenizer()
     return bpe.encode_texts(docs, path, pattern)
 
