@@ -1,12 +1,18 @@
 """Line deduplication by pairwise alignment.
 
-Documents that share a line overlap. A line held by at most ``rare`` documents
-pairs all of them (at most rare*(rare-1)/2 pairs); a commoner one pairs each of
-its documents with the earliest only, so that the pairs stay linear in the rows
-however common a line is and every later copy still meets an earlier one. Each
-pair is aligned by patience diff on line hashes: lines unique on both sides,
-their longest increasing run, extended to neighbouring equal lines and refined
-inside the gaps. Aligned common blocks are deleted from the later document.
+The result is that of aligning every document with every earlier one. Each pair
+is aligned by patience diff on line hashes: lines unique on both sides, their
+longest increasing run, extended to neighbouring equal lines and refined inside
+the gaps. Aligned common blocks are deleted from the later document.
+
+Pairs that can't change the result are not aligned. Nothing but blank lines
+aligns unless the two share a line that each has once, or begin or end alike:
+these are a document's ``features``. In the first round a feature held by at
+most ``rare`` documents pairs all of them, a commoner one pairs each with the
+earliest. Only documents that keep a line which an earlier one holds go on: to
+growing random parts of their features' holders, at last to all. Documents that
+differ only in lines nobody else holds align alike, so that in these rounds the
+earliest stands for all of them.
 """
 
 from __future__ import annotations
@@ -18,7 +24,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .util import cut, row_key, text_or_empty
@@ -81,41 +87,184 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return blocks
 
 
-def pairs(seqs: DataFrame, rare: int = 8) -> DataFrame:
-    """(did, th, e_did, e_th): later and earlier documents of seqs(did, th, lines) that share a line."""
-    held = seqs.select("did", "th", F.explode(F.array_distinct("lines")).alias("h")).filter("h <> 0")
-    lines = held.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("did", "th")).alias("e")).filter("n > 1")
-    lines = cut(lines, "shared-lines")
-    shared = held.join(lines, "h")
-    common = shared.filter(F.col("n") > rare).select("did", "th", F.col("e.did").alias("e_did"), F.col("e.th").alias("e_th"))
-    few = shared.filter(F.col("n") <= rare).select("h", "did", "th")
+def mixed(line: int, blanks: int, side: int) -> int:
+    """A signed long for a line (0: the document's edge) with so many blank lines beside it."""
+    x = ((line << 3 | side) * 0x9E3779B97F4A7C15 + blanks * 0xC2B2AE3D27D4EB4F) & (1 << 64) - 1
+    x = (x ^ x >> 29) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
+    x ^= x >> 32
+    return x - (1 << 64) if x >> 63 else x
+
+
+def blank_marks(lines: list[int]) -> list[tuple[int, int]]:
+    """(number of a line, mark) of each blank line: how many blanks it is after the line before, and before the one after."""
+    out = []
+    for side, order in ((1, range(len(lines))), (2, range(len(lines) - 1, -1, -1))):
+        near, blanks = 0, 0
+        for j in order:
+            if lines[j]:
+                near, blanks = lines[j], 0
+            else:
+                blanks += 1
+                out.append((j, mixed(near, blanks, side)))
+    return out
+
+
+def held_keys(lines: list[int]) -> dict[int, bool]:
+    """What a document holds: its lines and the marks of its blank lines; whether each is a feature, by which it may align."""
+    counts = Counter(lines)
+    del counts[0]
+    out = dict.fromkeys((mark for _, mark in blank_marks(lines)), False)
+    out |= {h: n == 1 for h, n in counts.items()}
+    if counts:
+        first = next(j for j, h in enumerate(lines) if h)
+        last = next(j for j, h in enumerate(reversed(lines)) if h)
+        out |= {mixed(lines[first], first, 3): True, mixed(lines[-1 - last], last, 4): True}
+    return out
+
+
+def may_lose_more(lines: list[int], sizes: list[int], old: set[int], gone: set[int], least: int) -> bool:
+    """Whether a line that stays may be in an aligned block of ``least`` characters.
+
+    Such a block has only blank lines and lines that an earlier document holds
+    (``old``). Of blank lines those beside a deleted line count.
+    """
+    open_lines: set[int] = set()
+    begin = 0
+    for j in range(len(lines) + 1):
+        if j == len(lines) or lines[j] and lines[j] not in old:
+            if sum(sizes[begin:j]) >= least:
+                open_lines.update(range(begin, j))
+            begin = j + 1
+    open_lines -= gone
+    if any(lines[j] for j in open_lines):
+        return True
+    texts = [j for j, h in enumerate(lines) if h]
+    for j, mark in blank_marks(lines) if open_lines and gone else ():
+        if mark in old and j in open_lines:
+            k = bisect_left(texts, j)
+            if any(x in gone for x in texts[max(0, k - 1) : k + 1]):
+                return True
+    return False
+
+
+def shared_keys(seqs: DataFrame) -> DataFrame:
+    """(did, th, h, feature, m, e, f) of what more than one document holds; m: holders by feature, e: earliest holder, f: earliest by feature."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for did, th, lines in zip(batch["did"], batch["th"], batch["lines"], strict=True):
+                out += [(did, th, h, feature) for h, feature in held_keys(lines.tolist()).items()]
+            yield pd.DataFrame(out, columns=["did", "th", "h", "feature"])
+
+    held = seqs.select("did", "th", "lines").mapInPandas(run, "did long, th long, h long, feature boolean")
+    doc = F.struct("did", "th")
+    every = held.groupBy("h").agg(
+        F.count("*").alias("n"), F.count_if("feature").alias("m"), F.min(doc).alias("e"), F.min(F.when(F.col("feature"), doc)).alias("f")
+    )
+    every = cut(every.filter("n > 1").drop("n"), "shared-lines")
+    return cut(held.join(every, "h"), "shared-holders")
+
+
+def is_later() -> Column:
+    return (F.col("e_did") < F.col("did")) | ((F.col("e_did") == F.col("did")) & (F.col("e_th") < F.col("th")))
+
+
+def first_pairs(shared: DataFrame, rare: int) -> DataFrame:
+    """(did, th, e_did, e_th): later and earlier documents that share a feature; of commoner ones the earliest only."""
+    by = shared.filter("feature and m > 1")
+    common = by.filter(F.col("m") > rare).select("did", "th", F.col("f.did").alias("e_did"), F.col("f.th").alias("e_th"))
+    few = by.filter(F.col("m") <= rare).select("h", "did", "th")
     earlier = few.select("h", F.col("did").alias("e_did"), F.col("th").alias("e_th"))
     rarely = few.join(earlier, "h").select("did", "th", "e_did", "e_th")
-    later = (F.col("e_did") < F.col("did")) | ((F.col("e_did") == F.col("did")) & (F.col("e_th") < F.col("th")))
-    return rarely.unionByName(common).filter(later).distinct()
+    return rarely.unionByName(common).filter(is_later()).distinct()
 
 
-def removed_lines(docs: DataFrame, rare: int = 8, min_block_chars: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(did, th, gone, partners): line numbers to delete from each document that loses any."""
-    text = text_or_empty(text_col)
-    hashed = F.transform(F.split(text, "\n", -1), lambda x: F.when(F.trim(x) == "", F.lit(0)).otherwise(F.xxhash64(F.trim(x))))
-    sizes = F.transform(F.split(text, "\n", -1), lambda x: F.length(F.trim(x)))
-    seqs = docs.select(*row_key(id_col, text_col), hashed.alias("lines"), sizes.alias("sizes")).dropDuplicates(["did", "th"])
-    seqs = cut(seqs, "line-hashes")
-    made = pairs(seqs, rare)
-    early = seqs.select(F.col("did").alias("e_did"), F.col("th").alias("e_th"), F.col("lines").alias("e_lines"))
-    full = made.join(seqs, ["did", "th"]).join(early, ["e_did", "e_th"])
+def deleted(made: DataFrame, late: DataFrame, early: DataFrame, least: int) -> DataFrame:
+    """(did, th, j): lines of late(did, th, lines, sizes) aligned with early(did, th, lines), for the pairs ``made``."""
+    early = early.select(F.col("did").alias("e_did"), F.col("th").alias("e_th"), F.col("lines").alias("e_lines"))
+    full = made.join(late, ["did", "th"]).join(early, ["e_did", "e_th"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for did, th, a, b, size in zip(batch["did"], batch["th"], batch["e_lines"], batch["lines"], batch["sizes"], strict=True):
                 for begin, end in align(a.tolist(), b.tolist()):
-                    if size[begin:end].sum() >= min_block_chars:
+                    if size[begin:end].sum() >= least:
                         out += [(did, th, j) for j in range(begin, end)]
             yield pd.DataFrame(out, columns=["did", "th", "j"])
 
-    gone = full.select("did", "th", "e_lines", "lines", "sizes").mapInPandas(run, "did long, th long, j int")
+    return full.select("did", "th", "e_lines", "lines", "sizes").mapInPandas(run, "did long, th long, j int").distinct()
+
+
+def unsettled(late: DataFrame, gone: DataFrame, least: int) -> DataFrame:
+    """The rows of late(did, th, lines, sizes, old) that may lose more than gone(did, th, j)."""
+    lost = gone.groupBy("did", "th").agg(F.collect_set("j").alias("gone"))
+    none = F.array().cast("array<int>")
+
+    def run(lines: pd.Series, sizes: pd.Series, old: pd.Series, gone: pd.Series) -> pd.Series:
+        rows = zip(lines, sizes, old, gone, strict=True)
+        return pd.Series([may_lose_more(a.tolist(), n.tolist(), set(b.tolist()), set(c.tolist()), least) for a, n, b, c in rows], dtype=bool)
+
+    more = F.pandas_udf(run, "boolean")("lines", "sizes", "old", F.coalesce("gone", none))
+    return late.join(lost, ["did", "th"], "left").filter(more).drop("gone")
+
+
+def earliest_alike(held: DataFrame) -> DataFrame:
+    """(did, th, lines): of documents of held(did, th, lines, keys) that differ only in lines outside keys the earliest; -1 stands for such lines."""
+
+    def run(lines: pd.Series, keys: pd.Series) -> pd.Series:
+        out = []
+        for a, b in zip(lines, keys, strict=True):
+            known, made = set(b.tolist()), []
+            for h in a.tolist():
+                if h == 0 or h in known:
+                    made.append(h)
+                elif not made or made[-1] != -1:
+                    made.append(-1)
+            out.append(made)
+        return pd.Series(out, dtype=object)
+
+    alike = held.select("did", "th", F.pandas_udf(run, "array<long>")("lines", "keys").alias("lines"))
+    return alike.groupBy("lines").agg(F.min(F.struct("did", "th")).alias("e")).select("e.did", "e.th", "lines")
+
+
+def removed_lines(
+    docs: DataFrame, rare: int = 8, min_block_chars: int = 24, id_col: str = "doc_id", text_col: str = "text", part: int = 64
+) -> DataFrame:
+    """(did, th, gone): line numbers to delete from each document that loses any.
+
+    After the first round a document meets about ``part`` holders of each of
+    its features, in each further round ``part`` times as many.
+    """
+    text, least = text_or_empty(text_col), max(1, min_block_chars)
+    hashed = F.transform(F.split(text, "\n", -1), lambda x: F.when(F.trim(x) == "", F.lit(0)).otherwise(F.xxhash64(F.trim(x))))
+    sizes = F.transform(F.split(text, "\n", -1), lambda x: F.length(F.trim(x)))
+    seqs = docs.select(*row_key(id_col, text_col), hashed.alias("lines"), sizes.alias("sizes")).dropDuplicates(["did", "th"])
+    seqs = cut(seqs, "line-hashes")
+    shared = shared_keys(seqs)
+    doc = F.struct("did", "th")
+    keys = shared.groupBy("did", "th").agg(F.collect_list("h").alias("keys"), F.collect_list(F.when(F.col("e") < doc, F.col("h"))).alias("old"))
+    held = cut(seqs.join(keys, ["did", "th"]), "overlapping")
+    gone = cut(deleted(first_pairs(shared, rare), held.select("did", "th", "lines", "sizes"), held, least), "aligned")
+    late = cut(unsettled(held.filter(F.size("old") > 0).drop("keys"), gone, least), "unsettled")
+    by = shared.filter(F.col("feature") & (F.col("m") > rare)).select("did", "th", "h", "m")
+    heads, done = None, 0
+    while most := by.join(late.select("did", "th"), ["did", "th"]).agg(F.max("m")).first()[0]:
+        if heads is None:
+            heads = cut(earliest_alike(held), "alike")
+            earlier = cut(by.join(heads.select("did", "th"), ["did", "th"]).withColumnsRenamed({"did": "e_did", "th": "e_th"}), "alike-features")
+        upto = max(1, done) * part
+        place = F.pmod(F.xxhash64("h", "e_did", "e_th"), F.col("m"))
+        some = earlier.filter((place >= done) & (place < upto)).select("h", "e_did", "e_th")
+        mine = by.join(late.select("did", "th"), ["did", "th"]).select("h", "did", "th")
+        made = mine.join(some, "h").filter(is_later()).select("did", "th", "e_did", "e_th").distinct()
+        more = cut(deleted(made, late.select("did", "th", "lines", "sizes"), heads, least), "aligned")
+        gone = gone.unionByName(more)
+        done = upto
+        if done >= most:
+            break
+        late = cut(unsettled(late, gone, least), "unsettled")
     return gone.groupBy("did", "th").agg(F.collect_set("j").alias("gone"))
 
 
@@ -126,7 +275,8 @@ def dedup_lines(docs: DataFrame, rare: int = 8, min_block_chars: int = 24, id_co
     text hash; rows equal in doc_id and text are one document and get equal
     results. Lines are compared without surrounding blanks; blank lines go only
     inside a deleted block; blocks of fewer than ``min_block_chars`` characters
-    stay. Decisions are taken on the input. Returns one row per row: doc_id,
+    stay. Every earlier document counts, however many hold a line. Decisions are
+    taken on the input. Returns one row per row: doc_id,
     n_lines (0 for a null or empty text), n_removed, kept (the remaining lines,
     joined by line feeds). Other columns are not read.
     """

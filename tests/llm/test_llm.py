@@ -394,6 +394,43 @@ def test_line_dedup(spark, rare):
     assert line_dedup.dedup_lines(frame(spark, texts, ids).limit(0)).count() == 0
 
 
+def brute_lines(texts, floor):
+    """Kept lines of each text when every text is aligned with every earlier one."""
+    split = [(t or "").split("\n") for t in texts]
+    seqs = [[xxhash.xxh32_intdigest(x.strip(" ")) + 1 if x.strip(" ") else 0 for x in lines] for lines in split]
+    out = []
+    for k, b in enumerate(seqs):
+        gone = set()
+        for a in seqs[:k]:
+            for begin, end in line_dedup.align(a, b):
+                if any(b[begin:end]) and sum(len(x.strip(" ")) for x in split[k][begin:end]) >= floor:
+                    gone.update(range(begin, end))
+        out.append("\n".join(x for j, x in enumerate(split[k]) if j not in gone))
+    return out
+
+
+@pytest.mark.parametrize("floor", [1, 24])
+def test_line_dedup_is_that_of_all_pairs(spark, floor):
+    rng = random.Random(floor)
+    block = [f"passage line {i} of the block" for i in range(6)]
+    texts = []
+    for i in range(60):  # the block in another order, with repeats, blanks and short lines
+        lines = rng.sample(block, rng.randint(2, 6)) + rng.choices([*block[:2], "tiny", "---"], k=rng.randint(0, 3))
+        for _ in range(rng.randint(0, 3)):
+            lines.insert(rng.randint(0, len(lines)), rng.choice(["", "", f"own {i} {rng.random()}"]))
+        texts.append("\n".join(lines))
+    # two holders of each common line that cross the earliest one, among many that hold it
+    texts += [f"own {i}\nnow {i % 3}\nfar line of the crowd\nsep\nown {i} too\nsep" for i in range(30)]
+    texts += ["last a\nfar line of the crowd\nnow 1", "last b\n\nnow 1\nfar line of the crowd\n\n", "sep\nlast c\nsep"]
+    want = brute_lines(texts, floor)
+    for options in ({}, {"rare": 1, "part": 2}):
+        gone = line_dedup.removed_lines(frame(spark, texts), min_block_chars=floor, **options)
+        lost = {r.did: set(r.gone) for r in gone.collect()}
+        got = ["\n".join(x for j, x in enumerate(t.split("\n")) if j not in lost.get(i, ())) for i, t in enumerate(texts)]
+        assert got == want
+    assert [r.kept for r in line_dedup.dedup_lines(frame(spark, texts), min_block_chars=floor).orderBy("doc_id").collect()] == want
+
+
 def test_pipeline(spark, tmp_path, texts):
     import corpus_pipeline
 
