@@ -43,7 +43,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(documents(spark, sf_dir, "doc_id", "text"))
+    found = line_dedup.dedup_lines(documents(spark, sf_dir, "doc_id", "text"), min_block_chars=1)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

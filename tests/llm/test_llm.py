@@ -431,6 +431,14 @@ def test_line_dedup_is_that_of_all_pairs(spark, floor):
     assert [r.kept for r in line_dedup.dedup_lines(frame(spark, texts), min_block_chars=floor).orderBy("doc_id").collect()] == want
 
 
+def test_line_dedup_query_deletes_short_blocks(spark, tmp_path):
+    frame(spark, ["own line\nLes.", "Les.\n\nother line", "\nyet another"]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_removed, r.kept_sha256) for r in queries.op6_line_dedup(spark, str(tmp_path)).collect()}
+    assert got[0] == (0, hashlib.sha256(b"own line\nLes.").hexdigest())
+    assert got[1] == (1, hashlib.sha256(b"\nother line").hexdigest())
+    assert got[2] == (0, hashlib.sha256(b"\nyet another").hexdigest())
+
+
 def test_pipeline(spark, tmp_path, texts):
     import corpus_pipeline
 
