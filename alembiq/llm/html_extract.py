@@ -10,6 +10,10 @@ Pass two gives every ambiguous block the label of the nearest decided block of
 the same article; at equal distance, or between two labels, a heading looks
 ahead and other blocks need one content neighbour that is nearer. Ambiguous
 blocks of an <article> or <main> without any decided content are its content.
+
+Where articles hold at least half of the decided content (by characters), what
+is outside them is dropped. Otherwise they are teasers or the like, and all
+blocks are judged as on a page without articles.
 """
 
 from __future__ import annotations
@@ -146,9 +150,8 @@ def parse(page: str) -> list[tuple[str, int, bool, int, str]]:
     return found
 
 
-def extract(page: str | None) -> str:
-    """The main text of a page; blocks are joined by an empty line."""
-    blocks = parse(page or "")
+def own_labels(blocks: list[tuple[str, int, bool, int, str]]) -> list[bool | None]:
+    """Pass one: content, boilerplate or None for ambiguous."""
     labels: list[bool | None] = []
     for text, linked, unwanted, article, tag in blocks:
         size = len(text)
@@ -163,6 +166,18 @@ def extract(page: str | None) -> str:
                 labels.append(True)
             else:
                 labels.append(None if article or size < LONG else False)
+    return labels
+
+
+def extract(page: str | None) -> str:
+    """The main text of a page; blocks are joined by an empty line."""
+    blocks = parse(page or "")
+    labels = own_labels(blocks)
+    inside = sum(len(b[0]) for b, label in zip(blocks, labels, strict=True) if label and b[3])
+    outside = sum(len(b[0]) for b, label in zip(blocks, labels, strict=True) if label and not b[3])
+    if outside > inside and any(b[3] for b in blocks):
+        blocks = [(text, linked, unwanted, 0, tag) for text, linked, unwanted, _, tag in blocks]
+        labels = own_labels(blocks)
     n = len(blocks)
     before: list[int | None] = [None] * n
     after: list[int | None] = [None] * n

@@ -242,6 +242,15 @@ def test_html():
     assert html_extract.extract("<p>" * 2000 + body).endswith(body)
 
 
+def test_html_with_teaser_articles():
+    one, two = prose(1, 60), prose(2, 80)
+    cards = "".join(f"<article><h3>Card {i}</h3><p>Read {i}.</p></article>" for i in range(3))
+    page = f"<body><div><h1>Title</h1><p>{one}</p><p>{two}</p></div><nav>menu</nav>{cards}</body>"
+    assert html_extract.extract(page).startswith(f"Title\n\n{one}\n\n{two}")
+    # an article that holds most of the content still drops what is outside it
+    assert html_extract.extract(f"<p>{one}</p><article><p>{two}</p><p>Short.</p></article>") == f"{two}\n\nShort."
+
+
 def test_html_query(spark):
     pages = spark.createDataFrame([(1, "u", PAGE % prose(1, 40)), (2, None, None), (None, "v", "<")], "page_id long, url string, html string")
     got = pages.select("page_id", html_extract.main_text(F.col("html")).alias("text")).collect()
