@@ -189,6 +189,20 @@ def test_language_id(spark):
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_language_rejection_is_calibrated():
+    def counts(text):
+        c, _ = langid.features(text)
+        at = np.flatnonzero(c)
+        return at, c[at]
+
+    rows = [(*counts(prose(i, 60, EN if i % 2 else DE)), "en" if i % 2 else "de") for i in range(200)]
+    model = langid.train(rows)
+    tops = sorted(model.scores(langid.features(prose(i, 60, EN if i % 2 else DE))[0]).max() for i in range(0, 200, 5))
+    assert model.reject_below == pytest.approx(np.quantile(tops, 0.001), abs=1e-4) and model.reject_below > 0.5
+    unknown = model.scores(langid.features("Это русский текст о погоде и о море")[0]).max()
+    assert 0.5 <= unknown < model.reject_below
+
+
 def brute_secrets(text):
     text = text or ""
     out = []
