@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import parsing as p
 from ..operators import coherence, conditions, fusion, mechanism, normalize, structures
 from ..shared import cut
+from ..sources import files
 from .oracle import ORACLE
 from .reaction_view import reaction_view
 
@@ -376,8 +377,8 @@ def cross_view_edges(spark, d):
 @query
 def stats_jsonl(spark, d):
     merged, cards = fused(spark, d)
-    lines = fusion.stats_lines(cards, fusion.cross_view_edges(merged))
-    return lines.groupBy("type").agg(F.count("*").alias("n"))
+    lines = files.json_lines(fusion.stats_lines(cards, fusion.cross_view_edges(merged)))
+    return lines.groupBy(F.get_json_object("value", "$.type").alias("type")).agg(F.count("*").alias("n"))
 
 
 @query

@@ -11,6 +11,7 @@ from alembiq.functions import chemistry as chem
 from alembiq.functions import hashing, units
 from alembiq.functions import parsing as p
 from alembiq.operators import coherence, conditions, fusion, mechanism, normalize, structures
+from alembiq.plans import queries
 from alembiq.sources import files
 
 
@@ -380,3 +381,11 @@ def test_entry_contract(spark):
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q) and len(q) > 40
     assert e.entry(spark).count() == 10
+
+
+def test_stats_jsonl_reads_whole_lines(spark):
+    made = queries.queries()["stats_jsonl"](spark, "/root/testdata/sf0.001")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    line = next(x for x in plan.splitlines() if "StructsToJson" in x)
+    assert all(c in line for c in ("mechanism_summary", "top_solvents", "shared_id", "source"))
+    assert [(r.type, r.n > 0) for r in made.collect()] == [("cluster_card", True)]
