@@ -6,6 +6,7 @@ import random
 import re
 import subprocess
 import sys
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -261,8 +262,77 @@ def test_html_with_teaser_articles():
     cards = "".join(f"<article><h3>Card {i}</h3><p>Read {i}.</p></article>" for i in range(3))
     page = f"<body><div><h1>Title</h1><p>{one}</p><p>{two}</p></div><nav>menu</nav>{cards}</body>"
     assert html_extract.extract(page).startswith(f"Title\n\n{one}\n\n{two}")
-    # an article that holds most of the content still drops what is outside it
-    assert html_extract.extract(f"<p>{one}</p><article><p>{two}</p><p>Short.</p></article>") == f"{two}\n\nShort."
+    # dense text stays, inside an article or not, and whatever the sizes
+    assert html_extract.extract(f"<p>{one}</p><article><p>{two}</p><p>Short.</p></article>") == f"{one}\n\n{two}\n\nShort."
+    teaser = f'<div class="post"><p>{one}</p><p>{two}</p></div><article class="teaser"><p>See it</p></article>'
+    assert html_extract.extract(teaser).startswith(f"{one}\n\n{two}")
+    several = "".join(f"<article><h2>Part {i}</h2><p>{prose(i, 60)}</p><p>End.</p></article>" for i in range(4))
+    assert html_extract.extract(several) == "\n\n".join(f"Part {i}\n\n{prose(i, 60)}\n\nEnd." for i in range(4))
+
+
+def test_html_names_are_evidence():
+    one, two = prose(1, 60), prose(2, 80)
+    keeps = html_extract.extract
+    for names in ("content has-sidebar", "post with-comments", "entry-header", "social story", "no-ads"):
+        assert keeps(f'<div class="{names}"><p>{one}</p></div>') == one
+    for names in ("comments", "comment-list", "ad", "main-sidebar", "cookie-notice", "sidebar-2"):
+        assert keeps(f'<article><p>{one}</p></article><div class="{names}"><p>{two}</p></div>') == one
+        # nothing else on the page: the name is wrong
+        assert keeps(f'<div class="{names}"><p>{one}</p></div>') == one
+    for text in (one, one[:100]):
+        assert keeps(f"<form><nav>menu</nav><h1>Title</h1><p>{text}</p></form>") == f"Title\n\n{text}"
+    assert keeps(f"<article><p>The mark © of the town. {one}</p><p>© the town</p></article>") == f"The mark © of the town. {one}"
+    assert keeps(f"<article><p>{one}</p><div>Advertisement</div><p>{two}</p></article>") == f"{one}\n\n{two}"
+    assert keeps("<nav>a</nav><div class='ad'>of the</div><article><h1>Only</h1><p>Few words</p></article>") == "Only\n\nFew words"
+
+
+def test_html_broken_markup():
+    one = prose(1, 60)
+    assert html_extract.extract(f"<p class=it's>{one}</p>") == one
+    assert html_extract.extract(f"<p title='a > b' class=\"x'y\" data-a=\"hidden sidebar\">{one}</p>") == one
+    start = time.perf_counter()
+    n = 20_000
+    assert html_extract.extract("<div>" * n + "</p>" * n) == ""
+    assert html_extract.extract("<div>" * n + "</section>" * n + one + "<a b='>" * n).startswith(one)
+    assert time.perf_counter() - start < 1
+
+
+def brute_labels(blocks):
+    """Pass two block by block, looking at every other block."""
+    own = html_extract.own_labels(blocks)
+    out = []
+    for i, (block, label) in enumerate(zip(blocks, own, strict=True)):
+        if label is not None:
+            out.append(label)
+            continue
+        every = [j for j, x in enumerate(own) if x is not None]
+        named = html_extract.HARD | html_extract.NAMED
+        inside = [j for j in every if blocks[j].article == block.article and (own[j] or not blocks[j].marks & named)] if block.article else []
+        if block.article and not inside and True not in own:
+            out.append(True)
+            continue
+        near, tie = (inside, True) if inside else (every, False)
+        before, after = max((j for j in near if j < i), default=None), min((j for j in near if j > i), default=None)
+        if before is None or after is None:
+            out.append(any(own[j] for j in (before, after) if j is not None))
+        elif block.tag in html_extract.HEADING:
+            out.append(own[after])
+        elif i - before == after - i and own[before] != own[after]:
+            out.append(tie)
+        else:
+            out.append(own[before if i - before <= after - i else after])
+    return out
+
+
+def test_html_labels_are_those_of_brute_force():
+    rng = random.Random(8)
+    part = lambda: rng.choice(
+        [f"<p>{prose(rng.random(), 40)}</p>", "<p>Short.</p>", "<h2>Head</h2>", "<p><a href=x>link</a></p>", f"<div class=ad>{prose(1, 30)}</div>",
+         f"<p>{'zebra lamp quilt ' * 20}</p>", "<nav>menu</nav>", "<p>© x</p>", "<article>", "</article>", "<main><p>In.</p></main>", "<div class=share>Tell</div>"]
+    )
+    for _ in range(300):
+        blocks = html_extract.parse("".join(part() for _ in range(rng.randrange(1, 25))))
+        assert html_extract.all_labels(blocks) == brute_labels(blocks)
 
 
 def test_html_query(spark):
