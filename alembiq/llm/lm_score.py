@@ -1,16 +1,26 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-One pass over the training texts counts unigrams and bigrams by 64-bit hash,
-combined in the worker and packed by segment before the shuffle. Counts are quantised to powers of
-two: an n-gram of count c goes into the filter with its levels 1 .. 1 +
-floor(log2 c), so that a probe of level after level, until one is missing,
-gives back the quantised count. The filter is made of segments chosen by the
-n-gram's hash; one group of the shuffle makes one segment, sized by what it
-holds, so the filter grows with the corpus at ``BITS_PER_ENTRY`` bits an entry.
-Segments are broadcast in blocks of at most ``block_bytes``; a worker holds all
-blocks while they are small together and one at a time beyond that.
-
-Bigram and unigram probabilities from the quantised counts are interpolated.
+One pass over the training texts counts n-grams of one to ``ORDERS`` words by
+64-bit hash, combined in the worker and packed by segment before the shuffle;
+n-grams that are frequent in a chunk are held back and leave a task once.
+Counts are quantised to two levels an octave (1, 2, 3, 4, 6, 8, 12, ...): an
+n-gram goes into the filter with all levels up to its own, so that a probe of
+level after level, until one is missing, gives back the quantised count. The
+filter is made of segments chosen by the n-gram's hash; a segment is combined
+from a sorted stream of packed counts and sized by what it holds, so the filter
+grows with the corpus at ``BITS_PER_ENTRY`` bits an entry.
+
+Segments are broadcast in blocks of at most ``block_bytes``. Up to
+``hold_bytes`` together a worker holds them all; beyond that it reads block
+after block for each chunk of texts. No more than ``broadcast_bytes`` are
+broadcast: a larger filter stays where it is, and each chunk's distinct n-grams
+are sent to its blocks and the levels back, in one shuffle each. The scores
+are the same in all three ways.
+
+Probabilities are smoothed by Dirichlet priors: after the context h, word w has
+(c(hw) + m p(w|h')) / (c(h) + m), where h' is h without its first word and m
+the prior of the order (``PRIORS``); below that is the unigram (c(w) + 0.5) /
+(N + 0.5 (V + 1)). With exact counts each context's probabilities sum to one.
 The unigram base score is exact: the counts of frequent words (a table of
 bounded size) are broadcast, those of all others are joined.
 """
@@ -32,11 +42,18 @@ from .wordhash import C1, C2, WordHashes, mix, pair
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 END = np.uint64(0x5851F42D4C957F2D)
+ORDERS = 4
+#: Weight of the shorter context's probability by length of the n-gram: the more context, the less it takes to believe a count.
+PRIORS = {2: 100.0, 3: 10.0, 4: 1.0}
 BITS_PER_ENTRY, PROBES = 8, 3
 HALF = np.uint64(32)
-CHUNK = 300_000
-LAMBDA = 0.7
-COUNTED = "kind int, seg int, keys binary, counts binary"
+LOW48 = np.uint64((1 << 48) - 1)
+CHUNK = 1_000_000
+OFTEN, HELD = 4, 500_000
+#: The least count of each level, from level 1 on, and the mean count of each level, from level 0 on.
+STARTS = np.array(sorted({1 << k for k in range(62)} | {3 << k for k in range(60)}), dtype=np.int64)
+MEANS = np.concatenate(([0.0], (STARTS[:-1] + STARTS[1:] - 1) / 2))
+COUNTED = "kind int, seg int, once binary, keys binary, counts binary"
 BUILT = "kind int, seg int, key long, cnt long, bits binary"
 
 
@@ -51,10 +68,22 @@ def tokens(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, np.
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), np.array(sizes, dtype=np.int64)
 
 
-def bigrams(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bigram hashes, contexts); the context of a text's first token is the end before it."""
-    context = np.concatenate((np.array([END], dtype=np.uint64), h[:-1])) if len(h) else h
-    return pair(context, h), context
+def place_in_text(sizes: np.ndarray) -> np.ndarray:
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def ngrams(h: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(n, hash of the n-gram that ends at each token). Before a text's first token is one end; longer n-grams start there at the earliest."""
+    key = h
+    yield 1, key
+    for n in range(2, ORDERS + 1):
+        key = pair(np.concatenate((np.array([END], dtype=np.uint64), key[:-1])), h) if len(h) else h
+        yield n, key
+
+
+def whole(n: int, place: np.ndarray) -> np.ndarray:
+    """Which n-grams lie in their text, the end before it included."""
+    return place >= n - 2
 
 
 def chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
@@ -71,12 +100,7 @@ def chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
 
 
 def levels(count: np.ndarray) -> np.ndarray:
-    return 1 + np.floor(np.log2(count)).astype(np.int64)
-
-
-def expected(level: np.ndarray) -> np.ndarray:
-    """The mean of the counts of a level; 0 for level 0."""
-    return np.where(level > 0, 0.75 * np.exp2(level.astype(np.float64)) - 0.5, 0.0)
+    return np.searchsorted(STARTS, count, side="right")
 
 
 def segment_of(keys: np.ndarray, n_segments: int) -> np.ndarray:
@@ -85,8 +109,8 @@ def segment_of(keys: np.ndarray, n_segments: int) -> np.ndarray:
 
 
 def _places(keys: np.ndarray, level: int, bits: np.ndarray) -> Iterator[np.ndarray]:
-    """Bit numbers below ``bits`` (less than 2**32) of a key at a level, one array for each probe."""
-    g = mix(keys + np.uint64(level) * C1)
+    """Bit numbers below ``bits`` (less than 2**32) of a key's low 48 bits at a level, one array for each probe."""
+    g = mix((keys & LOW48) + np.uint64(level * int(C1) & (1 << 64) - 1))
     step = g * C2
     for k in range(PROBES):
         yield (((g + step * np.uint64(k)) >> HALF) * bits >> HALF).astype(np.int64)
@@ -115,7 +139,7 @@ class Filter:
 
     def probe(self, keys: np.ndarray, segment: np.ndarray) -> np.ndarray:
         """Quantised level of each key, by probing level after level."""
-        out = np.zeros(len(keys), dtype=np.int64)
+        out = np.zeros(len(keys), dtype=np.uint8)
         live = np.arange(len(keys))
         level = 0
         while len(live):
@@ -130,76 +154,176 @@ class Filter:
         return out
 
 
+def smoothed(counts: list[np.ndarray], contexts: list[np.ndarray], n: int, v: int) -> np.ndarray:
+    """Probabilities from the counts of 1-grams, 2-grams, ... and those of the contexts of 2-grams, 3-grams, ..."""
+    p = np.minimum(1.0, (counts[0] + 0.5) / (n + 0.5 * (v + 1)))
+    for order, (c, context) in enumerate(zip(counts[1:], contexts, strict=True), 2):
+        # no n-gram is more frequent than its context, whatever the filter says
+        p = (np.minimum(c, context) + PRIORS[order] * p) / (context + PRIORS[order])
+    return p
+
+
+class Chunk:
+    """The tokens of some texts and their distinct n-grams of each length."""
+
+    def __init__(self, h: np.ndarray, sizes: np.ndarray):
+        self.h, self.sizes = h, sizes
+        self.starts, self.place = np.cumsum(sizes) - sizes, place_in_text(sizes)
+        self.keys: dict[int, np.ndarray] = {}
+        self.inverse: dict[int, np.ndarray] = {}
+        for n, key in ngrams(h):
+            own = key[whole(n, self.place)]
+            if n == 1:  # the context of a text's first token may be in no text of the chunk
+                own = np.append(own, END)
+            self.keys[n], inverse = np.unique(own, return_inverse=True)
+            self.inverse[n] = inverse.astype(np.int32)
+
+    def scores(self, level: dict[int, np.ndarray], n: int, v: int) -> np.ndarray:
+        """log10 probability of each text, from the levels of the distinct n-grams."""
+        counts, contexts = [], []
+        for order in range(1, ORDERS + 1):
+            inside = whole(order, self.place)
+            found = MEANS[level[order]][self.inverse[order]]
+            if order == 1:
+                contexts.append(np.concatenate((found[-1:], found[:-2])))
+                counts.append(found[:-1])
+                continue
+            c = np.zeros(len(self.h))
+            c[inside] = np.minimum(found, contexts[-1][inside])
+            counts.append(c)
+            if order < ORDERS:
+                context = np.concatenate(([0.0], c[:-1]))
+                context[~whole(order + 1, self.place)] = 0
+                contexts.append(context)
+        return np.add.reduceat(np.log10(smoothed(counts, contexts, n, v)), self.starts)
+
+
 class Model:
-    """Blocks of the filter for each kind (1: bigrams, 0: unigrams), as broadcast variables."""
-
-    def __init__(self, blocks: dict[int, list[tuple[int, int, object]]], n_segments: int, n: int, v: int, hold: bool):
-        self.blocks, self.n_segments, self.n, self.v, self.hold = blocks, n_segments, n, v, hold
-
-    def level(self, kind: int, keys: np.ndarray) -> np.ndarray:
-        segment = segment_of(keys, self.n_segments)
-        out = np.zeros(len(keys), dtype=np.int64)
-        for first, last, held in self.blocks[kind]:
-            at = np.flatnonzero((segment >= first) & (segment < last))
-            if len(at):
-                out[at] = shared(Filter, held).probe(keys[at], segment[at])
-                if not self.hold:
-                    del held._value  # read again from the worker's disk when needed
+    """Blocks of the filter for each kind (words of an n-gram), as broadcast variables."""
+
+    def __init__(self, blocks: dict[int, list[tuple[int, int, object]]], n_segments: int, hold: bool):
+        self.blocks, self.n_segments, self.hold = blocks, n_segments, hold
+
+    def levels(self, chunk: Chunk) -> dict[int, np.ndarray]:
+        """Each block is read once; keys are sorted, so that a block's are one range of them."""
+        out = {}
+        for kind, keys in chunk.keys.items():
+            segment = segment_of(keys, self.n_segments)
+            out[kind] = np.zeros(len(keys), dtype=np.uint8)
+            for first, last, held in self.blocks[kind]:
+                a, b = np.searchsorted(segment, (first, last))
+                if a < b:
+                    out[kind][a:b] = shared(Filter, held).probe(keys[a:b], segment[a:b])
+                    if not self.hold:
+                        del held._value  # read again from the worker's disk for the next chunk
         return out
 
-    def log_probabilities(self, h: np.ndarray) -> np.ndarray:
-        both, _ = bigrams(h)
-        distinct, place = np.unique(np.append(h, END), return_inverse=True)
-        own = expected(self.level(0, distinct))[place]
-        seen, own = np.concatenate((own[-1:], own[:-2])), own[:-1]  # a token's context is the token before it
-        together = expected(self.level(1, both))
-        unigram = np.minimum(1.0, (own + 0.5) / (self.n + 0.5 * (self.v + 1)))
-        bigram = np.minimum(1.0, together / np.maximum(seen, 1.0))
-        return np.log10(LAMBDA * bigram + (1 - LAMBDA) * unigram)
+
+def pack(kind: int, keys: np.ndarray) -> bytes:
+    """Keys as bytes: whole for words, whose counts are exact; the low 48 bits of longer n-grams."""
+    raw = keys.astype("<u8").view(np.uint8).reshape(-1, 8)
+    return (raw if kind == 1 else raw[:, :6]).tobytes()
+
+
+def unpack(kind: int, data: bytes) -> np.ndarray:
+    if kind == 1:
+        return np.frombuffer(data, dtype="<u8")
+    raw = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), dtype=np.uint8)
+    out[:, :6] = raw
+    return out.reshape(-1).view("<u8")
+
+
+def combine(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their counts."""
+    k, c = np.concatenate(keys), np.concatenate(counts)
+    if not len(k):
+        return k, c.astype(np.int64)
+    order = np.argsort(k)
+    k = k[order]
+    start = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+    return k[start], np.add.reduceat(c[order], start, dtype=np.int64)
+
+
+def runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of equal neighbours."""
+    if len(values):
+        first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))).tolist()
+        yield from zip(first, [*first[1:], len(values)], strict=True)
 
 
 def _counter(n_segments: int):
+    def packed(kind: int, key: np.ndarray, cnt: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = []
+        seg = segment_of(key, n_segments)
+        for x, y in runs(seg):
+            one = cnt[x:y] == 1
+            rows.append((kind, int(seg[x]), pack(kind, key[x:y][one]), pack(kind, key[x:y][~one]), cnt[x:y][~one].astype("<i8").tobytes()))
+        if rows:
+            types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            columns = [pa.array(x, type=t) for x, t in zip(zip(*rows, strict=True), types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "seg", "once", "keys", "counts"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {n: [] for n in range(1, ORDERS + 1)}
         for batch in batches:
             texts = batch.column("text")
             for begin, end in chunks(batch):
-                h, _ = tokens(texts.slice(begin, end - begin).to_pylist(), hashes)
-                parts = []
-                for kind, keys in ((0, h), (1, bigrams(h)[0])):
-                    key, cnt = np.unique(keys, return_counts=True)
-                    seg = segment_of(key, n_segments)
-                    first = np.flatnonzero(np.concatenate(([True], seg[1:] != seg[:-1])))
-                    for x, y in zip(first.tolist(), [*first[1:].tolist(), len(key)], strict=True):
-                        parts.append((kind, int(seg[x]), key[x:y].tobytes(), cnt[x:y].astype("<u4").tobytes()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, type=t) for x, t in zip(zip(*parts, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
-                    names=["kind", "seg", "keys", "counts"],
-                )
+                h, sizes = tokens(texts.slice(begin, end - begin).to_pylist(), hashes)
+                place = place_in_text(sizes)
+                for kind, keys in ngrams(h):
+                    key, cnt = np.unique(keys[whole(kind, place)], return_counts=True)
+                    often = cnt >= OFTEN
+                    yield from packed(kind, key[~often], cnt[~often])
+                    held[kind].append((key[often], cnt[often]))
+                    if sum(len(k) for k, _ in held[kind]) > HELD:
+                        key, cnt = combine(*zip(*held[kind], strict=True))
+                        held[kind] = [(key, cnt)]
+                        if len(key) > HELD // 2:
+                            yield from packed(kind, key, cnt)
+                            held[kind] = []
+        for kind, some in held.items():
+            if some:
+                yield from packed(kind, *combine(*zip(*some, strict=True)))
 
     return run
 
 
-def _segment(table: pa.Table) -> pa.Table:
-    kind, seg = table.column("kind")[0].as_py(), table.column("seg")[0].as_py()
-    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype="<u8")
-    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype="<u4")
-    order = np.argsort(keys)
-    keys = keys[order]
-    start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    counts = np.add.reduceat(counts[order], start, dtype=np.int64)
-    keys = keys[start]
-    bits = build_segment(keys, counts)
-    listed = len(keys) if kind == 0 else 0
-    return pa.table(
-        {
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by kind and segment; a segment's are combined as they come, so that repeats of a hot n-gram don't pile up."""
+    at, keys, counts, waiting = None, [], [], 0
+
+    def finish() -> pa.RecordBatch:
+        kind, seg = at
+        key, cnt = combine(keys, counts)
+        bits = build_segment(key, cnt)
+        listed = len(key) if kind == 1 else 0
+        columns = {
             "kind": pa.array(np.full(listed + 1, kind, np.int32)),
             "seg": pa.array(np.full(listed + 1, seg, np.int32)),
-            "key": pa.array(np.concatenate((keys[:listed].view(np.int64), [0]))),
-            "cnt": pa.array(np.concatenate((counts[:listed], [0])).astype(np.int64)),
+            "key": pa.array(np.concatenate((key[:listed].view(np.int64), [0]))),
+            "cnt": pa.array(np.concatenate((cnt[:listed], [0]))),
             "bits": pa.array([None] * listed + [bits], type=pa.binary()),
         }
-    )
+        return pa.RecordBatch.from_pydict(columns)
+
+    for batch in batches:
+        for kind, seg, once, more, n in zip(*(batch.column(c) for c in ("kind", "seg", "once", "keys", "counts")), strict=True):
+            here = (kind.as_py(), seg.as_py())
+            if here != at:
+                if at:
+                    yield finish()
+                at, keys, counts, waiting = here, [], [], 0
+            own = [unpack(at[0], once.as_py()), unpack(at[0], more.as_py())]
+            keys += own
+            counts += [np.ones(len(own[0]), np.int64), np.frombuffer(n.as_py(), "<i8")]
+            waiting += len(own[0]) + len(own[1])
+            if waiting > 2_000_000:
+                key, cnt = combine(keys, counts)
+                keys, counts, waiting = [key], [cnt], 0
+    if at:
+        yield finish()
 
 
 def _sized(docs: DataFrame, *more: Column) -> DataFrame:
@@ -210,14 +334,15 @@ def _sized(docs: DataFrame, *more: Column) -> DataFrame:
 def count(training: DataFrame, segment_tokens: int = 500_000) -> tuple[DataFrame, int]:
     """(table kind, seg, key, cnt, bits; number of segments) of training(text).
 
-    Unigrams (kind 0) are listed with their counts; each segment of either kind
+    Words (kind 1) are listed with their counts; each segment of every kind
     has one row more, with its part of the filter.
     """
     sized = _sized(training)
     size = sized.agg(F.sum(F.col("size") / 6 + 1)).first()[0] or 0
     n_segments = int(size // segment_tokens) + 1
     counted = sized.mapInArrow(_counter(n_segments), COUNTED)
-    return cut(counted.groupBy("kind", "seg").applyInArrow(_segment, BUILT), "ngrams"), n_segments
+    dealt = counted.repartition("kind", "seg").sortWithinPartitions("kind", "seg")
+    return cut(dealt.mapInArrow(_segments, BUILT), "ngrams"), n_segments
 
 
 def frequent(unigrams: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -265,8 +390,129 @@ def load_blocks(built: DataFrame, kind: int, block_bytes: int) -> list[tuple[int
 SCORED = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<long>"
 
 
+def scored(chunk: Chunk, level: dict[int, np.ndarray], ids: pa.Array, held: pa.Array, serial: int, known: tuple, n: int, v: int) -> pa.RecordBatch:
+    """A row for each text of a chunk; words that are not in the table of frequent ones are listed as rare."""
+    keys, counts = known
+    own, inverse, starts = chunk.keys[1], chunk.inverse[1][:-1], chunk.starts
+    at = np.minimum(np.searchsorted(keys, own), max(0, len(keys) - 1))
+    common = keys[at] == own if len(keys) else np.zeros(len(own), bool)
+    base = np.zeros(len(own))
+    base[common] = np.log10(counts[at[common]] + 0.5)
+    rest = np.add.reduceat((~common[inverse]).astype(np.int64), starts)
+    rare = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(rest))).astype(np.int32), pa.array(chunk.h[~common[inverse]].view(np.int64)))
+    columns = {
+        "rid": pa.array(np.arange(serial, serial + len(starts))),
+        "doc_id": ids,
+        "held_out": held,
+        "n_tokens": pa.array(chunk.sizes),
+        "n_known": pa.array(chunk.sizes - rest),
+        "base": pa.array(np.add.reduceat(base[inverse], starts)),
+        "score": pa.array(chunk.scores(level, n, v)),
+        "rare": rare,
+    }
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def read_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk, pa.Array, pa.Array]]:
+    """(number of the first row, chunk, ids, held-out flags); row numbers are unique over all tasks."""
+    hashes, serial = WordHashes(), TaskContext.get().partitionId() << 33
+    for batch in batches:
+        for begin, end in chunks(batch):
+            chunk = Chunk(*tokens(batch.column("text").slice(begin, end - begin).to_pylist(), hashes))
+            yield serial, chunk, batch.column("doc_id").slice(begin, end - begin), batch.column("held_out").slice(begin, end - begin)
+            serial += end - begin
+
+
+def score_by_broadcast(sized: DataFrame, model: Model, known, n: int, v: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for serial, chunk, ids, held in read_chunks(batches):
+            yield scored(chunk, model.levels(chunk), ids, held, serial, known.value, n, v)
+
+    return sized.mapInArrow(run, SCORED)
+
+
+ASKED = "serial long, kind int, block int, data binary, ids array<long>, held array<boolean>, sizes array<long>"
+
+
+def score_by_shuffle(sized: DataFrame, built: DataFrame, n_segments: int, width: dict[int, int], known, n: int, v: int) -> DataFrame:
+    """Send each chunk's distinct n-grams to the blocks of ``width`` segments that they are in, and the levels back.
+
+    Answers carry no keys: a chunk's keys are sorted, so the levels of its
+    blocks, in order of block, are those of its keys. Chunks are kept as token
+    hashes in between. Blocks and chunks stream through their tasks.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for serial, chunk, ids, held in read_chunks(batches):
+            rows = [(serial, 0, 0, chunk.h.tobytes(), ids.to_pylist(), held.to_pylist(), chunk.sizes.tolist())]
+            for kind, keys in chunk.keys.items():
+                block = segment_of(keys, n_segments) // width[kind]
+                rows += [(serial, kind, int(block[x]), keys[x:y].tobytes(), None, None, None) for x, y in runs(block)]
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()))
+            columns = [pa.array(x, type=t) for x, t in zip(zip(*rows, strict=True), types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["serial", "kind", "block", "data", "ids", "held", "sizes"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, filter_, first, segments = None, None, 0, {}
+        for batch in batches:
+            for kind, block, serial, seg, data in zip(*(batch.column(c) for c in ("kind", "block", "serial", "seg", "data")), strict=True):
+                here = (kind.as_py(), block.as_py())
+                if here != at:
+                    at, filter_, segments, first = here, None, {}, here[1] * width[here[0]]
+                if not serial.is_valid:
+                    segments[seg.as_py()] = data.as_py()
+                    continue
+                if filter_ is None:
+                    filter_ = Filter(first, [segments.get(s, bytes(8)) for s in range(first, first + width[at[0]])])
+                    segments = {}
+                keys = np.frombuffer(data.as_py(), dtype="<u8")
+                found = filter_.probe(keys, segment_of(keys, n_segments))
+                columns = ([serial.as_py()], [at[0]], [at[1]], [found.tobytes()])
+                types = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(columns, types, strict=True)], names=["serial", "kind", "block", "data"])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, ids, held, serial, level = None, None, None, None, {}
+
+        def finish() -> pa.RecordBatch:
+            found = {kind: np.frombuffer(b"".join(level.get(kind, [])), dtype=np.uint8) for kind in chunk.keys}
+            return scored(chunk, found, ids, held, serial, known.value, n, v)
+
+        for batch in batches:
+            for i, kind in enumerate(batch.column("kind").to_pylist()):
+                data = batch.column("data")[i].as_py()
+                if kind:
+                    level.setdefault(kind, []).append(data)
+                    continue
+                if chunk:
+                    yield finish()
+                chunk = Chunk(np.frombuffer(data, dtype="<u8"), np.array(batch.column("sizes")[i].as_py(), dtype=np.int64))
+                serial, level = batch.column("serial")[i].as_py(), {}
+                ids, held = pa.array(batch.column("ids")[i].as_py(), pa.int64()), pa.array(batch.column("held")[i].as_py(), pa.bool_())
+        if chunk:
+            yield finish()
+
+    asked = cut(sized.mapInArrow(ask, ASKED), "lm-chunks")
+    wide = F.create_map(*[F.lit(x) for pair_ in width.items() for x in pair_])
+    none = F.lit(None)
+    parts = built.filter("bits is not null").select(
+        "kind", F.floor(F.col("seg") / wide[F.col("kind")]).cast("int").alias("block"), none.cast("long").alias("serial"), "seg", F.col("bits").alias("data")
+    )
+    probes = asked.filter("kind > 0").select("kind", "block", "serial", none.cast("int").alias("seg"), "data")
+    met = parts.unionByName(probes).repartition("kind", "block").sortWithinPartitions("kind", "block", F.asc_nulls_first("serial"), "seg")
+    answers = cut(met.mapInArrow(answer, "serial long, kind int, block int, data binary"), "lm-levels")
+    both = asked.filter("kind = 0").unionByName(answers, allowMissingColumns=True)
+    return both.repartition("serial").sortWithinPartitions("serial", "kind", "block").mapInArrow(score, SCORED)
+
+
 def score_texts(
-    docs: DataFrame, training: Column, held_out: Column, frequent_words: int = 1 << 19, block_bytes: int = 1 << 25, hold_bytes: int = 1 << 27
+    docs: DataFrame,
+    training: Column,
+    held_out: Column,
+    frequent_words: int = 1 << 19,
+    block_bytes: int = 1 << 25,
+    hold_bytes: int = 1 << 26,
+    broadcast_bytes: int = 1 << 30,
 ) -> DataFrame:
     """Score every text of docs(doc_id, text) by a model of the rows where ``training`` holds.
 
@@ -278,53 +524,25 @@ def score_texts(
     """
     spark = docs.sparkSession
     built, n_segments = count(docs.filter(training).select("text"))
-    unigrams = built.filter((F.col("kind") == 0) & F.col("bits").isNull()).select("key", "cnt")
+    unigrams = built.filter((F.col("kind") == 1) & F.col("bits").isNull()).select("key", "cnt")
     totals = unigrams.agg(F.coalesce(F.sum("cnt"), F.lit(0)), F.count("*")).first()
     n, v = int(totals[0]), int(totals[1])
-    size = built.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0]
-    blocks = {kind: load_blocks(built, kind, block_bytes) for kind in (0, 1)}
-    model = Model(blocks, n_segments, n, v, size <= hold_bytes)
+    sizes = {r["kind"]: r["size"] for r in built.filter("bits is not null").groupBy("kind").agg(F.sum(F.length("bits")).alias("size")).collect()}
     known = spark.sparkContext.broadcast(frequent(unigrams, frequent_words))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, serial = WordHashes(), TaskContext.get().partitionId() << 33
-        keys, counts = known.value
-        for batch in batches:
-            texts, ids, held = batch.column("text"), batch.column("doc_id"), batch.column("held_out")
-            for begin, end in chunks(batch):
-                rows = end - begin
-                h, sizes = tokens(texts.slice(begin, rows).to_pylist(), hashes)
-                starts = np.cumsum(sizes) - sizes
-                score = np.add.reduceat(model.log_probabilities(h), starts)
-                at = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
-                common = keys[at] == h if len(keys) else np.zeros(len(h), bool)
-                base = np.zeros(len(h))
-                base[common] = np.log10(counts[at[common]] + 0.5)
-                rest = np.add.reduceat((~common).astype(np.int64), starts)
-                rare = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(rest))).astype(np.int32), pa.array(h[~common].view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(serial, serial + rows)),
-                        ids.slice(begin, rows),
-                        held.slice(begin, rows),
-                        pa.array(sizes),
-                        pa.array(sizes - rest),
-                        pa.array(np.add.reduceat(base, starts)),
-                        pa.array(score),
-                        rare,
-                    ],
-                    names=["rid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"],
-                )
-                serial += rows
-
     sized = _sized(docs, F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"))
-    scored = cut(sized.mapInArrow(run, SCORED), "scored")
-    found = scored.select("rid", F.explode("rare").alias("key")).join(unigrams, "key", "left")
+    if (total := sum(sizes.values())) <= broadcast_bytes:
+        blocks = {kind: load_blocks(built, kind, block_bytes) for kind in range(1, ORDERS + 1)}
+        made = score_by_broadcast(sized, Model(blocks, n_segments, total <= hold_bytes), known, n, v)
+    else:
+        width = {kind: max(1, block_bytes * n_segments // max(1, sizes.get(kind, 1))) for kind in range(1, ORDERS + 1)}
+        made = score_by_shuffle(sized, built, n_segments, {k: min(w, n_segments) for k, w in width.items()}, known, n, v)
+    made = cut(made, "scored")
+    found = made.select("rid", F.explode("rare").alias("key")).join(unigrams, "key", "left")
     extra = found.groupBy("rid").agg(
         F.sum(F.log10(F.coalesce(F.col("cnt"), F.lit(0)) + 0.5)).alias("more"), F.count("cnt").alias("known")
     )
     floor = float(np.log10(n + 0.5 * (v + 1)))
-    return scored.drop("rare").join(extra, "rid", "left").select(
+    return made.drop("rare").join(extra, "rid", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
