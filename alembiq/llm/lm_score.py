@@ -47,8 +47,9 @@ ORDERS = 4
 PRIORS = {2: 100.0, 3: 10.0, 4: 1.0}
 BITS_PER_ENTRY, PROBES = 8, 3
 HALF = np.uint64(32)
-LOW48 = np.uint64((1 << 48) - 1)
-CHUNK = 1_000_000
+KEY_BYTES = 5
+LOW = np.uint64((1 << 8 * KEY_BYTES) - 1)
+CHUNK = 600_000
 OFTEN, HELD = 4, 500_000
 #: The least count of each level, from level 1 on, and the mean count of each level, from level 0 on.
 STARTS = np.array(sorted({1 << k for k in range(62)} | {3 << k for k in range(60)}), dtype=np.int64)
@@ -109,8 +110,8 @@ def segment_of(keys: np.ndarray, n_segments: int) -> np.ndarray:
 
 
 def _places(keys: np.ndarray, level: int, bits: np.ndarray) -> Iterator[np.ndarray]:
-    """Bit numbers below ``bits`` (less than 2**32) of a key's low 48 bits at a level, one array for each probe."""
-    g = mix((keys & LOW48) + np.uint64(level * int(C1) & (1 << 64) - 1))
+    """Bit numbers below ``bits`` (less than 2**32) of a key's low bits at a level, one array for each probe."""
+    g = mix((keys & LOW) + np.uint64(level * int(C1) & (1 << 64) - 1))
     step = g * C2
     for k in range(PROBES):
         yield (((g + step * np.uint64(k)) >> HALF) * bits >> HALF).astype(np.int64)
@@ -220,17 +221,17 @@ class Model:
 
 
 def pack(kind: int, keys: np.ndarray) -> bytes:
-    """Keys as bytes: whole for words, whose counts are exact; the low 48 bits of longer n-grams."""
+    """Keys as bytes: whole for words, whose counts are exact; the low 40 bits of longer n-grams, which hardly ever agree within a segment."""
     raw = keys.astype("<u8").view(np.uint8).reshape(-1, 8)
-    return (raw if kind == 1 else raw[:, :6]).tobytes()
+    return (raw if kind == 1 else raw[:, :KEY_BYTES]).tobytes()
 
 
 def unpack(kind: int, data: bytes) -> np.ndarray:
     if kind == 1:
         return np.frombuffer(data, dtype="<u8")
-    raw = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    raw = np.frombuffer(data, dtype=np.uint8).reshape(-1, KEY_BYTES)
     out = np.zeros((len(raw), 8), dtype=np.uint8)
-    out[:, :6] = raw
+    out[:, :KEY_BYTES] = raw
     return out.reshape(-1).view("<u8")
 
 
@@ -319,7 +320,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys += own
             counts += [np.ones(len(own[0]), np.int64), np.frombuffer(n.as_py(), "<i8")]
             waiting += len(own[0]) + len(own[1])
-            if waiting > 2_000_000:
+            if waiting > 1_000_000:
                 key, cnt = combine(keys, counts)
                 keys, counts, waiting = [key], [cnt], 0
     if at:
