@@ -190,18 +190,72 @@ def test_language_id(spark):
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
-def test_language_rejection_is_calibrated():
-    def counts(text):
-        c, _ = langid.features(text)
-        at = np.flatnonzero(c)
-        return at, c[at]
-
-    rows = [(*counts(prose(i, 60, EN if i % 2 else DE)), "en" if i % 2 else "de") for i in range(200)]
-    model = langid.train(rows)
-    tops = sorted(model.scores(langid.features(prose(i, 60, EN if i % 2 else DE))[0]).max() for i in range(0, 200, 5))
-    assert model.reject_below == pytest.approx(np.quantile(tops, 0.001), abs=1e-4) and model.reject_below > 0.5
-    unknown = model.scores(langid.features("Это русский текст о погоде и о море")[0]).max()
-    assert 0.5 <= unknown < model.reject_below
+def brute_language(model, text):
+    """Averaged n-gram rows of the folded table and a softmax, n-gram by n-gram."""
+    norm = " " + " ".join("".join(ch if ch.isalpha() else " " for ch in text.lower()).split(" ")) + " "
+    norm = re.sub(" +", " ", norm)
+    total, known, n = np.zeros(len(model.languages) + 1), np.zeros(len(model.languages)), 0
+    for k in langid.ORDERS:
+        for i in range(len(norm) - k + 1):
+            h = 0
+            for ch in norm[i : i + k]:
+                h = (h * 0x01000193 + ord(ch)) % 2**32
+            slot = (h + k) * 0x9E3779B1 % 2**32 >> 32 - langid.BITS
+            total, known, n = total + model.table[slot], known + model.known[slot], n + 1
+    z = (total / n + model.bias) / model.temperature
+    e = np.exp(z - z.max())
+    return e / e.sum(), known / n
+
+
+ITALIAN = "Questa è una storia della città e del fiume che molti hanno raccontato quando era stata costruita"
+DUTCH = "Dit is een verhaal van de stad en de rivier dat door veel mensen is verteld toen het gebouwd werd"
+NOISE = "xq zvk wpl mnb trq ghh kjl zzx qwe rtp lkj hgf bvc nmz xdf wqp"
+STRANGE = (ITALIAN, DUTCH, NOISE, ITALIAN[:40], "Это русский текст о погоде и о море", "这是一个关于城市的故事")
+
+
+def test_language_model_is_that_of_brute_force(spark):
+    texts = [prose(i, 40, EN if i % 2 else DE) for i in range(200)]
+    docs = frame(spark, texts, langs=["en" if i % 2 else "de" for i in range(200)])
+    model = langid.fit(docs)
+    for text in (*texts[:4], "Über  123 the, ß", "x", ITALIAN):
+        p, fits = model.scores(langid.features(text)[0])
+        want, known = brute_language(model, text)
+        assert p == pytest.approx(want, abs=1e-4) and fits == pytest.approx(known, rel=1e-4)
+
+
+def test_language_rejection(spark):
+    right = [prose(i, 5 + i % 60, EN if i % 2 else DE) for i in range(600)]
+    langs = ["en" if i % 2 else "de" for i in range(600)]
+    texts = [*right, *STRANGE]
+    got = langid.identify(frame(spark, texts, langs=langs + [None] * len(STRANGE))).collect()
+    rejected = {r.doc_id for r in got if r.rejected}
+    assert set(range(600, len(texts))) <= rejected
+    assert len(rejected) - len(STRANGE) < 0.01 * 600
+    assert langid.keep_identified(frame(spark, texts, langs=langs + [None] * len(STRANGE))).count() == len(texts) - len(rejected)
+
+
+def test_language_sample(spark):
+    n = 400
+    texts = [prose(i, 30, EN if i % 2 else DE) for i in range(n)] + [f"ñandú qué señor mañana {i} año" for i in range(3)]
+    langs = ["en" if i % 2 else "de" for i in range(n)] + ["es"] * 3
+    # null ids, more rows than the sample: thinned by their texts; the rare label is learned
+    docs = frame(spark, texts, [None] * (n + 3), langs)
+    got = langid.identify(docs, sample_rows=60).collect()
+    assert sum(r.lang_pred == x for r, x in zip(got, langs, strict=True)) > 0.9 * n
+    assert {r.lang_pred for r in got} == {"en", "de", "es"}
+    made = langid.sample(docs, 60)
+    assert {r["lang"]: r["count"] for r in made.groupBy("lang").count().collect()} == {"en": 20, "de": 20, "es": 3}
+    # copies of one text are one row of the sample
+    assert langid.sample(frame(spark, texts[:1] * 50 + texts[1:4], [None] * 53, langs[:1] * 50 + langs[1:4]), 1000).count() == 4
+
+
+def test_language_thresholds_cost_least():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        right, wrong = rng.random(rng.integers(1, 40)).round(2), rng.random(rng.integers(1, 40)).round(2)
+        cost = lambda t: langid.KEEP * (right < t).mean() + (wrong >= t).mean()
+        assert cost(langid.least_cost(right, wrong)) <= min(map(cost, [*right, *wrong])) + 1e-9
+    assert langid.least_cost(np.array([0.5]), np.array([])) == -np.inf
 
 
 def brute_secrets(text):
@@ -472,7 +526,7 @@ def test_lm_scores_tell_doubles_apart(spark):
 
 
 def test_hot_ngrams_are_combined_as_they_stream():
-    keys = np.arange(1, 400, dtype=np.uint64) << np.uint64(40)
+    keys = np.arange(1, 400, dtype=np.uint64) << np.uint64(30)
     rows = [(1, 0, lm_score.pack(1, keys[i % 7 :: 7]), lm_score.pack(1, keys[:3]), np.array([5, 6, 7], "<i8").tobytes()) for i in range(70)]
     import pyarrow as pa
 
@@ -480,7 +534,7 @@ def test_hot_ngrams_are_combined_as_they_stream():
     (made,) = lm_score._segments(iter([batch.slice(0, 30), batch.slice(30)]))
     got = {np.uint64(k): n for k, n in zip(made["key"].to_pylist(), made["cnt"].to_pylist(), strict=True) if k}
     assert got == {k: 10 + (70 * (5 + i) if i < 3 else 0) for i, k in enumerate(keys)}
-    assert (lm_score.unpack(2, lm_score.pack(2, keys)) == keys & lm_score.LOW48).all()
+    assert (lm_score.unpack(2, lm_score.pack(2, keys)) == keys & lm_score.LOW).all()
 
 
 @pytest.mark.filterwarnings("error")
