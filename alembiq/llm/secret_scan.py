@@ -1,28 +1,29 @@
-"""Secret scan through a trigram inverted index, in DataFrame functions only.
+"""Secret scan through a trigram index, in DataFrame functions only.
 
 Each rule is a regular expression. From its parse tree a Boolean query over
 trigrams is derived: an OR of ANDs of trigrams (in lower case) that every match
-must contain. The postings (trigram, document) of the trigrams that queries ask
-for are built in one pass, intersected by counting per document and clause, and
-only the candidates of a rule are verified with its expression. A rule without
+must contain. The index holds the postings of the trigrams that queries ask for,
+document by document: a bit for each trigram that the document contains. A
+clause is met where the intersection with its own bits leaves them all, and only
+the candidates of a rule are verified with its expression. A rule without
 mandatory trigrams is verified on every text.
 
-Postings and candidates are small rows of longs; they are combined map-side
-before they are shuffled, and one document's postings never exceed the number
-of trigrams asked for. The join with the texts is an ordinary one that AQE may
-broadcast or split.
+Postings are built and intersected beside the text they belong to. Listed by
+trigram they would have to be shuffled, and the texts of all candidates, or all
+texts, after them; here nothing moves.
 """
 
 from __future__ import annotations
 
 import re._parser as sre
 from dataclasses import dataclass
+from functools import reduce
 from re import _constants as K
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import row_key, text_or_empty
+from .util import text_or_empty
 
 
 @dataclass(frozen=True)
@@ -135,38 +136,30 @@ def trigram_query(pattern: str) -> frozenset:
     return query
 
 
-def postings(docs: DataFrame, trigrams: list[str], text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The inverted index: (tri, did, th), tri the trigram's place in ``trigrams``."""
-    low = docs.select(*row_key(id_col, text_col), F.lower(text_or_empty(text_col)).alias("low"))
-    has = F.array(*[F.when(F.contains(F.col("low"), F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams)])
-    return low.select("did", "th", F.explode(F.array_compact(has)).alias("tri"))
+def postings(low: Column, trigrams: list[str]) -> list[Column]:
+    """A text's postings: bit i % 63 of the (i // 63)th long says whether the lower-case text contains trigram i."""
+    has = [F.when(F.contains(low, F.lit(t)), F.lit(1 << i % 63)).otherwise(F.lit(0)).cast("long") for i, t in enumerate(trigrams)]
+    return [reduce(Column.bitwiseOR, has[i : i + 63]) for i in range(0, len(has), 63)]
 
 
-def candidates(index: DataFrame, queries: dict[int, frozenset], trigrams: list[str]) -> DataFrame:
-    """(did, th, mask): documents whose postings satisfy rule i's query have bit i."""
+def meets(held: list[Column], query: frozenset, trigrams: list[str]) -> Column:
+    """Whether postings satisfy a query: all bits of some clause are set."""
     place = {t: i for i, t in enumerate(trigrams)}
-    # A clause of more than 63 trigrams asks for its first 63 only, which admits more candidates.
-    rows = [
-        (r, c, place[t], k, min(63, len(clause)))
-        for r, q in queries.items()
-        for c, clause in enumerate(sorted(q, key=sorted))
-        for k, t in enumerate(sorted(clause)[:63])
-    ]
-    asked = index.sparkSession.createDataFrame(rows, "rule int, clause int, tri int, pos int, need int")
-    met = (
-        index.join(F.broadcast(asked), "tri")
-        .groupBy("did", "th", "rule", "clause", "need")
-        .agg(F.bit_or(F.expr("shiftleft(1L, pos)")).alias("seen"))
-        .filter(F.bit_count("seen") == F.col("need"))
-    )
-    return met.groupBy("did", "th").agg(F.bit_or(F.expr("shiftleft(1L, rule)")).alias("mask"))
+
+    def clause(wanted: frozenset) -> Column:
+        bits: dict[int, int] = {}
+        for t in wanted:
+            bits[place[t] // 63] = bits.get(place[t] // 63, 0) | 1 << place[t] % 63
+        return reduce(Column.__and__, [held[k].bitwiseAND(F.lit(m).cast("long")) == F.lit(m) for k, m in sorted(bits.items())])
+
+    return reduce(Column.__or__, [clause(c) for c in sorted(query, key=sorted)])
 
 
 def spans(text: Column, rule: Rule, index: int) -> Column:
     """array<struct<s, r, e>>: leftmost non-overlapping matches in code points, failing ones left out."""
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     between = F.split(text, rule.pattern, -1)
-    value = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
+    value = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else found
     # the text between matches and the matches, measured; a fold gives the offsets
     sizes = F.zip_with(
         F.slice(between, 1, F.size(found)),
@@ -195,22 +188,19 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str = "
     """
     queries = {i: q for i, r in enumerate(rules) if (q := trigram_query(r.pattern)) and frozenset() not in q}
     trigrams = sorted({t for q in queries.values() for clause in q for t in clause})
-    if len(rules) > 63:
-        raise ValueError("more than 63 rules: give them in several calls")
-    base = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    # Each step reads columns of the one before, so that no text is lower-cased or looked through twice.
+    texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+    lowered = texts.withColumn("low", F.lower("text"))
+    longs = postings(F.col("low"), trigrams)
+    held = [F.col(f"postings_{k}") for k in range(len(longs))]
+    index = lowered.select("doc_id", "text", *[x.alias(f"postings_{k}") for k, x in enumerate(longs)])
     none = F.array().cast("array<struct<s:int,r:int,e:int>>")
-    if queries:
-        found = candidates(postings(base, trigrams), queries, trigrams)
-        keyed = base.select("doc_id", "text", *row_key())
-        base = keyed.join(found, ["did", "th"], "left").select("doc_id", "text", F.coalesce("mask", F.lit(0).cast("long")).alias("mask"))
-    else:
-        base = base.withColumn("mask", F.lit(0).cast("long"))
-    text = F.col("text")
-    each = []
+    text, each = F.col("text"), []
     for i, rule in enumerate(rules):
-        open_ = F.getbit(F.col("mask"), F.lit(i)) == 1 if i in queries else F.lit(True)
-        each.append(F.when(open_ & F.regexp_like(text, F.lit(rule.pattern)), spans(text, rule, i)).otherwise(none))
-    return base.select("doc_id", F.array_sort(F.concat(*each)).alias("spans"))
+        matches = F.regexp_like(text, F.lit(rule.pattern))
+        wanted = meets(held, queries[i], trigrams) & matches if i in queries else matches
+        each.append(F.when(wanted, spans(text, rule, i)).otherwise(none))
+    return index.select("doc_id", F.array_sort(F.concat(*each)).alias("spans"))
 
 
 def digest(found: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, base: int = len(BASE)) -> DataFrame:
