@@ -5,21 +5,25 @@ the benchmark's word numbers; places where two neighbouring words are not
 neighbours anywhere in the benchmark can't lie inside a window, so the text is
 broken there and pieces shorter than the shortest window are left out. The rest
 is indexed: suffix order by doubling, the Burrows-Wheeler transform in a
-wavelet matrix, and every eighth suffix position sampled. All windows are
-searched backward through the wavelet ranks at once; their occurrences are
+wavelet matrix, and every eighth suffix position sampled. The windows whose last
+two words are neighbours somewhere in the shard (no others can occur) are
+searched backward through the wavelet ranks together; their occurrences are
 located by walking to a sampled position and merged into spans of words.
+
+The benchmark comes in blocks of bounded size, coded in arrays. Each is broadcast;
+a worker holds all of them up to ``HOLD_CHARS`` characters of benchmark and
+otherwise reads one at a time for each shard.
 """
 
 from __future__ import annotations
 
-import hashlib
 import sys
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +34,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: ASCII letters in lower case; other ASCII except digits is a space; bytes from 0x80 on belong to words.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 SAMPLE = 8
+BLOCK_CHARS, HOLD_CHARS = 1 << 22, 1 << 25
+#: Windows searched at once.
+STEP = 1 << 16
 
 
 def words(text: str | None) -> list[bytes]:
@@ -37,28 +44,71 @@ def words(text: str | None) -> list[bytes]:
 
 
 class Windows:
-    """The benchmark's windows: runs of ``size`` words of an item, or the whole of a shorter item."""
+    """The windows of some items, in arrays: runs of ``size`` words of an item, or the whole of a shorter item.
+
+    ``words`` holds the items' word numbers one after the other; a window is its
+    start in there and its length. Equal windows are one; ``owner`` lists the
+    items of each, from ``owners[i]`` to ``owners[i + 1]``. ``by_tail`` lists
+    the windows in order of their last two words, ``tails``.
+    """
 
-    def __init__(self, items: list[tuple], size: int = 13):
+    def __init__(self, items: list[tuple[object, list[bytes]]], size: int = 13):
         self.vocab: dict[bytes, int] = {}
-        self.shortest = size
-        seen: dict[tuple[int, ...], set] = {}
-        edges: set[tuple[int, int]] = set()
-        for item, text in items:
-            ids = [self.vocab.setdefault(w, len(self.vocab)) for w in words(text)]
-            if not ids:
+        self.size = size
+        self.names: list[str | None] = []
+        parts, starts, lengths, owners, at = [], [], [], [], 0
+        for item, found in items:
+            ids = np.array([self.vocab.setdefault(w, len(self.vocab)) for w in found], dtype=np.int32)
+            if not len(ids):
                 continue
             n = min(size, len(ids))
-            self.shortest = min(self.shortest, n)
-            edges.update(zip(ids, ids[1:], strict=False))
-            for i in range(len(ids) - n + 1):
-                seen.setdefault(tuple(ids[i : i + n]), set()).add(str(item))
-        self.items = list(seen.values())
-        self.length = np.array([len(w) for w in seen], dtype=np.int64)
-        self.table = np.full((len(seen), size), -1, dtype=np.int64)  # last word first
-        for i, w in enumerate(seen):
-            self.table[i, : len(w)] = w[::-1]
-        self.edges = np.array(sorted((a << 32) | b for a, b in edges), dtype=np.int64)
+            many = len(ids) - n + 1
+            parts.append(ids)
+            starts.append(np.arange(at, at + many))
+            lengths.append(np.full(many, n))
+            owners.append(np.full(many, len(self.names)))
+            self.names.append(None if item is None else str(item))
+            at += len(ids)
+        join = lambda xs: np.concatenate(xs).astype(np.int32) if xs else np.zeros(0, np.int32)
+        self.words, start, length, owner = join(parts), join(starts), join(lengths), join(owners)
+        self.shortest = int(length.min(initial=size))
+        item_of = np.repeat(np.arange(len(parts)), [len(x) for x in parts]) if parts else np.zeros(0, np.int64)
+        inner = item_of[1:] == item_of[:-1]
+        self.edges = np.unique((self.words[:-1].astype(np.int64) << 32 | self.words[1:])[inner])
+        # the windows' words from the last one backwards, to find equal ones
+        table = np.full((len(start), size), -1, dtype=np.int32)
+        for k in range(size):
+            some = length > k
+            table[some, k] = self.words[start[some] + length[some] - 1 - k]
+        order = np.lexsort(table.T) if len(table) else np.zeros(0, np.int64)
+        table = table[order]
+        first = np.ones(len(table), dtype=bool)
+        first[1:] = (table[1:] != table[:-1]).any(axis=1)
+        self.start, self.length = start[order][first], length[order][first]
+        both = np.unique((np.cumsum(first) - 1) << 32 | owner[order])
+        self.owner = (both & 0xFFFFFFFF).astype(np.int32)
+        self.owners = np.searchsorted(both >> 32, np.arange(len(self.start) + 1)).astype(np.int32)
+        last, before = table[first][:, 0].astype(np.int64), table[first][:, min(1, size - 1)].astype(np.int64)
+        tail = np.where(self.length > 1, before << 32 | last, -1 - last)
+        self.by_tail = np.argsort(tail, kind="stable").astype(np.int32)
+        self.tails = tail[self.by_tail]
+
+    def backwards(self, some: np.ndarray) -> np.ndarray:
+        """The word numbers of windows ``some`` from the last one to the first, -1 beyond."""
+        back = np.arange(self.size)
+        start, length = self.start[some][:, None], self.length[some][:, None]
+        return np.where(back < length, self.words[np.maximum(start + length - 1 - back, 0)], -1)
+
+    def possible(self, edges: np.ndarray, single: np.ndarray) -> np.ndarray:
+        """Windows whose last two words are among ``edges``, or whose only word is among ``single``."""
+        wanted = np.concatenate((edges, -1 - np.unique(single))) if self.shortest == 1 else edges
+        begin, end = np.searchsorted(self.tails, wanted), np.searchsorted(self.tails, wanted, side="right")
+        number = end - begin
+        return self.by_tail[np.arange(number.sum()) - np.repeat(np.cumsum(number) - number - begin, number)]
+
+    def items(self, window: int) -> list[str]:
+        """The items of a window that have an id."""
+        return [x for i in self.owner[self.owners[window] : self.owners[window + 1]].tolist() if (x := self.names[i]) is not None]
 
 
 def _ranks(text: np.ndarray) -> np.ndarray:
@@ -146,22 +196,30 @@ class FMIndex:
         return self.sampled[self.marks[rows]] + steps
 
 
-def scan(texts: list[str | None], windows: Windows) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
-    """For each text of a shard: its number of words, its merged hit spans (word numbers, end exclusive), its items."""
-    counts, rows = [], []
+def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Their union: sorted, none touching the next."""
+    out: list[tuple[int, int]] = []
+    for begin, end in sorted(spans):
+        if out and begin <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((begin, end))
+    return out
+
+
+def scan(texts: list[list[bytes]], windows: Windows) -> list[tuple[list[tuple[int, int]], set[str]]]:
+    """For the words of each text of a shard: its merged hit spans (word numbers, end exclusive) and its items."""
     get = windows.vocab.get
-    for text in texts:
-        w = words(text)
-        counts.append(len(w))
-        rows.append(np.fromiter(map(get, w, repeat(-1)), dtype=np.int64, count=len(w)))
+    counts = [len(w) for w in texts]
     starts = np.concatenate(([0], np.cumsum(np.array(counts, dtype=np.int64)))).astype(np.int64)
-    out: list[tuple[int, list[tuple[int, int]], list[str]]] = [(n, [], []) for n in counts]
-    text = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    if not len(text) or not len(windows.table):
+    out: list[tuple[list[tuple[int, int]], set[str]]] = [([], set()) for _ in texts]
+    text = np.concatenate([np.fromiter(map(get, w, repeat(-1)), dtype=np.int64, count=len(w)) for w in texts]) if texts else np.zeros(0, np.int64)
+    if not len(text) or not len(windows.start):
         return out
     # joined[i]: words i and i+1 can lie in one window
     pair = (text[:-1] << 32) | text[1:]
     joined = (text[:-1] >= 0) & (text[1:] >= 0)
+    here = np.zeros(len(windows.edges), dtype=bool)
     if len(windows.edges):
         at = np.minimum(np.searchsorted(windows.edges, pair), len(windows.edges) - 1)
         joined &= windows.edges[at] == pair
@@ -169,6 +227,8 @@ def scan(texts: list[str | None], windows: Windows) -> list[tuple[int, list[tupl
         joined[:] = False
     inner = starts[1:-1]
     joined[inner[(inner > 0) & (inner < len(text))] - 1] = False
+    if len(here):
+        here[at[joined]] = True
     first = np.flatnonzero(np.concatenate(([True], ~joined)))
     last = np.append(first[1:], len(text))
     whole = (last - first >= windows.shortest) & (text[first] >= 0)
@@ -183,76 +243,91 @@ def scan(texts: list[str | None], windows: Windows) -> list[tuple[int, list[tupl
     inside = np.ones(len(symbols), dtype=bool)
     inside[ends - size] = False
     symbols[inside] = text[place[inside]] + 1
-    index = FMIndex(symbols)
-    low, high = index.search(np.where(windows.table >= 0, windows.table + 1, -1))
-    found = np.flatnonzero(high > low)
-    number = high[found] - low[found]
-    which = np.repeat(found, number)
-    at = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number) + np.repeat(low[found], number)
-    spot = place[index.locate(at)]
-    owner = np.searchsorted(starts, spot, side="right") - 1
-    order = np.lexsort((spot, owner))
-    for k in order.tolist():
-        d, begin = int(owner[k]), int(spot[k] - starts[owner[k]])
-        end = begin + int(windows.length[which[k]])
-        spans = out[d][1]
-        if spans and begin <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
-        else:
-            spans.append((begin, end))
-    for d, w in np.unique(np.stack((owner, which)), axis=1).T.tolist():
-        out[d][2].extend(windows.items[w])
-    return [(n, spans, sorted(set(items))) for n, spans, items in out]
+    possible = windows.possible(windows.edges[here], text[place[inside]])
+    index = FMIndex(symbols) if len(possible) else None
+    spans: list[list[tuple[int, int]]] = [[] for _ in texts]
+    for begin in range(0, len(possible), STEP):
+        asked = possible[begin : begin + STEP]
+        table = windows.backwards(asked)
+        low, high = index.search(np.where(table >= 0, table + 1, -1))
+        found = np.flatnonzero(high > low)
+        number = high[found] - low[found]
+        which = np.repeat(asked[found], number)
+        rows = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number - low[found], number)
+        spot = place[index.locate(rows)]
+        owner = np.searchsorted(starts, spot, side="right") - 1
+        begins = spot - starts[owner]
+        for d, x, y in zip(owner.tolist(), begins.tolist(), (begins + windows.length[which]).tolist(), strict=True):
+            spans[d].append((x, y))
+        for d, w in np.unique(np.stack((owner, which)), axis=1).T.tolist():
+            out[d][1].update(windows.items(w))
+    return [(merge(s), items) for s, (_, items) in zip(spans, out, strict=True)]
 
 
 ROW = "n_words long, spans array<array<long>>, items array<string>"
 
 
-def occurrences(text: Column, items: list[tuple], spark, size: int = 13, shard_words: int = 1 << 18) -> Column:
-    """struct(n_words, spans, items) of each text, by shards within the Arrow batch."""
-    held = share(spark, Windows(items, size))
+def occurrences(text: Column, blocks: list[Broadcast], hold: bool, shard_words: int = 1 << 18) -> Column:
+    """struct(n_words, spans, items) of each text over all blocks of the benchmark, by shards within the Arrow batch."""
+
+    def search(shard: list[str | None]) -> Iterator[tuple[int, list[list[int]], list[str]]]:
+        texts = [words(t) for t in shard]
+        spans: list[list[tuple[int, int]]] = [[] for _ in shard]
+        items: list[set[str]] = [set() for _ in shard]
+        for held in blocks:
+            for i, (some, names) in enumerate(scan(texts, shared(Windows, held))):
+                spans[i] += some
+                items[i] |= names
+            if not hold:
+                del held._value  # read again from the worker's disk for the next shard
+        for w, some, names in zip(texts, spans, items, strict=True):
+            yield len(w), [list(x) for x in merge(some)], sorted(names)
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        windows, rows = shared(Windows, held), []
-        shard: list = []
-        length = 0
+        rows, shard, length = [], [], 0
         for text in texts:
             shard.append(text)
             length += len(text or "") // 6
             if length >= shard_words:
-                rows += scan(shard, windows)
+                rows += search(shard)
                 shard, length = [], 0
-        rows += scan(shard, windows)
-        return pd.DataFrame([(n, [list(s) for s in spans], found) for n, spans, found in rows], columns=["n_words", "spans", "items"])
+        rows += search(shard)
+        return pd.DataFrame(rows, columns=["n_words", "spans", "items"])
 
     return F.pandas_udf(run, ROW)(text)
 
 
-def benchmark_blocks(benchmark: DataFrame, block_chars: int) -> list[list[tuple]]:
-    """The benchmark in blocks of about ``block_chars`` characters, streamed to the driver one partition at a time."""
-    out, size = [[]], 0
-    for row in benchmark.select("item_id", "text").toLocalIterator():
-        out[-1].append((row["item_id"], row["text"]))
-        size += len(row["text"] or "")
-        if size >= block_chars:
-            out.append([])
-            size = 0
-    return [b for b in out if b]
-
-
-def merged_spans(names: list[str]) -> Column:
-    """Union of the spans in the ``occurrences`` columns ``names``: sorted, none touching the next."""
-    spans = [F.col(f"`{n}`.spans") for n in names]
-    if len(spans) == 1:
-        return spans[0]
-    merge = lambda acc, x: F.when(
-        (F.size(acc) > 0) & (x[0] <= F.element_at(acc, -1)[1]),
-        F.concat(
-            F.slice(acc, 1, F.size(acc) - 1),
-            F.array(F.array(F.element_at(acc, -1)[0], F.greatest(F.element_at(acc, -1)[1], x[1]))),
-        ),
-    ).otherwise(F.concat(acc, F.array(x)))
-    return F.aggregate(F.array_sort(F.concat(*spans)), F.array().cast("array<array<bigint>>"), merge)
+def pieces(found: list[bytes], size: int, most: int) -> Iterator[list[bytes]]:
+    """An item's words, in runs of at most ``most`` that together have all its windows."""
+    step = max(1, most - size + 1)
+    for begin in range(0, max(1, len(found) - size + 1), step):
+        yield found[begin : begin + step + size - 1]
+
+
+def broadcast_blocks(benchmark: DataFrame, size: int, block_chars: int) -> tuple[list[Broadcast], int]:
+    """(the benchmark's windows in blocks of about ``block_chars`` characters, all its characters); the driver holds one block at a time.
+
+    Rows come one partition at a time. A longer item is cut into overlapping pieces.
+    """
+    out: list[Broadcast] = []
+    total, length, items = 0, 0, []
+
+    def close() -> None:
+        nonlocal length, items
+        if items:
+            out.append(share(benchmark.sparkSession, Windows(items, size)))
+        length, items = 0, []
+
+    for row in benchmark.select("item_id", F.col("text").cast("string").alias("text")).toLocalIterator():
+        for found in pieces(words(row["text"]), size, max(2 * size, block_chars // 4)):
+            items.append((row["item_id"], found))
+            length += sum(map(len, found)) + len(found)
+            total += length if length >= block_chars else 0
+            if length >= block_chars:
+                close()
+    total += length
+    close()
+    return out, total
 
 
 def covered(spans: Column) -> Column:
@@ -263,62 +338,41 @@ def is_contaminated(n_hit: Column, n_words: Column) -> Column:
     return (n_hit > 0) & (20 * n_hit >= n_words)
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_chars: int = 1 << 25) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_chars: int = BLOCK_CHARS, hold_chars: int = HOLD_CHARS) -> DataFrame:
     """Benchmark windows in every document.
 
     Returns one row per row of ``docs``: doc_id, n_words, n_hit (words inside
     any occurrence of a window), n_items, items (sorted as strings), spans
     ([begin, end) word numbers, merged), contaminated (n_hit > 0 and 20 n_hit
     >= n_words). Null and wordless texts have no words; null and wordless items
-    no windows; equal texts under two item_ids count as two items. Repeated
-    rows get equal results; other columns are not read; an empty benchmark
-    hits nothing. The benchmark is broadcast if it fits one block; a larger one
-    is searched block by block over the same rows. No shuffle.
+    no windows; equal texts under two item_ids count as two items. An item
+    whose item_id is null hits like any other but is not among the items.
+    Repeated rows get equal results; other columns are not read; an empty
+    benchmark hits nothing. No shuffle.
     """
-    spark = docs.sparkSession
-    base = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    blocks = benchmark_blocks(benchmark, block_chars) or [[]]
-    names = [f"o{i}" for i in range(len(blocks))]
-    for name, items in zip(names, blocks, strict=True):
-        base = base.withColumn(name, occurrences(F.col("text"), items, spark, size))
-    base = base.drop("text")
-    out = base.select(
-        "doc_id",
-        F.col("o0.n_words").alias("n_words"),
-        merged_spans(names).alias("spans"),
-        F.array_sort(F.array_distinct(F.concat(*[F.col(f"{n}.items") for n in names]))).alias("items"),
-    )
-    out = out.withColumns({"n_hit": covered(F.col("spans")), "n_items": F.size("items").cast("long")})
-    return out.select(
-        "doc_id",
-        "n_words",
-        "n_hit",
-        "n_items",
-        "items",
-        "spans",
-        is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    blocks, total = broadcast_blocks(benchmark, size, block_chars)
+    found = occurrences(F.col("text").cast("string"), blocks, total <= hold_chars)
+    spans = F.col("o.spans")
+    out = docs.select("doc_id", found.alias("o")).select(
+        "doc_id", "o.n_words", covered(spans).alias("n_hit"), F.size("o.items").cast("long").alias("n_items"), "o.items", "o.spans"
     )
+    return out.withColumn("contaminated", is_contaminated(F.col("n_hit"), F.col("n_words")))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_chars: int = 1 << 25) -> DataFrame:
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, size: int = 13, block_chars: int = BLOCK_CHARS, hold_chars: int = HOLD_CHARS
+) -> DataFrame:
     """``docs`` without contaminated rows, with all its columns.
 
     The hits of all blocks of the benchmark are merged before a document is
     judged. Null and wordless texts stay.
     """
-    blocks = benchmark_blocks(benchmark, block_chars) or [[]]
-    prefix = "_hits_" + "_".join(docs.columns)
-    names = [f"{prefix}_{i}" for i in range(len(blocks))]
-    found = docs
-    for name, items in zip(names, blocks, strict=True):
-        found = found.withColumn(name, occurrences(F.col("text").cast("string"), items, docs.sparkSession, size))
-    hit = covered(merged_spans(names))
-    return found.filter(~is_contaminated(hit, F.col(f"`{names[0]}`.n_words"))).drop(*names)
+    blocks, total = broadcast_blocks(benchmark, size, block_chars)
+    name = "_hits_" + "_".join(docs.columns)
+    found = docs.withColumn(name, occurrences(F.col("text").cast("string"), blocks, total <= hold_chars))
+    return found.filter(~is_contaminated(covered(F.col(f"`{name}`.spans")), F.col(f"`{name}`.n_words"))).drop(name)
 
 
 def items_digest(items: Column) -> Column:
     return F.sha2(F.array_join(items, ","), 256)
 
-
-def sha(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

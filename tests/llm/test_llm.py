@@ -406,22 +406,22 @@ def brute_hits(text, items):
         for i in range(len(w) - n + 1):
             if n and tuple(w[i : i + n]) in wins:
                 hit |= set(range(i, i + n))
-                found.add(str(item))
+                found |= {str(item)} if item is not None else set()
     return len(w), len(hit), sorted(found)
 
 
 def test_decontamination(spark, texts):
-    items = [(1, prose(0, 30)), (2, "short item here"), (3, None), (10, prose(7, 40)), (11, prose(7, 40)), (12, "!!"), (13, "the the the the")]
+    items = [(1, prose(0, 30)), (2, "short item here"), (3, None), (10, prose(7, 40)), (11, prose(7, 40)), (12, "!!"), (13, "the the the the"), (None, prose(3, 25)), (14, "tail")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     docs = frame(spark, texts + ["a SHORT, item; here short item here", "the " * 40, prose(7, 14)])
-    for block in (1 << 25, 50):
-        got = {r.doc_id: r for r in decontam.hits(docs, benchmark, block_chars=block).collect()}
+    for options in ({}, {"block_chars": 50}, {"block_chars": 50, "hold_chars": 0}):
+        got = {r.doc_id: r for r in decontam.hits(docs, benchmark, **options).collect()}
         for i, t in enumerate([r.text for r in docs.orderBy("doc_id").collect()]):
             n, hit, found = brute_hits(t, items)
             r = got[i]
             assert (r.n_words, r.n_hit, r.n_items, r["items"]) == (n, hit, len(found), found), t
             assert r.contaminated == (hit > 0 and 20 * hit >= n)
-    left = decontam.drop_contaminated(docs, benchmark)
+    left = decontam.drop_contaminated(docs.withColumn("o", F.lit(1)), benchmark).drop("o")
     clean = {i for i, r in got.items() if not r.contaminated}
     for block in (60, 1 << 25):
         kept = decontam.drop_contaminated(docs, benchmark, block_chars=block)
@@ -430,6 +430,27 @@ def test_decontamination(spark, texts):
     assert decontam.hits(docs, benchmark.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_windows_of_cut_items_and_few_shard_words(monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(decontam, "STEP", 5)
+    for _ in range(40):
+        items = [(k, " ".join(rng.choices("abcd", k=rng.randrange(0, 30)))) for k in range(rng.randrange(1, 6))]
+        cut = [(k, p) for k, t in items for p in decontam.pieces(decontam.words(t), 4, 9)]
+        windows = decontam.Windows(cut, 4)
+        texts = [" ".join(rng.choices("abcde", k=rng.randrange(0, 60))) for _ in range(5)]
+        for text, (spans, found) in zip(texts, decontam.scan([decontam.words(t) for t in texts], windows), strict=True):
+            w, hit, names = text.split(), set(), set()
+            for k, t in items:
+                x = t.split()
+                n = min(4, len(x))
+                wins = {tuple(x[i : i + n]) for i in range(len(x) - n + 1)} if n else set()
+                for i in range(len(w) - n + 1):
+                    if n and tuple(w[i : i + n]) in wins:
+                        hit |= set(range(i, i + n))
+                        names.add(str(k))
+            assert {i for a, b in spans for i in range(a, b)} == hit and found == names
+
+
 def test_fm_index_random():
     rng = np.random.default_rng(3)
     for n in (1, 2, 50, 400):
