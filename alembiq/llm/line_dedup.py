@@ -31,6 +31,11 @@ from .util import cut, row_key, text_or_empty
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: White space around a line that does not count.
+BLANKS = " \t\r\x0b\x0c"
+#: Pairs of one earlier document that one task aligns.
+PAIRS = 4096
+
 
 def _anchors(a: list[int], b: list[int], a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
     """Lines that occur once in each range, as a longest run increasing on both sides."""
@@ -180,21 +185,37 @@ def first_pairs(shared: DataFrame, rare: int) -> DataFrame:
     return rarely.unionByName(common).filter(is_later()).distinct()
 
 
-def deleted(made: DataFrame, late: DataFrame, early: DataFrame, least: int) -> DataFrame:
-    """(did, th, j): lines of late(did, th, lines, sizes) aligned with early(did, th, lines), for the pairs ``made``."""
-    early = early.select(F.col("did").alias("e_did"), F.col("th").alias("e_th"), F.col("lines").alias("e_lines"))
-    full = made.join(late, ["did", "th"]).join(early, ["e_did", "e_th"])
+def deleted(made: DataFrame, late: DataFrame, early: DataFrame, least: int, most: int = PAIRS) -> DataFrame:
+    """(did, th, j): lines of late(did, th, lines, sizes) aligned with early(did, th, lines), for the pairs ``made``.
+
+    Pairs are gathered by their earlier document, whose lines come once for
+    every ``most`` pairs and not with each; a document with more is dealt out.
+    """
+    made = cut(made, "line-pairs")
+    parts = made.groupBy("e_did", "e_th").agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))
+    firsts = early.select(F.col("did").alias("e_did"), F.col("th").alias("e_th"), F.col("lines").alias("e_lines")).join(parts, ["e_did", "e_th"])
+    firsts = firsts.select("e_did", "e_th", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "e_lines")
+    dealt = made.join(parts, ["e_did", "e_th"]).withColumn("part", F.pmod(F.xxhash64("did", "th"), F.col("parts")).cast("int")).drop("parts")
+    pairs = dealt.join(late.select("did", "th", "lines", "sizes"), ["did", "th"])
+    key = ["e_did", "e_th", "part"]
+    both = firsts.unionByName(pairs, allowMissingColumns=True).repartition(*key).sortWithinPartitions(*key, F.asc_nulls_first("did"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        a: list[int] = []
         for batch in batches:
             out = []
-            for did, th, a, b, size in zip(batch["did"], batch["th"], batch["e_lines"], batch["lines"], batch["sizes"], strict=True):
-                for begin, end in align(a.tolist(), b.tolist()):
+            columns = (batch[c] for c in ("e_lines", "did", "th", "lines", "sizes"))
+            for first, did, th, b, size in zip(*columns, strict=True):
+                if first is not None:
+                    a = first.tolist()
+                    continue
+                for begin, end in align(a, b.tolist()):
                     if size[begin:end].sum() >= least:
-                        out += [(did, th, j) for j in range(begin, end)]
+                        out += [(int(did), int(th), j) for j in range(begin, end)]
             yield pd.DataFrame(out, columns=["did", "th", "j"])
 
-    return full.select("did", "th", "e_lines", "lines", "sizes").mapInPandas(run, "did long, th long, j int").distinct()
+    whole = both.select("e_lines", F.col("did").cast("string").alias("did"), F.col("th").cast("string").alias("th"), "lines", "sizes")
+    return whole.mapInPandas(run, "did long, th long, j int").distinct()
 
 
 def unsettled(late: DataFrame, gone: DataFrame, least: int) -> DataFrame:
@@ -238,9 +259,10 @@ def removed_lines(
     its features, in each further round ``part`` times as many.
     """
     text, least = text_or_empty(text_col), max(1, min_block_chars)
-    hashed = F.transform(F.split(text, "\n", -1), lambda x: F.when(F.trim(x) == "", F.lit(0)).otherwise(F.xxhash64(F.trim(x))))
-    sizes = F.transform(F.split(text, "\n", -1), lambda x: F.length(F.trim(x)))
-    seqs = docs.select(*row_key(id_col, text_col), hashed.alias("lines"), sizes.alias("sizes")).dropDuplicates(["did", "th"])
+    bare = F.transform(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS)))
+    hashed = F.transform("bare", lambda x: F.when(x == "", F.lit(0)).otherwise(F.xxhash64(x)))
+    lines = docs.select(*row_key(id_col, text_col), bare.alias("bare"))
+    seqs = lines.select("did", "th", hashed.alias("lines"), F.transform("bare", F.length).alias("sizes")).dropDuplicates(["did", "th"])
     seqs = cut(seqs, "line-hashes")
     shared = shared_keys(seqs)
     doc = F.struct("did", "th")
@@ -268,12 +290,27 @@ def removed_lines(
     return gone.groupBy("did", "th").agg(F.collect_set("j").alias("gone"))
 
 
+def without(text: Column, gone: Column) -> Column:
+    """A text without the lines whose numbers are in ``gone``, in one pass."""
+
+    def run(texts: pd.Series, gone: pd.Series) -> pd.Series:
+        out = []
+        for text, numbers in zip(texts, gone, strict=True):
+            if numbers is not None:
+                lines, lost = text.split("\n"), set(numbers.tolist())
+                text = "\n".join([x for j, x in enumerate(lines) if j not in lost])
+            out.append(text)
+        return pd.Series(out, dtype=object)
+
+    return F.pandas_udf(run, "string")(text, gone)
+
+
 def dedup_lines(docs: DataFrame, rare: int = 8, min_block_chars: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Delete from each document the line blocks it shares with an earlier one.
 
     Earlier means a smaller doc_id (a null one is the smallest), then a smaller
     text hash; rows equal in doc_id and text are one document and get equal
-    results. Lines are compared without surrounding blanks; blank lines go only
+    results. Lines are compared without the white space around them; blank lines go only
     inside a deleted block; blocks of fewer than ``min_block_chars`` characters
     stay. Every earlier document counts, however many hold a line. Decisions are
     taken on the input. Returns one row per row: doc_id,
@@ -283,11 +320,10 @@ def dedup_lines(docs: DataFrame, rare: int = 8, min_block_chars: int = 24, id_co
     gone = removed_lines(docs, rare, min_block_chars, id_col, text_col)
     base = docs.select(F.col(id_col).alias("doc_id"), *row_key(id_col, text_col), text_or_empty(text_col).alias("text"))
     both = base.join(gone, ["did", "th"], "left")
-    lines = F.split("text", "\n", -1)
-    rest = F.array_join(F.filter(lines, lambda x, j: ~F.array_contains(F.col("gone"), j)), "\n")
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     return both.select(
         "doc_id",
-        F.when(F.col("text") == "", 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(F.col("text") == "", 0).otherwise(n_lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(rest).alias("kept"),
+        without(F.col("text"), F.col("gone")).alias("kept"),
     )
