@@ -22,7 +22,9 @@ hold their windows:
 
 A minimizer with more than ``hot_limit`` places would make one large shard. Its
 windows are dealt one by one instead, by a 128-bit digest of their words that
-stands for them, so that no task holds them together.
+stands for them, so that no task holds them together. Hot minimizers are kept in
+a bitmap of bounded size too: what it admits beyond them is dealt the same way,
+which changes no result.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ from .wordhash import WordHashes, pair
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW, GRAM = 35, 8
-BITMAP_BITS, HOT_LIMIT = 1 << 28, 2_000
+BITMAP_BITS, HOT_BITS, HOT_LIMIT = 1 << 28, 1 << 26, 200
 FLUSH = 400_000
 PAGE = 32768
 #: Bytes of a window's digest; a segment of words is longer (window > DIGEST / 2).
@@ -111,7 +113,13 @@ def _count_places(window: int, gram: int):
     return run
 
 
-def _segments(window: int, gram: int, shared, n_bits: int):
+def member(bitmap: np.ndarray, val: np.ndarray) -> np.ndarray:
+    """Which values are in a bitmap whose size is a power of two."""
+    bit = (val % np.uint64(8 * len(bitmap))).astype(np.int64)
+    return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+
+def _segments(window: int, gram: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, hot = shared.value
         hashes = WordHashes()
@@ -139,9 +147,7 @@ def _segments(window: int, gram: int, shared, n_bits: int):
                 first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
                 last = np.append(first[1:], len(v))
                 val = v[first]
-                bit = (val % np.uint64(n_bits)).astype(np.int64)
-                admitted = (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-                is_hot = np.isin(val, hot) if len(hot) else np.zeros(len(val), bool)
+                admitted, is_hot = member(bitmap, val), member(hot, val)
                 for k in np.flatnonzero(admitted).tolist():
                     a, b = int(first[k]), int(last[k])
                     if is_hot[k]:
@@ -311,31 +317,34 @@ def _match(window: int):
     return run
 
 
-def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bitmap_bits: int = BITMAP_BITS, hot_limit: int = HOT_LIMIT) -> DataFrame:
-    """(did, th, spans): word spans [a, b) to remove, of the documents that lose any."""
-    spark = docs.sparkSession
-    keyed = docs.select(*row_key(), F.col("text").cast("string").alias("text"))
-    places = keyed.select("text").mapInArrow(_count_places(window, gram), "val long, cnt long")
-    repeated = cut(places.groupBy("val").agg(F.sum("cnt").alias("cnt")).filter("cnt > 1"), "minimizers")
-    n, most = repeated.agg(F.count("*"), F.max("cnt")).first()
+def bitmap_of(values: DataFrame, most_bits: int, n: int) -> np.ndarray:
+    """A bitmap of values(val), 16 bits for each of ``n`` up to ``most_bits`` together; pages come to the driver one partition at a time."""
     n_bits = PAGE
-    while n_bits < min(bitmap_bits, 16 * n):
+    while n_bits < min(most_bits, 16 * n):
         n_bits *= 2
     # val is an unsigned hash kept in a signed long; n_bits is a power of two
     at = F.col("val").bitwiseAND(F.lit(n_bits - 1)) + 1
-    pages = repeated.groupBy(F.bitmap_bucket_number(at).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    pages = values.groupBy(F.bitmap_bucket_number(at).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
     bitmap = np.zeros(n_bits // 8, dtype=np.uint8)
     for row in pages.toLocalIterator():
         bits = np.frombuffer(row["bits"], dtype=np.uint8)
         begin = (row["page"] - 1) * PAGE // 8
         bitmap[begin : begin + len(bits)] = bits
-    hot = np.zeros(0, dtype=np.uint64)
-    if n and most > hot_limit:
-        while repeated.filter(F.col("cnt") > hot_limit).count() > 1_000_000:
-            hot_limit *= 2
-        hot = np.sort(repeated.filter(F.col("cnt") > hot_limit).select("val").toArrow().column("val").to_numpy().view(np.uint64))
-    shared = spark.sparkContext.broadcast((bitmap, hot))
-    segments = keyed.mapInArrow(_segments(window, gram, shared, n_bits), "shard long, seg binary, places binary")
+    return bitmap
+
+
+def removed_spans(
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bitmap_bits: int = BITMAP_BITS, hot_limit: int = HOT_LIMIT, hot_bits: int = HOT_BITS
+) -> DataFrame:
+    """(did, th, spans): word spans [a, b) to remove, of the documents that lose any."""
+    spark = docs.sparkSession
+    keyed = docs.select(*row_key(), F.col("text").cast("string").alias("text"))
+    places = keyed.select("text").mapInArrow(_count_places(window, gram), "val long, cnt long")
+    repeated = cut(places.groupBy("val").agg(F.sum("cnt").alias("cnt")).filter("cnt > 1"), "minimizers")
+    hot = F.col("cnt") > hot_limit
+    n, n_hot = repeated.agg(F.count("*"), F.count_if(hot)).first()
+    shared = spark.sparkContext.broadcast((bitmap_of(repeated, bitmap_bits, n), bitmap_of(repeated.filter(hot), hot_bits, n_hot)))
+    segments = keyed.mapInArrow(_segments(window, gram, shared), "shard long, seg binary, places binary")
     shards = segments.repartition("shard").sortWithinPartitions("shard", "seg")
     found = shards.mapInArrow(_match(window), "did long, th long, a long, b long")
     return found.groupBy("did", "th").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))

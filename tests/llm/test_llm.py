@@ -584,7 +584,7 @@ def brute_repeats(texts, window):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_limit": 1}, {"bitmap_bits": 1}])
+@pytest.mark.parametrize("options", [{}, {"hot_limit": 1}, {"bitmap_bits": 1}, {"hot_limit": 3, "hot_bits": 1}])
 def test_substring_dedup(spark, texts, options):
     more = texts + ["na " * 200, "x y " * 40, prose(7, 36) + "  z", prose(200, 20) + " " + prose(7, 36), "ab " * 34]
     docs = frame(spark, more, [*range(1, len(more)), None])
@@ -620,6 +620,26 @@ def test_align_is_patience_diff():
     assert line_dedup.align([], [1]) == [] and line_dedup.align([7], [8]) == []
 
 
+def test_line_dedup_of_long_and_odd_texts(spark):
+    """Very many equal lines, white space around lines, and one line that all documents hold."""
+    many = "the same line\n" * 400_000
+    texts = [many + "end", many + "other end", "a line of text\r\nb\r\n", "\ta line of text \nc", *[f"own {i}\nlicence line of them all" for i in range(60)]]
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(frame(spark, texts), min_block_chars=1).collect()}
+    assert time.perf_counter() - start < 60
+    assert got[0].kept == texts[0] and got[0].n_lines == 400_001
+    assert got[1].kept == "other end" and got[1].n_removed == 400_000
+    assert got[3].kept == "c" and got[2].n_removed == 0
+    assert got[4].n_removed == 0 and all(got[i].kept == f"own {i - 4}" for i in range(5, 64))
+    # an earlier document with more pairs than one task takes
+    docs = frame(spark, texts[4:])
+    whole = {(r.did, tuple(sorted(r.gone))) for r in line_dedup.removed_lines(docs, min_block_chars=1).collect()}
+    seqs = docs.selectExpr("doc_id did", "0L th", "transform(split(text, '\\n'), x -> xxhash64(x)) lines", "transform(split(text, '\\n'), x -> length(x)) sizes")
+    pairs = spark.range(1, 60).selectExpr("id did", "0L th", "0L e_did", "0L e_th")
+    dealt = {(r.did, (r.j,)) for r in line_dedup.deleted(pairs, seqs, seqs, 1, most=7).collect()}
+    assert dealt == whole and len(dealt) == 59
+
+
 @pytest.mark.parametrize("rare", [1, 8])
 def test_line_dedup(spark, rare):
     block = "first shared line of some length\nsecond shared line of some length"
