@@ -27,7 +27,7 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import share, shared
+from .util import free_name, share, shared
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -368,7 +368,7 @@ def drop_contaminated(
     judged. Null and wordless texts stay.
     """
     blocks, total = broadcast_blocks(benchmark, size, block_chars)
-    name = "_hits_" + "_".join(docs.columns)
+    name = free_name(docs, "hits")
     found = docs.withColumn(name, occurrences(F.col("text").cast("string"), blocks, total <= hold_chars))
     return found.filter(~is_contaminated(covered(F.col(f"`{name}`.spans")), F.col(f"`{name}`.n_words"))).drop(name)
 

@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import cut, text_or_empty
+from .util import cut, free_name, text_or_empty
 
 SUPER = 16
 
@@ -174,9 +174,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that ``exact_groups`` does not keep, with all its columns."""
     groups = cut(exact_groups(docs, id_col, text_col, **options), "exact")
-    keep = groups.filter("kept").select(F.col("doc_id").alias("_k_id"), F.col("text_sha256").alias("_k_sha"))
+    own_id, own_sha = free_name(docs, "keep_id"), free_name(docs, "keep_sha")
+    keep = groups.filter("kept").select(F.col("doc_id").alias(own_id), F.col("text_sha256").alias(own_sha))
     sha = F.sha2(text_or_empty(text_col), 256)
-    rows = docs.join(keep, F.col(id_col).eqNullSafe(F.col("_k_id")) & (sha == F.col("_k_sha")), "left_semi")
+    rows = docs.join(keep, F.col(id_col).eqNullSafe(F.col(own_id)) & (sha == F.col(own_sha)), "left_semi")
     if groups.filter("repeat > 0").isEmpty():
         return rows
-    return rows.withColumn("_k_sha", sha).dropDuplicates([id_col, "_k_sha"]).drop("_k_sha")
+    return rows.withColumn(own_sha, sha).dropDuplicates([id_col, own_sha]).drop(own_sha)

@@ -33,7 +33,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import share, shared
+from .util import free_name, share, shared
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -305,5 +305,5 @@ def keep_identified(docs: DataFrame, sample_rows: int = 2000) -> DataFrame:
     """``docs`` without the rows whose language is rejected, with all its columns."""
     base = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     model = fit(base.filter(~held_out(5, 0)), sample_rows)
-    name = "_lang_" + "_".join(docs.columns)
+    name = free_name(docs, "lang")
     return docs.withColumn(name, predict(F.col("text").cast("string"), model, docs.sparkSession)).filter(~F.col(f"`{name}`.rejected")).drop(name)

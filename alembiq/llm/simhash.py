@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import cut, row_key
+from .util import cut, free_name, row_key
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -183,9 +183,10 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     groups = cut(near_groups(docs, id_col, text_col, **options), "near")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("k")
-    keep = groups.groupBy("root").agg(first).select(F.col("k.doc_id").alias("_k_id"), F.col("k.th").alias("_k_th"))
+    own_id, own_th = free_name(docs, "keep_id"), free_name(docs, "keep_th")
+    keep = groups.groupBy("root").agg(first).select(F.col("k.doc_id").alias(own_id), F.col("k.th").alias(own_th))
     th = row_key(id_col, text_col)[1]
-    rows = docs.join(keep, F.col(id_col).eqNullSafe(F.col("_k_id")) & (th == F.col("_k_th")), "left_semi")
+    rows = docs.join(keep, F.col(id_col).eqNullSafe(F.col(own_id)) & (th == F.col(own_th)), "left_semi")
     if groups.groupBy("doc_id", "th").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
         return rows
-    return rows.withColumn("_k_th", th).dropDuplicates([id_col, "_k_th"]).drop("_k_th")
+    return rows.withColumn(own_th, th).dropDuplicates([id_col, own_th]).drop(own_th)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..shared import cut, shared_dir
 
-__all__ = ["cut", "documents", "row_key", "share", "shared", "shared_dir", "text_or_empty"]
+__all__ = ["cut", "documents", "free_name", "row_key", "share", "shared", "shared_dir", "text_or_empty"]
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -49,6 +49,14 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     ]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with underscores before it until no column of ``df`` is called so, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return df.select(*columns) if columns else df

@@ -773,3 +773,37 @@ def test_workers_need_no_path(spark, tmp_path):
     made = subprocess.run([sys.executable, "-c", OUTSIDE, str(entry), str(tmp_path)], cwd=tmp_path, capture_output=True, text=True)
     assert made.returncode == 0, made.stderr[-3000:]
     assert [x.split()[1] for x in sorted(made.stdout.splitlines())] == ["12"] * 4 + ["1"] + ["12"] * 5
+
+
+def test_columns_with_clashing_names(spark, texts):
+    """Extra columns called as an operator's own ones change no result, and pass through where rows do."""
+    names = (
+        "_k_id", "_k_sha", "_k_th", "keep_id", "keep_sha", "keep_th", "_KEEP_ID", "lang_", "hits", "_hits", "key", "mask", "lines", "gone", "did", "th",
+        "fp", "root", "spans", "postings_0", "low", "sha", "level", "h", "r", "bucket", "rid", "words", "o", "p", "u", "v", "a", "b",
+    )
+    plain = frame(spark, [*texts, texts[-1]], [*range(len(texts)), len(texts) - 1])
+    wide = plain.select("*", *[F.lit(f"own {n}").alias(n) for n in names])
+    bench = spark.createDataFrame([(1, prose(7, 60))], "item_id long, text string")
+    tokens = queries.tokenizer()
+
+    def rows(df):
+        return sorted(map(repr, df.collect()))
+
+    for apply in (
+        langid.keep_identified,
+        exact_dedup.drop_exact_copies,
+        simhash.drop_near_copies,
+        lambda docs: decontam.drop_contaminated(docs, bench),
+    ):
+        got = apply(wide)
+        assert got.columns == wide.columns and got.filter(" or ".join(f"`{n}` <> 'own {n}'" for n in names)).isEmpty()
+        assert rows(got.select(plain.columns)) == rows(apply(plain))
+    for apply in (
+        langid.identify,
+        secret_scan.scan,
+        line_dedup.dedup_lines,
+        lambda docs: bpe.encode_texts(docs, *tokens),
+        lambda docs: decontam.hits(docs, bench),
+        substring_dedup.drop_repeats,
+    ):
+        assert rows(apply(wide)) == rows(apply(plain))
