@@ -7,19 +7,36 @@ columns of documents.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from alembiq.llm import bpe, decontam, exact_dedup, langid, simhash
 from alembiq.llm.queries import tokenizer
 from alembiq.llm.util import cut
 
-
 #: Rows of whole texts that a Python worker and the JVM hold for it at a time; Spark's 10,000 are for short rows.
 BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def batched(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Set the batch size that is read when the stage's rows are written; ``run`` restores the caller's at its end."""
+    spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
+@contextmanager
+def restored(spark: SparkSession, setting: str) -> Iterator[None]:
+    """Give a setting back its value, or its absence, whatever happens to it inside."""
+    before = spark.conf.get(setting, None)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,6 +65,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every remaining document, decoded again as proof."""
     batched(spark)
+    batched(spark)
     path, pattern = tokenizer()
     return bpe.encode_texts(docs, path, pattern)
 
@@ -67,6 +85,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to the documents of ``sf_dir``; each stage's rows are a table in the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), name)
+    with restored(spark, BATCH_SETTING):
+        for name, stage in STAGES:
+            docs = cut(stage(spark, docs, sf_dir), name)
     return docs
