@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where that is unset (tests), one of our own."""
+    """The folder named by spark.checkpoint.dir; where that is unset and the session is local (tests), one of our own.
+
+    A cluster without the setting is an error: its executors share no folder of
+    this machine, so that rows written there would be lost.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='alembiq-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base
