@@ -734,7 +734,13 @@ def test_pipeline(spark, tmp_path, texts):
             assert got == set(left) and out.filter("not round_trip").count() == 0
         left = {i: left[i] for i in sorted(got)}
         read = out
+    spark.conf.set(corpus_pipeline.BATCH_SETTING, "777")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(left)
+    assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == "777"
+    spark.conf.unset(corpus_pipeline.BATCH_SETTING)
+    with corpus_pipeline.restored(spark, corpus_pipeline.BATCH_SETTING):
+        corpus_pipeline.batched(spark)
+    assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == "10000"
 
 
 def test_repeated_rows_and_empty_tables(spark):
