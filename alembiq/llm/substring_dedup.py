@@ -13,7 +13,10 @@ hold their windows:
 2. The repeated minimizers go into a bitmap of at most ``bitmap_bits`` bits,
    which is broadcast. It may admit more (the more the fuller it is), never less.
 3. Each run of windows with an admitted minimizer is one segment of words; the
-   minimizer chooses its shard. Equal segments are combined before the shuffle.
+   minimizer chooses its shard. Equal segments are combined before the shuffle:
+   places that meet there are repeated, so their spans are known, and the shard
+   gets the segment once, without places. A shard thus holds one row of a
+   segment for each batch that has it, however many rows of the table do.
 4. Each minimizer's segments are the reference of one suffix automaton whose
    states carry occurrence counts. The segments are streamed through it for
    their matching statistics; a window that reaches ``window`` words in a state
@@ -47,6 +50,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WINDOW, GRAM = 35, 8
 BITMAP_BITS, HOT_BITS, HOT_LIMIT = 1 << 28, 1 << 26, 200
 FLUSH = 400_000
+#: Spans in one row on their way to the documents.
+SPANS = 512
 PAGE = 32768
 #: Bytes of a window's digest; a segment of words is longer (window > DIGEST / 2).
 DIGEST = 16
@@ -119,6 +124,18 @@ def member(bitmap: np.ndarray, val: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
+def merged(found: np.ndarray) -> np.ndarray:
+    """Rows (did, th, a, b) in order, those of one document that touch as one."""
+    found = found[np.lexsort((found[:, 2], found[:, 1], found[:, 0]))]
+    new = np.concatenate(([True], (found[1:, :2] != found[:-1, :2]).any(axis=1)))
+    # documents one after the other on one axis, so that one running maximum serves all
+    offset = (np.cumsum(new) - 1) * (found[:, 3].max() + 2)
+    reach = np.maximum.accumulate(found[:, 3] + offset)
+    first = np.flatnonzero(np.concatenate(([True], found[1:, 2] + offset[1:] > reach[:-1])))
+    last = np.append(first[1:], len(found)) - 1
+    return np.column_stack((found[first, :3], reach[last] - offset[last]))
+
+
 def _segments(window: int, gram: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, hot = shared.value
@@ -127,16 +144,27 @@ def _segments(window: int, gram: int, shared):
         size = 0
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.array([k for k, _ in held], dtype=np.int64)),
-                    pa.array([t for _, t in held], type=pa.binary()),
-                    pa.array([np.array(x, dtype="<i8").tobytes() for x in held.values()], type=pa.binary()),
-                ],
+            """Segments with their one place, or none if they have several; the spans of those, dealt evenly, without a segment."""
+            shards, segs, places, known = [], [], [], []
+            for (shard, seg), at in held.items():
+                shards.append(shard)
+                segs.append(seg)
+                places.append(np.array(at, dtype="<i8").tobytes() if len(at) == 3 else b"")
+                if len(at) > 3:
+                    rows = np.array(at, dtype="<i8").reshape(-1, 3)
+                    size_ = window if len(seg) == DIGEST else seg.count(b" ") + 1
+                    known.append(np.column_stack((rows, rows[:, 2] + size_)))
+            held.clear()
+            if known:
+                spans = merged(np.concatenate(known))
+                for k in range(0, len(spans), SPANS):
+                    shards.append(int(spans[k, 0] ^ spans[k, 1]))
+                    segs.append(None)
+                    places.append(spans[k : k + SPANS].astype("<i8").tobytes())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.array(shards, dtype=np.int64)), pa.array(segs, type=pa.binary()), pa.array(places, type=pa.binary())],
                 names=["shard", "seg", "places"],
             )
-            held.clear()
-            return out
 
         for batch in batches:
             for text, did, th in zip(batch.column("text"), batch.column("did").to_pylist(), batch.column("th").to_pylist(), strict=True):
@@ -243,8 +271,11 @@ class Automaton:
 
 
 def spans_of(group: list[tuple[bytes, list[bytes]]], window: int) -> Iterator[tuple[list[tuple[int, int]], bytes]]:
-    """For one minimizer's segments [(words, places)]: the spans to remove of each, relative, and its places."""
-    weights = [sum(map(len, places)) // 24 for _, places in group]
+    """For one minimizer's segments [(words, places)]: the spans to remove of each, relative, and its places.
+
+    An element of places holds one place, or none where several are settled.
+    """
+    weights = [sum(1 if p else 2 for p in places) for _, places in group]
     if len(group) == 1:
         seq = group[0][0].split()
         if weights[0] >= 2:
@@ -278,7 +309,7 @@ def _match(window: int):
         return pa.RecordBatch.from_arrays([pa.array(all_[:, k].copy()) for k in range(4)], names=["did", "th", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by shard and segment; a digest stands for a single window."""
+        """Rows come sorted by shard and segment, spans that are known first; a digest stands for a single window."""
         key, group, waiting, sure, found = None, [], [], False, []
 
         def finish() -> None:
@@ -288,14 +319,16 @@ def _match(window: int):
 
         for batch in batches:
             for shard, seg, places in zip(*(batch.column(n).to_pylist() for n in ("shard", "seg", "places")), strict=True):
-                if len(seg) == DIGEST:
+                if seg is None:
+                    found.append(np.frombuffer(places, dtype="<i8").reshape(-1, 4))
+                elif len(seg) == DIGEST:
                     if not group or group[0][0] != seg:
                         finish()
                         key, waiting, sure = shard, [], False
                         group.append((seg, []))
                     # one window: its places flow through as soon as there are two
                     waiting.append(places)
-                    sure = sure or len(waiting) > 1 or len(places) > 24
+                    sure = sure or len(waiting) > 1 or not places
                     if sure:
                         found.extend(rows([(0, window)], p) for p in waiting)
                         waiting = []

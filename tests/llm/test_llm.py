@@ -596,6 +596,14 @@ def test_substring_dedup(spark, texts, options):
     assert substring_dedup.drop_repeats(docs.limit(0)).count() == 0
 
 
+def test_spans_merge_within_a_document():
+    rng = random.Random(3)
+    for _ in range(200):
+        rows = [(rng.randint(-2, 2), rng.randint(0, 1), a, a + rng.randint(1, 6)) for a in (rng.randint(0, 30) for _ in range(rng.randint(1, 40)))]
+        got = [(d, t, k) for d, t, a, b in substring_dedup.merged(np.array(rows, dtype="<i8")).tolist() for k in range(a, b)]
+        assert len(got) == len(set(got)) and set(got) == {(d, t, k) for d, t, a, b in rows for k in range(a, b)}
+
+
 def test_automaton_random():
     rng = random.Random(5)
     for _ in range(200):
