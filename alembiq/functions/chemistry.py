@@ -5,7 +5,7 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,31 +62,41 @@ def role_scores(molecules: Column) -> Column:
     return F.map_from_entries(F.transform(F.array_distinct(molecules), lambda x: F.struct(x, molecule_score(x))))
 
 
-def resolve_solvent(token: Column, fuzzy: dict[str, str] | None = None) -> Column:
-    """struct(name, confidence): exact 1.0, other name 0.8, fuzzy 0.5, unknown 0.1."""
+def is_solvent(token: Column) -> Column:
+    return F.lower(token).isin([*SOLVENTS, *(x for others in SOLVENTS.values() for x in others)])
+
+
+def resolve_solvent(token: Column, closest: Column | None = None) -> Column:
+    """struct(name, confidence): exact 1.0, other name 0.8, resembling ``closest`` 0.5, unknown 0.1."""
     t = F.lower(token)
     name, sure = F.when(t.isin(list(SOLVENTS)), t), F.when(t.isin(list(SOLVENTS)), F.lit(1.0))
     for solvent, others in SOLVENTS.items():
         name = name.when(t.isin(list(others)), F.lit(solvent))
         sure = sure.when(t.isin(list(others)), F.lit(0.8))
-    for text, solvent in (fuzzy or {}).items():
-        name = name.when(t == text, F.lit(solvent))
-        sure = sure.when(t == text, F.lit(0.5))
+    if closest is not None:
+        name = name.when(closest.isNotNull(), closest)
+        sure = sure.when(closest.isNotNull(), F.lit(0.5))
     return F.struct(name.otherwise(t).alias("name"), sure.otherwise(F.lit(0.1)).alias("confidence"))
 
 
-@F.pandas_udf(T.StringType())
-def closest_solvent(tokens: pd.Series) -> pd.Series:
-    """The closest solvent name by difflib's ratio (at least 0.6), or null."""
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def closest_solvents(tokens: pd.Series) -> pd.Series:
+    """For each token the closest solvent name by difflib's ratio (at least 0.6), or null."""
     names = list(SOLVENTS)
-    return tokens.map(lambda t: next(iter(difflib.get_close_matches(t, names, n=1)), None))
+    seen: dict[str, str | None] = {}
+
+    def closest(t: str) -> str | None:
+        if t not in seen:
+            seen[t] = next(iter(difflib.get_close_matches(t.lower(), names, n=1)), None)
+        return seen[t]
 
+    return tokens.map(lambda some: [closest(t) for t in some])
 
-def fuzzy_solvents(tokens: DataFrame) -> DataFrame:
-    """(token, solvent) for the distinct unknown lower-case texts of tokens(token) that resemble a solvent."""
-    known = [*SOLVENTS, *(x for others in SOLVENTS.values() for x in others)]
-    distinct = tokens.select(F.lower("token").alias("token")).filter(~F.col("token").isin(known)).distinct()
-    return distinct.select("token", closest_solvent("token").alias("solvent")).filter("solvent is not null")
+
+def balanced(molecule: Column) -> Column:
+    """Whether a molecule has as many closing as opening brackets, round and square ones each."""
+    number = lambda c: F.length(molecule) - F.length(F.translate(molecule, c, ""))
+    return (number("(") == number(")")) & (number("[") == number("]"))
 
 
 def event_family(token: Column, composite: bool = True) -> Column:
@@ -160,3 +170,9 @@ def coarse_text(key: Column) -> Column:
     return F.concat(
         key["scaffold"], F.lit("|"), F.array_join(F.transform(key["families"], lambda x: F.concat(x["family"], F.lit(":"), x["bucket"])), ",")
     )
+
+
+def coarse_json(key: Column) -> Column:
+    """``{"families": [["family", "bucket"], ...], "scaffold": "..."}``; names are plain and need no escapes."""
+    pairs = F.transform(key["families"], lambda x: F.concat(F.lit('["'), x["family"], F.lit('", "'), x["bucket"], F.lit('"]')))
+    return F.concat(F.lit('{"families": ['), F.array_join(pairs, ", "), F.lit('], "scaffold": "'), key["scaffold"], F.lit('"}'))

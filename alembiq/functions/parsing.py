@@ -87,6 +87,18 @@ def json_counts(c: Column) -> Column:
     return F.coalesce(as_map, tally, F.when(s.isNotNull(), F.create_map(s, F.lit(1).cast("long"))))
 
 
+def coarse_key(c: Column) -> Column:
+    """struct(scaffold, families of struct(family, bucket)) of a coarse key as JSON text; other text is the scaffold alone."""
+    s = blank_to_null(c)
+    read = F.from_json(s, "scaffold string, families array<array<string>>")
+    is_json = F.try_parse_json(s).isNotNull()
+    families = F.transform(F.filter(read["families"], lambda x: F.size(x) >= 2), lambda x: F.struct(x[0].alias("family"), x[1].alias("bucket")))
+    none = F.array().cast("array<struct<family:string,bucket:string>>")
+    return F.struct(
+        F.when(is_json, read["scaffold"]).when(s.isNotNull(), c).alias("scaffold"), F.when(is_json, F.coalesce(F.array_sort(families), none)).otherwise(none).alias("families")
+    )
+
+
 def split_component(c: Column) -> Column:
     """Molecules of one side of a reaction string."""
     return F.coalesce(clean(F.split(c, "[.]")), no_texts())

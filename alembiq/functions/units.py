@@ -16,6 +16,7 @@ SECONDS = {
 }
 PASCALS = {"pa": 1.0, "kpa": 1e3, "mpa": 1e6, "bar": 1e5, "mbar": 1e2, "atm": 101325.0, "torr": 133.322, "psi": 6894.757}
 
+# Fixed value: the number at the start of a text and the unit after it.
 NUMBER = r"^([-+]?\d*\.?\d+(?:[eE][-+]?\d+)?)\s*([A-Za-z°%]+)?"
 
 
@@ -40,21 +41,6 @@ def scaled(v: Column, u: Column, factors: dict[str, float]) -> Column:
     return v * factor
 
 
-def temperature_k(c: Column) -> Column:
-    """Kelvin of a text."""
-    return kelvin(*value_and_unit(c))
-
-
-def time_s(c: Column) -> Column:
-    """Seconds of a text."""
-    return scaled(*value_and_unit(c), SECONDS)
-
-
-def pressure_pa(c: Column) -> Column:
-    """Pascals of a text."""
-    return scaled(*value_and_unit(c), PASCALS)
-
-
 def plain_number(c: Column) -> Column:
     """The text as a number, no unit allowed; NaN is null."""
     v = strip(c.cast("string")).try_cast("double")

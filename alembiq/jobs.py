@@ -24,19 +24,27 @@ def _read(spark: SparkSession, path: str, sample: bool, key: str = "rxn_vid") ->
     return files.sample(df, key) if key in df.columns else df.limit(1000)
 
 
-def phase0(spark: SparkSession, input: str, output: str, failed_output: str | None = None, sample: bool = False, hash_mode: str = "sha2") -> Reports:
-    """Raw reactions to normalized ones; failures to a table of their own, written only if there are any."""
-    raw = _read(spark, input, sample)
-    table = cut(normalize.normalize(raw, normalize.learn_fuzzy(raw), hash_mode), "normalized")
+def phase0(
+    spark: SparkSession, input: str, output: str, failed_output: str | None = None, sample: bool = False, hash_mode: str = "sha2", interchange: bool = False
+) -> Reports:
+    """Raw reactions to normalized ones; failures to a table of their own, written only if there are any.
+
+    With ``interchange`` nested columns are written as JSON text.
+    """
+    with files.case_sensitive(spark):
+        table = normalize.normalized_table(_read(spark, input, sample), hash_mode)
     good, bad = normalize.split_failures(table)
     done = normalize.number(normalize.deduplicate(good), "reaction_hash_v1", "rxn_vid")
-    files.write_table(done, output)
+    if interchange:
+        done = cut(done, "numbered")
+    files.write_table(files.interchange(done) if interchange else done, output)
     if failed_output:
         files.write_failures(bad, failed_output)
-    kept = spark.read.parquet(output)
+    kept = done if interchange else spark.read.parquet(output)
     return {
         "summary": normalize.summary(table),
         "failures": normalize.failure_counts(table),
+        "warnings": normalize.warnings(table),
         "usage": normalize.usage(good, kept),
         "spread": normalize.spread(good),
     }
@@ -56,7 +64,7 @@ def phase2(spark: SparkSession, input: str, cond_table: str, output_dir: str, sa
     sigs = mechanism.signatures(_read(spark, cond_table, sample), _read(spark, input, sample), hash_mode)
     files.write_table(mechanism.assign_clusters(sigs), f"{output_dir}/mechanism_sigs.parquet")
     sigs = spark.read.parquet(f"{output_dir}/mechanism_sigs.parquet")
-    files.write_table(mechanism.level2_clusters(sigs), f"{output_dir}/clusters_level2.parquet")
+    files.write_table(mechanism.level2_clusters(sigs), f"{output_dir}/clusters_level2.parquet", order=("cond_hash", "cluster_id"))
     clusters = spark.read.parquet(f"{output_dir}/clusters_level2.parquet")
     return {
         "summary": mechanism.summary(sigs),
@@ -69,16 +77,17 @@ def phase2(spark: SparkSession, input: str, cond_table: str, output_dir: str, sa
 
 
 def phase3(
-    spark: SparkSession, mechanism_sigs: str, clusters_level2: str, output_dir: str, sample: bool = False, fp_bits: int = 128, canopy_threshold: float = 0.6
-) -> Reports:
+    spark: SparkSession, mechanism_sigs: str, clusters_level2: str, output_dir: str, sample: bool = False, fp_bits: int = 128, canopy_threshold: float = 0.6,
+    hash_mode: str = "sha2",
+) -> Reports:
     """Fingerprints, level-3 clusters and the index manifest."""
     joined = structures.join_levels(structures.expand(files.read_table(spark, clusters_level2)), files.read_table(spark, mechanism_sigs))
     if sample:
         joined = files.sample(joined, "rxn_vid")
-    assigned = structures.assign_structures(structures.features(joined, fp_bits), canopy_threshold)
-    files.write_table(structures.vectors(assigned), f"{output_dir}/structure_feats.parquet")
+    assigned = structures.assign_structures(structures.features(joined, fp_bits, hash_mode), canopy_threshold)
+    files.write_table(structures.vectors(assigned), f"{output_dir}/structure_feats.parquet", order=("rxn_vid",))
     feats = spark.read.parquet(f"{output_dir}/structure_feats.parquet")
-    files.write_table(structures.level3_clusters(feats), f"{output_dir}/clusters_level3.parquet")
+    files.write_table(structures.level3_clusters(feats), f"{output_dir}/clusters_level3.parquet", order=("CID", "MID", "SID"))
     files.write_jsonl(structures.ann_manifest(feats), f"{output_dir}/indices")
     return {
         "summary": structures.summary(feats),
@@ -102,8 +111,9 @@ def phase4(
     merged = cut(fusion.merge_assignments(level1, level2, level3), "assignments")
     cards = cut(fusion.cluster_cards(merged, feats, sigs, rx), "cards")
     edges = fusion.cross_view_edges(merged)
-    files.write_table(fusion.clusters_final(merged, cards), f"{output_dir}/clusters_final.parquet")
-    files.write_jsonl(fusion.stats_lines(cards, edges), f"{output_dir}/cluster_stats.jsonl")
+    files.write_table(fusion.clusters_final(merged, cards), f"{output_dir}/clusters_final.parquet", order=("rxn_vid",))
+    lines = fusion.stats_lines(cards, edges).orderBy("type", *fusion.KEY, "kind", "shared_id", "source", "target")
+    files.write_jsonl(lines, f"{output_dir}/cluster_stats.jsonl")
     return {"largest": cards.select(*fusion.KEY, "size").orderBy("size", ascending=False).limit(5)}
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import chemistry as chem
+from ..functions import parsing as p
 
 
 def entropy(counts: Column) -> Column:
@@ -23,9 +24,18 @@ def top_share(counts: Column) -> Column:
 
 
 def cluster_metrics(clusters: DataFrame) -> DataFrame:
-    """Level-2 clusters with diversity, entropy and top share of their base signatures."""
-    if "cluster_id" not in clusters.columns:
+    """Level-2 clusters with diversity, entropy and top share of their base signatures.
+
+    Counts and coarse keys may be JSON text, as in interchange files.
+    """
+    kinds = dict(clusters.dtypes)
+    if "cluster_id" not in kinds:
         raise ValueError("clusters need cluster_id")
+    if kinds.get("mech_sig_base_counts") == "string":
+        counts = F.coalesce(p.json_counts(F.col("mech_sig_base_counts")), F.create_map().cast("map<string,bigint>"))
+        clusters = clusters.withColumn("mech_sig_base_counts", counts)
+    if kinds.get("coarse_key") == "string":
+        clusters = clusters.withColumn("coarse_key", p.coarse_key(F.col("coarse_key")))
     n = F.map_values("mech_sig_base_counts")
     count = F.col("rxn_count") if "rxn_count" in clusters.columns else F.aggregate(n, F.lit(0).cast("long"), lambda a, x: a + x)
     return clusters.select(
@@ -41,8 +51,11 @@ def cluster_metrics(clusters: DataFrame) -> DataFrame:
 
 def signature_metrics(sigs: DataFrame) -> DataFrame | None:
     """Per cluster: entropy of event families, mean tokens, share of mapped rows; None without cluster_id."""
-    if "cluster_id" not in sigs.columns:
+    kinds = dict(sigs.dtypes)
+    if "cluster_id" not in kinds:
         return None
+    if kinds["event_tokens"] == "string":  # JSON text, as in interchange files
+        sigs = sigs.withColumn("event_tokens", p.to_list(F.col("event_tokens")))
     rows = sigs.filter("cluster_id is not null")
     mapped = F.coalesce(F.lower("signature_type") == "mapped", F.lit(False)) if "signature_type" in sigs.columns else F.lit(False)
     base = rows.groupBy("cluster_id").agg(F.avg(F.size("event_tokens")).alias("event_token_mean"), F.avg(mapped.cast("int")).alias("mapped_share"))

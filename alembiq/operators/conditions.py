@@ -11,8 +11,8 @@ from ..functions.hashing import hex_digest
 from . import profile
 
 
-def condition_keys(reactions: DataFrame, hash_mode: str = "sha2") -> DataFrame:
-    """One row per normalized reaction with its bins, keys, cond_hash and its 8-digit prefix. No shuffle."""
+def condition_keys(reactions: DataFrame, hash_mode: str = "sha2", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per normalized reaction with its bins, keys, cond_hash and its 8-digit prefix, and the columns ``keep``. No shuffle."""
     scalar = lambda c: F.lower(p.blank_to_null(F.col(c).cast("string")))
     keyed = reactions.select(
         "rxn_vid",
@@ -28,6 +28,7 @@ def condition_keys(reactions: DataFrame, hash_mode: str = "sha2") -> DataFrame:
         p.key_json(F.col("agents_canonical")).alias("catalyst_key"),
         p.key_json(F.col("spectators_moved")).alias("agent_key"),
         F.col("resolution_confidence"),
+        *keep,
     )
     quoted = lambda c: F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))
     parts = [
@@ -42,6 +43,23 @@ def condition_keys(reactions: DataFrame, hash_mode: str = "sha2") -> DataFrame:
     return hashed.select("rxn_vid", "cond_hash", F.substring("cond_hash", 1, 8).alias("cond_hash_prefix"), *rest)
 
 
+def condition_sizes(normalized: DataFrame, hash_mode: str = "sha2") -> DataFrame:
+    """(cond_hash, n): deduplicated reactions of each condition, straight from ``normalize``'s rows.
+
+    The key needs no rxn_vid, so that nothing is numbered and only two hashes
+    are shuffled: the first row of a reaction hash decides its condition.
+    """
+    whole = F.when(F.size("failures") == 0, F.col("reaction_hash_v1"))
+    keyed = condition_keys(normalized.withColumns({"rxn_vid": F.col("ord"), "whole": whole}), hash_mode, ("whole",))
+    first = keyed.groupBy("whole").agg(F.min_by("cond_hash", "rxn_vid").alias("cond_hash")).filter("whole is not null")
+    return first.groupBy("cond_hash").agg(F.count("*").alias("n"))
+
+
+def level1_members(keys: DataFrame) -> DataFrame:
+    """(CID, rxn_vid): the members of level-1 clusters one by one, which no hot condition outgrows."""
+    return keys.select(F.col("cond_hash").alias("CID"), "rxn_vid")
+
+
 def level1_clusters(keys: DataFrame) -> DataFrame:
     """(CID, rxn_vids): CID is cond_hash."""
     return keys.groupBy(F.col("cond_hash").alias("CID")).agg(F.array_sort(F.collect_list("rxn_vid")).alias("rxn_vids"))

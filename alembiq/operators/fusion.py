@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from ..functions import parsing as p
 from ..functions import units
+from ..shared import cut
 
 KEY = ["CID", "MID", "SID"]
 
 
 def members(level: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """(rxn_vid, columns) of a level; the last row that names a reaction wins, by ``ord`` or the scan's order."""
+    """(rxn_vid, columns) of a level, as clusters or as members; the last row that names a reaction wins, by ``ord`` or the scan's order."""
     have = set(level.columns)
     order = F.col("ord") if "ord" in have else F.monotonically_increasing_id()
+    if "rxn_vids" not in have and "rxn_vid" in have:
+        level = level.withColumn("rxn_vids", F.array(F.col("rxn_vid").cast("long")))
     vids = F.col("rxn_vids") if dict(level.dtypes)["rxn_vids"].startswith("array") else p.lenient_ids(F.col("rxn_vids"))
     ids = [p.blank_to_null(F.col(c).cast("string")).alias(c) if c in have else F.lit(None).cast("string").alias(c) for c in columns]
     each = level.select(order.alias("o"), *ids, vids.alias("vids")).select("o", *columns, F.explode("vids").alias("rxn_vid"))
@@ -60,37 +63,75 @@ def exemplar_names(vids: Column, limit: int = 5) -> Column:
 def cluster_cards(
     assigned: DataFrame, structures: DataFrame, mechanisms: DataFrame, reactions: DataFrame, top_k: int = 3, exemplar_limit: int = 5
 ) -> DataFrame:
-    """One card per (CID, MID, SID). Each source is joined and aggregated on its own, so that no join multiplies rows."""
-    base = assigned.groupBy(*KEY).agg(F.count("*").alias("size"), F.collect_set("rxn_vid").alias("vids"))
-    base = base.withColumn("exemplars", exemplar_names(F.col("vids"), exemplar_limit)).drop("vids")
-    ids = assigned.select("rxn_vid", *KEY)
-    s = ids.join(structures.select("rxn_vid", "scaffold_key"), "rxn_vid")
-    scaffold = top_values(s, KEY, "scaffold_key", 1, "t").select(*KEY, F.col("t")[0]["value"].alias("dominant_scaffold"))
-    m = ids.join(mechanisms.select("rxn_vid", F.concat("event_tokens", F.array("mech_sig_base")).alias("tokens")), "rxn_vid")
-    tokens = top_values(m.select(*KEY, F.explode("tokens").alias("token")), KEY, "token", max(top_k, 5), "mechanism_summary")
+    """One card per (CID, MID, SID).
+
+    Each source gives its values as (kind, value) items of a reaction; they are
+    stacked, meet the assignments in one join, and all are counted in one
+    aggregation. A reaction that a source has twice counts twice there and
+    nowhere else.
+    """
     order = F.col("ord") if "ord" in reactions.columns else F.monotonically_increasing_id()
     wanted = ["solvent_normalized", "temperature_K", "yield"]
     last = reactions.withColumn("_o", order).groupBy("rxn_vid").agg(F.max_by(F.struct(*wanted), "_o").alias("r")).select("rxn_vid", "r.*")
-    r = ids.join(last, "rxn_vid").select(
-        *KEY, F.get("solvent_normalized", F.lit(0)).alias("solvent"), units.temperature_label(F.col("temperature_K")).alias("temperature"), "yield"
-    )
-    parts = [
-        scaffold,
-        top_values(r, KEY, "solvent", top_k, "top_solvents"),
-        top_values(r, KEY, "temperature", top_k, "top_temperatures"),
-        tokens,
-        yield_summary(r, KEY),
+    item = lambda kind, v: F.struct(F.lit(kind).alias("kind"), v.cast("string").alias("value"))
+    none = F.lit(None).cast("double")
+    tokens = F.concat("event_tokens", F.array("mech_sig_base"))
+    reaction = [item("solvent", F.get("solvent_normalized", F.lit(0))), item("temperature", units.temperature_label(F.col("temperature_K")))]
+    sources = [
+        structures.select("rxn_vid", F.array(item("scaffold", F.col("scaffold_key"))).alias("items"), none.alias("y")),
+        mechanisms.select("rxn_vid", F.transform(tokens, lambda t: item("token", t)).alias("items"), none.alias("y")),
+        last.select("rxn_vid", F.array(*reaction).alias("items"), units.plain_number(F.col("yield")).alias("y")),
     ]
-    cards = reduce(lambda a, b: a.join(b, KEY, "left"), parts, base)
-    none = F.array().cast("array<struct<value:string,count:bigint>>")
-    filled = {c: F.coalesce(c, none) for c in ("top_solvents", "top_temperatures", "mechanism_summary")}
+    facts = cut(assigned.select("rxn_vid", *KEY).join(reduce(DataFrame.unionByName, sources), "rxn_vid").drop("rxn_vid"), "facts")
+    each = facts.select(*KEY, F.explode("items").alias("x")).filter("x.value <> ''")
+    counted = each.groupBy(*KEY, "x.kind", "x.value").agg(F.count("*").alias("count"))
+    most = {"scaffold": 1, "solvent": top_k, "temperature": top_k, "token": max(top_k, 5)}
+    limit = reduce(lambda c, kind: c.when(F.col("kind") == kind, most[kind]), most, F.when(F.lit(False), 0))
+    place = F.row_number().over(Window.partitionBy(*KEY, "kind").orderBy(F.desc("count"), "value"))
+    best = counted.withColumn("place", place).filter(F.col("place") <= limit)
+
+    def listed(kind: str) -> Column:
+        found = F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("place", "value", "count"))))
+        return F.transform(found, lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count")))
+
+    tops = best.groupBy(*KEY).agg(
+        F.max(F.when(F.col("kind") == "scaffold", F.col("value"))).alias("dominant_scaffold"),
+        listed("solvent").alias("top_solvents"),
+        listed("temperature").alias("top_temperatures"),
+        listed("token").alias("mechanism_summary"),
+    )
+    # members are distinct, so that the first of a window are the exemplars; no cluster is collected
+    nth = F.row_number().over(Window.partitionBy(*KEY).orderBy("rxn_vid"))
+    first = assigned.select(*KEY, "rxn_vid").withColumn("nth", nth).filter(F.col("nth") <= exemplar_limit)
+    exemplars = first.groupBy(*KEY).agg(exemplar_names(F.collect_list("rxn_vid"), exemplar_limit).alias("exemplars"))
+    size = assigned.groupBy(*KEY).agg(F.count("*").alias("size"))
+    parts = [exemplars, tops, yield_summary(facts.filter("y is not null"), KEY, "y")]
+    cards = reduce(lambda a, b: a.join(b, KEY, "left"), parts, size)
+    empty = F.array().cast("array<struct<value:string,count:bigint>>")
+    filled = {c: F.coalesce(c, empty) for c in ("top_solvents", "top_temperatures", "mechanism_summary")}
     return cards.withColumns(filled | {"yield_count": F.coalesce("yield_count", F.lit(0).cast("long"))})
 
 
+def cross_view_classes(assigned: DataFrame) -> DataFrame:
+    """kind, shared_id, conditions, reactions, largest: each MID and SID that several conditions share, as one row.
+
+    The pairs of ``cross_view_edges`` are those of its conditions; this form
+    grows with the ids, not with the pairs.
+    """
+    by = _shared_counts(assigned).groupBy("kind", "shared_id")
+    found = by.agg(F.count("*").alias("conditions"), F.sum("n").alias("reactions"), F.max("n").alias("largest"))
+    return found.filter("conditions > 1")
+
+
+def _shared_counts(assigned: DataFrame) -> DataFrame:
+    """kind, shared_id, CID, n: reactions of every condition under each MID and SID."""
+    kinds = F.array(F.struct(F.lit("MID").alias("kind"), F.col("MID").alias("shared_id")), F.struct(F.lit("SID").alias("kind"), F.col("SID").alias("shared_id")))
+    return assigned.select("CID", F.explode(kinds).alias("x")).groupBy("x.kind", "x.shared_id", "CID").agg(F.count("*").alias("n"))
+
+
 def cross_view_edges(assigned: DataFrame) -> DataFrame:
     """kind, shared_id, source, target, weight: pairs of conditions that share a MID or SID; weight is the smaller count."""
-    kinds = F.array(F.struct(F.lit("MID").alias("kind"), F.col("MID").alias("shared_id")), F.struct(F.lit("SID").alias("kind"), F.col("SID").alias("shared_id")))
-    counts = assigned.select("CID", F.explode(kinds).alias("x")).groupBy("x.kind", "x.shared_id", "CID").agg(F.count("*").alias("n"))
+    counts = _shared_counts(assigned)
     a = counts.select("kind", "shared_id", F.col("CID").alias("source"), F.col("n").alias("a"))
     b = counts.select("kind", "shared_id", F.col("CID").alias("target"), F.col("n").alias("b"))
     pairs = a.join(b, ["kind", "shared_id"]).filter(F.col("source") < F.col("target"))

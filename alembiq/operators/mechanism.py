@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import chemistry as chem
 from ..functions import parsing as p
-from ..functions.hashing import hex_digest, token_hash
+from ..functions.hashing import hex_digest, key_hash, token_hash
 from ..shared import cut
 from . import profile
 
@@ -54,7 +54,7 @@ def signatures(keys: DataFrame, reactions: DataFrame, hash_mode: str = "sha2") -
     )
     out = out.withColumn("coarse_key", chem.coarse_key(F.col("families"), F.col("scaffold_key"))).drop("families")
     out = out.withColumn("coarse_text", chem.coarse_text(F.col("coarse_key")))
-    return out.withColumn("coarse_key_hash", F.substring(F.sha2("coarse_text", 256), 1, 32))
+    return out.withColumn("coarse_key_hash", key_hash(F.col("coarse_text"), chem.coarse_json(F.col("coarse_key")), hash_mode))
 
 
 def assign_clusters(sigs: DataFrame) -> DataFrame:
@@ -71,6 +71,11 @@ def assign_clusters(sigs: DataFrame) -> DataFrame:
     return sigs.join(named, ["cond_hash", "coarse_text"])
 
 
+def level2_members(sigs: DataFrame) -> DataFrame:
+    """(CID, MID, rxn_vid): the members of level-2 clusters one by one, which no hot cluster outgrows."""
+    return sigs.select(F.col("cond_hash").alias("CID"), F.col("cluster_id").alias("MID"), "rxn_vid")
+
+
 def level2_clusters(sigs: DataFrame) -> DataFrame:
     """One row per cluster: counts of base signatures, the commonest (first seen among equals), members in order."""
     bases = sigs.groupBy("cond_hash", "cluster_id", "coarse_text", "coarse_key_hash", "mech_sig_base").agg(

@@ -37,18 +37,29 @@ REACTION_TEXTS = ("rxn_smiles", "reaction_smiles", "rxn")
 
 
 class Fields:
-    """Columns of an open schema by exact name, as text; arrays become JSON text, missing columns null."""
+    """Columns of an open schema by exact name, as text; arrays become JSON text, missing columns null.
+
+    Names that differ in case only (pH and ph) are different columns, which
+    Spark can't tell apart by name: ``df`` is the table with columns named by
+    position. Of columns with the same name the first counts.
+    """
 
     def __init__(self, df: DataFrame):
-        self.types = dict(df.dtypes)
+        self.df = df.toDF(*[f"f{i}" for i in range(len(df.columns))])
+        self.names: dict[str, tuple[str, str]] = {}
+        for own, (name, kind) in zip(self.df.columns, df.dtypes, strict=True):
+            self.names.setdefault(name, (own, kind))
 
     def has(self, name: str) -> bool:
-        return name in self.types
+        return name in self.names
+
+    def col(self, name: str) -> Column:
+        return F.col(self.names[name][0])
 
     def text(self, name: str) -> Column:
-        if name not in self.types:
+        if name not in self.names:
             return F.lit(None).cast("string")
-        kind, c = self.types[name], F.col(f"`{name}`")
+        kind, c = self.names[name][1], self.col(name)
         if kind.startswith("array"):
             listed = p.clean(F.transform(c, lambda x: x.cast("string")))
             return F.when(F.size(listed) > 0, F.to_json(listed))
@@ -79,36 +90,44 @@ def components(df: DataFrame, reaction_texts: list[str]) -> DataFrame:
     return df.withColumns({"reactants": fill("reactants"), "products": fill("products"), "rxn_agents": agents})
 
 
-def solvents(text: Column, fuzzy: dict[str, str] | None = None) -> Column:
-    """array<struct(name, confidence)> of a solvent field."""
-    return F.transform(p.tokenize(text), lambda t: chem.resolve_solvent(t, fuzzy))
+def solvents(text: Column, closest: Column | None = None) -> Column:
+    """array<struct(name, confidence)> of a solvent field; ``closest`` has the solvent that each token resembles, or null."""
+    if closest is None:
+        return F.transform(p.tokenize(text), lambda t: chem.resolve_solvent(t))
+    return F.transform(p.tokenize(text), lambda t, i: chem.resolve_solvent(t, F.get(closest, i)))
 
 
-def learn_fuzzy(raw: DataFrame, most: int = 10_000) -> dict[str, str]:
-    """Unknown solvent texts of the whole input that resemble a solvent, compared once for each distinct text.
+def learn_fuzzy(raw: DataFrame) -> DataFrame:
+    """(solvent_text, closest): the solvents that the tokens of each distinct solvent text resemble, where any does.
 
-    The table is embedded in the plan; its size is checked against ``most``.
+    Texts are compared once however many rows have them, and ``normalize``
+    joins the table by the text, so that it has no bound.
     """
-    tokens = raw.select(F.explode(p.tokenize(condition(Fields(raw), "solvent"))).alias("token"))
-    found = chem.fuzzy_solvents(tokens).limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} misspelt solvents; clean the input or raise the bound")
-    return {r["token"]: r["solvent"] for r in found}
+    f = Fields(raw)
+    texts = f.df.select(condition(f, "solvent").alias("solvent_text")).distinct()
+    asked = texts.withColumn("tokens", p.tokenize(F.col("solvent_text"))).filter(F.exists("tokens", lambda t: ~chem.is_solvent(t)))
+    found = asked.select("solvent_text", chem.closest_solvents("tokens").alias("closest"))
+    return cut(found.filter(F.exists("closest", lambda x: x.isNotNull())), "fuzzy")
 
 
-def normalize(raw: DataFrame, fuzzy: dict[str, str] | None = None, hash_mode: str = "sha2", ordinal: str | None = None) -> DataFrame:
+def normalize(raw: DataFrame, fuzzy: DataFrame | None = None, hash_mode: str = "sha2", ordinal: str | None = None) -> DataFrame:
     """One row per raw reaction with canonical sides, conditions, hash and ``failures``.
 
     present_mask has bit i set if any column of condition i is not missing,
     parsable or not.
 
     ``ordinal`` names a column with the input order; without it the order is
-    the scan's, and a stream has none. Missing columns are null. Rows whose sides are empty, before or
-    after spectators leave, have the failure ``missing_reaction_components``.
+    the scan's, and a stream has none. Missing columns are null; columns whose
+    names differ in case only are different ones. ``fuzzy`` is the table of
+    ``learn_fuzzy``. Rows whose sides are empty, before or after spectators
+    leave, have the failure ``missing_reaction_components``; others with a
+    molecule, spectators aside, whose brackets are unbalanced have
+    ``molecule_standardization``.
     """
     f = Fields(raw)
-    order = F.col(ordinal) if ordinal else F.lit(0).cast("long") if raw.isStreaming else F.monotonically_increasing_id()
-    other = lambda name: F.col(f"`{name}`") if f.has(name) else F.lit(None).cast("string")
+    raw = f.df
+    order = f.col(ordinal) if ordinal else F.lit(0).cast("long") if raw.isStreaming else F.monotonically_increasing_id()
+    other = lambda name: f.col(name) if f.has(name) else F.lit(None).cast("string")
     texts = [c for c in REACTION_TEXTS if f.has(c)]
     # Each step works on columns of the one before, so that no expression is planned or evaluated twice.
     fields = raw.select(
@@ -118,11 +137,13 @@ def normalize(raw: DataFrame, fuzzy: dict[str, str] | None = None, hash_mode: st
         f.text("yield").alias("yield"),
         other("timestamp").alias("timestamp"),
     )
+    if fuzzy is not None:
+        fields = fields.join(fuzzy, F.col("c_solvent") == F.col("solvent_text"), "left")
     lists = fields.withColumns(
         {c: p.split_entities(F.col(c)) for c in ("reactants", "products", "agents", "catalysts")}
         | {c: p.parse_reaction(F.col(c)) for c in texts}
         | {f"q_{c}": F.struct(*[x.alias(n) for x, n in zip(units.value_and_unit(F.col(f"c_{c}")), "vu", strict=True)]) for c in ("temperature", "time", "pressure")}
-        | {"solvents": solvents(F.col("c_solvent"), fuzzy)}
+        | {"solvents": solvents(F.col("c_solvent"), None if fuzzy is None else F.col("closest"))}
     )
     quantity = lambda c: (F.col(f"q_{c}.v"), F.col(f"q_{c}.u"))
     staged = components(lists, texts).select(
@@ -142,9 +163,9 @@ def normalize(raw: DataFrame, fuzzy: dict[str, str] | None = None, hash_mode: st
         "source",
         "timestamp",
     )
-    sides = staged
+    own = F.concat("s.reactants", "s.products", F.array_except("s.agents", "s.spectators"))
     empty = (F.size("s.reactants") == 0) | (F.size("s.products") == 0)
-    out = sides.select(
+    out = staged.select(
         "ord",
         "rxn_id",
         F.col("s.reactants").alias("reactants_canonical"),
@@ -171,7 +192,10 @@ def normalize(raw: DataFrame, fuzzy: dict[str, str] | None = None, hash_mode: st
         "source",
         "timestamp",
         "present_mask",
-        F.when(empty, F.array(F.lit("missing_reaction_components"))).otherwise(p.no_texts()).alias("failures"),
+        F.when(empty, F.array(F.lit("missing_reaction_components")))
+        .when(F.exists(own, lambda m: ~chem.balanced(m)), F.array(F.lit("molecule_standardization")))
+        .otherwise(p.no_texts())
+        .alias("failures"),
     )
     join = lambda c: F.array_join(c, ".")
     reaction = F.concat(join("reactants_canonical"), F.lit(">>"), join("products_canonical"), F.lit("|"), join("agents_canonical"))
@@ -194,6 +218,11 @@ def split_failures(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:
     return normalized.filter(F.size("failures") == 0).drop("failures"), bad
 
 
+def provenance_rows(good: DataFrame) -> DataFrame:
+    """(reaction_hash_v1, ord, rxn_id): one row per source of a reaction; the long form of provenance, which no hot hash outgrows."""
+    return good.select("reaction_hash_v1", "ord", "rxn_id")
+
+
 def deduplicate(good: DataFrame) -> DataFrame:
     """The first row of each reaction hash, with the rxn_ids of all in input order as provenance."""
     rest = [c for c in good.columns if c not in ("reaction_hash_v1", "provenance")]
@@ -220,14 +249,31 @@ def number(df: DataFrame, key: str, name: str) -> DataFrame:
     return fixed.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_place") + F.col("_before") + 1).drop("_part", "_place", "_before")
 
 
-def phase0(raw: DataFrame, hash_mode: str = "sha2", ordinal: str | None = None, fuzzy: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(normalized reactions with rxn_vid, failures).
+def default_ids(table: DataFrame) -> DataFrame:
+    """Rows without rxn_id get their 0-based place in the input order, as text, as id and provenance.
+
+    Places are counted only if an id is missing: rows are range-partitioned by
+    their order, and each partition's size becomes an offset of the next.
+    """
+    if table.filter("rxn_id is null").isEmpty():
+        return table
+    placed = number(table, "ord", "_nth")
+    own = F.coalesce("rxn_id", (F.col("_nth") - 1).cast("string"))
+    return placed.withColumn("provenance", F.array(own)).withColumn("rxn_id", own).drop("_nth")
+
 
-    The normalized rows become a table before they are split: both branches
-    read it, and a filter on ``failures`` isn't pushed below the expressions
-    that make it, where it would evaluate them twice.
+def normalized_table(raw: DataFrame, hash_mode: str = "sha2", ordinal: str | None = None, fuzzy: bool = True) -> DataFrame:
+    """``normalize`` as a table, every row with an id.
+
+    It is a table because a filter on ``failures`` isn't pushed below the
+    expressions that make it, where it would evaluate them twice.
     """
-    table = cut(normalize(raw, learn_fuzzy(raw) if fuzzy else None, hash_mode, ordinal), "normalized")
+    return default_ids(cut(normalize(raw, learn_fuzzy(raw) if fuzzy else None, hash_mode, ordinal), "normalized"))
+
+
+def phase0(raw: DataFrame, hash_mode: str = "sha2", ordinal: str | None = None, fuzzy: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(normalized reactions with rxn_vid, failures)."""
+    table = normalized_table(raw, hash_mode, ordinal, fuzzy)
     good, bad = split_failures(table)
     return number(deduplicate(good), "reaction_hash_v1", "rxn_vid"), bad
 
@@ -237,14 +283,21 @@ def failure_counts(normalized: DataFrame) -> DataFrame:
     return normalized.select(F.explode("failures").alias("failure")).groupBy("failure").agg(F.count("*").alias("n"))
 
 
+def warnings(normalized: DataFrame, least: float = 0.99) -> DataFrame:
+    """(warning): one row if the share of rows without failure is below ``least``."""
+    ratio = F.try_divide(F.count_if(F.size("failures") == 0), F.count("*"))
+    low = normalized.agg(ratio.alias("ratio")).filter(F.col("ratio") < least)
+    return low.select(F.concat(F.lit("success ratio "), F.format_number("ratio", 2), F.lit(f" < {least}")).alias("warning"))
+
+
 def summary(normalized: DataFrame) -> DataFrame:
-    """One row of counts over all rows that did not fail, before deduplication, and the success ratio."""
+    """One row of counts over all rows that did not fail, before deduplication, and the success ratio (null without rows)."""
     ok = F.size("failures") == 0
     size = lambda c: F.when(ok, F.size(c))
     return normalized.agg(
         F.count("*").alias("n_rows"),
         F.count_if(ok).alias("n_ok"),
-        F.round(F.count_if(ok) / F.count("*"), 6).alias("success_ratio"),
+        F.round(F.try_divide(F.count_if(ok), F.count("*")), 6).alias("success_ratio"),
         F.count_distinct(F.when(ok, F.col("reaction_hash_v1"))).alias("n_distinct"),
         (F.count_if(ok) - F.count_distinct(F.when(ok, F.col("reaction_hash_v1")))).alias("n_duplicates"),
         F.round(F.avg(size("reactants_canonical")), 6).alias("mean_reactants"),

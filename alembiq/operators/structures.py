@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parsing as p
-from ..functions.hashing import token_bit
+from ..functions.hashing import token_bits
 from ..functions.units import tanimoto
 from ..shared import cut
 from . import profile
+from .canopy import BLOCK, canopies
 
 
 def resolve(df: DataFrame, names: tuple[str, ...], suffixes: tuple[str, ...] = ("", "_lvl2", "_sig")) -> Column:
@@ -50,7 +48,7 @@ def join_levels(members: DataFrame, mechanisms: DataFrame) -> DataFrame:
     return left.join(mechanisms.withColumnsRenamed({c: f"{c}_sig" for c in both}), "rxn_vid")
 
 
-def features(joined: DataFrame, fp_bits: int = 128) -> DataFrame:
+def features(joined: DataFrame, fp_bits: int = 128, hash_mode: str = "sha2") -> DataFrame:
     """rxn_vid, CID, MID, scaffold_key, tokens, fingerprint_bits (sorted) of each joined row."""
     unknown = lambda c: F.coalesce(c, F.lit("unknown"))
     staged = joined.select(
@@ -68,54 +66,23 @@ def features(joined: DataFrame, fp_bits: int = 128) -> DataFrame:
             F.transform("events", lambda x: F.concat(F.lit("event:"), x)),
         )
     )
-    bits = F.array_sort(F.array_distinct(F.transform("tokens", lambda x: token_bit(x, fp_bits))))
+    bits = F.array_sort(F.array_distinct(token_bits(F.col("tokens"), fp_bits, hash_mode)))
     return staged.withColumn("tokens", tokens).withColumn("fingerprint_bits", bits).drop("mech", "events")
 
 
-def canopies(feats: DataFrame, threshold: float = 0.6) -> DataFrame:
-    """Greedy leader clustering in each (CID, MID), in order of rxn_vid: add canopy (1, 2, ...).
-
-    Every row joins the earliest leader it resembles, else leads. Equal
-    fingerprints share a leader, so the fold runs over the distinct
-    fingerprints of a group in order of their least rxn_vid. They stream
-    through it sorted; only the current group's leaders are held.
-    """
-    feats = cut(feats, "features")  # read twice below
-    group = ["CID", "MID", "fingerprint_bits"]
-    distinct = feats.groupBy(*group).agg(F.min("rxn_vid").alias("first"))
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key: tuple = ()
-        leaders: list[int] = []
-        for batch in batches:
-            places = []
-            for cid, mid, bits in zip(batch["CID"], batch["MID"], batch["fingerprint_bits"], strict=True):
-                if (cid, mid) != key:
-                    key, leaders = (cid, mid), []
-                own = sum(1 << int(b) for b in bits)
-                for place, lead in enumerate(leaders, 1):
-                    union = (own | lead).bit_count()
-                    if not union or (own & lead).bit_count() / union >= threshold:
-                        break
-                else:
-                    leaders.append(own)
-                    place = len(leaders)
-                places.append(place)
-            yield batch[group].assign(canopy=places)
-
-    ordered = distinct.repartition("CID", "MID").sortWithinPartitions("CID", "MID", "first")
-    placed = ordered.mapInPandas(fold, "CID string, MID string, fingerprint_bits array<int>, canopy int")
-    return feats.join(placed, group)
-
-
-def assign_structures(feats: DataFrame, threshold: float = 0.6) -> DataFrame:
+def assign_structures(feats: DataFrame, threshold: float = 0.6, block: int = BLOCK) -> DataFrame:
     """Add SID and canopy_id."""
-    found = canopies(feats, threshold)
+    found = canopies(feats, threshold, block)
     return found.withColumns(
         {"SID": F.concat(F.col("MID"), F.lit("-S"), F.col("canopy")), "canopy_id": F.concat(F.col("MID"), F.lit("-C"), F.col("canopy"))}
     ).drop("canopy")
 
 
+def level3_members(assigned: DataFrame) -> DataFrame:
+    """(CID, MID, SID, rxn_vid): the members of level-3 clusters one by one, which no hot cluster outgrows."""
+    return assigned.select("CID", "MID", "SID", "rxn_vid")
+
+
 def level3_clusters(assigned: DataFrame) -> DataFrame:
     """One row per (CID, MID, SID): members in order, the first three as exemplars, size."""
     made = assigned.groupBy("CID", "MID", "SID").agg(F.array_sort(F.collect_list("rxn_vid")).alias("rxn_vids"))
@@ -202,9 +169,11 @@ def warnings(feats: DataFrame) -> DataFrame:
     return found.select(F.explode(said).alias("warning"))
 
 
-def search(feats: DataFrame, k: int = 5) -> DataFrame:
+def stand_in_search(feats: DataFrame, k: int = 5) -> DataFrame:
     """(query, place): a stand-in index that answers every query of a group with places 0 .. min(k, size)-1, whatever the query.
 
+    ``canopy.search`` gives the nearest rows.
+
     Sizes are counted and joined, not taken over a window, so that no group
     meets in one task.
     """

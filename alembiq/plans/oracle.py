@@ -110,8 +110,8 @@ vals AS (SELECT sid, 'solvent' AS what, sol AS v, 3 AS k FROM cw UNION ALL SELEC
 tops AS (SELECT sid, what, string_agg(v || '=' || n, ';' ORDER BY n DESC, v) AS t FROM (SELECT sid, what, v, k, count(*) AS n, row_number() OVER (PARTITION BY sid, what ORDER BY count(*) DESC, v) AS pl
   FROM vals WHERE v <> '' GROUP BY sid, what, v, k) WHERE pl <= k GROUP BY sid, what),
 cards AS (SELECT cid AS "CID", mid AS "MID", sid AS "SID", count(*) AS size, max(t1.t) AS top_solvents, max(t2.t) AS top_temperatures, max(split_part(t3.t, '=', 1)) AS dominant_scaffold,
-  max(t4.t) AS mechanism_summary, round(avg(yield_share), 6) AS yield_mean, round(median(yield_share), 6) AS yield_median, count(yield_share) AS yield_count
-  FROM cw LEFT JOIN (FROM tops WHERE what = 'solvent') t1 USING (sid) LEFT JOIN (FROM tops WHERE what = 'temperature') t2 USING (sid)
+  max(t4.t) AS mechanism_summary, round(avg(yield_share), 6) AS yield_mean, round(median(yield_share), 6) AS yield_median, count(yield_share) AS yield_count,
+  array_to_string(list_transform(list(cw.rxn_vid ORDER BY cw.rxn_vid)[1:5], lambda v: 'rxn_' || v || '.svg'), ',') AS exemplars FROM cw LEFT JOIN (FROM tops WHERE what = 'solvent') t1 USING (sid) LEFT JOIN (FROM tops WHERE what = 'temperature') t2 USING (sid)
   LEFT JOIN (FROM tops WHERE what = 'scaffold') t3 USING (sid) LEFT JOIN (FROM tops WHERE what = 'token') t4 USING (sid) GROUP BY cid, mid, sid)"""
 ENTROPY = """
 sf AS (SELECT mid, f, count(*) AS n FROM (SELECT sig.mid, replace(ff.f, 'composite', 'other') AS f FROM ff JOIN sig USING (rxn_vid)) GROUP BY mid, f),
@@ -141,8 +141,8 @@ def spread(*parts: tuple[str, str, str]) -> str:
 
 ORACLE: dict[str, str] = {
     "reaction_view": chain("raw", "SELECT * RENAME (yield_share AS yield) FROM raw"),
-    "split_entities": chain("parts", "SELECT ord, array_to_string(r0, '~') AS reactants, array_to_string(p0, '~') AS products FROM parts WHERE rxn_smiles IS NULL"),
-    "parse_reaction_string": chain("parts", "SELECT ord, array_to_string(r0, '~') AS reactants, 'NaOH~K OH' AS agents, array_to_string(p0, '~') AS products FROM parts WHERE rxn_smiles IS NOT NULL"),
+    "split_entities": chain("parts", "SELECT ord, coalesce(CASE WHEN reactants IS NOT NULL THEN array_to_string(r0, '~') END, '') AS reactants, coalesce(CASE WHEN products IS NOT NULL THEN array_to_string(p0, '~') END, '') AS products FROM parts"),
+    "parse_reaction_string": chain("parts", "SELECT ord, CASE WHEN rxn_smiles IS NOT NULL THEN array_to_string(r0, '~') ELSE '' END AS reactants, CASE WHEN rxn_smiles IS NOT NULL THEN 'NaOH~K OH' ELSE '' END AS agents, CASE WHEN rxn_smiles IS NOT NULL THEN array_to_string(p0, '~') ELSE '' END AS products FROM parts"),
     "unit_quantities": chain("norm", 'SELECT ord, round(tk, 6) AS "temperature_K", ts AS time_s, pp AS "pressure_Pa", ph_n AS "pH" FROM cond'),
     "present_mask": chain("norm", "SELECT mask AS present_mask, count(*) AS n FROM cond GROUP BY mask"),
     "spectator_move": chain("parts", "SELECT ord, array_to_string(r, '~') AS reactants, array_to_string(p, '~') AS products, array_to_string(a, '~') AS agents, array_to_string(sp, '~') AS spectators FROM sides"),
@@ -157,6 +157,14 @@ ORACLE: dict[str, str] = {
         " count(*) FILTER (NOT failed) - count(DISTINCT h) FILTER (NOT failed) AS n_duplicates, round(avg(len(r)) FILTER (NOT failed), 6) AS mean_reactants, median(len(r)) FILTER (NOT failed) AS median_reactants,"
         " max(len(p)) FILTER (NOT failed) AS max_products, min(len(a)) FILTER (NOT failed) AS min_agents, (SELECT count(DISTINCT main) FROM main) AS n_substrates FROM norm",
     ),
+    "normalization_warnings": chain("norm", "SELECT 'success ratio ' || format('{:.2f}', count(*) FILTER (NOT failed) / count(*)) || ' < 0.99' AS warning FROM norm HAVING count(*) FILTER (NOT failed) / count(*) < 0.99"),
+    "clashing_columns": chain(
+        "norm",
+        "SELECT ord, CASE WHEN ord % 9 = 0 THEN (row_number() OVER (ORDER BY ord) - 1)::VARCHAR ELSE rxn_id END AS rxn_id, CASE WHEN ord % 2 = 0 THEN 3.0::DOUBLE ELSE ph_n END AS \"pH\","
+        " CASE WHEN ord % 9 = 0 THEN (row_number() OVER (ORDER BY ord) - 1)::VARCHAR ELSE rxn_id END AS provenance FROM cond",
+    ),
+    "unbalanced_molecules": "SELECT p_partkey::VARCHAR AS rxn_id, 'molecule_standardization' AS failures FROM part WHERE p_size % 10 = 0",
+    "provenance_rows": chain("norm", "SELECT h AS reaction_hash_v1, ord, rxn_id FROM good"),
     "normalization_usage": chain("norm", usage(("present_mask_before", "mask", "good"), ("present_mask", "mask", "rx"), ("solvent", "unnest(sol)", "rx"), ("main_substrate", "main", "rx"))),
     "normalization_spread": chain("norm", spread(("reactants", "len(r)", "good"), ("products", "len(p)", "good"), ("agents", "len(a)", "good"))),
     "dedup_provenance": chain("norm", "SELECT rxn_vid, h AS reaction_hash_v1, rxn_id, provenance FROM rx"),
@@ -169,6 +177,9 @@ ORACLE: dict[str, str] = {
     "condition_summary": chain("keys", "SELECT count(*) AS n_rows, count(DISTINCT cid) AS n_conditions, round(avg(conf), 6) AS mean_confidence, round(median(conf), 6) AS median_confidence FROM keys"),
     "condition_usage": chain("keys", usage(*[(n, e, "keys") for n, e in (("cond_hash", "cid"), ("cond_hash_prefix", "cid[1:8]"), ("present_mask", "mask"), ("temp_K_bin", "tb"), ("time_s_bin", "sb"), ("pressure_Pa_bin", "pb"), ("pH_bin", "hb"), ("solvent_key", "sk"), ("catalyst_key", "ck"), ("agent_key", "ak"))])),
     "level1_clusters": chain("keys", """SELECT cid AS "CID", string_agg(rxn_vid::VARCHAR, ',' ORDER BY rxn_vid) AS rxn_vids FROM keys GROUP BY cid"""),
+    "level1_members": chain("keys", """SELECT cid AS "CID", rxn_vid FROM keys"""),
+    "unmapped_signatures": "SELECT p_partkey AS rxn_vid, 'unmapped' AS signature_type, sha256('R:' || w || '|P:' || reverse(w)) AS mech_sig_base, 'R:' || w || '~P:' || reverse(w) AS event_tokens, w AS scaffold_key FROM (SELECT p_partkey, split_part(p_name, ' ', 1) AS w FROM part)",
+    "level2_members": chain("sig", """SELECT cid AS "CID", mid AS "MID", rxn_vid FROM sig"""),
     "multiset_delta": chain("sig", "SELECT rxn_vid, array_to_string(ev, '~') AS events FROM events"),
     "mechanism_signatures": chain(
         "sig",
@@ -195,7 +206,14 @@ ORACLE: dict[str, str] = {
     "canopy_clusters": chain("sids", """SELECT rxn_vid, sid AS "SID" FROM sids"""),
     "level3_clusters": chain("sids", """SELECT cid AS "CID", mid AS "MID", sid AS "SID", array_to_string(list(rxn_vid ORDER BY rxn_vid), ',') AS rxn_vids, array_to_string(list(rxn_vid ORDER BY rxn_vid)[1:3], ',') AS exemplar_vids, count(*) AS cluster_size FROM sids GROUP BY ALL"""),
     "ann_manifest": chain("feat", "SELECT cid, mid, count(*) AS size, 32 AS m, 400 AS efc FROM feat GROUP BY cid, mid"),
-    "ann_search": chain("feat", "SELECT rxn_vid AS query, unnest(range(least(5, n)))::INT AS place FROM (SELECT rxn_vid, count(*) OVER (PARTITION BY cid, mid) AS n FROM feat)"),
+    "ann_search": chain(
+        "feat",
+        "SELECT query, place, rxn_vid, round(s, 6) AS similarity FROM (SELECT query, rxn_vid, s, row_number() OVER (PARTITION BY query ORDER BY s DESC, rxn_vid)::INT AS place FROM (SELECT a.rxn_vid AS query, b.rxn_vid,"
+        " len(list_intersect(a.bits, b.bits))::DOUBLE / (len(a.bits) + len(b.bits) - len(list_intersect(a.bits, b.bits))) AS s FROM feat a JOIN feat b ON a.cid = b.cid AND a.mid = b.mid WHERE a.rxn_vid % 100 = 0)) WHERE place <= 5",
+    ),
+    "level3_members": chain("sids", """SELECT cid AS "CID", mid AS "MID", sid AS "SID", rxn_vid FROM sids"""),
+    "silent_structures": "SELECT 'all fingerprints are equal' AS warning FROM region HAVING count(*) > 1 UNION ALL SELECT count(*) || ' reactions have no event' FROM region",
+    "ann_stand_in": chain("feat", "SELECT rxn_vid AS query, unnest(range(least(5, n)))::INT AS place FROM (SELECT rxn_vid, count(*) OVER (PARTITION BY cid, mid) AS n FROM feat)"),
     "structure_summary": chain(
         "feat",
         "SELECT count(*) AS n_rows, round(avg(len(bits)), 6) AS mean_bits, median(len(bits)) AS median_bits, min(len(bits)) AS min_bits, max(len(bits)) AS max_bits, count(DISTINCT bits) AS n_patterns, count(*) FILTER (len(bits) = 0) AS n_empty,"
@@ -211,8 +229,9 @@ ORACLE: dict[str, str] = {
     ),
     "merge_assignments": chain("sids", """SELECT rxn_vid, cid AS "CID", mid AS "MID", sid AS "SID" FROM sids"""),
     "cluster_cards": chain("sids", "SELECT * FROM cards", CARD),
-    "clusters_final": chain("sids", """SELECT rxn_vid, sids.sid AS "SID", size AS card_size, dominant_scaffold FROM sids JOIN cards ON sids.sid = cards."SID" """, CARD),
+    "clusters_final": chain("sids", """SELECT rxn_vid, sids.sid AS "SID", size AS card_size, dominant_scaffold, sids.cid AS "CID", sids.mid AS "MID", yield_count, exemplars, top_solvents, top_temperatures, mechanism_summary FROM sids JOIN cards ON sids.sid = cards."SID" """, CARD),
     "cross_view_edges": f"WITH {EDGES} SELECT a.kind, a.shared_id, a.\"CID\" AS source, b.\"CID\" AS target, least(a.n, b.n) AS weight FROM ac a JOIN ac b ON a.kind = b.kind AND a.shared_id = b.shared_id AND a.\"CID\" < b.\"CID\"",
+    "cross_view_classes": f'WITH {EDGES} SELECT kind, shared_id, count(*) AS conditions, sum(n)::BIGINT AS reactions, max(n) AS largest FROM ac GROUP BY kind, shared_id HAVING count(*) > 1',
     "stats_jsonl": chain("sids", """SELECT 'cluster_card' AS type, count(*) AS n FROM cards""", CARD),
     "top_values": "SELECT o_orderstatus, string_agg(o_orderpriority || '=' || n, ';' ORDER BY n DESC, o_orderpriority) AS top FROM (SELECT o_orderstatus, o_orderpriority, count(*) AS n, row_number() OVER (PARTITION BY o_orderstatus ORDER BY count(*) DESC, o_orderpriority) AS pl FROM orders GROUP BY 1, 2) WHERE pl <= 3 GROUP BY 1",
     "yield_summary": "SELECT c_mktsegment, round(avg(c_acctbal), 4) AS yield_mean, round(median(c_acctbal), 4) AS yield_median, count(c_acctbal) AS yield_count FROM customer GROUP BY 1",
@@ -238,3 +257,4 @@ ORACLE: dict[str, str] = {
         "SELECT count(*) AS n_clusters, sum(size)::BIGINT AS n_reactions, min(size) AS min_size, median(size::DOUBLE) AS median_size, quantile_cont(size::DOUBLE, 0.9) AS p90_size, max(size) AS max_size, abs(round(median(ent), 6)) AS median_entropy, round(median(share), 6) AS median_top1 FROM c2",
     ),
 }
+ORACLE["edge_lines"] = ORACLE["cross_view_edges"]

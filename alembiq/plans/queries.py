@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parsing as p
-from ..operators import coherence, conditions, fusion, mechanism, normalize, structures
+from ..operators import canopy, coherence, conditions, fusion, mechanism, normalize, structures
 from ..shared import cut
 from ..sources import files
 from .oracle import ORACLE
@@ -42,7 +42,7 @@ def rounded(df: DataFrame, places: int = 6, *names: str) -> DataFrame:
 
 def normalized(spark: SparkSession, d: str) -> DataFrame:
     raw = reaction_view(spark, d)
-    return cut(normalize.normalize(raw, normalize.learn_fuzzy(raw), ordinal="ord"), "normalized")
+    return normalize.normalized_table(raw, ordinal="ord")
 
 
 def reactions(spark: SparkSession, d: str) -> DataFrame:
@@ -66,14 +66,14 @@ def metrics(spark: SparkSession, d: str) -> DataFrame:
     return coherence.cluster_metrics(clusters2(spark, d))
 
 
-def fused(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def fused(spark: SparkSession, d: str, check: bool = False) -> tuple[DataFrame, DataFrame]:
     """(assignments, cards) of all five phases."""
     rx = reactions(spark, d)
     keys = conditions.condition_keys(rx)
     sig = cut(mechanism.assign_clusters(mechanism.signatures(keys, rx)), "clustered")
     assigned = cut(structures.assign_structures(structures.features(sig)), "structures")
-    level2 = mechanism.level2_clusters(sig).withColumnsRenamed({"cond_hash": "CID", "cluster_id": "MID"})
-    merged = fusion.merge_assignments(conditions.level1_clusters(keys), level2, structures.level3_clusters(assigned), check=False)
+    levels = conditions.level1_members(keys), mechanism.level2_members(sig), structures.level3_members(assigned)
+    merged = cut(fusion.merge_assignments(*levels, check=check), "assignments")
     return merged, fusion.cluster_cards(merged, assigned, sig, rx)
 
 
@@ -90,13 +90,13 @@ REGISTERED["reaction_view"] = REGISTERED.pop("reaction_view_")
 
 @query
 def split_entities(spark, d):
-    raw = reaction_view(spark, d).filter("rxn_smiles is null")
+    raw = reaction_view(spark, d)
     return raw.select("ord", *[joined(p.split_entities(F.col(c))).alias(c) for c in ("reactants", "products")])
 
 
 @query
 def parse_reaction_string(spark, d):
-    raw = reaction_view(spark, d).filter("rxn_smiles is not null").select("ord", p.parse_reaction(F.col("rxn_smiles")).alias("x"))
+    raw = reaction_view(spark, d).select("ord", p.parse_reaction(F.col("rxn_smiles")).alias("x"))
     return raw.select("ord", *[joined(f"x.{c}").alias(c) for c in ("reactants", "agents", "products")])
 
 
@@ -131,8 +131,8 @@ def role_scores(spark, d):
 @query
 def solvent_resolution(spark, d):
     raw = reaction_view(spark, d)
-    fuzzy = normalize.learn_fuzzy(raw)
-    found = raw.select("solvent", normalize.solvents(F.col("solvent"), fuzzy).alias("x"))
+    both = raw.select("solvent").join(normalize.learn_fuzzy(raw), F.col("solvent") == F.col("solvent_text"), "left")
+    found = both.select("solvent", normalize.solvents(F.col("solvent"), F.col("closest")).alias("x"))
     mean = F.when(F.size("x") > 0, F.aggregate("x", F.lit(0.0), lambda a, y: a + y["confidence"]) / F.size("x")).otherwise(0.0)
     return found.groupBy("solvent", joined("x.name").alias("resolved"), mean.alias("confidence")).agg(F.count("*").alias("n"))
 
@@ -159,6 +159,37 @@ def normalization_summary(spark, d):
     return normalize.summary(normalized(spark, d))
 
 
+@query
+def normalization_warnings(spark, d):
+    return normalize.warnings(normalized(spark, d))
+
+
+@query
+def clashing_columns(spark, d):
+    """Rows with both pH and ph, and without an id where the order is a multiple of 9."""
+    raw = reaction_view(spark, d).withColumn("rxn_id", F.when(F.col("ord") % 9 != 0, F.col("rxn_id")))
+    raw = raw.select("*", F.when(F.col("ord") % 2 == 0, "3").alias("pH"))
+    return normalize.normalized_table(raw, ordinal="ord").select("ord", "rxn_id", "pH", F.array_join("provenance", ",").alias("provenance"))
+
+
+@query
+def unbalanced_molecules(spark, d):
+    """Part names as reactants, some with an open bracket."""
+    part = spark.read.parquet(f"{d}/part.parquet")
+    word = F.split_part("p_name", F.lit(" "), F.lit(1))
+    raw = part.select(
+        F.col("p_partkey").alias("rxn_id"), F.concat(F.when(F.col("p_size") % 10 == 0, "[").otherwise(""), word).alias("reactants"), F.lit("C").alias("products")
+    )
+    _, bad = normalize.split_failures(normalize.normalize(raw))
+    return bad.select("rxn_id", F.array_join("failures", ",").alias("failures"))
+
+
+@query
+def provenance_rows(spark, d):
+    good, _ = normalize.split_failures(normalized(spark, d))
+    return normalize.provenance_rows(good)
+
+
 @query
 def normalization_usage(spark, d):
     good, _ = normalize.split_failures(normalized(spark, d))
@@ -185,7 +216,8 @@ def condition_keys(spark, d):
 
 @query
 def condition_groups(spark, d):
-    return condition_keys(spark, d).groupBy("cond_hash").agg(F.count("*").alias("n"))
+    raw = reaction_view(spark, d)
+    return conditions.condition_sizes(normalize.normalize(raw, normalize.learn_fuzzy(raw), ordinal="ord"))
 
 
 @query
@@ -203,6 +235,11 @@ def level1_clusters(spark, d):
     return conditions.level1_clusters(condition_keys(spark, d)).withColumn("rxn_vids", joined("rxn_vids", ","))
 
 
+@query
+def level1_members(spark, d):
+    return conditions.level1_members(condition_keys(spark, d))
+
+
 # Phase 2.
 
 
@@ -228,6 +265,24 @@ def mechanism_signatures(spark, d):
     )
 
 
+@query
+def unmapped_signatures(spark, d):
+    """Part names backwards have the same characters, so that no reaction is mapped."""
+    part = spark.read.parquet(f"{d}/part.parquet")
+    word = F.split_part("p_name", F.lit(" "), F.lit(1))
+    rows = part.select(
+        F.col("p_partkey").alias("rxn_vid"), F.col("p_brand").alias("cond_hash"), F.array(word).alias("reactants_canonical"),
+        F.array(F.reverse(word)).alias("products_canonical"), word.alias("role_main_substrate"),
+    )
+    found = mechanism.signatures(rows.select("rxn_vid", "cond_hash"), rows)
+    return found.select("rxn_vid", "signature_type", "mech_sig_base", joined("event_tokens").alias("event_tokens"), "scaffold_key")
+
+
+@query
+def level2_members(spark, d):
+    return mechanism.level2_members(sigs(spark, d))
+
+
 @query
 def coarse_keys(spark, d):
     return mechanism.coarse_usage(sigs(spark, d))
@@ -312,9 +367,28 @@ def ann_manifest(spark, d):
     return structures.ann_manifest(feats(spark, d))
 
 
+@query
+def ann_stand_in(spark, d):
+    return structures.stand_in_search(feats(spark, d))
+
+
 @query
 def ann_search(spark, d):
-    return structures.search(feats(spark, d))
+    return rounded(canopy.search(feats(spark, d), F.col("rxn_vid") % 100 == 0))
+
+
+@query
+def level3_members(spark, d):
+    return structures.level3_members(structures.assign_structures(feats(spark, d)))
+
+
+@query
+def silent_structures(spark, d):
+    """Reactions without events, all alike: every warning of phase 3 but that of empty fingerprints."""
+    region = spark.read.parquet(f"{d}/region.parquet")
+    same = {"CID": "c", "MID": "m", "scaffold_key": "S", "mech_sig_base": "b"}
+    rows = region.select(F.col("r_regionkey").alias("rxn_vid"), *[F.lit(v).alias(k) for k, v in same.items()], p.no_texts().alias("event_tokens"))
+    return structures.warnings(structures.features(rows))
 
 
 @query
@@ -347,31 +421,53 @@ def sampled_similarity(spark, d):
 
 @query
 def merge_assignments(spark, d):
-    return fused(spark, d)[0]
+    return fused(spark, d, check=True)[0]
 
 
 @query
 def cluster_cards(spark, d):
-    cards = fused(spark, d)[1].drop("exemplars")
+    cards = fused(spark, d)[1].withColumn("exemplars", joined("exemplars", ","))
     return rounded(cards.withColumns({c: written(c) for c in ("top_solvents", "top_temperatures", "mechanism_summary")}))
 
 
 @query
 def clusters_final(spark, d):
     final = fusion.clusters_final(*fused(spark, d))
-    card = F.from_json("cluster_card", "size long, dominant_scaffold string")
-    return final.select("rxn_vid", "SID", card["size"].alias("card_size"), card["dominant_scaffold"].alias("dominant_scaffold"))
-
-
-@query
-def cross_view_edges(spark, d):
+    values = "array<struct<value:string,count:long>>"
+    lists = ("top_solvents", "top_temperatures", "mechanism_summary")
+    kinds = "CID string, MID string, size long, dominant_scaffold string, exemplars array<string>, yield_count long"
+    read = final.withColumn("card", F.from_json("cluster_card", ", ".join([kinds, *[f"{c} {values}" for c in lists]])))
+    return read.select(
+        "rxn_vid", "SID", F.col("card.size").alias("card_size"), "card.dominant_scaffold", "card.CID", "card.MID", "card.yield_count",
+        joined("card.exemplars", ",").alias("exemplars"), *[written(f"card.{c}").alias(c) for c in lists],
+    )
+
+
+def shared_views(spark, d):
+    """Brands, kinds and sizes of the parts of order lines as conditions and clusters that conditions share."""
     line, part = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("lineitem", "part"))
     both = line.join(part, line["l_partkey"] == part["p_partkey"])
-    assigned = both.select(
+    return both.select(
         "l_orderkey", "l_linenumber", F.col("p_brand").alias("CID"), F.split_part("p_type", F.lit(" "), F.lit(1)).alias("MID"),
         F.concat(F.lit("S"), F.col("p_size") % 5).alias("SID"),
     ).distinct()
-    return fusion.cross_view_edges(assigned)
+
+
+@query
+def cross_view_edges(spark, d):
+    return fusion.cross_view_edges(shared_views(spark, d))
+
+
+@query
+def cross_view_classes(spark, d):
+    return fusion.cross_view_classes(shared_views(spark, d))
+
+
+@query
+def edge_lines(spark, d):
+    """The edges as JSON lines, read back."""
+    lines = files.json_lines(fusion.cross_view_edges(shared_views(spark, d)))
+    return lines.select(F.from_json("value", "kind string, shared_id string, source string, target string, weight long").alias("x")).select("x.*")
 
 
 @query

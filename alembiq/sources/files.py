@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,9 +36,21 @@ def interchange(df: DataFrame) -> DataFrame:
     return df.select(*[F.to_json(c).alias(c) if t.startswith(nested) else F.col(c) for c, t in df.dtypes])
 
 
-def write_table(df: DataFrame, path: str, *partition_by: str) -> None:
-    """Parquet with the declared schema, also when empty; Spark adds _SUCCESS."""
-    writer = df.write.mode("overwrite")
+@contextmanager
+def case_sensitive(spark: SparkSession) -> Iterator[None]:
+    """Read and write tables whose column names differ in case only."""
+    name = "spark.sql.caseSensitive"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def write_table(df: DataFrame, path: str, *partition_by: str, order: tuple[str, ...] = ()) -> None:
+    """Parquet with the declared schema, also when empty, sorted over all files by ``order``; Spark adds _SUCCESS."""
+    writer = (df.orderBy(*order) if order else df).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 

@@ -1,16 +1,19 @@
 """The five phases and the coherence report on small literal rows."""
 
+import json
 import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from alembiq import jobs
 from alembiq.functions import chemistry as chem
 from alembiq.functions import hashing, units
 from alembiq.functions import parsing as p
-from alembiq.operators import coherence, conditions, fusion, mechanism, normalize, structures
+from alembiq.operators import canopy, coherence, conditions, fusion, mechanism, normalize, structures
 from alembiq.plans import queries
 from alembiq.sources import files
 
@@ -69,6 +72,38 @@ def test_failures(spark):
     assert normalize.summary(table).first().n_ok == 1
 
 
+def test_columns_that_differ_in_case(spark, tmp_path):
+    row = {"rxn_id": "a", "reactants": "CCO", "products": "CCOC", "pH": "7", "ph": 8.0, "temperature_K": 1.0, "temperature_k": 300.0}
+    r = normalize.normalize(frame(spark, row, dict(row, rxn_id="b", pH=None))).orderBy("rxn_id").collect()
+    assert [(x.pH, x.temperature_K) for x in r] == [(7.0, 300.0), (8.0, 300.0)]
+    with files.case_sensitive(spark):
+        frame(spark, row).write.parquet(f"{tmp_path}/raw.parquet")
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
+    jobs.phase0(spark, f"{tmp_path}/raw.parquet", f"{tmp_path}/rx.parquet", interchange=True)
+    got = spark.read.parquet(f"{tmp_path}/rx.parquet").first()
+    assert got.pH == 7.0 and got.reactants_canonical == '["CCO"]' and got.provenance == '["a"]'
+
+
+def test_missing_ids_are_places(spark):
+    rows = [{"rxn_id": None if i % 3 else f"r{i}", "reactants": "N" * (i + 1), "products": "C" if i % 5 else None, "o": i} for i in range(20)]
+    done, bad = normalize.phase0(frame(spark, *rows).repartition(3), ordinal="o")
+    got = {r.reactants_canonical[0]: (r.rxn_id, r.provenance) for r in done.collect()}
+    want = {i: f"r{i}" if i % 3 == 0 else str(i) for i in range(20)}
+    assert got == {"N" * (i + 1): (want[i], [want[i]]) for i in range(20) if i % 5}
+    assert {r.rxn_id for r in bad.collect()} == {want[i] for i in range(0, 20, 5)}
+    in_file_order = normalize.normalized_table(frame(spark, *rows).coalesce(1)).collect()
+    assert {r.rxn_id for r in in_file_order} == set(want.values())
+
+
+def test_unbalanced_molecules_fail(spark):
+    rows = [{"rxn_id": "a", "reactants": "C(C", "products": "CC"}, {"rxn_id": "b", "reactants": "C;[Na", "products": "CC;[Na"}, {"rxn_id": "c", "reactants": "C", "products": "O", "agents": "[Pd"}]
+    table = normalize.normalize(frame(spark, *rows))
+    assert {r.rxn_id: r.failures for r in table.collect()} == {"a": ["molecule_standardization"], "b": [], "c": ["molecule_standardization"]}
+    assert [r.warning for r in normalize.warnings(table).collect()] == ["success ratio 0.33 < 0.99"]
+    assert normalize.warnings(table.filter("rxn_id = 'b'")).count() == 0 and normalize.warnings(table.limit(0)).count() == 0
+    assert normalize.summary(table.limit(0)).first().success_ratio is None
+
+
 def test_dedup_keeps_first_and_numbers(spark):
     rows = [dict(R1, rxn_id=f"r{i}", reactants="N" * (i % 7 + 1), o=i) for i in range(40)]
     done, bad = normalize.phase0(frame(spark, *rows), ordinal="o")
@@ -105,9 +140,11 @@ def test_parsing(spark):
 
 
 def test_units(spark):
-    assert ask(spark, units.temperature_k, "77 °F", "77 F", "rt", "300 K", "25", "20-25 C") == [350.15, pytest.approx(298.15), None, 300.0, 298.15, 293.15]
-    assert ask(spark, units.time_s, "2 h", "1 day", "5 m", "7 foo", None) == [7200.0, 86400.0, 300.0, 7.0, None]
-    assert ask(spark, units.pressure_pa, "1,000 Pa", "1 mPa", "2 bar") == [1.0, 1e6, 2e5]
+    kelvin = lambda c: units.kelvin(*units.value_and_unit(c))
+    seconds, pascals = (lambda c, f=f: units.scaled(*units.value_and_unit(c), f) for f in (units.SECONDS, units.PASCALS))
+    assert ask(spark, kelvin, "77 °F", "77 F", "rt", "300 K", "25", "20-25 C") == [350.15, pytest.approx(298.15), None, 300.0, 298.15, 293.15]
+    assert ask(spark, seconds, "2 h", "1 day", "5 m", "7 foo", None) == [7200.0, 86400.0, 300.0, 7.0, None]
+    assert ask(spark, pascals, "1,000 Pa", "1 mPa", "2 bar") == [1.0, 1e6, 2e5]
     assert ask(spark, units.bin_temperature, 298.15, 450.0, 400.0, 405.0, None, kind="double") == ["290-300", "450-475", "400-410", "400-425", None]
     assert ask(spark, units.bin_decade, 1800.0, 101325.0, 1000.0, 0.5, 0.05, 0.0, None, kind="double") == ["1000-10000", "100000-1000000", "1000-10000", "0-1", "0-0", "0-1", None]
     assert ask(spark, units.bin_ph, -1.0, 14.7, 7.2, None, kind="double") == ["0-1", "14-14", "7-8", None]
@@ -120,10 +157,14 @@ def test_chemistry(spark):
                    "gain:bond_symbol", "neutral:topology", "neutral:atom_lower", "gain:other"]
     got = ask(spark, chem.scaffold_family, None, "Unknown", "A.B", "[Pd]C", "c1ccccc1", "c1ccncc1", "CCC", "CCO", "O", "[H][H]")
     assert got == ["unknown", "unknown", "multi_fragment", "organometallic", "aromatic", "aromatic_hetero", "aliphatic", "aliphatic_hetero", "hetero_only", "inorganic"]
-    got = ask(spark, lambda c: chem.resolve_solvent(c, {"watr": "water"}), "Water", "H2O", "watr", "thf")
+    got = ask(spark, lambda c: chem.resolve_solvent(c, F.when(c == "watr", "water")), "Water", "H2O", "watr", "thf")
     assert [tuple(x) for x in got] == [("water", 1.0), ("water", 0.8), ("water", 0.5), ("thf", 0.1)]
-    learnt = normalize.learn_fuzzy(frame(spark, {"solvent": "watr; thf"}, {"solvent": "Ethanl"}))
-    assert learnt == {"watr": "water", "ethanl": "ethanol"}
+    raw = frame(spark, {"solvent": "watr; thf"}, {"solvent": "Ethanl"}, {"solvent": "thf"}, {"solvent": "water"})
+    learnt = normalize.learn_fuzzy(raw)
+    assert sorted(map(tuple, learnt.collect())) == [("Ethanl", ["ethanol"]), ("watr; thf", ["water", None])]
+    got = normalize.normalize(raw.selectExpr("*", "'A' reactants", "'B' products"), learnt).collect()
+    assert sorted((tuple(r.solvent_normalized), r.solvent_confidence) for r in got) == [(("ethanol",), 0.5), (("thf",), 0.1), (("water",), 1.0), (("water", "thf"), 0.3)]
+    assert ask(spark, chem.balanced, "C(C)[Na+]", "C(C", "[Na", "CC", "") == [True, False, False, True, True]
     assert ask(spark, chem.molecule_score, "CCO", "c1ccncc1", "aryl") == [3.0, pytest.approx(9.9), 6.0]
 
 
@@ -208,10 +249,49 @@ def test_canopies_are_greedy_leaders(spark):
                 leaders.append(b)
                 want = len(leaders)
             assert got[v] == want
+    for block in (1, 7):
+        assert {r.rxn_id: r.canopy for r in canopy.canopies(df.withColumnRenamed("rxn_vid", "rxn_id").withColumn("rxn_vid", F.col("rxn_id")), 0.5, block).collect()} == got
     made = structures.level3_clusters(structures.assign_structures(df.withColumn("scaffold_key", F.lit("s")), 0.5))
     assert made.agg(F.sum("cluster_size")).first()[0] == 119 and made.filter(F.size("exemplar_vids") > 3).count() == 0
 
 
+def test_canopies_of_one_large_group(spark):
+    """200,000 distinct fingerprints of one group: noise around some centres, in rounds of a bounded block."""
+    rng = np.random.default_rng(1)
+    centres = [np.sort(rng.choice(128, 40, replace=False)) for _ in range(60)]
+    picks = rng.integers(0, 60, 200_000)
+    drop = rng.integers(0, 40, (200_000, 4))
+    lists = [np.delete(centres[c], np.unique(d)).tolist() for c, d in zip(picks.tolist(), drop, strict=True)]
+    names = [str(x) for x in lists]
+    rows = pd.DataFrame({"rxn_vid": range(200_000), "CID": "c", "MID": "m", "fingerprint_bits": lists})
+    got = canopy.canopies(spark.createDataFrame(rows, "rxn_vid long, CID string, MID string, fingerprint_bits array<int>"), 0.6)
+    got = got.toPandas().sort_values("rxn_vid")
+    assert len(set(names)) > 150_000 and len(got) == 200_000
+    # leaders are those of one pass over a bit matrix
+    bits = canopy.matrix(lists, 128)
+    size, want, n = bits.sum(axis=1), np.zeros(200_000, int), 0
+    while (left := np.flatnonzero(want == 0)).size:
+        n += 1
+        common = bits[left] @ bits[left[0]]
+        want[left[common / (size[left] + size[left[0]] - common) >= 0.6]] = n
+    assert (got["canopy"].to_numpy() == want).all()
+
+
+@pytest.mark.parametrize("block", [3, 2048])
+def test_search_is_exact(spark, block):
+    rng = random.Random(8)
+    rows = [(v, f"c{v % 2}", "m", sorted(rng.sample(range(9), rng.randrange(0, 5)))) for v in range(1, 90)]
+    df = spark.createDataFrame(rows, "rxn_vid long, CID string, MID string, fingerprint_bits array<int>")
+    got = {(r.query, r.place): (r.rxn_vid, r.similarity) for r in canopy.search(df, F.col("rxn_vid") % 10 == 0, 4, block).collect()}
+    want = {}
+    for v, cid, _, bits in rows:
+        if v % 10 == 0:
+            sims = [(-(len(set(bits) & set(b)) / len(set(bits) | set(b)) if bits or b else 1.0), w) for w, c, _, b in rows if c == cid]
+            want |= {(v, k): (w, -s) for k, (s, w) in enumerate(sorted(sims)[:4], 1)}
+    assert got == want
+    assert canopy.search(df.limit(0), F.col("rxn_vid") > 0).count() == 0 and canopy.search(df, F.lit(None).cast("boolean")).count() == 0
+
+
 def test_tanimoto(spark):
     df = spark.createDataFrame([([1, 2, 3], [1, 2, 4]), ([1], [7]), ([], []), ([], [1])], "a array<int>, b array<int>")
     assert [r[0] for r in df.select(units.tanimoto(F.col("a"), F.col("b"))).collect()] == [0.5, 0.0, 1.0, 0.0]
@@ -228,6 +308,8 @@ def test_merge_assignments(spark):
     l1, l2, l3 = levels(spark)
     got = sorted(tuple(r) for r in fusion.merge_assignments(l1, l2, l3).collect())
     assert got == [(1, "C1", "M1", "S1"), (2, "C1", "M2", "S2"), (3, "C2", "M3", "S3")]
+    long = [x.withColumn("rxn_vid", F.explode("rxn_vids")).drop("rxn_vids") for x in (l1, l2, l3)]
+    assert sorted(tuple(r) for r in fusion.merge_assignments(*long).collect()) == got
     with pytest.raises(ValueError, match=r"\[9\]"):
         fusion.merge_assignments(l1, l2.union(spark.createDataFrame([("C9", "M9", [9])], l2.schema)), l3)
 
@@ -252,6 +334,7 @@ def test_edges(spark):
     assigned = spark.createDataFrame([(1, "C1", "M1", "S1"), (2, "C2", "M1", "S2"), (3, "C2", "M2", "S2"), (4, "C3", "M1", "S2")], "rxn_vid long, CID string, MID string, SID string")
     got = sorted(tuple(r) for r in fusion.cross_view_edges(assigned).collect())
     assert got == [("MID", "M1", "C1", "C2", 1), ("MID", "M1", "C1", "C3", 1), ("MID", "M1", "C2", "C3", 1), ("SID", "S2", "C2", "C3", 1)]
+    assert sorted(map(tuple, fusion.cross_view_classes(assigned).collect())) == [("MID", "M1", 3, 3, 1), ("SID", "S2", 2, 3, 2)]
     lines = fusion.stats_lines(spark.createDataFrame([("C1", 2)], "CID string, size long"), fusion.cross_view_edges(assigned))
     assert lines.groupBy("type").count().count() == 2
 
@@ -292,7 +375,41 @@ def test_hash_modes(spark):
 
     assert ask(spark, hashing.hex_digest, "abc") == [hashlib.sha256(b"abc").hexdigest()]
     assert ask(spark, lambda c: hashing.hex_digest(c, "parity"), "abc", None) == [hashlib.blake2b(b"abc", digest_size=32).hexdigest(), None]
-    assert ask(spark, lambda c: hashing.token_bit(c, 128), "tok") == [int(hashlib.sha256(b"tok").hexdigest()[:8], 16) % 128]
+    one_bit = lambda mode: ask(spark, lambda c: hashing.token_bits(F.array(c), 128, mode), "tok")
+    assert one_bit("sha2") == [[int(hashlib.sha256(b"tok").hexdigest()[:8], 16) % 128]]
+    assert one_bit("parity") == [[int(hashlib.blake2b(b"tok", digest_size=32).hexdigest()[:8], 16) % 128]]
+
+
+def test_parity_reaches_coarse_keys_and_fingerprints(spark):
+    import hashlib
+
+    keys = spark.sql("select 1L rxn_vid, 'c' cond_hash")
+    rx = spark.sql("select 1L rxn_vid, array('CCO') reactants_canonical, array('CC=O') products_canonical, 'CCO' role_main_substrate")
+    r = mechanism.signatures(keys, rx, "parity").first()
+    text = json.dumps({"scaffold": r.coarse_key.scaffold, "families": [list(x) for x in r.coarse_key.families]}, sort_keys=True)
+    assert r.coarse_key_hash == hashlib.blake2s(text.encode(), digest_size=16).hexdigest()
+    f = structures.features(mechanism.signatures(keys, rx, "parity").withColumnRenamed("cond_hash", "CID"), 64, "parity").first()
+    assert f.fingerprint_bits == sorted({int(hashlib.blake2b(t.encode(), digest_size=32).hexdigest()[:8], 16) % 64 for t in f.tokens})
+
+
+def test_report_of_interchange_files(spark, tmp_path):
+    """Counts, coarse keys and tokens as JSON text give the report of the nested columns."""
+    keys = spark.createDataFrame([(v, f"c{v % 2}") for v in range(1, 9)], "rxn_vid long, cond_hash string")
+    sides = [(v, ["C" * (v % 3 + 1)], ["CO" if v % 4 else "CN"], "CCO") for v in range(1, 9)]
+    rx = spark.createDataFrame(sides, "rxn_vid long, reactants_canonical array<string>, products_canonical array<string>, role_main_substrate string")
+    sigs = mechanism.assign_clusters(mechanism.signatures(keys, rx))
+    clusters = mechanism.level2_clusters(sigs)
+    flat = files.interchange(clusters.withColumn("coarse_key", chem.coarse_json(F.col("coarse_key"))))
+    assert dict(flat.dtypes)["mech_sig_base_counts"] == dict(flat.dtypes)["coarse_key"] == "string"
+    flat.write.parquet(f"{tmp_path}/c.parquet")
+    files.interchange(sigs.drop("coarse_key")).write.parquet(f"{tmp_path}/s.parquet")
+    jobs.report(spark, f"{tmp_path}/c.parquet", f"{tmp_path}/out", f"{tmp_path}/s.parquet")
+    want = coherence.enrich(coherence.cluster_metrics(clusters), coherence.signature_metrics(sigs))
+    assert sorted(map(repr, spark.read.parquet(f"{tmp_path}/out/clusters.parquet").collect())) == sorted(map(repr, want.collect()))
+    got = ask(spark, p.coarse_key, '{"scaffold": "x", "families": [["b", "one"], ["a", "few"], ["z"]]}', "plain", " ", None, "[1]", "{")
+    assert [(r.scaffold, [tuple(x) for x in r.families]) for r in got] == [
+        ("x", [("a", "few"), ("b", "one")]), ("plain", []), (None, []), (None, []), (None, []), ("{", []),
+    ]
 
 
 def test_files(spark, tmp_path):
