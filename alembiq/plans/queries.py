@@ -216,8 +216,7 @@ def condition_keys(spark, d):
 
 @query
 def condition_groups(spark, d):
-    raw = reaction_view(spark, d)
-    return conditions.condition_sizes(normalize.normalize(raw, normalize.learn_fuzzy(raw), ordinal="ord"))
+    return conditions.condition_sizes(normalized(spark, d))
 
 
 @query
