@@ -190,12 +190,15 @@ def deleted(made: DataFrame, late: DataFrame, early: DataFrame, least: int, most
 
     Pairs are gathered by their earlier document, whose lines come once for
     every ``most`` pairs and not with each; a document with more is dealt out.
+    The few that are dealt out are a table of their own, so that the join that
+    deals them has no aggregation between it and its exchanges and AQE can split it.
     """
     made = cut(made, "line-pairs")
-    parts = made.groupBy("e_did", "e_th").agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))
+    parts = cut(made.groupBy("e_did", "e_th").agg(F.ceil(F.count("*") / most).cast("int").alias("parts")), "pair-parts")
     firsts = early.select(F.col("did").alias("e_did"), F.col("th").alias("e_th"), F.col("lines").alias("e_lines")).join(parts, ["e_did", "e_th"])
     firsts = firsts.select("e_did", "e_th", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "e_lines")
-    dealt = made.join(parts, ["e_did", "e_th"]).withColumn("part", F.pmod(F.xxhash64("did", "th"), F.col("parts")).cast("int")).drop("parts")
+    split = made.join(parts.filter("parts > 1"), ["e_did", "e_th"], "left")
+    dealt = split.withColumn("part", F.pmod(F.xxhash64("did", "th"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
     pairs = dealt.join(late.select("did", "th", "lines", "sizes"), ["did", "th"])
     key = ["e_did", "e_th", "part"]
     both = firsts.unionByName(pairs, allowMissingColumns=True).repartition(*key).sortWithinPartitions(*key, F.asc_nulls_first("did"))
