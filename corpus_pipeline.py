@@ -65,7 +65,6 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every remaining document, decoded again as proof."""
     batched(spark)
-    batched(spark)
     path, pattern = tokenizer()
     return bpe.encode_texts(docs, path, pattern)
 
