@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, html_extract, langid, line_dedup, lm_score, secret_scan, simhash, substring_dedup
+from . import bpe, decontam, exact_dedup, html_extract, langid, line_dedup, lm_score, secret_scan, simhash, substring_dedup, token_align, toxicity
 from .util import documents
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+#: The vocabularies that op11 aligns.
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+
+
 def tokenizer(name: str = VOCABULARY) -> tuple[str, str]:
     """(path of a public rank file, its pattern)."""
     import public_tokenizers
@@ -68,6 +72,16 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    (a_path, pattern), (b_path, _) = map(tokenizer, ALIGNED)
+    found = token_align.align_tokens(documents(spark, sf_dir, "doc_id", "text"), a_path, b_path, pattern, keep_groups=False)
+    return found.drop("groups")
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,7 +91,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_language_id, op2_exact_dedup, op3_secret_scan, op4_html_extract, op5_simhash, op6_line_dedup, op7_bpe,
-        op8_decontamination, op9_lm_score, op10_substring_dedup, pipeline,
+        op8_decontamination, op9_lm_score, op10_substring_dedup, op11_token_alignment, op12_toxicity, pipeline,
     )
     return {f.__name__: f for f in every}
 
