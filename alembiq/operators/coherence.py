@@ -49,6 +49,22 @@ def cluster_metrics(clusters: DataFrame) -> DataFrame:
     )
 
 
+def counted_metrics(counted: DataFrame, cluster: list[str], n: str = "n") -> DataFrame:
+    """The same numbers from one row with count ``n`` for each base of a cluster: rxn_count, base_diversity, base_entropy, top1_base_share.
+
+    The entropy follows from the sum of n log n, so that no cluster's bases
+    meet in one row. Entropy and share are rounded to six places.
+    """
+    total = F.sum(n)
+    spread = F.log2(total) - F.sum(F.col(n) * F.log2(n)) / total
+    return counted.groupBy(*cluster).agg(
+        total.alias("rxn_count"),
+        F.count("*").alias("base_diversity"),
+        F.abs(F.round(spread, 6)).alias("base_entropy"),
+        F.round(F.max(n) / total, 6).alias("top1_base_share"),
+    )
+
+
 def signature_metrics(sigs: DataFrame) -> DataFrame | None:
     """Per cluster: entropy of event families, mean tokens, share of mapped rows; None without cluster_id."""
     kinds = dict(sigs.dtypes)

@@ -118,24 +118,44 @@ def cross_view_classes(assigned: DataFrame) -> DataFrame:
     The pairs of ``cross_view_edges`` are those of its conditions; this form
     grows with the ids, not with the pairs.
     """
-    by = _shared_counts(assigned).groupBy("kind", "shared_id")
+    by = shared_counts(assigned).groupBy("kind", "shared_id")
     found = by.agg(F.count("*").alias("conditions"), F.sum("n").alias("reactions"), F.max("n").alias("largest"))
     return found.filter("conditions > 1")
 
 
-def _shared_counts(assigned: DataFrame) -> DataFrame:
+def shared_counts(assigned: DataFrame) -> DataFrame:
     """kind, shared_id, CID, n: reactions of every condition under each MID and SID."""
     kinds = F.array(F.struct(F.lit("MID").alias("kind"), F.col("MID").alias("shared_id")), F.struct(F.lit("SID").alias("kind"), F.col("SID").alias("shared_id")))
     return assigned.select("CID", F.explode(kinds).alias("x")).groupBy("x.kind", "x.shared_id", "CID").agg(F.count("*").alias("n"))
 
 
-def cross_view_edges(assigned: DataFrame) -> DataFrame:
+#: Conditions of one shared id that a task pairs with as many others.
+BLOCK = 512
+
+
+def pairs_of(counts: DataFrame, block: int = BLOCK) -> DataFrame:
+    """kind, shared_id, source, target, weight of ``shared_counts``: every two conditions of an id, weight the smaller count.
+
+    The conditions of an id that has more than ``block`` are dealt to blocks by
+    their hash, and two blocks i <= j are one join key: each condition is
+    copied once for each block, on the side of the smaller block's number as
+    source and on the other as target. So no id's pairs are one task's, and the
+    pairs of a key are bounded by the square of a block.
+    """
+    key = ["kind", "shared_id"]
+    sizes = counts.groupBy(*key).agg(F.count("*").alias("m")).filter("m > 1")
+    blocks = sizes.select(*key, F.ceil(F.col("m") / block).cast("int").alias("blocks"))
+    dealt = counts.join(blocks, key).withColumn("own", F.pmod(F.xxhash64("CID"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    lower = dealt.select(*key, F.col("CID").alias("c1"), F.col("n").alias("n1"), F.col("own").alias("i"), other).filter("i <= other").withColumnRenamed("other", "j")
+    upper = dealt.select(*key, F.col("CID").alias("c2"), F.col("n").alias("n2"), F.col("own").alias("j"), other).filter("other <= j").withColumnRenamed("other", "i")
+    met = lower.join(upper, [*key, "i", "j"]).filter((F.col("i") < F.col("j")) | (F.col("c1") < F.col("c2")))
+    return met.select(*key, F.least("c1", "c2").alias("source"), F.greatest("c1", "c2").alias("target"), F.least("n1", "n2").alias("weight"))
+
+
+def cross_view_edges(assigned: DataFrame, block: int = BLOCK) -> DataFrame:
     """kind, shared_id, source, target, weight: pairs of conditions that share a MID or SID; weight is the smaller count."""
-    counts = _shared_counts(assigned)
-    a = counts.select("kind", "shared_id", F.col("CID").alias("source"), F.col("n").alias("a"))
-    b = counts.select("kind", "shared_id", F.col("CID").alias("target"), F.col("n").alias("b"))
-    pairs = a.join(b, ["kind", "shared_id"]).filter(F.col("source") < F.col("target"))
-    return pairs.select("kind", "shared_id", "source", "target", F.least("a", "b").alias("weight"))
+    return pairs_of(cut(shared_counts(assigned), "shared"), block)
 
 
 def clusters_final(assigned: DataFrame, cards: DataFrame) -> DataFrame:

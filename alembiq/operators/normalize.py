@@ -249,8 +249,8 @@ def number(df: DataFrame, key: str, name: str) -> DataFrame:
     return fixed.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_place") + F.col("_before") + 1).drop("_part", "_place", "_before")
 
 
-def default_ids(table: DataFrame) -> DataFrame:
-    """Rows without rxn_id get their 0-based place in the input order, as text, as id and provenance.
+def default_ids(table: DataFrame, first_place: int = 0) -> DataFrame:
+    """Rows without rxn_id get their 0-based place in the input order, as text, as id and provenance; places start at ``first_place``.
 
     Places are counted only if an id is missing: rows are range-partitioned by
     their order, and each partition's size becomes an offset of the next.
@@ -258,17 +258,17 @@ def default_ids(table: DataFrame) -> DataFrame:
     if table.filter("rxn_id is null").isEmpty():
         return table
     placed = number(table, "ord", "_nth")
-    own = F.coalesce("rxn_id", (F.col("_nth") - 1).cast("string"))
+    own = F.coalesce("rxn_id", (F.col("_nth") + (first_place - 1)).cast("string"))
     return placed.withColumn("provenance", F.array(own)).withColumn("rxn_id", own).drop("_nth")
 
 
-def normalized_table(raw: DataFrame, hash_mode: str = "sha2", ordinal: str | None = None, fuzzy: bool = True) -> DataFrame:
+def normalized_table(raw: DataFrame, hash_mode: str = "sha2", ordinal: str | None = None, fuzzy: bool = True, first_place: int = 0) -> DataFrame:
     """``normalize`` as a table, every row with an id.
 
     It is a table because a filter on ``failures`` isn't pushed below the
     expressions that make it, where it would evaluate them twice.
     """
-    return default_ids(cut(normalize(raw, learn_fuzzy(raw) if fuzzy else None, hash_mode, ordinal), "normalized"))
+    return default_ids(cut(normalize(raw, learn_fuzzy(raw) if fuzzy else None, hash_mode, ordinal), "normalized"), first_place)
 
 
 def phase0(raw: DataFrame, hash_mode: str = "sha2", ordinal: str | None = None, fuzzy: bool = True) -> tuple[DataFrame, DataFrame]:

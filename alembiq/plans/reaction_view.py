@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: One row per order that has lines. Odd lines give reactants, even ones products; orders with one kind only fail.
@@ -29,6 +31,6 @@ raw AS (SELECT ord, CAST(ord AS STRING) AS rxn_id, CASE WHEN NOT as_text THEN r
 
 def reaction_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw reactions; ``ord`` is their order."""
-    for name in ("lineitem", "part", "orders"):
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    return spark.sql(f"WITH {RAW} SELECT * FROM raw").withColumnRenamed("yield_share", "yield")
+    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("lineitem", "part", "orders")}
+    named = re.sub(r"\b(FROM|JOIN) (lineitem|part|orders)\b", r"\1 {\2}", RAW)  # tables of this call, no views of the session
+    return spark.sql(f"WITH {named} SELECT * FROM raw", **tables).withColumnRenamed("yield_share", "yield")
