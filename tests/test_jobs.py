@@ -153,7 +153,7 @@ def test_command_line(tmp_path):
     args = [sys.executable, "-m", "jobs.source_overlap", "--config", str(config), "--set", f"output={tmp_path}/out", "--set", "max_files=2"]
     done = subprocess.run(args, cwd=ROOT, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
-    assert "read 200 rows" in done.stderr and (tmp_path / "out" / "pairs" / "_SUCCESS").exists()
+    assert "read 200 rows" in done.stderr and (tmp_path / "out" / "reported" / "_SUCCESS").exists()
 
 
 def test_jobs_do_not_know_the_training_text_operators():
