@@ -1,7 +1,8 @@
-"""Greedy leader clustering and exact nearest neighbours of fingerprints, in blocks of bounded size.
+"""Greedy leader clustering and exact nearest neighbours of fingerprints.
 
-Both compare whole blocks as matrices: the common bits of two sets of
-fingerprints are one product of their bit matrices.
+Similar fingerprints of large groups meet in ``bands``. Blocks of bounded size
+are compared as matrices: the common bits of two sets of fingerprints are one
+product of their bit matrices.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shared import cut
+from . import bands
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -79,67 +81,157 @@ def packs(rows: DataFrame, block: int) -> DataFrame:
     return rows.groupBy(*GROUP, chunk).agg(held.alias("rows"))
 
 
-def _leaders(threshold: float):
+#: Pairs that meet in bands in one round at most, unless the round is a single block.
+MEETINGS = 1 << 26
+#: Growth of the rows that a round decides.
+GROWTH = 8
+NODE = ["gid", "pos"]
+
+
+def similar(a: DataFrame, b: DataFrame, threshold: float, n_words: int, ordered: bool) -> DataFrame:
+    """(gid, a, b): rows of exploded bands a and b of one group that are similar; ``ordered`` keeps those where a comes before b."""
+    left = a.select("gid", "pair", "code", F.col("pos").alias("a"), F.col("size").alias("size_a"), F.col("w").alias("w_a"))
+    right = b.select("gid", "pair", "code", F.col("pos").alias("b"), F.col("size").alias("size_b"), F.col("w").alias("w_b"))
+    met = left.join(right, ["gid", "pair", "code"])
+    met = met.filter(F.col("a") < F.col("b")) if ordered else met
+    score = bands.tanimoto(F.col("w_a"), F.col("w_b"), F.col("size_a"), F.col("size_b"), n_words)
+    return met.filter(score >= threshold).select("gid", "a", "b").distinct()
+
+
+def first_independent(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The leaders among nodes(gid, pos): those without an edge (gid, a, b), a before b, from a leader.
+
+    By dependency rounds: nodes with no edge from an undecided one lead, those
+    they reach don't, and both leave. Edges that are left connect undecided
+    nodes; rounds end when there are none.
+    """
+    leaders = []
+    while True:
+        lead = cut(nodes.join(edges.select("gid", F.col("b").alias("pos")).distinct(), NODE, "left_anti"), "leading")
+        leaders.append(lead)
+        if edges.isEmpty():
+            return reduce(DataFrame.unionByName, leaders)
+        reached = edges.join(lead.withColumnRenamed("pos", "a"), ["gid", "a"], "left_semi").select("gid", F.col("b").alias("pos")).distinct()
+        gone = cut(lead.unionByName(reached), "decided")
+        nodes = cut(nodes.join(gone, NODE, "left_anti"), "undecided")
+        for end in ("a", "b"):
+            edges = edges.join(gone.withColumnRenamed("pos", end), ["gid", end], "left_anti")
+        edges = cut(edges, "edges")
+
+
+def _decided(threshold: float):
+    """The leader of each row of a block, and the leaders' rows."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for cid, mid, rows in zip(batch["CID"], batch["MID"], batch["rows"], strict=True):
+            for gid, rows in zip(batch["gid"], batch["rows"], strict=True):
                 found = lead([r["bits"] for r in rows], threshold)
-                out.append((cid, mid, [{"pos": r["pos"], "leader": rows[k]["pos"]} for r, k in zip(rows, found.tolist(), strict=True)],
-                            [rows[k] for k in np.unique(found).tolist()]))
-            yield pd.DataFrame(out, columns=["CID", "MID", "decided", "leaders"])
+                decided = [{"b": r["pos"], "a": rows[k]["pos"]} for r, k in zip(rows, found.tolist(), strict=True)]
+                yield pd.DataFrame([(gid, decided, [rows[k] for k in np.unique(found).tolist()])], columns=["gid", "decided", "leaders"])
 
     return run
 
 
-def _assigned(threshold: float):
+def _joined(threshold: float):
+    """The earliest of a block's leaders that each row of a pack resembles."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            left, decided = [], []
-            for rows, leaders in zip(batch["rows"], batch["leaders"], strict=True):
+            for gid, rows, leaders in zip(batch["gid"], batch["rows"], batch["leaders"], strict=True):
                 near = similarities([r["bits"] for r in rows], [x["bits"] for x in leaders]) >= threshold
                 first, found = near.argmax(axis=1).tolist(), near.any(axis=1).tolist()
-                left.append([r for r, f in zip(rows, found, strict=True) if not f])
-                decided.append([{"pos": r["pos"], "leader": leaders[k]["pos"]} for r, f, k in zip(rows, found, first, strict=True) if f])
-            yield batch[[*GROUP, "chunk"]].assign(rows=left, decided=decided)
+                some = [(gid, r["pos"], leaders[k]["pos"]) for r, f, k in zip(rows, found, first, strict=True) if f]
+                yield pd.DataFrame(some, columns=["gid", "b", "a"])
 
     return run
 
 
+#: Tasks that the packs of one group are dealt to.
+SALTS = 64
+
+
+def by_block(rows: DataFrame, now: DataFrame, later: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(gid, b, a): rows(gid, pos, fingerprint_bits) that follow from the first ``block`` of each group, with their leaders, by matrices.
+
+    ``now`` are the block's rows, decided in one task for each group; ``later``
+    ones meet the block's leaders in packs.
+    """
+    held = F.struct("pos", F.col("fingerprint_bits").alias("bits"))
+    first = rows.join(now, NODE, "left_semi").groupBy("gid").agg(F.array_sort(F.collect_list(held)).alias("rows"))
+    found = cut(first.mapInPandas(_decided(threshold), f"gid long, decided array<struct<b:bigint,a:bigint>>, leaders {ROWS}"), "block")
+    chunk, salt = F.floor(F.col("pos") / block).alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    packed = rows.join(later, NODE, "left_semi").groupBy("gid", chunk).agg(F.collect_list(held).alias("rows"))
+    met = packed.withColumn("salt", F.pmod("chunk", F.lit(SALTS))).join(found.select("gid", "leaders", salt), ["gid", "salt"]).select("gid", "rows", "leaders")
+    joins = met.mapInPandas(_joined(threshold), "gid long, b long, a long")
+    return found.select("gid", F.explode("decided").alias("x")).select("gid", "x.b", "x.a").unionByName(joins)
+
+
+def by_bands(held: DataFrame, now: DataFrame, later: DataFrame, threshold: float, n_words: int) -> DataFrame:
+    """The same for any number of rows ``now``, of ``banded`` rows: links of those that meet in bands, and leaders by dependency."""
+    keyed = bands.exploded(held.join(now, NODE, "left_semi"), *NODE)
+    edges = cut(similar(keyed, keyed, threshold, n_words, True), "edges")
+    leaders = cut(first_independent(now, edges), "leaders")
+    own = edges.join(leaders.withColumnRenamed("pos", "a"), ["gid", "a"], "left_semi").join(leaders.withColumnRenamed("pos", "b"), ["gid", "b"], "left_anti")
+    leading = bands.exploded(held.join(leaders, NODE, "left_semi"), *NODE)
+    rest = bands.exploded(held.join(later, NODE, "left_semi"), *NODE)
+    links = own.unionByName(similar(leading, rest, threshold, n_words, False))
+    return links.groupBy("gid", "b").agg(F.min("a").alias("a")).unionByName(leaders.select("gid", F.col("pos").alias("b"), F.col("pos").alias("a")))
+
+
 def by_rounds(distinct: DataFrame, threshold: float, block: int) -> DataFrame:
     """(CID, MID, fingerprint_bits, canopy) of distinct(CID, MID, fingerprint_bits, first), no group in one task.
 
-    Each round takes the first undecided fingerprints of every group, ``block``
-    at most, and finds the leaders among them in one task a group. The rest of
-    the group, in packs, meets these leaders: who resembles one joins the
-    earliest. Leaders come in order, so that the result is that of one pass.
-    Undecided rows resemble no leader so far; a round decides a whole block and
-    all who resemble its leaders.
+    Rounds decide the rows of every group in order, ``block`` at first and
+    ``GROWTH`` times as many each time. The first block is compared as a matrix,
+    and so are all later rows with its leaders, which takes what a group has
+    many of. Of what is left, similar rows meet in bands: a round's leaders
+    follow from the links of its rows, and later rows that are similar to one
+    leave with it, so that a row meets few others however many its group has.
+    A round whose rows would meet in more than ``MEETINGS`` pairs (many alike in
+    a row) is halved, down to a block, which is compared as the first one. The
+    result is that of one pass.
     """
-    rows = ranked(distinct, "first", "pos")
-    rows = cut(rows.select(*GROUP, "fingerprint_bits", "pos"), "ranks")
-    left = cut(packs(rows, block), "undecided")
-    decided = []
-    pairs = "array<struct<pos:bigint,leader:bigint>>"
-    while not left.isEmpty():
-        order = Window.partitionBy(*GROUP).orderBy("chunk")
-        sizes = left.select(*GROUP, "chunk", F.size("rows").alias("m"))
-        sizes = sizes.select(*GROUP, "chunk", F.sum("m").over(order).alias("run"), F.row_number().over(order).alias("place"))
-        now = cut(sizes.filter((F.col("run") <= block) | (F.col("place") == 1)).select(*GROUP, "chunk"), "now")
-        first = left.join(now, [*GROUP, "chunk"], "left_semi").groupBy(*GROUP).agg(F.array_sort(F.flatten(F.collect_list("rows"))).alias("rows"))
-        found = cut(first.mapInPandas(_leaders(threshold), f"CID string, MID string, decided {pairs}, leaders {ROWS}"), "leaders")
-        decided.append(found.select(*GROUP, "decided"))
-        later = left.join(now, [*GROUP, "chunk"], "left_anti").join(found.select(*GROUP, "leaders"), GROUP)
-        met = cut(later.mapInPandas(_assigned(threshold), f"CID string, MID string, chunk bigint, rows {ROWS}, decided {pairs}"), "met")
-        decided.append(met.select(*GROUP, "decided"))
-        left = met.filter(F.size("rows") > 0).drop("decided")
-    each = reduce(DataFrame.unionByName, decided).select(*GROUP, F.explode("decided").alias("x")).select(*GROUP, "x.pos", "x.leader")
-    each = cut(each, "decided")
+    if threshold <= 0:
+        return distinct.select(*GROUP, "fingerprint_bits", F.lit(1).alias("canopy"))
+    groups = cut(distinct.select(*GROUP).distinct().withColumn("gid", F.monotonically_increasing_id()), "groups")
+    rows = cut(ranked(distinct, "first", "pos").join(groups, GROUP).select("gid", *GROUP, "fingerprint_bits", "pos"), "ranks")
+    left, held, n_words = rows.select(*NODE), None, 1
+    top = rows.agg(F.max("pos")).first()[0] or 0
+    lo, found = 0, []
+    while lo < top:
+        if lo and held is None:
+            held = cut(bands.banded(rows.join(left, NODE, "left_semi"), NODE, threshold), "bands")
+            n_words = bands.width(held)
+        hi = lo + block if held is None else _round_end(held.join(left, NODE, "left_semi"), lo, max(lo + block, lo * GROWTH), block, MEETINGS)
+        now, later = left.filter(F.col("pos") <= hi), left.filter(F.col("pos") > hi)
+        if hi - lo > block:
+            mine = by_bands(held, now, later, threshold, n_words)
+        else:
+            mine = by_block(rows, now, later, threshold, block)
+        done = cut(mine, "assigned")
+        found.append(done)
+        left = cut(left.join(done.select("gid", F.col("b").alias("pos")), NODE, "left_anti"), "left")
+        lo = top if left.isEmpty() else hi
+    each = reduce(DataFrame.unionByName, found).select("gid", F.col("b").alias("pos"), F.col("a").alias("leader"))
+    each = each.join(groups, "gid")
     numbered = ranked(each.select(*GROUP, "leader").filter("pos = leader"), "leader", "canopy")
     placed = each.join(numbered, [*GROUP, "leader"]).select(*GROUP, "pos", F.col("canopy").cast("int"))
     return rows.join(placed, [*GROUP, "pos"]).select(*GROUP, "fingerprint_bits", "canopy")
 
 
+def _round_end(open_: DataFrame, lo: int, hi: int, block: int, meetings: int) -> int:
+    """The last position of a round: ``hi``, or halfway to ``lo`` as often as its rows meet in more than ``meetings`` pairs."""
+    ends = [hi]
+    while ends[-1] - lo > block:
+        ends.append(max(lo + block, lo + (ends[-1] - lo) // 2))
+    if len(ends) == 1:
+        return hi
+    keyed = bands.exploded(open_.filter(F.col("pos") <= hi), *NODE)
+    per = keyed.groupBy("gid", "pair", "code").agg(*[F.count_if(F.col("pos") <= e).alias(f"m{i}") for i, e in enumerate(ends)])
+    m = per.agg(*[F.coalesce(F.sum(F.col(f"m{i}") * (F.col(f"m{i}") - 1) / 2), F.lit(0.0)).alias(f"m{i}") for i in range(len(ends))]).first()
+    return next((e for i, e in enumerate(ends) if m[f"m{i}"] <= meetings), ends[-1])
+
+
 def in_one_pass(distinct: DataFrame, threshold: float) -> DataFrame:
     """The same for groups that fit a task: fingerprints stream by group and order, and one group's leaders are held."""
     group = [*GROUP, "fingerprint_bits"]
@@ -173,7 +265,8 @@ def canopies(feats: DataFrame, threshold: float = 0.6, block: int = BLOCK) -> Da
     Every row joins the earliest leader it resembles, else leads. Equal
     fingerprints share a leader, so only the distinct ones of a group are
     compared, in order of their least rxn_vid. Groups of more than ``block``
-    are worked in rounds, others in one pass; the result is the same.
+    are worked in rounds by a similarity join, others in one pass; the result
+    is the same.
     """
     feats = cut(feats, "features")
     distinct = cut(feats.groupBy(*GROUP, "fingerprint_bits").agg(F.min("rxn_vid").alias("first")), "distinct")
