@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import coherence, conditions, fusion, mechanism, normalize, structures
+from .operators import canopy, coherence, conditions, fusion, mechanism, normalize, structures
 from .shared import cut
 from .sources import files
 
@@ -80,7 +80,7 @@ def phase3(
     spark: SparkSession, mechanism_sigs: str, clusters_level2: str, output_dir: str, sample: bool = False, fp_bits: int = 128, canopy_threshold: float = 0.6,
     hash_mode: str = "sha2",
 ) -> Reports:
-    """Fingerprints, level-3 clusters and the index manifest."""
+    """Fingerprints, level-3 clusters, the index of fingerprints (``canopy.search`` asks it) and its manifest."""
     joined = structures.join_levels(structures.expand(files.read_table(spark, clusters_level2)), files.read_table(spark, mechanism_sigs))
     if sample:
         joined = files.sample(joined, "rxn_vid")
@@ -89,6 +89,7 @@ def phase3(
     feats = spark.read.parquet(f"{output_dir}/structure_feats.parquet")
     files.write_table(structures.level3_clusters(feats), f"{output_dir}/clusters_level3.parquet", order=("CID", "MID", "SID"))
     files.write_jsonl(structures.ann_manifest(feats), f"{output_dir}/indices")
+    files.write_table(canopy.build_index(feats, canopy_threshold), f"{output_dir}/index.parquet")
     return {
         "summary": structures.summary(feats),
         "usage": structures.usage(feats),

@@ -104,7 +104,7 @@ def banded(nodes: DataFrame, key: list[str], threshold: float, bits: str = "fing
             yield batch[key].assign(size=[len(x) for x in batch[bits]], w=words, pairs=pairs, codes=codes)
 
     named = ", ".join(f"`{k}` {kinds[k]}" for k in key)
-    return nodes.select(*key, bits).mapInPandas(run, f"{named}, size int, w array<long>, pairs array<int>, codes array<long>")
+    return nodes.select(*dict.fromkeys([*key, bits])).mapInPandas(run, f"{named}, size int, w array<long>, pairs array<int>, codes array<long>")
 
 
 def exploded(rows: DataFrame, *keep: str) -> DataFrame:

@@ -74,13 +74,6 @@ def ranked(df: DataFrame, order: str, name: str) -> DataFrame:
     return fixed.join(offsets, [*GROUP, "_part"]).withColumn(name, at).drop("_id", "_part", "_first", "_before")
 
 
-def packs(rows: DataFrame, block: int) -> DataFrame:
-    """(CID, MID, chunk, rows): fingerprints by ``pos``, ``block`` in a row."""
-    chunk = F.floor((F.col("pos") - 1) / block).alias("chunk")
-    held = F.array_sort(F.collect_list(F.struct("pos", F.col("fingerprint_bits").alias("bits"))))
-    return rows.groupBy(*GROUP, chunk).agg(held.alias("rows"))
-
-
 #: Pairs that meet in bands in one round at most, unless the round is a single block.
 MEETINGS = 1 << 26
 #: Growth of the rows that a round decides.
@@ -292,8 +285,9 @@ def _nearest(k: int):
                     {
                         "CID": cid,
                         "MID": mid,
-                        "query_pos": [asked[i]["pos"] for i in at.tolist()],
-                        "pos": [rows[j]["pos"] for j in hit.tolist()],
+                        "query": [asked[i]["first"] for i in at.tolist()],
+                        "first": [rows[j]["first"] for j in hit.tolist()],
+                        "n": [rows[j]["n"] for j in hit.tolist()],
                         "similarity": s[at, hit],
                     }
                 )
@@ -301,28 +295,80 @@ def _nearest(k: int):
     return run
 
 
-def search(feats: DataFrame, queries: Column, k: int = 5, block: int = BLOCK) -> DataFrame:
+def build_index(feats: DataFrame, similarity: float = 0.6) -> DataFrame:
+    """The index of fingerprints: one row for each distinct one of a (CID, MID), with its least rxn_vid ``first``, its rows ``n``, and its bands.
+
+    Two fingerprints of a group that are similar by at least ``similarity``
+    share a band, so that a lookup finds them all.
+    """
+    distinct = feats.groupBy(*GROUP, "fingerprint_bits").agg(F.min("rxn_vid").alias("first"), F.count("*").alias("n"))
+    return bands.banded(cut(distinct, "index-rows"), [*GROUP, "first", "n", "fingerprint_bits"], similarity)
+
+
+def lookup(index: DataFrame, asked: DataFrame) -> DataFrame:
+    """(CID, MID, query, first, n, similarity): the fingerprints that meet those of asked(CID, MID, first) in a band, each once."""
+    n_words = bands.width(index)
+    one = bands.exploded(index.join(asked, [*GROUP, "first"], "left_semi"), *GROUP, "first").withColumnsRenamed({"first": "query", "size": "a", "w": "u"})
+    other = bands.exploded(index, *GROUP, "first", "n")
+    score = bands.tanimoto(F.col("u"), F.col("w"), F.col("a"), F.col("size"), n_words)
+    return one.join(other, [*GROUP, "pair", "code"]).select(*GROUP, "query", "first", "n", score.alias("similarity")).distinct()
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    """The ``k`` most similar fingerprints of each query, ties by their least id."""
+    near = Window.partitionBy(*GROUP, "query").orderBy(F.desc("similarity"), "first")
+    return found.withColumn("_n", F.row_number().over(near)).filter(F.col("_n") <= k).drop("_n")
+
+
+def by_sizes(index: DataFrame, asked: DataFrame, k: int, block: int) -> DataFrame:
+    """The ``k`` best of asked(CID, MID, first, least) among all of their group, in blocks of like sizes.
+
+    ``least`` is a similarity that a query's k-th answer is known to have. Sets
+    of a and b bits are similar by at most a / b for a <= b, so that blocks
+    whose sizes are too far from a query block's don't meet.
+    """
+    sized = cut(ranked(index.select(*GROUP, "first", "n", "size", "fingerprint_bits", F.struct("size", "first").alias("o")), "o", "pos").drop("o"), "index-sizes")
+    chunk = F.floor((F.col("pos") - 1) / block).alias("chunk")
+    held = F.array_sort(F.collect_list(F.struct("first", "n", F.col("fingerprint_bits").alias("bits"))))
+    ends = [F.min("size").alias("low"), F.max("size").alias("high")]
+    every = sized.groupBy(*GROUP, chunk).agg(held.alias("rows"), *ends)
+    queries = sized.join(asked, [*GROUP, "first"]).groupBy(*GROUP, chunk).agg(held.alias("asked"), F.min("least").alias("least"), *[e.alias(f"q{n}") for e, n in zip((F.min("size"), F.max("size")), ("low", "high"), strict=True)])
+    most = F.when(F.col("low") > F.col("qhigh"), F.col("qhigh") / F.col("low")).when(F.col("qlow") > F.col("high"), F.col("high") / F.col("qlow")).otherwise(1.0)
+    dealt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    each = queries.drop("chunk").select("*", dealt)
+    met = each.join(every.withColumn("salt", F.pmod("chunk", F.lit(SALTS))), [*GROUP, "salt"]).filter(most >= F.col("least")).select(*GROUP, "asked", "rows")
+    return _best(met.mapInPandas(_nearest(k), "CID string, MID string, query bigint, first bigint, n bigint, similarity double"), k)
+
+
+def search(feats: DataFrame, queries: Column, k: int = 5, block: int = BLOCK, similarity: float = 0.6, index: DataFrame | None = None) -> DataFrame:
     """The ``k`` most similar rows of its group for each row that ``queries`` selects: query, place, rxn_vid, similarity.
 
-    Exact: every query meets every row of its (CID, MID), itself included, in
-    blocks of distinct fingerprints; ties go by rxn_vid. A block keeps the best
-    ``k`` for each query, so that the answers of a query are ``k`` for each block
-    of its group before they are merged. Of equal fingerprints the ``k`` least
-    rxn_vids can be answers.
+    Exact, ties by rxn_vid. ``index`` is the table of ``build_index`` of the
+    same rows and ``similarity``, built here if none is given. A lookup finds
+    every fingerprint that is similar by at least ``similarity``; a query with
+    ``k`` rows among those is answered. The others' groups are searched in
+    blocks, which skip sizes that the k-th best found so far rules out. Of equal
+    fingerprints the ``k`` least rxn_vids can be answers.
     """
     feats = cut(feats.select("rxn_vid", *GROUP, "fingerprint_bits", F.coalesce(queries, F.lit(False)).alias("asks")), "searched")
-    distinct = feats.groupBy(*GROUP, "fingerprint_bits").agg(F.min("rxn_vid").alias("first"), F.max("asks").alias("asks"))
-    rows = cut(ranked(distinct, "first", "pos"), "search-ranks")
-    every = cut(packs(rows, block), "search-packs")
-    asked = packs(rows.filter("asks"), block).select(*GROUP, F.col("rows").alias("asked"))
-    found = asked.join(every.select(*GROUP, "rows"), GROUP).mapInPandas(_nearest(k), "CID string, MID string, query_pos bigint, pos bigint, similarity double")
-    near = Window.partitionBy(*GROUP, "query_pos").orderBy(F.desc("similarity"), "pos")
-    best = cut(found.withColumn("n", F.row_number().over(near)).filter(F.col("n") <= k).drop("n"), "nearest")
-    numbered = feats.join(rows.select(*GROUP, "fingerprint_bits", "pos"), [*GROUP, "fingerprint_bits"]).select(*GROUP, "pos", "rxn_vid", "asks")
-    numbered = cut(numbered, "search-rows")
-    least = numbered.withColumn("n", F.row_number().over(Window.partitionBy(*GROUP, "pos").orderBy("rxn_vid"))).filter(F.col("n") <= k).drop("n", "asks")
-    answers = best.join(least, [*GROUP, "pos"])
-    order = Window.partitionBy(*GROUP, "query_pos").orderBy(F.desc("similarity"), "rxn_vid")
-    top = answers.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).select(*GROUP, "query_pos", "place", "rxn_vid", "similarity")
-    who = numbered.filter("asks").select(*GROUP, F.col("pos").alias("query_pos"), F.col("rxn_vid").alias("query"))
-    return who.join(top, [*GROUP, "query_pos"]).select("query", "place", "rxn_vid", "similarity")
+    index = cut(build_index(feats, similarity), "index") if index is None else index
+    ids = index.select(*GROUP, "fingerprint_bits", "first")
+    wanted = feats.filter("asks").join(ids, [*GROUP, "fingerprint_bits"]).select(*GROUP, "first").distinct()
+    asked = cut(wanted, "asked")
+    found = cut(_best(lookup(index, asked), k), "met")
+    sure = F.sum(F.when(F.col("similarity") >= similarity, F.least("n", F.lit(k))).otherwise(0)) >= k
+    # the k-th best row of all that were found, whatever its similarity, bounds the answer from below
+    rows = Window.partitionBy(*GROUP, "query").orderBy(F.desc("similarity"), "first")
+    enough = found.withColumn("held", F.sum(F.least("n", F.lit(k))).over(rows))
+    state = enough.groupBy(*GROUP, F.col("query").alias("first")).agg(sure.alias("sure"), F.max(F.when(F.col("held") >= k, F.col("similarity"))).alias("least"))
+    state = cut(asked.join(state, [*GROUP, "first"], "left").select(*GROUP, "first", F.coalesce("sure", F.lit(False)).alias("sure"), F.coalesce("least", F.lit(0.0)).alias("least")), "state")
+    answered = found.filter(F.col("similarity") >= similarity).join(state.filter("sure").select(*GROUP, F.col("first").alias("query")), [*GROUP, "query"], "left_semi")
+    open_ = state.filter("not sure").drop("sure")
+    best = cut(answered.unionByName(by_sizes(index, open_, k, block)), "nearest")
+    numbered = cut(feats.join(ids, [*GROUP, "fingerprint_bits"]).select(*GROUP, "first", "rxn_vid", "asks"), "search-rows")
+    least = numbered.withColumn("_n", F.row_number().over(Window.partitionBy(*GROUP, "first").orderBy("rxn_vid"))).filter(F.col("_n") <= k).drop("_n", "asks")
+    answers = best.join(least, [*GROUP, "first"])
+    order = Window.partitionBy(*GROUP, "query").orderBy(F.desc("similarity"), "rxn_vid")
+    top = answers.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).select(*GROUP, F.col("query").alias("first"), "place", "rxn_vid", "similarity")
+    who = numbered.filter("asks").select(*GROUP, "first", F.col("rxn_vid").alias("query"))
+    return who.join(top, [*GROUP, "first"]).select("query", "place", "rxn_vid", "similarity")

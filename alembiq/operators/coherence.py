@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import chemistry as chem
 from ..functions import parsing as p
+from ..shared import cut
+from .quantiles import quantiles
 
 
 def entropy(counts: Column) -> Column:
@@ -93,13 +95,9 @@ def enrich(metrics: DataFrame, by_signature: DataFrame | None) -> DataFrame:
 
 def size_histogram(metrics: DataFrame) -> DataFrame:
     """(bin, low, high, n) with the Freedman-Diaconis number of bins, 5 to 80, 30 where the spread is zero."""
-    stats = metrics.agg(
-        F.percentile("rxn_count", F.lit(0.25)).alias("q1"),
-        F.percentile("rxn_count", F.lit(0.75)).alias("q3"),
-        F.count("*").alias("n"),
-        F.min("rxn_count").alias("low"),
-        F.max("rxn_count").alias("high"),
-    )
+    metrics = cut(metrics.select("rxn_count"), "sizes")
+    found = quantiles(metrics, [], "rxn_count", (0.25, 0.75)).select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+    stats = metrics.agg(F.count("*").alias("n"), F.min("rxn_count").alias("low"), F.max("rxn_count").alias("high")).join(F.broadcast(found))
     width = 2 * (F.col("q3") - F.col("q1")) / F.pow("n", F.lit(1 / 3))
     bins = F.when(width > 0, F.greatest(F.lit(5), F.least(F.lit(80), F.floor((F.col("high") - F.col("low")) / width)))).otherwise(30)
     stats = stats.withColumn("bins", bins.cast("long"))
@@ -149,8 +147,8 @@ def correlation(metrics: DataFrame, x: str, y: str) -> DataFrame:
 
 def entropy_by_scaffold(metrics: DataFrame) -> DataFrame:
     """Five-number summary of base entropy by scaffold family; no rows for fewer than two families."""
-    points = F.array(*[F.lit(q) for q in (0.0, 0.25, 0.5, 0.75, 1.0)])
-    by = metrics.groupBy("coarse_scaffold").agg(F.percentile("base_entropy", points).alias("q"), F.count("*").alias("n"))
+    rows = metrics.withColumn("coarse_scaffold", F.coalesce("coarse_scaffold", F.lit("unknown")))
+    by = quantiles(rows, ["coarse_scaffold"], "base_entropy", (0.0, 0.25, 0.5, 0.75, 1.0))
     number = by.agg(F.count("*").alias("families"))
     return by.join(F.broadcast(number)).filter("families > 1").select("coarse_scaffold", "q", "n")
 
@@ -163,13 +161,17 @@ def mapped_share_histogram(metrics: DataFrame, bins: int = 20) -> DataFrame:
 
 def overview(metrics: DataFrame) -> DataFrame:
     """The report's headline numbers."""
-    return metrics.agg(
-        F.count("*").alias("n_clusters"),
-        F.sum("rxn_count").alias("n_reactions"),
-        F.min("rxn_count").alias("min_size"),
-        F.median("rxn_count").alias("median_size"),
-        F.percentile("rxn_count", F.lit(0.9)).alias("p90_size"),
-        F.max("rxn_count").alias("max_size"),
-        F.round(F.median("base_entropy"), 6).alias("median_entropy"),
-        F.round(F.median("top1_base_share"), 6).alias("median_top1"),
+    three = ("rxn_count", "base_entropy", "top1_base_share")
+    metrics = cut(metrics.select(*three), "metrics")
+    stacked = metrics.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in three])).alias("x")).select("x.*")
+    found = quantiles(stacked, ["name"], "v", (0.5, 0.9))
+    at = lambda c, i: F.max(F.when(F.col("name") == c, F.col("q")[i]))
+    middle = found.agg(
+        at("rxn_count", 0).alias("median_size"),
+        at("rxn_count", 1).alias("p90_size"),
+        F.round(at("base_entropy", 0), 6).alias("median_entropy"),
+        F.round(at("top1_base_share", 0), 6).alias("median_top1"),
     )
+    ends = metrics.agg(F.count("*").alias("n_clusters"), F.sum("rxn_count").alias("n_reactions"), F.min("rxn_count").alias("min_size"), F.max("rxn_count").alias("max_size"))
+    both = ends.join(F.broadcast(middle))  # one row each
+    return both.select("n_clusters", "n_reactions", "min_size", "median_size", "p90_size", "max_size", "median_entropy", "median_top1")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import parsing as p
 from ..functions import units
 from ..shared import cut
+from .quantiles import quantiles
 
 KEY = ["CID", "MID", "SID"]
 
@@ -52,8 +53,11 @@ def top_values(df: DataFrame, group: list[str], value: str, limit: int = 3, name
 
 def yield_summary(df: DataFrame, group: list[str], value: str = "yield") -> DataFrame:
     """Mean, exact median and count of the numeric values of each group."""
-    v = units.plain_number(F.col(value))
-    return df.groupBy(*group).agg(F.avg(v).alias("yield_mean"), F.median(v).alias("yield_median"), F.count(v).alias("yield_count"))
+    v = units.plain_number(F.col(value)).alias("_y")
+    rows = df.select(*[F.col(c) for c in group], v)
+    found = rows.groupBy(*group).agg(F.avg("_y").alias("yield_mean"), F.count("_y").alias("yield_count"))
+    middle = quantiles(rows, group, "_y", (0.5,)).select(*group, F.col("q")[0].alias("yield_median"))
+    return found.join(middle, group, "left").select(*group, "yield_mean", "yield_median", "yield_count")
 
 
 def exemplar_names(vids: Column, limit: int = 5) -> Column:

@@ -10,6 +10,7 @@ from ..functions import parsing as p
 from ..functions.hashing import hex_digest, key_hash, token_hash
 from ..shared import cut
 from . import profile
+from .quantiles import quantiles
 
 
 def signatures(keys: DataFrame, reactions: DataFrame, hash_mode: str = "sha2") -> DataFrame:
@@ -93,9 +94,9 @@ def level2_clusters(sigs: DataFrame) -> DataFrame:
 def percentiles(df: DataFrame, value: str, points: tuple[int, ...] = (10, 25, 50, 75, 90)) -> DataFrame:
     """(p, value): exact percentiles with linear interpolation; points outside 0 to 100 are left out, no row for no value."""
     good = [x for x in points if 0 <= x <= 100]
-    found = df.agg(F.percentile(value, F.array(*[F.lit(x / 100) for x in good])).alias("v"))
+    found = quantiles(df, [], value, [x / 100 for x in good]).withColumnRenamed("q", "v")
     pairs = F.arrays_zip(F.array(*[F.lit(x) for x in good]).alias("p"), F.col("v"))
-    return found.filter("v is not null").select(F.explode(pairs).alias("x")).select(F.col("x.p").alias("p"), F.col("x.v").alias("value"))
+    return found.select(F.explode(pairs).alias("x")).select(F.col("x.p").alias("p"), F.col("x.v").alias("value"))
 
 
 def summary(sigs: DataFrame) -> DataFrame:

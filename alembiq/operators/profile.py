@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shared import cut
+from .quantiles import quantiles
 
 POINTS = (10, 25, 50, 75, 90)
 
@@ -41,12 +42,7 @@ def spread(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     A value without rows has no row.
     """
     stacked = F.array(*[F.struct(F.lit(name).alias("name"), v.cast("double").alias("v")) for name, v in values.items()])
-    rows = df.select(F.explode(stacked).alias("x")).select("x.name", "x.v").filter("v is not null")
-    found = rows.groupBy("name").agg(
-        F.count("v").alias("n"),
-        F.round(F.avg("v"), 6).alias("mean"),
-        F.min("v").alias("low"),
-        F.max("v").alias("high"),
-        F.percentile("v", F.array(*[F.lit(p / 100) for p in POINTS])).alias("q"),
-    )
+    rows = cut(df.select(F.explode(stacked).alias("x")).select("x.name", "x.v").filter("v is not null"), "spread")
+    moments = rows.groupBy("name").agg(F.round(F.avg("v"), 6).alias("mean"), F.min("v").alias("low"), F.max("v").alias("high"))
+    found = quantiles(rows, ["name"], "v", [p / 100 for p in POINTS]).join(F.broadcast(moments), "name")  # a row for each name
     return found.select("name", "n", "mean", "low", "high", *[F.round(F.col("q")[i], 6).alias(f"p{p}") for i, p in enumerate(POINTS)])

@@ -13,7 +13,7 @@ from alembiq import jobs
 from alembiq.functions import chemistry as chem
 from alembiq.functions import hashing, units
 from alembiq.functions import parsing as p
-from alembiq.operators import bands, canopy, coherence, conditions, fusion, mechanism, normalize, structures
+from alembiq.operators import bands, canopy, coherence, conditions, fusion, mechanism, normalize, quantiles, structures
 from alembiq.plans import queries
 from alembiq.sources import files
 
@@ -336,6 +336,64 @@ def test_search_is_exact(spark, block):
     assert canopy.search(df.limit(0), F.col("rxn_vid") > 0).count() == 0 and canopy.search(df, F.lit(None).cast("boolean")).count() == 0
 
 
+def test_index_is_asked(spark, tmp_path):
+    """A written index: few candidates, and every answer that of all pairs, by lookup alone or with the blocks."""
+    rng = np.random.default_rng(5)
+    centres = [rng.choice(128, 14, replace=False) for _ in range(150)]
+    lists = [sorted({*rng.choice(c, 12, replace=False).tolist(), int(rng.integers(128))}) for c in centres for _ in range(8)]
+    lists += [sorted(rng.choice(128, int(n), replace=False).tolist()) for n in rng.integers(1, 30, 40)]
+    rows = [(v, "c", "m", bits) for v, bits in enumerate(lists)]
+    df = spark.createDataFrame(rows, "rxn_vid long, CID string, MID string, fingerprint_bits array<int>")
+    canopy.build_index(df, 0.5).write.parquet(f"{tmp_path}/index.parquet")
+    index = spark.read.parquet(f"{tmp_path}/index.parquet")
+    asked = index.filter("first % 10 = 0").select("CID", "MID", "first")
+    met = canopy.lookup(index, asked)
+    assert met.count() < 0.1 * asked.count() * index.count()
+    similar = canopy.similarities(lists, lists)
+    sure = sum((similar[v] >= 0.5).sum() >= 5 for v in range(0, len(lists), 10))
+    assert 100 < sure < len(lists) / 10  # some queries need the blocks
+    got = {(r.query, r.place): (r.rxn_vid, r.similarity) for r in canopy.search(df, F.col("rxn_vid") % 10 == 0, 5, 256, 0.5, index).collect()}
+    want = {(v, k): (w, -s) for v in range(0, len(lists), 10) for k, (s, w) in enumerate(sorted(zip(-similar[v], range(len(lists)), strict=True))[:5], 1)}
+    assert got == want
+
+
+def test_quantiles_of_one_large_group(spark):
+    """10 million distinct doubles of one group are selected from ranges of a bounded size."""
+    df = spark.range(10_000_000).select(F.lit("a").alias("g"), ((F.col("id") * 7_368_787) % 10_000_019 / 7).alias("v"))
+    points = (0.0, 0.1, 0.5, 0.9, 1.0)
+    got = quantiles.quantiles(df.unionByName(spark.createDataFrame([("b", 3.0), ("b", 4.0), ("c", None)], "g string, v double")), ["g"], "v", points)
+    got = {r.g: (r.n, r.q) for r in got.collect()}
+    ids = np.arange(10_000_000, dtype=np.int64)
+    want = np.quantile((ids * 7_368_787) % 10_000_019 / 7, points)
+    assert got["a"][0] == 10_000_000 and np.allclose(got["a"][1], want, rtol=1e-12) and got["b"] == (2, [3.0, 3.1, 3.5, 3.9, 4.0]) and "c" not in got
+    parts = quantiles.ranges(df.select("g", F.col("v").alias("x"), F.lit(1).alias("n")).limit(300_000), ["g"], "x", 10)
+    assert parts.groupBy("_part").count().agg(F.max("count")).first()[0] < 60_000
+
+
+@pytest.mark.parametrize("small", [0, 1, 5, 1000])
+def test_quantiles_are_those_of_sorted_values(spark, small):
+    rng = random.Random(6)
+    rows = [(rng.choice("xy"), rng.choice((None, rng.randrange(4), rng.random()))) for _ in range(80)] + [("one", 2.0)]
+    df = spark.createDataFrame([(g, None if v is None else float(v)) for g, v in rows], "g string, v double").repartition(3)
+    points = (0.0, 0.33, 0.5, 1.0)
+    for group in (["g"], []):
+        got = {r["g"] if group else 0: r for r in quantiles.quantiles(df, group, "v", points, small).collect()}
+        for key, r in got.items():
+            values = [v for g, v in rows if v is not None and (not group or g == key)]
+            assert r.n == len(values) and np.allclose(r.q, np.quantile(values, points))
+    assert quantiles.quantiles(df.filter("false"), [], "v", points, small).count() == 0
+
+
+def test_pairs_of_a_hot_id_are_spread(spark):
+    """20,000 conditions of one id: 200 million pairs, counted without one task holding the id's."""
+    counts = spark.range(20_000).select(F.lit("MID").alias("kind"), F.lit("m").alias("shared_id"), F.concat(F.lit("c"), "id").alias("CID"), F.lit(1).cast("long").alias("n"))
+    pairs = fusion.pairs_of(counts.limit(600), 40)
+    assert pairs.count() == 600 * 599 // 2 and pairs.select("source", "target").distinct().count() == 600 * 599 // 2
+    assert pairs.filter("source >= target").count() == 0
+    blocks = counts.select(F.pmod(F.xxhash64("CID"), F.lit(40)).alias("b")).groupBy("b").count()
+    assert blocks.agg(F.max("count")).first()[0] < 2 * fusion.BLOCK
+
+
 def test_tanimoto(spark):
     df = spark.createDataFrame([([1, 2, 3], [1, 2, 4]), ([1], [7]), ([], []), ([], [1])], "a array<int>, b array<int>")
     assert [r[0] for r in df.select(units.tanimoto(F.col("a"), F.col("b"))).collect()] == [0.5, 0.0, 1.0, 0.0]
