@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import math
+import sys
 
+import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @F.pandas_udf(T.StringType())
 def _blake(texts: pd.Series) -> pd.Series:
@@ -27,6 +34,26 @@ def hex_digest(c: Column, mode: str = "sha2") -> Column:
     return F.sha2(c, 256)
 
 
+def _plain(v: object) -> object:
+    """A value as JSON knows it: arrays as lists, NaN as null."""
+    if isinstance(v, (list, np.ndarray)):
+        return [_plain(x) for x in v]
+    return None if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)) else v
+
+
+@F.pandas_udf(T.StringType())
+def parity_state(state: pd.DataFrame) -> pd.Series:
+    """A struct as JSON with sorted keys, a blank after commas and colons, ASCII escapes and floats of the fewest digits."""
+    rows = state.to_dict(orient="records")
+    return pd.Series([json.dumps({k: _plain(v) for k, v in r.items()}, sort_keys=True) for r in rows], dtype="object")
+
+
+@F.pandas_udf(T.StringType())
+def parity_json(texts: pd.Series) -> pd.Series:
+    """JSON text written again without blanks and with ASCII escapes."""
+    return texts.map(lambda t: None if t is None else json.dumps(json.loads(t), separators=(",", ":")))
+
+
 def token_hash(prefix: str, tokens: Column, mode: str = "sha2") -> Column:
     return hex_digest(F.array_join(F.concat(F.array(F.lit(prefix)), tokens), "|"), mode)
 

@@ -57,8 +57,8 @@ def tokenize(c: Column) -> Column:
 
 
 def to_list(c: Column) -> Column:
-    """JSON list, or the text as one token."""
-    return F.coalesce(clean(F.coalesce(json_texts(c), F.array(c))), no_texts())
+    """JSON list with its elements as they are, nulls left out, or the trimmed text as one token."""
+    return F.coalesce(F.filter(json_texts(c), lambda x: x.isNotNull()), F.when(blank_to_null(c).isNotNull(), F.array(strip(c))), no_texts())
 
 
 def ensure_list(c: Column) -> Column:
@@ -72,8 +72,8 @@ def strict_ids(c: Column) -> Column:
 
 
 def lenient_ids(c: Column) -> Column:
-    """JSON or delimited ids as longs, "3.0" included; bad tokens are left out."""
-    return F.filter(F.transform(ensure_list(c), lambda x: F.floor(x.try_cast("double")).try_cast("long")), lambda x: x.isNotNull())
+    """JSON or delimited ids as longs, "3.0" included and cut towards zero; bad tokens are left out."""
+    return F.filter(F.transform(ensure_list(c), lambda x: x.try_cast("double").try_cast("long")), lambda x: x.isNotNull())
 
 
 def json_counts(c: Column) -> Column:

@@ -3,7 +3,8 @@
 Each job reads files, writes the phase's tables with Spark's _SUCCESS markers,
 and returns its reports, small tables by name. Run them with ``python -m
 alembiq``. With ``sample`` a job takes 1,000 rows of each input: the least keys
-where there is one, else the first ones of the scan.
+where there is one, else the first ones. Where the first or last of equal rows
+counts, the order is that of the input's files by name.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ def phase0(
     With ``interchange`` nested columns are written as JSON text.
     """
     with files.case_sensitive(spark):
-        table = normalize.normalized_table(_read(spark, input, sample), hash_mode)
+        raw = files.read_ordered(spark, input, "_ord")
+        table = normalize.normalized_table(raw.orderBy("_ord").limit(1000) if sample else raw, hash_mode, "_ord")
     good, bad = normalize.split_failures(table)
     done = normalize.number(normalize.deduplicate(good), "reaction_hash_v1", "rxn_vid")
     if interchange:
@@ -104,9 +106,10 @@ def phase4(
     output_dir: str, sample: bool = False,
 ) -> Reports:
     """Assignments with their cards, and the cards and edges as JSON lines."""
-    level1, level2, level3, sigs, feats, rx = (
-        _read(spark, p, sample) for p in (clusters_level1, clusters_level2, clusters_level3, mechanism_sigs, structure_feats, reactions)
-    )
+    levels = (files.read_ordered(spark, p) for p in (clusters_level1, clusters_level2, clusters_level3))
+    level1, level2, level3 = (x.orderBy("ord").limit(1000) if sample else x for x in levels)
+    sigs, feats = (_read(spark, p, sample) for p in (mechanism_sigs, structure_feats))
+    rx = files.sample(files.read_ordered(spark, reactions), "rxn_vid") if sample else files.read_ordered(spark, reactions)
     if "MID" not in level2.columns:
         level2 = level2.withColumnsRenamed({"cond_hash": "CID", "cluster_id": "MID"})
     merged = cut(fusion.merge_assignments(level1, level2, level3), "assignments")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parsing as p
 from ..functions import units
-from ..functions.hashing import hex_digest
+from ..functions.hashing import hex_digest, parity_json
 from . import profile
 
 
@@ -30,7 +30,13 @@ def condition_keys(reactions: DataFrame, hash_mode: str = "sha2", keep: tuple[st
         F.col("resolution_confidence"),
         *keep,
     )
-    quoted = lambda c: F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))
+
+    def quoted(c: Column) -> Column:
+        """A JSON string; escapes are written where there is something to escape."""
+        listed = F.to_json(F.array(c))
+        text = F.when(c.rlike(r'["\\\x00-\x1f]'), F.substring(listed, F.lit(2), F.length(listed) - 2)).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
+        return F.coalesce(F.when(c.isNotNull(), text), F.lit("null"))
+
     parts = [
         F.col("solvent_key"),
         *[quoted(F.col(c)) for c in ("temp_K_bin", "time_s_bin", "pressure_Pa_bin", "pH_bin", "atmosphere", "light", "phase")],
@@ -38,6 +44,7 @@ def condition_keys(reactions: DataFrame, hash_mode: str = "sha2", keep: tuple[st
         F.col("present_mask").cast("string"),
     ]
     text = F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+    text = parity_json(text) if hash_mode == "parity" else text
     hashed = keyed.withColumn("cond_hash", hex_digest(text, hash_mode))
     rest = [c for c in keyed.columns if c != "rxn_vid"]
     return hashed.select("rxn_vid", "cond_hash", F.substring("cond_hash", 1, 8).alias("cond_hash_prefix"), *rest)

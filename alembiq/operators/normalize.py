@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import chemistry as chem
 from ..functions import parsing as p
 from ..functions import units
-from ..functions.hashing import hex_digest
+from ..functions.hashing import hex_digest, parity_state
 from ..shared import cut
 from . import profile
 
@@ -199,10 +199,8 @@ def normalize(raw: DataFrame, fuzzy: DataFrame | None = None, hash_mode: str = "
     )
     join = lambda c: F.array_join(c, ".")
     reaction = F.concat(join("reactants_canonical"), F.lit(">>"), join("products_canonical"), F.lit("|"), join("agents_canonical"))
-    state = F.to_json(
-        F.struct("atmosphere", "light", "pH", "phase", "pressure_Pa", F.col("solvent_normalized").alias("solvent"), "temperature_K", "time_s"),
-        {"ignoreNullFields": "false"},
-    )
+    fields = F.struct("atmosphere", "light", "pH", "phase", "pressure_Pa", F.col("solvent_normalized").alias("solvent"), "temperature_K", "time_s")
+    state = parity_state(fields) if hash_mode == "parity" else F.to_json(fields, {"ignoreNullFields": "false"})
     return out.withColumns(
         {
             "reaction_hash_v1": hex_digest(F.concat(reaction, F.lit("||"), state), hash_mode),

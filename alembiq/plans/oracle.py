@@ -163,6 +163,7 @@ ORACLE: dict[str, str] = {
         "SELECT ord, CASE WHEN ord % 9 = 0 THEN (row_number() OVER (ORDER BY ord) - 1)::VARCHAR ELSE rxn_id END AS rxn_id, CASE WHEN ord % 2 = 0 THEN 3.0::DOUBLE ELSE ph_n END AS \"pH\","
         " CASE WHEN ord % 9 = 0 THEN (row_number() OVER (ORDER BY ord) - 1)::VARCHAR ELSE rxn_id END AS provenance FROM cond",
     ),
+    "file_order_ids": chain("raw", "SELECT ord, (row_number() OVER (ORDER BY ord) - 1)::VARCHAR AS rxn_id FROM raw"),
     "unbalanced_molecules": "SELECT p_partkey::VARCHAR AS rxn_id, 'molecule_standardization' AS failures FROM part WHERE p_size % 10 = 0",
     "provenance_rows": chain("norm", "SELECT h AS reaction_hash_v1, ord, rxn_id FROM good"),
     "normalization_usage": chain("norm", usage(("present_mask_before", "mask", "good"), ("present_mask", "mask", "rx"), ("solvent", "unnest(sol)", "rx"), ("main_substrate", "main", "rx"))),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parsing as p
 from ..operators import canopy, coherence, conditions, fusion, mechanism, normalize, structures
-from ..shared import cut
+from ..shared import cut, shared_dir
 from ..sources import files
 from .oracle import ORACLE
 from .reaction_view import reaction_view
@@ -172,6 +173,18 @@ def clashing_columns(spark, d):
     return normalize.normalized_table(raw, ordinal="ord").select("ord", "rxn_id", "pH", F.array_join("provenance", ",").alias("provenance"))
 
 
+@query
+def file_order_ids(spark, d):
+    """Rows without ids, written to several files: their places in the files' order are the ids."""
+    raw = reaction_view(spark, d)
+    path = f"{shared_dir(spark)}/alembiq/files-{uuid.uuid4().hex}.parquet"
+    raw.repartitionByRange(5, "ord").sortWithinPartitions("ord").write.parquet(path)
+    ordered = files.read_ordered(spark, path, "place").withColumn("rxn_id", F.lit(None).cast("string"))
+    table = normalize.normalized_table(ordered, ordinal="place")
+    named = ordered.select("place", F.col("ord").alias("o"))
+    return table.join(named, F.col("place") == table["ord"]).select(F.col("o").alias("ord"), "rxn_id")
+
+
 @query
 def unbalanced_molecules(spark, d):
     """Part names as reactants, some with an open bracket."""
@@ -569,7 +582,7 @@ def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in ORACLE.items() if k in REGISTERED}
 
 
-def entry(spark: SparkSession) -> DataFrame:
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalize, deduplicate, key and count: the ten largest conditions."""
-    groups = condition_groups(spark, "/root/testdata/sf0.001")
+    groups = condition_groups(spark, sf_dir)
     return groups.orderBy(F.desc("n"), "cond_hash").limit(10)

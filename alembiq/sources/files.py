@@ -6,9 +6,11 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shared import cut
+
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """CSV (all columns text unless a schema is given), JSON document, JSON lines or Parquet, by suffix."""
@@ -25,6 +27,34 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     raise ValueError(f"unsupported input format: {suffix or path}")
 
 
+def read_ordered(spark: SparkSession, path: str, name: str = "ord") -> DataFrame:
+    """``read_table`` with the input order in column ``name``, a long: files by name, rows as they stand in them.
+
+    Spark packs splits of files into tasks by size, so that the order of its
+    tasks is not the input's. A row's place in a Parquet file is metadata; in
+    other formats it is the byte its split starts at and its place in the split,
+    for which the rows are made a table first. Names of files are ranked and
+    broadcast: the driver has listed them to plan the scan. A folder's files are
+    in the order of their paths; columns of that name in the input are replaced.
+    """
+    df = read_table(spark, path)
+    df = df.drop(*[c for c in df.columns if c.lower() == name.lower()])
+    own = df.columns
+    where = F.col("_metadata.file_path").alias("_file")
+    if PurePosixPath(path.rstrip("/")).suffix.lower() in (".parquet", ".pq"):
+        placed = df.select(*own, where, F.col("_metadata.row_index").alias("_place"))
+    else:
+        id_ = F.monotonically_increasing_id().alias("_id")
+        fixed = cut(df.select(*own, where, F.col("_metadata.file_block_start").alias("_start"), id_), "ordered")
+        first = fixed.groupBy("_file", "_start").agg(F.min("_id").alias("_first"))
+        # rows of a split are fewer than its bytes, so that places of one split end before the next
+        placed = fixed.join(first, ["_file", "_start"]).withColumn("_place", F.col("_start") + F.col("_id") - F.col("_first")).drop("_start", "_id", "_first")
+    files = placed.select("_file").distinct()
+    ranks = files.withColumn("_rank", F.row_number().over(Window.orderBy("_file")))
+    at = (F.shiftleft(F.col("_rank").cast("long"), 42) + F.col("_place")).alias(name)
+    return placed.join(F.broadcast(ranks), "_file").select(*own, at)
+
+
 def sample(df: DataFrame, key: str, rows: int = 1000) -> DataFrame:
     """The ``rows`` rows of the least key: a sample that tables share."""
     return df.orderBy(key).limit(rows)

@@ -1,5 +1,6 @@
 """The five phases and the coherence report on small literal rows."""
 
+import hashlib
 import json
 import math
 import random
@@ -95,6 +96,65 @@ def test_missing_ids_are_places(spark):
     assert {r.rxn_id for r in in_file_order} == set(want.values())
 
 
+@pytest.mark.parametrize("suffix", ["csv", "jsonl", "parquet"])
+def test_files_are_read_in_order_of_their_names(spark, tmp_path, suffix):
+    """Three files of growing size, the largest last, which Spark scans first: the first row of a hash and default ids follow the names."""
+    folder, at = tmp_path / f"raw.{suffix}", 0
+    folder.mkdir()
+    for name, n in (("a", 3), ("b", 40), ("c", 900)):
+        rows = pd.DataFrame({"rxn_id": [None if i % 2 else f"{name}{i}" for i in range(n)], "reactants": ["N" * (i % 50 + 1) for i in range(n)], "products": "C", "k": range(at, at + n)})
+        at += n
+        path = folder / f"{name}.{suffix}"
+        {"csv": lambda: rows.to_csv(path, index=False), "jsonl": lambda: rows.to_json(path, orient="records", lines=True), "parquet": lambda: rows.to_parquet(path)}[suffix]()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        read = files.read_ordered(spark, str(folder), "o").select("o", F.col("k").cast("int").alias("k")).collect()
+        assert [r.k for r in sorted(read)] == list(range(943)) and len({r.o for r in read}) == 943
+        jobs.phase0(spark, str(folder), f"{tmp_path}/rx.parquet")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {len(r.reactants_canonical[0]): (r.rxn_id, r.provenance) for r in spark.read.parquet(f"{tmp_path}/rx.parquet").collect()}
+    ids = {k: v for n0, name, n in ((0, "a", 3), (3, "b", 40), (43, "c", 900)) for k, v in ((n0 + i, str(n0 + i) if i % 2 else f"{name}{i}") for i in range(n))}
+    lengths = [*range(3), *range(40), *[i % 50 for i in range(900)]]
+    want = {m + 1: [ids[k] for k in range(943) if lengths[k] == m] for m in range(50)}
+    assert got == {m: (x[0], x) for m, x in want.items()}
+
+
+PARITY = [
+    ("a", "CCO", "25 C", "30 min", "water", "air", 7.0), ("b", "CCO", "1e-7 K", None, None, None, None), ("c", "Cé", "300 K", "2 h", "éther", 'a"b', 1e-07),
+    ("d", "N", "1e14 K", "45", "THF; water", "back\\slash", 12.5), ("e", "漢", None, "0.1 s", "😀", "tab\tin", 0.1), ("f", "O", "1e16 K", "1e15 s", "x", "ü", 123456789.125),
+    ("g", "S", "0.00001 K", "3 s", "DMF", "A", 3.0), ("h", "P", "-5 C", "7 day", "y", "B/C", 5.684341886080802e-14), ("i", "F", "77 F", "1 h", "z", "q", 1e21), ("j", "I", "20 K", None, "w", None, 100000.0),
+]
+
+
+def test_parity_hashes_are_those_of_python_json(spark):
+    """Ten records; text by the standard JSON writer, hash by BLAKE2b."""
+    rows = [dict(zip(("rxn_id", "reactants", "temperature", "time", "solvent", "atmosphere", "pH"), r, strict=True), products="C") for r in PARITY]
+    made = normalize.normalize(frame(spark, *rows), hash_mode="parity")
+    keyed = conditions.condition_keys(made.withColumn("rxn_vid", F.lit(1)), "parity", keep=("rxn_id",))
+    keys = {r.rxn_id: r for r in keyed.collect()}
+    blake = lambda t: hashlib.blake2b(t.encode(), digest_size=32).hexdigest()
+    for r in made.collect():
+        side = lambda x: ".".join(x)
+        state = {"temperature_K": r.temperature_K, "time_s": r.time_s, "pressure_Pa": r.pressure_Pa, "solvent": r.solvent_normalized, "atmosphere": r.atmosphere, "light": r.light, "phase": r.phase, "pH": r.pH}
+        reaction = f"{side(r.reactants_canonical)}>>{side(r.products_canonical)}|{side(r.agents_canonical)}"
+        assert r.reaction_hash_v1 == blake(f"{reaction}||{json.dumps(state, sort_keys=True)}")
+        k = keys[r.rxn_id]
+        solvents = [[x, None] for x in sorted(set(r.solvent_normalized))]
+        parts = [solvents, k.temp_K_bin, k.time_s_bin, k.pressure_Pa_bin, k.pH_bin, k.atmosphere, k.light, k.phase, sorted(set(r.agents_canonical)), k.present_mask]
+        assert k.cond_hash == blake(json.dumps(parts, sort_keys=True, separators=(",", ":")))
+    # by hand: record b, 1e-07 K and no other condition
+    text = 'CCO>>C|||{"atmosphere": null, "light": null, "pH": null, "phase": null, "pressure_Pa": null, "solvent": [], "temperature_K": 1e-07, "time_s": null}'
+    assert made.filter("rxn_id = 'b'").first().reaction_hash_v1 == blake(text)
+
+
+def test_condition_keys_tell_quotes_apart(spark):
+    rows = [dict(R1, rxn_id="a", atmosphere='x","y', light="z"), dict(R1, rxn_id="b", atmosphere="x", light='y","z')]
+    table = normalize.normalize(frame(spark, *rows)).withColumn("rxn_vid", F.lit(1))
+    assert conditions.condition_keys(table).select("cond_hash").distinct().count() == 2
+
+
 def test_unbalanced_molecules_fail(spark):
     rows = [{"rxn_id": "a", "reactants": "C(C", "products": "CC"}, {"rxn_id": "b", "reactants": "C;[Na", "products": "CC;[Na"}, {"rxn_id": "c", "reactants": "C", "products": "O", "agents": "[Pd"}]
     table = normalize.normalize(frame(spark, *rows))
@@ -130,7 +190,8 @@ def test_parsing(spark):
     ]
     assert ask(spark, p.tokenize, "N,N-dimethylformamide", "a b", '["x"]', None) == [["N", "N-dimethylformamide"], ["a b"], ["x"], []]
     assert ask(spark, p.ensure_list, "a;b,c", '["a;b"]') == [["a", "b", "c"], ["a;b"]]
-    assert ask(spark, p.lenient_ids, "[1, 2]", "3.0;x;4", '["7"]') == [[1, 2], [3, 4], [7]]
+    assert ask(spark, p.lenient_ids, "[1, 2]", "3.0;x;4", '["7"]', "-3.5") == [[1, 2], [3, 4], [7], [-3]]
+    assert ask(spark, p.to_list, '[" a", "b ", null, ""]', " x ", " ", None) == [[" a", "b ", ""], ["x"], [], []]
     assert ask(spark, p.json_counts, '{"a": 2}', '["x","y","x"]', "z", None) == [{"a": 2}, {"x": 2, "y": 1}, {"z": 1}, None]
     got = ask(spark, p.parse_reaction, "A.B>c>D|e.f", "A>>B", "A>B", "A", "a>b>c>d")
     assert [(r.reactants, r.agents, r.products) for r in got] == [
