@@ -61,16 +61,19 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 NAMES = frozenset(
     """ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo cookie cookies consent gdpr notice notices
     popup modal newsletter subscribe signup login comment comments replies disqus respond sidebar breadcrumb breadcrumbs nav navbar
-    navigation menu masthead footer pagination pager copyright disclaimer""".split()
+    navigation menu masthead footer pagination pager copyright disclaimer related recommended""".split()
 )
-HINTS = frozenset("side widget related recommended share sharing social header tags skip toolbar search legal alert promotion banner reply".split())
+HINTS = frozenset("side widget share sharing social header tags skip toolbar search legal alert promotion banner reply".split())
 PLAIN = frozenset(
     """list box area block section container wrap wrapper inner outer bar panel content body item items main left right top bottom
     primary secondary fixed sticky overlay thread form text message links group slot unit""".split()
 )
 PROPERTY = frozenset("has have with without no not is show hide hidden js".split())
 TEXT = frozenset("article content post entry story main text".split())
-ADVERT_LABELS = frozenset("advertisement|advertising|sponsored|anzeige|werbung|publicité|sponsorisé|publicidad|anuncio".split("|"))
+LABELS = frozenset(
+    """advertisement|advertising|sponsored|anzeige|werbung|publicité|sponsorisé|publicidad|anuncio|read more|continue reading|weiterlesen|mehr lesen|
+lire la suite|en savoir plus|leer más|seguir leyendo""".replace("\n", "").split("|")
+)
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S
@@ -102,7 +105,7 @@ def name_marks(value: str) -> int:
         about_text = about_text or token in TEXT
         while len(parts) > 1 and (parts[-1] in PLAIN or parts[-1].isdigit()):
             parts.pop()
-        if parts[-1] in NAMES:
+        if parts[-1] in NAMES or parts[0] in NAMES:
             marks |= NAMED
         elif not NAMES.isdisjoint(parts) or not HINTS.isdisjoint(parts):
             marks |= HINTED
@@ -219,27 +222,28 @@ def own_labels(blocks: list[Block]) -> list[bool | None]:
     labels: list[bool | None] = []
     spared = condemned = 0
     spares_text = False
+    # a page whose own text has hardly a listed word is in another language: there words tell nothing
+    free = [b.text for b in blocks if not b.marks & HARD and b.linked <= LINKS * len(b.text)]
+    least = STOPS if stop_share(" ".join(free)) >= STOPS / 2 else 0
     for text, linked, marks, article, tag in blocks:
         size = len(text)
         if marks & HARD or linked > LINKS * size:
             labels.append(False)
             continue
         share = stop_share(text)
-        dense = tag not in HEADING and size >= SHORT and share >= STOPS
-        bare = size < LONG and OWNED.match(text) or "©" in text and not dense or text.lower() in ADVERT_LABELS
+        dense = tag not in HEADING and size >= SHORT and share >= least
+        bare = size < LONG and OWNED.match(text) or "©" in text and not dense or text.lower().strip(" .…>»→:") in LABELS
         if marks & NAMED:
             condemned += size if dense and size >= LONG else int(dense)
         else:
             spared += size
             spares_text = spares_text or dense or article > 0
-        if bare or marks & HINTED and share < STOPS and tag not in HEADING:
+        if bare or marks & HINTED and not dense and size < LONG and tag not in HEADING:
             labels.append(False)
-        elif dense:
-            labels.append(True)
-        elif tag in HEADING or size < LONG or article:
-            labels.append(None)
+        elif dense or size >= LONG and tag not in HEADING:
+            labels.append(True)  # text of that length with few links is never dropped for its words
         else:
-            labels.append(False)
+            labels.append(None)
     if spares_text or spared >= condemned:
         return [False if b.marks & NAMED else x for b, x in zip(blocks, labels, strict=True)]
     return labels
@@ -308,6 +312,7 @@ def main_text(page: Column) -> Column:
     in it. Broken markup is read like a browser does as far as blocks go:
     unclosed paragraphs end at the next block, closing tags that close nothing
     are ignored, and a page may stop anywhere, inside a tag too. Dense text
-    stays wherever it is, inside an article or not.
+    stays wherever it is, inside an article or not, and so does any long text
+    with few links, whatever its language.
     """
     return F.pandas_udf(lambda pages: pd.Series([extract(p) for p in pages], dtype=object), "string")(page)

@@ -1,6 +1,7 @@
 """Each training-data operator against a brute-force version, with nulls, ties, repeats and odd columns."""
 
 import hashlib
+import html.parser
 import math
 import random
 import re
@@ -340,6 +341,66 @@ def test_html_names_are_evidence():
     assert keeps("<nav>a</nav><div class='ad'>of the</div><article><h1>Only</h1><p>Few words</p></article>") == "Only\n\nFew words"
 
 
+def test_html_in_other_languages_and_notices():
+    russian = ["Это длинный абзац о городе и его жителях, которые каждый день ходят на рынок за хлебом. " * 4, "Второй абзац рассказывает о реке, мостах и старых домах на набережной. " * 4]
+    chinese = ["这是一个关于城市和居民的长段落，他们每天都去市场买面包和水果。" * 4, "第二段讲述河流、桥梁和老房子的故事，还有许多孩子在河边玩耍。" * 8]
+    unlisted = ["zebra lamp quilt " * 20, "marble onion kettle " * 20]
+    for paragraphs in (russian, chinese, unlisted):
+        want = [" ".join(p.split()) for p in paragraphs]
+        body = "".join(f"<p>{p}</p>" for p in paragraphs)
+        for inside in (f"<div>{body}</div>", f"<article>{body}</article>", f"<div class='widget'>{body}</div>"):
+            page = f"<body><nav><a href=x>{want[0][:20]}</a></nav>{inside}<footer>© x</footer></body>"
+            assert html_extract.extract(page) == "\n\n".join(want)
+    one, two = prose(1, 60)[:170], prose(2, 80)[:170]
+    for names in ("cookie-banner", "related-posts", "newsletter-signup-v2", "ad-slot-top", "related"):
+        assert html_extract.extract(f'<article><p>{one}</p></article><div class="{names}"><p>{two}</p></div>') == one
+    assert html_extract.extract(f"<article><p>{one}</p><p>Read more</p><p>{two}</p><p>Weiterlesen »</p></article>") == f"{one}\n\n{two}"
+
+
+class Naive(html.parser.HTMLParser):
+    """Blocks of well-formed pages by the standard parser and a plain stack."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.blocks, self.text, self.raw = [], "", 0
+
+    def flush(self):
+        if t := " ".join(self.text.split()):
+            self.blocks.append(t)
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        self.raw += tag in html_extract.RAW and tag != "head"
+        if tag in html_extract.BLOCK:
+            self.flush()
+        if tag == "br":
+            self.text += " "
+
+    def handle_endtag(self, tag):
+        self.raw -= tag in html_extract.RAW and tag != "head"
+        if tag in html_extract.BLOCK:
+            self.flush()
+
+    def handle_data(self, data):
+        self.text += "" if self.raw else data
+
+
+def test_html_blocks_are_those_of_a_plain_parser():
+    rng = random.Random(4)
+    words = ["one", "&amp;", "&#8212;", "&eacute;t&eacute;", "a < b", "x > y", "<b>bold</b>", "<br>", "<a href='u?a=1&b=2'>link</a>", "<!-- note -->", "<script>if (a < b) {}</script>", "\n  "]
+    for _ in range(200):
+        body = ""
+        for _ in range(rng.randrange(1, 12)):
+            inner = " ".join(rng.choice(words) for _ in range(rng.randrange(0, 9)))
+            tag = rng.choice(["p", "div", "h2", "blockquote", "section"])
+            body += rng.choice([f"<{tag} class='c'>{inner}</{tag}>", f"<ul><li>{inner}</li><li>{inner}</li></ul>", f"<div><p>{inner}</p>tail</div>"])
+        plain = Naive()
+        plain.feed(f"<html><body>{body}</body></html>")
+        plain.close()
+        plain.flush()
+        assert [b.text for b in html_extract.parse(f"<html><body>{body}</body></html>")] == plain.blocks
+
+
 def test_html_broken_markup():
     one = prose(1, 60)
     assert html_extract.extract(f"<p class=it's>{one}</p>") == one
