@@ -155,8 +155,16 @@ def meets(held: list[Column], query: frozenset, trigrams: list[str]) -> Column:
     return reduce(Column.__or__, [clause(c) for c in sorted(query, key=sorted)])
 
 
+#: Matches of a block in the sum of offsets.
+FOLD = 64
+
+
 def spans(text: Column, rule: Rule, index: int) -> Column:
-    """array<struct<s, r, e>>: leftmost non-overlapping matches in code points, failing ones left out."""
+    """array<struct<s, r, e>>: leftmost non-overlapping matches in code points, failing ones left out.
+
+    Offsets are sums over blocks of ``FOLD`` matches and within them, as a fold
+    copies the list it makes at every step.
+    """
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     between = F.split(text, rule.pattern, -1)
     value = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else found
@@ -166,7 +174,18 @@ def spans(text: Column, rule: Rule, index: int) -> Column:
         F.arrays_zip(found.alias("m"), value.alias("v")),
         lambda b, m: F.struct(F.length(b).alias("gap"), F.length(m["m"]).alias("len"), F.length(m["v"]).alias("val")),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,r:int,e:int>>").alias("out"))
+    none = F.array().cast("array<struct<s:int,r:int,e:int>>")
+
+    def cut_up(all_: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(all_) / FOLD).cast("int") - 1, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(all_, k * FOLD + 1, FOLD))
+
+    def starts(blocks: Column) -> Column:
+        def add(acc, block):
+            length = F.aggregate(block, F.lit(0), lambda n, x: n + x["gap"] + x["len"])
+            return F.struct((acc["at"] + length).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+        return F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), add, lambda acc: acc["out"])
 
     def step(acc, x):
         s = acc["at"] + x["gap"]
@@ -175,7 +194,12 @@ def spans(text: Column, rule: Rule, index: int) -> Column:
         kept = F.when(x["val"] >= rule.least, F.concat(acc["out"], F.array(one))).otherwise(acc["out"])
         return F.struct(e.alias("at"), kept.alias("out"))
 
-    return F.aggregate(sizes, start, step, lambda acc: acc["out"])
+    def places(blocks: Column) -> Column:
+        fold = lambda block, at: F.aggregate(block, F.struct(at.alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+        return F.flatten(F.zip_with(blocks, starts(blocks), fold))
+
+    # arrays of one element name a value that is used several times, so that it is made once
+    return F.transform(F.transform(F.array(sizes), cut_up), places)[0]
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

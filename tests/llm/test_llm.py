@@ -288,6 +288,20 @@ def test_secrets(spark):
     assert secret_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_many_secrets_in_one_text(spark):
+    """400,000 matches of one text, and counts around the size of a block."""
+    line = "0123456789abcdef0123456789abcdef\n"
+    sizes = (1, 63, 64, 65, 128, 129, 400_000)
+    docs = spark.createDataFrame([(n, line * n) for n in sizes], "doc_id long, text string")
+    begun = time.perf_counter()
+    got = {r.doc_id: r for r in secret_scan.scan(docs).select("doc_id", F.size("spans").alias("n"), "spans").select(
+        "doc_id", "n", F.get("spans", F.lit(0)).alias("first"), F.element_at("spans", -1).alias("last"), F.size(F.array_distinct("spans.s")).alias("starts")).collect()}
+    assert time.perf_counter() - begun < 60
+    for n in sizes:
+        r = got[n]
+        assert r.n == r.starts == n and (r.first.s, r.first.e) == (0, 32) and (r.last.s, r.last.e) == (33 * (n - 1), 33 * (n - 1) + 32)
+
+
 def test_trigram_queries_admit_every_match():
     q = secret_scan.trigram_query(secret_scan.BASE[0].pattern)
     for word in ("PassWord", "passwd", "SECRET", "token", "apikey", "API_KEY"):
