@@ -141,12 +141,21 @@ def characters(molecules: Column) -> Column:
 def multiset_delta(a: Column, b: Column) -> Column:
     """Gains ``+c:n`` in order of c, then losses ``-c:n``, between two arrays of characters.
 
-    Give columns, not expressions: both are read for every distinct character.
+    Each distinct character is counted in the joined texts by what leaving it
+    out shortens them: passes over a string, as many as the alphabet has
+    characters.
     """
-    every = F.array_sort(F.array_distinct(F.concat(a, b)))
-    change = F.transform(every, lambda x: F.struct(x.alias("c"), (count_of(b, x) - count_of(a, x)).alias("n")))
-    events = F.transform(
-        F.array_sort(F.transform(F.filter(change, lambda x: x["n"] != 0), lambda x: F.struct((x["n"] < 0).alias("loss"), x["c"].alias("c"), F.abs(x["n"]).alias("n")))),
-        lambda x: F.concat(F.when(x["loss"], "-").otherwise("+"), x["c"], F.lit(":"), x["n"].cast("string")),
-    )
-    return events
+    texts = F.struct(F.array_join(a, "").alias("a"), F.array_join(b, "").alias("b"), F.array_sort(F.array_distinct(F.concat(a, b))).alias("every"))
+    shorter = lambda t, x: F.length(F.replace(t, x, F.lit("")))
+
+    def changes(s: Column) -> Column:
+        longer = F.length(s["b"]) - F.length(s["a"])
+        return F.transform(s["every"], lambda x: F.struct(x.alias("c"), (longer - shorter(s["b"], x) + shorter(s["a"], x)).alias("n")))
+
+    def events(change: Column) -> Column:
+        some = F.filter(change, lambda x: x["n"] != 0)
+        ordered = F.array_sort(F.transform(some, lambda x: F.struct((x["n"] < 0).alias("loss"), x["c"].alias("c"), F.abs(x["n"]).alias("n"))))
+        return F.transform(ordered, lambda x: F.concat(F.when(x["loss"], "-").otherwise("+"), x["c"], F.lit(":"), x["n"].cast("string")))
+
+    # an array of one element names the texts, so that they are made once
+    return events(F.transform(F.array(texts), changes)[0])
