@@ -858,10 +858,11 @@ def test_workers_need_no_path(spark, tmp_path):
     frame(spark, [prose(i, 60) for i in range(12)], langs=["en", "xx"] * 6).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, prose(3, 60))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([(1, "u", "<p>one</p>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     entry = Path(__file__).resolve().parents[2] / "__spark_entry__.py"
     made = subprocess.run([sys.executable, "-c", OUTSIDE, str(entry), str(tmp_path)], cwd=tmp_path, capture_output=True, text=True)
     assert made.returncode == 0, made.stderr[-3000:]
-    assert [x.split()[1] for x in sorted(made.stdout.splitlines())] == ["12"] * 4 + ["1"] + ["12"] * 5
+    assert [x.split()[1] for x in sorted(made.stdout.splitlines())] == ["12"] * 6 + ["1"] + ["12"] * 5
 
 
 def test_columns_with_clashing_names(spark, texts):
