@@ -68,7 +68,7 @@ def level1_members(keys: DataFrame) -> DataFrame:
 
 
 def level1_clusters(keys: DataFrame) -> DataFrame:
-    """(CID, rxn_vids): CID is cond_hash."""
+    """(CID, rxn_vids): CID is cond_hash. For conditions whose members fit a row; ``level1_members`` has no such bound."""
     return keys.groupBy(F.col("cond_hash").alias("CID")).agg(F.array_sort(F.collect_list("rxn_vid")).alias("rxn_vids"))
 
 

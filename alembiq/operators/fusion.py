@@ -16,25 +16,31 @@ KEY = ["CID", "MID", "SID"]
 
 
 def members(level: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """(rxn_vid, columns) of a level, as clusters or as members; the last row that names a reaction wins, by ``ord`` or the scan's order."""
+    """(rxn_vid, o, KEY) of a level, as clusters or as members: o is ``ord`` or the scan's order, ids other than ``columns`` are null."""
     have = set(level.columns)
     order = F.col("ord") if "ord" in have else F.monotonically_increasing_id()
-    if "rxn_vids" not in have and "rxn_vid" in have:
-        level = level.withColumn("rxn_vids", F.array(F.col("rxn_vid").cast("long")))
+    null = F.lit(None).cast("string")
+    ids = [p.blank_to_null(F.col(c).cast("string")).alias(c) if c in have and c in columns else null.alias(c) for c in KEY]
+    if "rxn_vids" not in have:
+        return level.select(F.col("rxn_vid").cast("long").alias("rxn_vid"), order.alias("o"), *ids)
     vids = F.col("rxn_vids") if dict(level.dtypes)["rxn_vids"].startswith("array") else p.lenient_ids(F.col("rxn_vids"))
-    ids = [p.blank_to_null(F.col(c).cast("string")).alias(c) if c in have else F.lit(None).cast("string").alias(c) for c in columns]
-    each = level.select(order.alias("o"), *ids, vids.alias("vids")).select("o", *columns, F.explode("vids").alias("rxn_vid"))
-    last = each.groupBy("rxn_vid").agg(F.max_by(F.struct(*columns), "o").alias("x"))
-    return last.select("rxn_vid", *[F.col(f"x.{c}").alias(c) for c in columns])
+    each = level.select(order.alias("o"), *ids, vids.alias("vids"))
+    return each.select(F.explode(F.col("vids").cast("array<bigint>")).alias("rxn_vid"), "o", *KEY)
 
 
 def merge_assignments(level1: DataFrame, level2: DataFrame, level3: DataFrame, check: bool = True) -> DataFrame:
-    """rxn_vid, CID, MID, SID; finer levels win. Reactions that lack an id are an error that names the first ten."""
-    l1 = members(level1, ("CID",)).withColumnsRenamed({"CID": "c1"})
-    l2 = members(level2, ("CID", "MID")).withColumnsRenamed({"CID": "c2", "MID": "m2"})
-    l3 = members(level3, ("CID", "MID", "SID")).withColumnsRenamed({"CID": "c3", "MID": "m3", "SID": "s3"})
-    merged = l3.join(l2, "rxn_vid", "full_outer").join(l1, "rxn_vid", "full_outer")
-    out = merged.select("rxn_vid", F.coalesce("c3", "c2", "c1").alias("CID"), F.coalesce("m3", "m2").alias("MID"), F.col("s3").alias("SID"))
+    """rxn_vid, CID, MID, SID; finer levels win. Reactions that lack an id are an error that names the first ten.
+
+    Of a level's rows that name a reaction the last one counts. The levels are
+    stacked and meet in one aggregation, which member tables in equal buckets
+    enter without an exchange. Rows without a reaction are one reaction, null.
+    """
+    found = [members(x, tuple(KEY[: k + 1])).withColumn("level", F.lit(k)) for k, x in enumerate((level1, level2, level3))]
+    last = [F.max_by(F.struct(*KEY), F.when(F.col("level") == k, F.col("o"))).alias(f"l{k + 1}") for k in range(3)]
+    merged = reduce(DataFrame.unionByName, found).groupBy("rxn_vid").agg(*last)
+    out = merged.select(
+        "rxn_vid", F.coalesce("l3.CID", "l2.CID", "l1.CID").alias("CID"), F.coalesce("l3.MID", "l2.MID").alias("MID"), F.col("l3.SID").alias("SID")
+    )
     if check:
         gaps = out.filter("CID is null or MID is null or SID is null")
         if first := [r["rxn_vid"] for r in gaps.orderBy("rxn_vid").limit(10).collect()]:

@@ -77,17 +77,19 @@ def level2_members(sigs: DataFrame) -> DataFrame:
     return sigs.select(F.col("cond_hash").alias("CID"), F.col("cluster_id").alias("MID"), "rxn_vid")
 
 
-def level2_clusters(sigs: DataFrame) -> DataFrame:
-    """One row per cluster: counts of base signatures, the commonest (first seen among equals), members in order."""
+def level2_clusters(sigs: DataFrame, arrays: bool = True) -> DataFrame:
+    """One row per cluster: counts of base signatures, the commonest (first seen among equals), with ``arrays`` the members in order."""
+    vids = [F.collect_list("rxn_vid").alias("vids")] if arrays else []
     bases = sigs.groupBy("cond_hash", "cluster_id", "coarse_text", "coarse_key_hash", "mech_sig_base").agg(
-        F.count("*").alias("n"), F.min("rxn_vid").alias("first"), F.collect_list("rxn_vid").alias("vids"), F.first("coarse_key").alias("k")
+        F.count("*").alias("n"), F.min("rxn_vid").alias("first"), *vids, F.first("coarse_key").alias("k")
     )
+    listed = [F.array_sort(F.flatten(F.collect_list("vids"))).alias("rxn_vids")] if arrays else []
     return bases.groupBy("cond_hash", "cluster_id", "coarse_text", "coarse_key_hash").agg(
         F.max_by("mech_sig_base", F.struct(F.col("n"), -F.col("first"))).alias("mech_sig_base"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("mech_sig_base", "n")))).alias("mech_sig_base_counts"),
         F.first("k").alias("coarse_key"),
         F.sum("n").alias("rxn_count"),
-        F.array_sort(F.flatten(F.collect_list("vids"))).alias("rxn_vids"),
+        *listed,
     )
 
 

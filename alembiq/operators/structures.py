@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import parsing as p
@@ -36,7 +36,7 @@ def expand(clusters: DataFrame) -> DataFrame:
     if "rxn_vid" in clusters.columns:
         return clusters
     if "rxn_vids" not in clusters.columns:
-        raise ValueError("clusters need rxn_vid or rxn_vids")
+        raise ValueError("clusters need rxn_vid or rxn_vids: give the table of members")
     vids = F.col("rxn_vids") if dict(clusters.dtypes)["rxn_vids"].startswith("array") else p.strict_ids(F.col("rxn_vids"))
     return clusters.withColumn("rxn_vid", F.explode(vids)).drop("rxn_vids")
 
@@ -83,8 +83,14 @@ def level3_members(assigned: DataFrame) -> DataFrame:
     return assigned.select("CID", "MID", "SID", "rxn_vid")
 
 
-def level3_clusters(assigned: DataFrame) -> DataFrame:
-    """One row per (CID, MID, SID): members in order, the first three as exemplars, size."""
+def level3_clusters(assigned: DataFrame, arrays: bool = True) -> DataFrame:
+    """One row per (CID, MID, SID): with ``arrays`` the members in order, the first three as exemplars, size."""
+    key = ["CID", "MID", "SID"]
+    if not arrays:
+        nth = F.row_number().over(Window.partitionBy(*key).orderBy("rxn_vid"))
+        first = assigned.select(*key, "rxn_vid").withColumn("nth", nth).filter("nth <= 3")
+        exemplars = first.groupBy(*key).agg(F.array_sort(F.collect_list("rxn_vid")).alias("exemplar_vids"))
+        return exemplars.join(assigned.groupBy(*key).agg(F.count("*").alias("cluster_size")), key)
     made = assigned.groupBy("CID", "MID", "SID").agg(F.array_sort(F.collect_list("rxn_vid")).alias("rxn_vids"))
     return made.withColumns({"exemplar_vids": F.slice("rxn_vids", 1, 3), "cluster_size": F.size("rxn_vids").cast("long")})
 

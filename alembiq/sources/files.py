@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import PurePosixPath
@@ -12,8 +14,15 @@ from pyspark.sql import functions as F
 from ..shared import cut
 
 
+#: Column metadata that holds the number of buckets of ``write_keyed``.
+BUCKETS = "alembiq.buckets"
+
+
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """CSV (all columns text unless a schema is given), JSON document, JSON lines or Parquet, by suffix."""
+    """CSV (all columns text unless a schema is given), JSON document, JSON lines or Parquet, by suffix.
+
+    Parquet that ``write_keyed`` wrote is read by its buckets.
+    """
     suffix = PurePosixPath(path.rstrip("/")).suffix.lower()
     reader = spark.read.schema(schema) if schema else spark.read
     if suffix == ".csv":
@@ -23,7 +32,7 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     if suffix == ".jsonl":
         return reader.json(path)
     if suffix in (".parquet", ".pq"):
-        return reader.parquet(path)
+        return reader.parquet(path) if schema else by_buckets(spark, path, reader.parquet(path))
     raise ValueError(f"unsupported input format: {suffix or path}")
 
 
@@ -84,6 +93,50 @@ def write_table(df: DataFrame, path: str, *partition_by: str, order: tuple[str,
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def write_keyed(df: DataFrame, path: str, key: str, buckets: int = 0) -> None:
+    """Parquet in ``buckets`` files by the hash of ``key`` (0: as many as the session's shuffle partitions), each sorted by it.
+
+    Tables of one key and number of buckets join and group on it without an
+    exchange. The number is kept as metadata of the key column, so that
+    ``read_table`` finds it in any session, without a metastore.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    marked = df.withMetadata(key, {BUCKETS: n})
+    name = f"alembiq_{uuid.uuid4().hex}"
+    writer = marked.repartition(n, key).write.format("parquet").mode("overwrite").option("path", path)
+    try:
+        writer.bucketBy(n, key).sortBy(key).saveAsTable(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if not spark.read.schema(df.schema).parquet(path).inputFiles():
+        write_table(df.limit(0), path)  # buckets without rows have no file that keeps the schema
+
+
+def by_buckets(spark: SparkSession, path: str, plain: DataFrame) -> DataFrame:
+    """``plain``, the table at ``path``, as Spark's bucketed table if ``write_keyed`` wrote it.
+
+    Tables made from a keyed one may carry its metadata on; their files' names
+    have no bucket, and they are read as they are.
+    """
+    keys = [f for f in plain.schema if BUCKETS in f.metadata]
+    if len(keys) != 1:
+        return plain
+    n = keys[0].metadata[BUCKETS]
+    found = [re.search(r"_(\d+)\.[^/]*$", name) for name in plain.inputFiles()]
+    if not found or not all(x and int(x[1]) < n for x in found):
+        return plain
+    name, key = f"alembiq_{uuid.uuid4().hex}", keys[0].name.replace("`", "``")
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {name} ({plain.schema.toDDL()}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {n} BUCKETS LOCATION '{place}'"
+    )
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # the files stay, and so does what was read
+
+
 def write_failures(df: DataFrame, path: str) -> bool:
     """Write failures as Parquet, nothing if there are none; whether it wrote."""
     if df.isEmpty():

@@ -4,6 +4,7 @@ import hashlib
 import json
 import math
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -594,6 +595,36 @@ def test_files(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/e.parquet").columns == df.columns
 
 
+def exchanges(df) -> list[str]:
+    """The exchanges by hash or range in a plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange (?:hash|range)partitioning\((?!_file)[^)]*\)", plan)
+
+
+def test_keyed_tables(spark, tmp_path):
+    """Tables by buckets: joined without an exchange, overwritten, empty, copied, and with odd names."""
+    path = f"{tmp_path}/it's a table.parquet"
+    df = spark.range(100).select(F.col("id").alias("rxn_vid"), F.struct(F.col("id").alias("a b")).alias("x y"), F.lit(None).cast("string").alias("Z"))
+    for rows, n in ((df, 3), (df.limit(0), 5), (df.filter("rxn_vid < 50"), 4)):
+        files.write_keyed(rows, path, "rxn_vid", n)
+        back = files.read_table(spark, path)
+        assert sorted(back.collect()) == sorted(rows.collect()) and back.columns == df.columns
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not exchanges(files.read_table(spark, path).join(files.read_table(spark, path).select("rxn_vid"), "rxn_vid"))
+        assert not exchanges(files.read_ordered(spark, path).groupBy("rxn_vid").agg(F.max_by("Z", "ord")))
+        assert exchanges(spark.read.parquet(path).groupBy("rxn_vid").count())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # a copy carries the metadata on, but its files have no buckets
+    spark.read.parquet(path).write.parquet(f"{tmp_path}/copy.parquet")
+    assert files.read_table(spark, f"{tmp_path}/copy.parquet").count() == 50
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("alembiq_")]
+    files.write_keyed(spark.createDataFrame([(None, 1), (None, 2), (3, 3)], "k long, v int"), path, "k")
+    assert sorted(r.v for r in files.read_table(spark, path).collect()) == [1, 2, 3]
+
+
 def test_jobs(spark, tmp_path):
     """The jobs in a row give what the queries give; options come from the parameters."""
     from alembiq.__main__ import main
@@ -606,8 +637,8 @@ def test_jobs(spark, tmp_path):
     main(["phase0", "--input", at("raw"), "--output", at("rx"), "--failed-output", at("bad")])
     main(["phase1", "--input", at("rx"), "--output", at("keys"), "--clusters", at("level1")])
     main(["phase2", "--input", at("rx"), "--cond-table", at("keys"), "--output-dir", str(tmp_path)])
-    main(["phase3", "--mechanism-sigs", at("mechanism_sigs"), "--clusters-level2", at("clusters_level2"), "--output-dir", str(tmp_path)])
-    levels = [x for n in (2, 3) for x in (f"--clusters-level{n}", at(f"clusters_level{n}"))]
+    main(["phase3", "--mechanism-sigs", at("mechanism_sigs"), "--clusters-level2", at("members_level2"), "--output-dir", str(tmp_path)])
+    levels = [x for n in (2, 3) for x in (f"--clusters-level{n}", at(f"members_level{n}"))]
     main(
         ["phase4", "--clusters-level1", at("level1"), *levels, "--mechanism-sigs", at("mechanism_sigs"), "--structure-feats", at("structure_feats")]
         + ["--reactions", at("rx"), "--output-dir", str(tmp_path)]
@@ -620,6 +651,25 @@ def test_jobs(spark, tmp_path):
     assert "cluster_card" in kinds and (tmp_path / "clusters_final.parquet/_SUCCESS").exists()
     assert spark.read.json(f"{tmp_path}/indices").count() == spark.read.parquet(at("clusters_level2")).count()
     assert spark.read.parquet(f"{tmp_path}/report/mapped_share_histogram.parquet").count() > 0
+    assert not {"rxn_vids"} & {c for n in (2, 3) for c in spark.read.parquet(at(f"clusters_level{n}")).columns}
+    # a join of any two tables of a phase has no exchange, but for its ranks of files
+    tables = {n: files.read_table(spark, at(n)) for n in ("rx", "keys", "mechanism_sigs", "structure_feats", "assignments", "level1", "members_level2", "members_level3")}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not exchanges(mechanism.signatures(tables["keys"], tables["rx"]))
+        assert not exchanges(structures.features(structures.join_levels(structures.expand(tables["members_level2"]), tables["mechanism_sigs"])))
+        read = [files.read_ordered(spark, at(n)) for n in ("level1", "members_level2", "members_level3")]
+        assert not exchanges(fusion.merge_assignments(*read, check=False))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # lists of members, where they are asked for, give the same assignments
+    main(["phase1", "--input", at("rx"), "--output", at("keys"), "--clusters", at("listed"), "--arrays"])
+    sigs, feats = tables["mechanism_sigs"], tables["structure_feats"]
+    listed = spark.read.parquet(at("listed")), mechanism.level2_clusters(sigs).withColumnsRenamed({"cond_hash": "CID", "cluster_id": "MID"}), structures.level3_clusters(feats)
+    assert sorted(fusion.merge_assignments(*listed).collect()) == sorted(tables["assignments"].collect())
+    short = listed[2].select("CID", "MID", "SID", "exemplar_vids", "cluster_size")
+    assert sorted(short.collect()) == sorted(spark.read.parquet(at("clusters_level3")).select(short.columns).collect())
     with pytest.raises(SystemExit):
         main(["phase1", "--input", at("rx")])
 
