@@ -12,6 +12,9 @@ hold their windows:
    can't be repeated.
 2. The repeated minimizers go into a bitmap of at most ``bitmap_bits`` bits,
    which is broadcast. It may admit more (the more the fuller it is), never less.
+   Where it would be over an eighth full, it isn't made: the runs of windows of
+   every document are shuffled by minimizer to meet the repeated ones, and each
+   document is joined with the numbers of its runs that do.
 3. Each run of windows with an admitted minimizer is one segment of words; the
    minimizer chooses its shard. Equal segments are combined before the shuffle:
    places that meet there are repeated, so their spans are known, and the shard
@@ -27,7 +30,7 @@ A minimizer with more than ``hot_limit`` places would make one large shard. Its
 windows are dealt one by one instead, by a 128-bit digest of their words that
 stands for them, so that no task holds them together. Hot minimizers are kept in
 a bitmap of bounded size too: what it admits beyond them is dealt the same way,
-which changes no result.
+which changes no result. It is an eighth full at most, as the other one is.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ from __future__ import annotations
 import hashlib
 import sys
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -136,9 +140,46 @@ def merged(found: np.ndarray) -> np.ndarray:
     return np.column_stack((found[first, :3], reach[last] - offset[last]))
 
 
-def _segments(window: int, gram: int, shared):
+def runs(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, end) of each run of windows with one minimizer."""
+    first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
+    return first, np.append(first[1:], len(v))
+
+
+def _runs(window: int, gram: int):
+    """Rows (val, did, th, run): the minimizer of each run of each document, and the run's number."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, hot = shared.value
+        hashes, held, size = WordHashes(), [], 0
+
+        def flush() -> pa.RecordBatch:
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["val", "did", "th", "run"])
+
+        for batch in batches:
+            for text, did, th in zip(batch.column("text"), batch.column("did").to_pylist(), batch.column("th").to_pylist(), strict=True):
+                w = words(text.as_py())
+                if len(w) >= window:
+                    _, v = minimizers(hashes.of(w), window, gram)
+                    val = v[runs(v)[0]].view(np.int64)
+                    n = len(val)
+                    held.append((val, np.full(n, did, np.int64), np.full(n, th, np.int64), np.arange(n, dtype=np.int64)))
+                    size += n
+                    if size >= FLUSH:
+                        yield flush()
+                        size = 0
+        if held:
+            yield flush()
+
+    return run
+
+
+def _segments(window: int, gram: int, shared=None):
+    """Segments of admitted runs: those of the broadcast bitmaps, else of column ``admitted``, twice a run's number, and one if it is hot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, hot = shared.value if shared else (None, None)
         hashes = WordHashes()
         held: dict[tuple[int, bytes], list[int]] = {}
         size = 0
@@ -167,15 +208,22 @@ def _segments(window: int, gram: int, shared):
             )
 
         for batch in batches:
-            for text, did, th in zip(batch.column("text"), batch.column("did").to_pylist(), batch.column("th").to_pylist(), strict=True):
+            listed = repeat(None) if shared else batch.column("admitted")
+            ids = batch.column("did").to_pylist(), batch.column("th").to_pylist()
+            for text, did, th, code in zip(batch.column("text"), *ids, listed, strict=False):
                 w = words(text.as_py())
                 if len(w) < window:
                     continue
                 _, v = minimizers(hashes.of(w), window, gram)
-                first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
-                last = np.append(first[1:], len(v))
+                first, last = runs(v)
                 val = v[first]
-                admitted, is_hot = member(bitmap, val), member(hot, val)
+                if shared:
+                    admitted, is_hot = member(bitmap, val), member(hot, val)
+                else:
+                    admitted, is_hot = np.zeros((2, len(val)), dtype=bool)
+                    codes = code.values.to_numpy(zero_copy_only=False)
+                    admitted[codes >> 1] = True
+                    is_hot[codes[codes & 1 == 1] >> 1] = True
                 for k in np.flatnonzero(admitted).tolist():
                     a, b = int(first[k]), int(last[k])
                     if is_hot[k]:
@@ -376,8 +424,15 @@ def removed_spans(
     repeated = cut(places.groupBy("val").agg(F.sum("cnt").alias("cnt")).filter("cnt > 1"), "minimizers")
     hot = F.col("cnt") > hot_limit
     n, n_hot = repeated.agg(F.count("*"), F.count_if(hot)).first()
-    shared = spark.sparkContext.broadcast((bitmap_of(repeated, bitmap_bits, n), bitmap_of(repeated.filter(hot), hot_bits, n_hot)))
-    segments = keyed.mapInArrow(_segments(window, gram, shared), "shard long, seg binary, places binary")
+    made = "shard long, seg binary, places binary"
+    if n <= bitmap_bits // 8 and n_hot <= hot_bits // 8:
+        shared = spark.sparkContext.broadcast((bitmap_of(repeated, bitmap_bits, n), bitmap_of(repeated.filter(hot), hot_bits, n_hot)))
+        segments = keyed.mapInArrow(_segments(window, gram, shared), made)
+    else:
+        each = keyed.mapInArrow(_runs(window, gram), "val long, did long, th long, run long")
+        code = F.shiftleft("run", 1) + hot.cast("long")
+        admitted = each.join(repeated, "val").groupBy("did", "th").agg(F.collect_set(code).alias("admitted"))
+        segments = keyed.join(admitted, ["did", "th"]).select("text", "did", "th", "admitted").mapInArrow(_segments(window, gram), made)
     shards = segments.repartition("shard").sortWithinPartitions("shard", "seg")
     found = shards.mapInArrow(_match(window), "did long, th long, a long, b long")
     return found.groupBy("did", "th").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))

@@ -659,8 +659,9 @@ def brute_repeats(texts, window):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_limit": 1}, {"bitmap_bits": 1}, {"hot_limit": 3, "hot_bits": 1}])
+@pytest.mark.parametrize("options", [{}, {"hot_limit": 1}, {"bitmap_bits": 1}, {"hot_limit": 3, "hot_bits": 1}, {"hot_limit": 1, "bitmap_bits": 1}])
 def test_substring_dedup(spark, texts, options):
+    """Small bitmaps, which would be too full, give way to the join of runs."""
     more = texts + ["na " * 200, "x y " * 40, prose(7, 36) + "  z", prose(200, 20) + " " + prose(7, 36), "ab " * 34]
     docs = frame(spark, more, [*range(1, len(more)), None])
     got = {r.doc_id: r for r in substring_dedup.drop_repeats(docs, **options).collect()}
