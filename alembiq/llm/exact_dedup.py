@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from .util import cut, free_name, text_or_empty
 
 SUPER = 16
+#: Repeats of one id and text that one row makes; those of more are dealt to tasks in blocks.
+REPEATS = 1 << 16
 
 
 def _ranges(length: Column, step: int) -> Column:
@@ -155,13 +157,18 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kept. Other columns of ``docs`` are not read. An empty table gives no rows.
     """
     named = identities(docs, id_col=id_col, text_col=text_col, **options)
-    groups = cut(
-        named.groupBy("level", "h", "r").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")),
-        "groups",
-    )
-    again = Window.partitionBy("level", "h", "r", "doc_id").orderBy("sha")
-    rows = named.withColumn("repeat", F.row_number().over(again) - 1)
-    return rows.join(groups, ["level", "h", "r"]).select(
+    name = ["level", "h", "r"]
+    # rows equal in id and text are alike in all that is returned: they are counted, and made rows again at the end
+    copies = cut(named.groupBy(*name, "doc_id", "sha").agg(F.count("*").alias("n")), "copies")
+    groups = cut(copies.groupBy(*name).agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size")), "groups")
+    start = F.col("block") * REPEATS
+    ordinals = F.sequence(start, F.least(start + REPEATS, F.col("n")) - 1)
+    rows = copies.withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / REPEATS)))).join(groups, name)
+    if not copies.filter(F.col("n") > REPEATS).isEmpty():
+        many = rows.filter(F.col("n") > REPEATS).repartition(*name, "doc_id", "block")
+        rows = rows.filter(F.col("n") <= REPEATS).unionByName(many)
+    spread = rows.withColumn("repeat", F.explode(ordinals))
+    return spread.select(
         "doc_id",
         "keep_id",
         "group_size",

@@ -827,6 +827,19 @@ def test_pipeline(spark, tmp_path, texts):
     assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == "10000"
 
 
+@pytest.mark.parametrize("block", [1, 2, 7, 1 << 16])
+def test_repeats_are_dealt_in_blocks(spark, block, monkeypatch):
+    """Rows of one id (null, for one) and text, however many, come back one by one, numbered; one of them stays."""
+    monkeypatch.setattr(exact_dedup, "REPEATS", block)
+    rows = [(None, "a")] * 7 + [(3, "b")] * 2 + [(4, "b"), (5, None), (5, "")] + [(6, "c")] * 14
+    docs = spark.createDataFrame(random.Random(5).sample(rows, len(rows)), "doc_id long, text string").repartition(5)
+    got = exact_dedup.exact_groups(docs).collect()
+    want = [(None, None, 7, i) for i in range(7)] + [(3, 4, 3, 0), (3, 4, 3, 1), (4, 4, 3, 0), (5, 5, 2, 0), (5, 5, 2, 1)] + [(6, 6, 14, i) for i in range(14)]
+    assert sorted(map(repr, ((r.doc_id, r.keep_id, r.group_size, r.repeat) for r in got))) == sorted(map(repr, want))
+    assert sorted(repr(r.doc_id) for r in got if r.kept) == ["4", "5", "6", "None"]
+    assert exact_dedup.drop_exact_copies(docs).count() == 4
+
+
 def test_repeated_rows_and_empty_tables(spark):
     twice = frame(spark, [prose(1, 50), prose(1, 50), None, None], [1, 1, None, None])
     assert simhash.near_groups(twice).count() == 4
