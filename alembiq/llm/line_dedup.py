@@ -12,7 +12,8 @@ most ``rare`` documents pairs all of them, a commoner one pairs each with the
 earliest. Only documents that keep a line which an earlier one holds go on: to
 growing random parts of their features' holders, at last to all. Documents that
 differ only in lines nobody else holds align alike, so that in these rounds the
-earliest stands for all of them.
+earliest stands for all of them. What makes few pairs with all holders is
+aligned with all of them at once.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLANKS = " \t\r\x0b\x0c"
 #: Pairs of one earlier document that one task aligns.
 PAIRS = 4096
+#: Pairs with all holders up to which what is left takes one round.
+ONCE = 1 << 16
 
 
 def _anchors(a: list[int], b: list[int], a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
@@ -254,12 +257,14 @@ def earliest_alike(held: DataFrame) -> DataFrame:
 
 
 def removed_lines(
-    docs: DataFrame, rare: int = 8, min_block_chars: int = 24, id_col: str = "doc_id", text_col: str = "text", part: int = 64
+    docs: DataFrame, rare: int = 8, min_block_chars: int = 24, id_col: str = "doc_id", text_col: str = "text", part: int = 64, once: int = ONCE
 ) -> DataFrame:
     """(did, th, gone): line numbers to delete from each document that loses any.
 
     After the first round a document meets about ``part`` holders of each of
-    its features, in each further round ``part`` times as many.
+    its features, in each further round ``part`` times as many. If those left
+    make at most ``once`` pairs with all holders of their features, the round is
+    the last one. Neither number changes the result.
     """
     text, least = text_or_empty(text_col), max(1, min_block_chars)
     bare = F.transform(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS)))
@@ -275,11 +280,15 @@ def removed_lines(
     late = cut(unsettled(held.filter(F.size("old") > 0).drop("keys"), gone, least), "unsettled")
     by = shared.filter(F.col("feature") & (F.col("m") > rare)).select("did", "th", "h", "m")
     heads, done = None, 0
-    while most := by.join(late.select("did", "th"), ["did", "th"]).agg(F.max("m")).first()[0]:
-        if heads is None:
+    reach = F.max("m").alias("most"), F.sum("m").alias("pairs")
+    while (left := by.join(late.select("did", "th"), ["did", "th"]).agg(*reach).first())["most"]:
+        last = left["pairs"] <= once
+        if heads is None and last:
+            heads, earlier = held, by.withColumnsRenamed({"did": "e_did", "th": "e_th"})
+        elif heads is None:
             heads = cut(earliest_alike(held), "alike")
             earlier = cut(by.join(heads.select("did", "th"), ["did", "th"]).withColumnsRenamed({"did": "e_did", "th": "e_th"}), "alike-features")
-        upto = max(1, done) * part
+        upto = left["most"] if last else max(1, done) * part
         place = F.pmod(F.xxhash64("h", "e_did", "e_th"), F.col("m"))
         some = earlier.filter((place >= done) & (place < upto)).select("h", "e_did", "e_th")
         mine = by.join(late.select("did", "th"), ["did", "th"]).select("h", "did", "th")
@@ -287,7 +296,7 @@ def removed_lines(
         more = cut(deleted(made, late.select("did", "th", "lines", "sizes"), heads, least), "aligned")
         gone = gone.unionByName(more)
         done = upto
-        if done >= most:
+        if done >= left["most"]:
             break
         late = cut(unsettled(late, gone, least), "unsettled")
     return gone.groupBy("did", "th").agg(F.collect_set("j").alias("gone"))

@@ -771,7 +771,7 @@ def test_line_dedup_is_that_of_all_pairs(spark, floor):
     texts += [f"own {i}\nnow {i % 3}\nfar line of the crowd\nsep\nown {i} too\nsep" for i in range(30)]
     texts += ["last a\nfar line of the crowd\nnow 1", "last b\n\nnow 1\nfar line of the crowd\n\n", "sep\nlast c\nsep"]
     want = brute_lines(texts, floor)
-    for options in ({}, {"rare": 1, "part": 2}):
+    for options in ({}, {"rare": 1}, {"rare": 1, "part": 2, "once": 0}):
         gone = line_dedup.removed_lines(frame(spark, texts), min_block_chars=floor, **options)
         lost = {r.did: set(r.gone) for r in gone.collect()}
         got = ["\n".join(x for j, x in enumerate(t.split("\n")) if j not in lost.get(i, ())) for i, t in enumerate(texts)]
