@@ -35,7 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: White space around a line that does not count.
 BLANKS = " \t\r\x0b\x0c"
 #: Pairs of one earlier document that one task aligns.
-PAIRS = 4096
+PAIRS = 512
 #: Pairs with all holders up to which what is left takes one round.
 ONCE = 1 << 16
 
