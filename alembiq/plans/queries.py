@@ -181,7 +181,8 @@ def file_order_ids(spark, d):
     raw.repartitionByRange(5, "ord").sortWithinPartitions("ord").write.parquet(path)
     ordered = files.read_ordered(spark, path, "place").withColumn("rxn_id", F.lit(None).cast("string"))
     table = normalize.normalized_table(ordered, ordinal="place")
-    named = ordered.select("place", F.col("ord").alias("o"))
+    # a row for every row, which Spark would broadcast where the columns are small in the files
+    named = ordered.select("place", F.col("ord").alias("o")).hint("merge")
     return table.join(named, F.col("place") == table["ord"]).select(F.col("o").alias("ord"), "rxn_id")
 
 

@@ -719,3 +719,13 @@ def test_stats_jsonl_reads_whole_lines(spark):
     line = next(x for x in plan.splitlines() if "StructsToJson" in x)
     assert all(c in line for c in ("mechanism_summary", "top_solvents", "shared_id", "source"))
     assert [(r.type, r.n > 0) for r in made.collect()] == [("cluster_card", True)]
+
+
+def planned(df, which="optimizedPlan"):
+    return getattr(df._jdf.queryExecution(), which)().toString()
+
+
+def test_places_are_joined_without_a_broadcast(spark):
+    """Both sides of the join have a row for every row of the input."""
+    plan = planned(queries.file_order_ids(spark, "/root/testdata/sf0.001"), "executedPlan")
+    assert "SortMergeJoin [ord" in plan or "SortMergeJoin [place" in plan
