@@ -5,7 +5,7 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,40 +26,44 @@ METALS = (
 )
 
 
-def canonical(molecules: Column) -> Column:
-    """Molecules without any white space."""
-    return F.transform(molecules, lambda x: F.regexp_replace(x, r"\s+", ""))
+def in_order(molecules: Column) -> Column:
+    """The molecules sorted; lists of one are left as they are. None is null."""
+    return F.when(F.size(molecules) > 1, F.sort_array(molecules)).otherwise(molecules)
 
 
-def standardize(reactants: Column, products: Column, agents: Column) -> Column:
-    """struct(reactants, products, agents, spectators).
+def standardize(df: DataFrame, reactants: Column, products: Column, agents: Column) -> DataFrame:
+    """Add reactants_canonical, products_canonical, agents_canonical and spectators_moved.
 
-    A molecule on both sides is a spectator: all its copies leave both sides
-    and one copy joins the agents. The lists are sorted.
+    Molecules have no white space. One on both sides is a spectator: all its
+    copies leave both sides and one copy joins the agents. The lists are sorted. The spectators are a
+    column that the other lists read; as a part of their expressions they would
+    be found anew for every molecule, and so would the sides.
     """
-    r, p, a = canonical(reactants), canonical(products), canonical(agents)
-    both = F.array_sort(F.array_intersect(r, p))
-    rest = lambda side: F.array_sort(F.filter(side, lambda x: ~F.array_contains(both, x)))
-    return F.struct(
-        rest(r).alias("reactants"), rest(p).alias("products"), F.array_sort(F.concat(a, both)).alias("agents"), both.alias("spectators")
-    )
+    r, p, a, both = (F.col(c) for c in ("_r", "_p", "_a", "spectators_moved"))
+    sides = df.withColumns({"_r": reactants, "_p": products, "_a": agents})
+    found = sides.withColumn("spectators_moved", F.sort_array(F.array_intersect(r, p)))
+    rest = lambda side: F.when(F.size(both) > 0, F.filter(side, lambda x: ~F.array_contains(both, x))).otherwise(side)
+    lists = found.withColumns({"_r": rest(r), "_p": rest(p), "_a": F.concat(a, both)})
+    ordered = {"reactants_canonical": in_order(r), "products_canonical": in_order(p), "agents_canonical": in_order(a)}
+    return lists.withColumns(ordered).drop("_r", "_p", "_a")
 
 
 def molecule_score(m: Column) -> Column:
-    low = F.lower(m)
-    n = F.length(low) - F.length(F.replace(low, F.lit("n"), F.lit("")))
-    bonus = F.when(F.contains(low, F.lit("ar")) | F.contains(m, F.lit("c1")), 2.0).otherwise(0.0)
+    n = F.length(m) - F.length(F.translate(m, "nN", ""))
+    bonus = F.when(F.contains(F.lower(m), F.lit("ar")) | F.contains(m, F.lit("c1")), 2.0).otherwise(0.0)
     return F.length(m) + bonus - n * 0.1
 
 
 def main_substrate(molecules: Column) -> Column:
     """The molecule of the highest score; the first of equals."""
     scored = F.transform(molecules, lambda x, i: F.struct((-molecule_score(x)).alias("s"), i.alias("i"), x.alias("m")))
-    return F.get(F.array_sort(scored), F.lit(0))["m"]
+    return F.when(F.size(molecules) == 1, F.get(molecules, F.lit(0))).otherwise(F.array_min(scored)["m"])
 
 
 def role_scores(molecules: Column) -> Column:
-    return F.map_from_entries(F.transform(F.array_distinct(molecules), lambda x: F.struct(x, molecule_score(x))))
+    first = F.get(molecules, F.lit(0))
+    every = F.map_from_entries(F.transform(F.array_distinct(molecules), lambda x: F.struct(x, molecule_score(x))))
+    return F.when(F.size(molecules) == 1, F.create_map(first, molecule_score(first))).otherwise(every)
 
 
 def is_solvent(token: Column) -> Column:

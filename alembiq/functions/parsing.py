@@ -31,29 +31,45 @@ def json_texts(c: Column) -> Column:
     return F.from_json(F.when(strip(c).startswith("["), strip(c)), TEXTS)
 
 
+def divided(s: Column, single: Column) -> Column:
+    """Trimmed text split at the first present of ; | , and else ``single``; no element is blank or has blanks around it.
+
+    Blanks go with the separators, so that no element is trimmed by itself.
+    """
+    at = lambda by: F.split(s, f"[{BLANKS}]*[{by}][{BLANKS}]*")
+    parts = F.when(F.contains(s, F.lit(";")), at(";")).when(F.contains(s, F.lit("|")), at("|")).when(F.contains(s, F.lit(",")), at(",")).otherwise(single)
+    return F.array_remove(parts, "")
+
+
+def at_stops(s: Column) -> Column:
+    return F.when(F.contains(s, F.lit(".")), F.split(s, f"[{BLANKS}]*[.][{BLANKS}]*")).when(s.isNotNull(), F.array(s))
+
+
+def listed_entities(s: Column) -> Column:
+    """A JSON list in brackets, else null."""
+    return clean(F.when(s.startswith("[") & s.endswith("]"), F.from_json(s, TEXTS)))
+
+
 def split_entities(c: Column) -> Column:
     """JSON list in brackets; else split at the first present of ; | , and else at full stops."""
     s = strip(c)
-    listed = F.when(s.startswith("[") & s.endswith("]"), json_texts(s))
-    parts = (
-        F.when(F.contains(s, F.lit(";")), F.split(s, ";"))
-        .when(F.contains(s, F.lit("|")), F.split(s, "[|]"))
-        .when(F.contains(s, F.lit(",")), F.split(s, ","))
-        .otherwise(F.split(s, "[.]"))
-    )
-    return F.coalesce(clean(F.coalesce(listed, parts)), no_texts())
+    return F.coalesce(listed_entities(s), divided(s, at_stops(s)), no_texts())
+
+
+def split_molecules(s: Column) -> Column:
+    """``split_entities`` of trimmed text, without any white space in the elements."""
+    bare = F.translate(s, BLANKS, "")
+    return F.coalesce(without_blanks(listed_entities(s)), divided(bare, at_stops(bare)), no_texts())
+
+
+def without_blanks(items: Column) -> Column:
+    return F.transform(items, lambda x: F.translate(x, BLANKS, ""))
 
 
 def tokenize(c: Column) -> Column:
     """Like ``split_entities`` but a text without separator is one token."""
     s = strip(c)
-    parts = (
-        F.when(F.contains(s, F.lit(";")), F.split(s, ";"))
-        .when(F.contains(s, F.lit("|")), F.split(s, "[|]"))
-        .when(F.contains(s, F.lit(",")), F.split(s, ","))
-        .otherwise(F.array(s))
-    )
-    return F.coalesce(clean(F.coalesce(json_texts(s), parts)), no_texts())
+    return F.coalesce(clean(json_texts(s)), divided(s, F.when(s.isNotNull(), F.array(s))), no_texts())
 
 
 def to_list(c: Column) -> Column:
@@ -101,7 +117,7 @@ def coarse_key(c: Column) -> Column:
 
 def split_component(c: Column) -> Column:
     """Molecules of one side of a reaction string."""
-    return F.coalesce(clean(F.split(c, "[.]")), no_texts())
+    return F.coalesce(F.array_remove(at_stops(strip(c)), ""), no_texts())
 
 
 def parse_reaction(c: Column) -> Column:

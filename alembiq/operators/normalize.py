@@ -90,21 +90,33 @@ def components(df: DataFrame, reaction_texts: list[str]) -> DataFrame:
     return df.withColumns({"reactants": fill("reactants"), "products": fill("products"), "rxn_agents": agents})
 
 
-def solvents(text: Column, closest: Column | None = None) -> Column:
-    """array<struct(name, confidence)> of a solvent field; ``closest`` has the solvent that each token resembles, or null."""
-    if closest is None:
-        return F.transform(p.tokenize(text), lambda t: chem.resolve_solvent(t))
-    return F.transform(p.tokenize(text), lambda t, i: chem.resolve_solvent(t, F.get(closest, i)))
+def solvents(tokens: Column, closest: Column | None = None) -> Column:
+    """array<struct(name, confidence)> of a solvent field's tokens; ``closest`` has the solvent that each token resembles, or null.
+
+    One token, the commonest case, goes by compiled code.
+    """
+    like = lambda i: None if closest is None else F.get(closest, i)
+    every = F.transform(tokens, lambda t, i: chem.resolve_solvent(t, like(i)))
+    return F.when(F.size(tokens) == 1, F.array(chem.resolve_solvent(F.get(tokens, F.lit(0)), like(F.lit(0))))).otherwise(every)
+
+
+def confidence(found: Column) -> Column:
+    """The mean confidence of ``solvents``, 0 without any."""
+    total = F.aggregate(found, F.lit(0.0), lambda a, x: a + x["confidence"])
+    one = F.when(F.size(found) == 1, F.get(found, F.lit(0))["confidence"])
+    return one.when(F.size(found) > 0, total / F.size(found)).otherwise(0.0)
 
 
 def learn_fuzzy(raw: DataFrame) -> DataFrame:
     """(solvent_text, closest): the solvents that the tokens of each distinct solvent text resemble, where any does.
 
     Texts are compared once however many rows have them, and ``normalize``
-    joins the table by the text, so that it has no bound.
+    joins the table by the text, so that it has no bound. The distinct texts
+    are a table first: Spark would move the comparison below ``distinct``, to
+    every row.
     """
     f = Fields(raw)
-    texts = f.df.select(condition(f, "solvent").alias("solvent_text")).distinct()
+    texts = cut(f.df.select(condition(f, "solvent").alias("solvent_text")).distinct(), "solvents")
     asked = texts.withColumn("tokens", p.tokenize(F.col("solvent_text"))).filter(F.exists("tokens", lambda t: ~chem.is_solvent(t)))
     found = asked.select("solvent_text", chem.closest_solvents("tokens").alias("closest"))
     return cut(found.filter(F.exists("closest", lambda x: x.isNotNull())), "fuzzy")
@@ -140,21 +152,31 @@ def normalize(raw: DataFrame, fuzzy: DataFrame | None = None, hash_mode: str = "
     if fuzzy is not None:
         fields = fields.join(fuzzy, F.col("c_solvent") == F.col("solvent_text"), "left")
     lists = fields.withColumns(
-        {c: p.split_entities(F.col(c)) for c in ("reactants", "products", "agents", "catalysts")}
-        | {c: p.parse_reaction(F.col(c)) for c in texts}
+        {c: p.split_molecules(F.col(c)) for c in ("reactants", "products", "agents", "catalysts")}
+        | {c: p.parse_reaction(F.translate(F.col(c), p.BLANKS, "")) for c in texts}
         | {f"q_{c}": F.struct(*[x.alias(n) for x, n in zip(units.value_and_unit(F.col(f"c_{c}")), "vu", strict=True)]) for c in ("temperature", "time", "pressure")}
-        | {"solvents": solvents(F.col("c_solvent"), None if fuzzy is None else F.col("closest"))}
-    )
+        | {"tokens": p.tokenize(F.col("c_solvent"))}
+    ).withColumn("solvents", solvents(F.col("tokens"), None if fuzzy is None else F.col("closest")))
     quantity = lambda c: (F.col(f"q_{c}.v"), F.col(f"q_{c}.u"))
-    staged = components(lists, texts).select(
+    sided = chem.standardize(components(lists, texts), F.col("reactants"), F.col("products"), F.concat("agents", "catalysts", "rxn_agents"))
+    own = F.concat("reactants_canonical", "products_canonical", F.array_except("agents_canonical", "spectators_moved"))
+    empty = (F.size("reactants_canonical") == 0) | (F.size("products_canonical") == 0)
+    join = lambda c: F.array_join(c, ".")
+    reaction = F.concat(join("reactants_canonical"), F.lit(">>"), join("products_canonical"), F.lit("|"), join("agents_canonical"))
+    out = sided.withColumn("reaction", reaction).select(
         "ord",
         "rxn_id",
-        chem.standardize(F.col("reactants"), F.col("products"), F.concat("agents", "catalysts", "rxn_agents")).alias("s"),
-        sum((F.when(F.col(f"c_{c}").isNotNull(), F.lit(1 << i)).otherwise(0) for i, c in enumerate(ALIASES)), F.lit(0)).alias("present_mask"),
-        "solvents",
+        "reactants_canonical",
+        "products_canonical",
+        "agents_canonical",
+        "spectators_moved",
+        chem.main_substrate(F.col("reactants_canonical")).alias("role_main_substrate"),
+        chem.role_scores(F.col("reactants_canonical")).alias("role_scores"),
         units.kelvin(*quantity("temperature")).alias("temperature_K"),
         units.scaled(*quantity("time"), units.SECONDS).alias("time_s"),
         units.scaled(*quantity("pressure"), units.PASCALS).alias("pressure_Pa"),
+        F.col("solvents.name").alias("solvent_normalized"),
+        confidence(F.col("solvents")).alias("solvent_confidence"),
         F.col("c_atmosphere").alias("atmosphere"),
         F.col("c_light").alias("light"),
         F.col("c_phase").alias("phase"),
@@ -162,52 +184,22 @@ def normalize(raw: DataFrame, fuzzy: DataFrame | None = None, hash_mode: str = "
         units.plain_number(F.col("yield")).alias("yield"),
         "source",
         "timestamp",
-    )
-    own = F.concat("s.reactants", "s.products", F.array_except("s.agents", "s.spectators"))
-    empty = (F.size("s.reactants") == 0) | (F.size("s.products") == 0)
-    out = staged.select(
-        "ord",
-        "rxn_id",
-        F.col("s.reactants").alias("reactants_canonical"),
-        F.col("s.products").alias("products_canonical"),
-        F.col("s.agents").alias("agents_canonical"),
-        F.col("s.spectators").alias("spectators_moved"),
-        chem.main_substrate(F.col("s.reactants")).alias("role_main_substrate"),
-        chem.role_scores(F.col("s.reactants")).alias("role_scores"),
-        "temperature_K",
-        "time_s",
-        "pressure_Pa",
-        F.transform("solvents", lambda x: x["name"]).alias("solvent_normalized"),
-        F.when(
-            F.size("solvents") > 0,
-            F.aggregate("solvents", F.lit(0.0), lambda a, x: a + x["confidence"]) / F.size("solvents"),
-        )
-        .otherwise(0.0)
-        .alias("solvent_confidence"),
-        "atmosphere",
-        "light",
-        "phase",
-        "pH",
-        "yield",
-        "source",
-        "timestamp",
-        "present_mask",
+        sum((F.when(F.col(f"c_{c}").isNotNull(), F.lit(1 << i)).otherwise(0) for i, c in enumerate(ALIASES)), F.lit(0)).alias("present_mask"),
         F.when(empty, F.array(F.lit("missing_reaction_components")))
-        .when(F.exists(own, lambda m: ~chem.balanced(m)), F.array(F.lit("molecule_standardization")))
+        .when(F.col("reaction").rlike(r"[()\[\]]") & F.exists(own, lambda m: ~chem.balanced(m)), F.array(F.lit("molecule_standardization")))
         .otherwise(p.no_texts())
         .alias("failures"),
+        "reaction",
     )
-    join = lambda c: F.array_join(c, ".")
-    reaction = F.concat(join("reactants_canonical"), F.lit(">>"), join("products_canonical"), F.lit("|"), join("agents_canonical"))
     fields = F.struct("atmosphere", "light", "pH", "phase", "pressure_Pa", F.col("solvent_normalized").alias("solvent"), "temperature_K", "time_s")
     state = parity_state(fields) if hash_mode == "parity" else F.to_json(fields, {"ignoreNullFields": "false"})
     return out.withColumns(
         {
-            "reaction_hash_v1": hex_digest(F.concat(reaction, F.lit("||"), state), hash_mode),
+            "reaction_hash_v1": hex_digest(F.concat("reaction", F.lit("||"), state), hash_mode),
             "resolution_confidence": F.col("solvent_confidence"),
             "provenance": F.when(F.col("rxn_id").isNull(), p.no_texts()).otherwise(F.array("rxn_id")),
         }
-    )
+    ).drop("reaction")
 
 
 def split_failures(normalized: DataFrame) -> tuple[DataFrame, DataFrame]:

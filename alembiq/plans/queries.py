@@ -133,7 +133,7 @@ def role_scores(spark, d):
 def solvent_resolution(spark, d):
     raw = reaction_view(spark, d)
     both = raw.select("solvent").join(normalize.learn_fuzzy(raw), F.col("solvent") == F.col("solvent_text"), "left")
-    found = both.select("solvent", normalize.solvents(F.col("solvent"), F.col("closest")).alias("x"))
+    found = both.select("solvent", normalize.solvents(p.tokenize(F.col("solvent")), F.col("closest")).alias("x"))
     mean = F.when(F.size("x") > 0, F.aggregate("x", F.lit(0.0), lambda a, y: a + y["confidence"]) / F.size("x")).otherwise(0.0)
     return found.groupBy("solvent", joined("x.name").alias("resolved"), mean.alias("confidence")).agg(F.count("*").alias("n"))
 

@@ -17,6 +17,7 @@ from alembiq.functions import hashing, units
 from alembiq.functions import parsing as p
 from alembiq.operators import bands, canopy, coherence, conditions, fusion, mechanism, normalize, quantiles, structures
 from alembiq.plans import queries
+from alembiq.shared import cut
 from alembiq.sources import files
 
 
@@ -729,3 +730,18 @@ def test_places_are_joined_without_a_broadcast(spark):
     """Both sides of the join have a row for every row of the input."""
     plan = planned(queries.file_order_ids(spark, "/root/testdata/sf0.001"), "executedPlan")
     assert "SortMergeJoin [ord" in plan or "SortMergeJoin [place" in plan
+
+
+def test_spectators_are_found_once(spark):
+    raw = frame(spark, {"rxn_id": "a", "reactants": "N a;C\tl;B;B", "products": '["B", "C l", "", "O"]', "agents": " K , J"}, {"rxn_id": "b", "reactants": "C", "products": None, "agents": " . "})
+    made = normalize.normalize(raw)
+    assert planned(made).count("array_intersect(") == 1
+    a, b = made.orderBy("rxn_id").collect()
+    assert (a.reactants_canonical, a.products_canonical, a.agents_canonical, a.spectators_moved) == (["Na"], ["O"], ["B", "Cl", "J", "K"], ["B", "Cl"])
+    assert (b.reactants_canonical, b.products_canonical, b.agents_canonical) == (["C"], [], []) and b.failures == ["missing_reaction_components"]
+
+
+def test_texts_are_compared_after_distinct(spark, monkeypatch):
+    made = {}
+    monkeypatch.setattr(normalize, "cut", lambda df, name: made.setdefault(name, cut(df, name)))
+    assert normalize.learn_fuzzy(frame(spark, *[{"solvent": "watr"}] * 50)).count() == 1 and made["solvents"].count() == 1
