@@ -745,3 +745,7 @@ def test_texts_are_compared_after_distinct(spark, monkeypatch):
     made = {}
     monkeypatch.setattr(normalize, "cut", lambda df, name: made.setdefault(name, cut(df, name)))
     assert normalize.learn_fuzzy(frame(spark, *[{"solvent": "watr"}] * 50)).count() == 1 and made["solvents"].count() == 1
+
+
+def test_unbalanced_molecules_are_made_once(spark):
+    assert "array_intersect(" not in planned(queries.unbalanced_molecules(spark, "/root/testdata/sf0.001"))
