@@ -31,18 +31,23 @@ def json_texts(c: Column) -> Column:
     return F.from_json(F.when(strip(c).startswith("["), strip(c)), TEXTS)
 
 
+def separator(by: str) -> str:
+    """A pattern of the separator with the blanks around it; a run of blanks is entered at its start only, so that long ones take no square."""
+    return f"(?:(?<![{BLANKS}])[{BLANKS}]++)?[{by}][{BLANKS}]*"
+
+
 def divided(s: Column, single: Column) -> Column:
     """Trimmed text split at the first present of ; | , and else ``single``; no element is blank or has blanks around it.
 
     Blanks go with the separators, so that no element is trimmed by itself.
     """
-    at = lambda by: F.split(s, f"[{BLANKS}]*[{by}][{BLANKS}]*")
+    at = lambda by: F.split(s, separator(by))
     parts = F.when(F.contains(s, F.lit(";")), at(";")).when(F.contains(s, F.lit("|")), at("|")).when(F.contains(s, F.lit(",")), at(",")).otherwise(single)
     return F.array_remove(parts, "")
 
 
 def at_stops(s: Column) -> Column:
-    return F.when(F.contains(s, F.lit(".")), F.split(s, f"[{BLANKS}]*[.][{BLANKS}]*")).when(s.isNotNull(), F.array(s))
+    return F.when(F.contains(s, F.lit(".")), F.split(s, separator("."))).when(s.isNotNull(), F.array(s))
 
 
 def listed_entities(s: Column) -> Column:

@@ -749,3 +749,9 @@ def test_texts_are_compared_after_distinct(spark, monkeypatch):
 
 def test_unbalanced_molecules_are_made_once(spark):
     assert "array_intersect(" not in planned(queries.unbalanced_molecules(spark, "/root/testdata/sf0.001"))
+
+
+def test_blanks_around_separators(spark):
+    far = "a" + " " * 200_000 + "b"
+    assert ask(spark, p.tokenize, "a ; ;\tb c\n;", f"{far};c", "; ;", far, None) == [["a", "b c"], [far, "c"], [], [far], []]
+    assert ask(spark, p.split_entities, "a . b..c", " ., ", f"{far}.c") == [["a", "b", "c"], ["."], [far, "c"]]
