@@ -34,6 +34,9 @@ ALIASES: dict[str, list[tuple[str, str | None]]] = {
     "solvent": [("solvent", None), ("solvents", None)],
 }
 REACTION_TEXTS = ("rxn_smiles", "reaction_smiles", "rxn")
+SIDES = ("reactants", "products", "agents", "catalysts")
+#: Columns of ``normalize`` that belong to a raw row; all others follow from its sides, reaction texts and conditions.
+OF_A_ROW = ("rxn_id", "yield", "source", "timestamp", "provenance")
 
 
 class Fields:
@@ -144,7 +147,7 @@ def normalize(raw: DataFrame, fuzzy: DataFrame | None = None, hash_mode: str = "
     # Each step works on columns of the one before, so that no expression is planned or evaluated twice.
     fields = raw.select(
         order.alias("ord"),
-        *[f.text(c).alias(c) for c in ("rxn_id", "reactants", "products", "agents", "catalysts", "source", *texts)],
+        *[f.text(c).alias(c) for c in ("rxn_id", *SIDES, "source", *texts)],
         *[condition(f, c).alias(f"c_{c}") for c in ALIASES],
         f.text("yield").alias("yield"),
         other("timestamp").alias("timestamp"),
@@ -152,7 +155,7 @@ def normalize(raw: DataFrame, fuzzy: DataFrame | None = None, hash_mode: str = "
     if fuzzy is not None:
         fields = fields.join(fuzzy, F.col("c_solvent") == F.col("solvent_text"), "left")
     lists = fields.withColumns(
-        {c: p.split_molecules(F.col(c)) for c in ("reactants", "products", "agents", "catalysts")}
+        {c: p.split_molecules(F.col(c)) for c in SIDES}
         | {c: p.parse_reaction(F.translate(F.col(c), p.BLANKS, "")) for c in texts}
         | {f"q_{c}": F.struct(*[x.alias(n) for x, n in zip(units.value_and_unit(F.col(f"c_{c}")), "vu", strict=True)]) for c in ("temperature", "time", "pressure")}
         | {"tokens": p.tokenize(F.col("c_solvent"))}
@@ -223,6 +226,42 @@ def deduplicate(good: DataFrame) -> DataFrame:
     return merged.select("reaction_hash_v1", "r.*", "provenance").select(*good.columns)
 
 
+def distinct_rows(raw: DataFrame, ordinal: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The first of all raw rows with equal sides, reaction texts and conditions, as a table: ord, these columns as text, ``keep``.
+
+    Rows with equal texts have equal hashes and failures, so that they need
+    normalizing once. The aggregation combines before its shuffle.
+    """
+    f = Fields(raw)
+    read = [c for c in (*SIDES, *REACTION_TEXTS, *(c for names in ALIASES.values() for c, _ in names)) if f.has(c)]
+    kept = [c for c in keep if f.has(c)]
+    own, extra = [f"t{i}" for i in range(len(read))], [f"k{i}" for i in range(len(kept))]
+    order = f.col(ordinal) if ordinal else F.monotonically_increasing_id()
+    rows = f.df.select(order.alias("ord"), *[f.text(c).alias(t) for c, t in zip(read, own, strict=True)], *[f.col(c).alias(k) for c, k in zip(kept, extra, strict=True)])
+    first = rows.groupBy(*own).agg(F.min("ord").alias("first"), *[F.min_by(k, "ord").alias(k) for k in extra])
+    # a table by place, as files can't have names that differ in case only
+    return cut(first.select("first", *own, *extra), "distinct-rows").toDF("ord", *read, *kept)
+
+
+def distinct_table(raw: DataFrame, hash_mode: str = "sha2", ordinal: str | None = None, fuzzy: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``normalize`` of ``distinct_rows`` as a table, without the columns of a raw row but ``keep``."""
+    rows = distinct_rows(raw, ordinal, keep)
+    table = normalize(rows, learn_fuzzy(rows) if fuzzy else None, hash_mode, "ord")
+    return cut(table.drop(*[c for c in OF_A_ROW if c not in keep]), "normalized")
+
+
+def reactions(raw: DataFrame, hash_mode: str = "sha2", ordinal: str | None = None, fuzzy: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The reactions of ``phase0`` without the columns of a raw row but ``keep`` (of the reaction's first row).
+
+    Raw rows are made distinct before they are normalized, so that the cost of
+    that step grows with the distinct texts, not with the rows.
+    """
+    good = distinct_table(raw, hash_mode, ordinal, fuzzy, keep).filter(F.size("failures") == 0).drop("failures")
+    rest = [c for c in good.columns if c != "reaction_hash_v1"]
+    merged = good.groupBy("reaction_hash_v1").agg(F.min_by(F.struct(*rest), "ord").alias("r"))
+    return number(merged.select("reaction_hash_v1", "r.*").select(*good.columns), "reaction_hash_v1", "rxn_vid")
+
+
 def number(df: DataFrame, key: str, name: str) -> DataFrame:
     """Add the 1-based rank of unique ``key`` without a single-task window.
 

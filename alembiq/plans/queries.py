@@ -46,8 +46,8 @@ def normalized(spark: SparkSession, d: str) -> DataFrame:
     return normalize.normalized_table(raw, ordinal="ord")
 
 
-def reactions(spark: SparkSession, d: str) -> DataFrame:
-    return normalize.phase0(reaction_view(spark, d), ordinal="ord")[0]
+def reactions(spark: SparkSession, d: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    return normalize.reactions(reaction_view(spark, d), ordinal="ord", keep=keep)
 
 
 def sigs(spark: SparkSession, d: str) -> DataFrame:
@@ -69,7 +69,7 @@ def metrics(spark: SparkSession, d: str) -> DataFrame:
 
 def fused(spark: SparkSession, d: str, check: bool = False) -> tuple[DataFrame, DataFrame]:
     """(assignments, cards) of all five phases."""
-    rx = reactions(spark, d)
+    rx = reactions(spark, d, keep=("yield",))
     keys = conditions.condition_keys(rx)
     sig = cut(mechanism.assign_clusters(mechanism.signatures(keys, rx)), "clustered")
     assigned = cut(structures.assign_structures(structures.features(sig)), "structures")
@@ -218,7 +218,8 @@ def normalization_spread(spark, d):
 
 @query
 def dedup_provenance(spark, d):
-    return reactions(spark, d).select("rxn_vid", "reaction_hash_v1", "rxn_id", F.array_join("provenance", ",").alias("provenance"))
+    rx = normalize.phase0(reaction_view(spark, d), ordinal="ord")[0]
+    return rx.select("rxn_vid", "reaction_hash_v1", "rxn_id", F.array_join("provenance", ",").alias("provenance"))
 
 
 # Phase 1.
@@ -231,7 +232,7 @@ def condition_keys(spark, d):
 
 @query
 def condition_groups(spark, d):
-    return conditions.condition_sizes(normalized(spark, d))
+    return conditions.condition_sizes(normalize.distinct_table(reaction_view(spark, d), ordinal="ord"))
 
 
 @query

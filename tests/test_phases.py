@@ -755,3 +755,34 @@ def test_blanks_around_separators(spark):
     far = "a" + " " * 200_000 + "b"
     assert ask(spark, p.tokenize, "a ; ;\tb c\n;", f"{far};c", "; ;", far, None) == [["a", "b c"], [far, "c"], [], [far], []]
     assert ask(spark, p.split_entities, "a . b..c", " ., ", f"{far}.c") == [["a", "b", "c"], ["."], [far, "c"]]
+
+
+def test_equal_rows_are_normalized_once(spark, monkeypatch):
+    """The reactions are those of all rows, though rows with equal texts are one row of the normalize step."""
+    kinds = [R1, {**R1, "pH": "3", "reactants": " CCO.OCC "}, {**R1, "reactants": "OCC;CCO"}, {**R1, "products": None}, {**R1, "temperature": float("nan")}]
+    rows = [{**r, "temperature": None if r["temperature"] != "25 C" else "25 C", "temp_k": -0.0 if i % 2 else 0.0, "o": (i * 37) % 101, "rxn_id": str(i), "yield": float(i)} for i, r in enumerate(kinds * 20)]
+    raw = frame(spark, *rows)
+    raw = raw.select("*", F.when(F.col("o") % 2 == 0, "9").alias("ph")).repartition(4)
+    made, every = {}, ["rxn_vid", "reaction_hash_v1", "ord", "reactants_canonical", "agents_canonical", "pH", "temperature_K", "present_mask", "solvent_normalized", "yield"]
+    whole = normalize.phase0(raw, ordinal="o")[0].select(*every).orderBy("rxn_vid").collect()
+    monkeypatch.setattr(normalize, "cut", lambda df, name: made.setdefault(name, cut(df, name)))
+    assert normalize.reactions(raw, ordinal="o", keep=("yield",)).select(*every).orderBy("rxn_vid").collect() == whole
+    assert made["normalized"].count() == made["distinct-rows"].count() < 25 and "rxn_id" not in made["normalized"].columns
+    assert sum(r["failures"] != [] for r in made["normalized"].collect()) > 0
+    monkeypatch.undo()
+    assert normalize.reactions(frame(spark, R1).limit(0)).isEmpty() and normalize.reactions(frame(spark, {"rxn_id": "a"}, {"rxn_id": "b"})).isEmpty()
+
+
+def test_condition_keys_normalize_distinct_rows(spark, monkeypatch):
+    made = {}
+    monkeypatch.setattr(normalize, "cut", lambda df, name: made.setdefault(name, cut(df, name)))
+    d = "/root/testdata/sf0.01"
+    queries.queries()["condition_keys"](spark, d)
+    assert made["normalized"].count() < queries.reaction_view(spark, d).count()
+
+
+def test_lines_are_sorted_once(spark):
+    """They are dealt by order before they are grouped, so that nothing is sorted to be combined on the other side of the exchange."""
+    plan = planned(queries.reaction_view(spark, "/root/testdata/sf0.001"), "executedPlan").splitlines()
+    dealt = next(i for i, x in enumerate(plan) if "Exchange hashpartitioning(l_orderkey" in x)
+    assert any("Aggregate" in x for x in plan[:dealt]) and not any("Aggregate" in x for x in plan[dealt:])
