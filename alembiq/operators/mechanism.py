@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import chemistry as chem
@@ -13,6 +15,10 @@ from . import profile
 from .quantiles import quantiles
 
 
+#: What a signature follows from.
+SIDES = ("reactants_canonical", "products_canonical", "role_main_substrate")
+
+
 def signatures(keys: DataFrame, reactions: DataFrame, hash_mode: str = "sha2") -> DataFrame:
     """Signature of every reaction that has a condition key.
 
@@ -20,17 +26,32 @@ def signatures(keys: DataFrame, reactions: DataFrame, hash_mode: str = "sha2") -
     character gains and losses. Others are ``unmapped``: tokens name the
     molecules.
     """
-    both = keys.select("rxn_vid", "cond_hash").join(
-        reactions.select("rxn_vid", "reactants_canonical", "products_canonical", "role_main_substrate"), "rxn_vid"
-    )
+    return signed(keys.select("rxn_vid", "cond_hash").join(reactions.select("rxn_vid", *SIDES), "rxn_vid"), ("rxn_vid", "cond_hash"), hash_mode)
+
+
+def distinct_signatures(keyed: DataFrame, hash_mode: str = "sha2") -> DataFrame:
+    """``signatures`` of reactions with their cond_hash in one table; equal sides and substrates are signed once.
+
+    The distinct sides are a table first, so that nothing of the work moves
+    below ``distinct``, and are dealt out again, as a few small files are read
+    by few tasks, whatever their rows cost.
+    """
+    keyed = keyed.select("rxn_vid", "cond_hash", *SIDES)
+    sides = cut(keyed.select(*SIDES).distinct(), "sides")
+    made = cut(signed(sides.repartition(*SIDES), SIDES, hash_mode), "signed")
+    same = reduce(Column.__and__, [keyed[c].eqNullSafe(made[c]) for c in SIDES])
+    return keyed.join(made, same).select("rxn_vid", "cond_hash", *[c for c in made.columns if c not in SIDES])
+
+
+def signed(both: DataFrame, keep: tuple[str, ...], hash_mode: str = "sha2") -> DataFrame:
+    """The columns ``keep`` of rows with ``SIDES``, and their signature."""
     sides = both.withColumns({"ca": p.characters(F.col("reactants_canonical")), "cb": p.characters(F.col("products_canonical"))})
     delta = sides.withColumn("events", p.multiset_delta(F.col("ca"), F.col("cb")))
     named = lambda c, prefix: F.array_sort(F.transform(p.clean(F.col(c)), lambda x: F.concat(F.lit(prefix), x)))
     plain = F.concat(named("reactants_canonical", "R:"), named("products_canonical", "P:"))
     mapped = F.size("events") > 0
     tokens = delta.select(
-        "rxn_vid",
-        "cond_hash",
+        *keep,
         F.when(mapped, F.col("events")).otherwise(plain).alias("event_tokens"),
         F.when(mapped, "mapped").otherwise("unmapped").alias("signature_type"),
         chem.main_scaffold(F.col("reactants_canonical"), F.col("products_canonical"), F.col("role_main_substrate")).alias("scaffold_key"),
@@ -40,8 +61,7 @@ def signatures(keys: DataFrame, reactions: DataFrame, hash_mode: str = "sha2") -
     starts = lambda s: F.when(mapped, F.size(F.filter(t, lambda x: x.startswith(s)))).otherwise(0)
     unmapped = hex_digest(F.array_join(F.when(F.size(t) > 0, t).otherwise(F.array(F.lit("noop"))), "|"), hash_mode)
     out = tokens.select(
-        "rxn_vid",
-        "cond_hash",
+        *keep,
         F.when(mapped, token_hash("base", t, hash_mode)).otherwise(unmapped).alias("mech_sig_base"),
         F.when(mapped, token_hash("r1", t, hash_mode)).alias("mech_sig_r1"),
         F.when(mapped, token_hash("r2", t, hash_mode)).alias("mech_sig_r2"),

@@ -230,23 +230,31 @@ def distinct_rows(raw: DataFrame, ordinal: str | None = None, keep: tuple[str, .
     """The first of all raw rows with equal sides, reaction texts and conditions, as a table: ord, these columns as text, ``keep``.
 
     Rows with equal texts have equal hashes and failures, so that they need
-    normalizing once. The aggregation combines before its shuffle.
+    normalizing once. The aggregation combines before its shuffle. Its key is
+    one struct of the texts as they are: ``normalize`` trims them, and texts
+    that differ in blanks meet again under their reaction hash.
     """
     f = Fields(raw)
     read = [c for c in (*SIDES, *REACTION_TEXTS, *(c for names in ALIASES.values() for c, _ in names)) if f.has(c)]
     kept = [c for c in keep if f.has(c)]
     own, extra = [f"t{i}" for i in range(len(read))], [f"k{i}" for i in range(len(kept))]
     order = f.col(ordinal) if ordinal else F.monotonically_increasing_id()
-    rows = f.df.select(order.alias("ord"), *[f.text(c).alias(t) for c, t in zip(read, own, strict=True)], *[f.col(c).alias(k) for c, k in zip(kept, extra, strict=True)])
-    first = rows.groupBy(*own).agg(F.min("ord").alias("first"), *[F.min_by(k, "ord").alias(k) for k in extra])
+    plain = lambda c: f.col(c) if f.names[c][1] == "string" else f.text(c)
+    texts = F.struct(F.lit(0).alias("t"), *[plain(c).alias(t) for c, t in zip(read, own, strict=True)])
+    rows = f.df.select(order.alias("ord"), texts.alias("texts"), *[f.col(c).alias(k) for c, k in zip(kept, extra, strict=True)])
+    first = rows.groupBy("texts").agg(F.min("ord").alias("first"), *[F.min_by(k, "ord").alias(k) for k in extra])
     # a table by place, as files can't have names that differ in case only
-    return cut(first.select("first", *own, *extra), "distinct-rows").toDF("ord", *read, *kept)
+    return cut(first.select("first", *[f"texts.{t}" for t in own], *extra), "distinct-rows").toDF("ord", *read, *kept)
 
 
 def distinct_table(raw: DataFrame, hash_mode: str = "sha2", ordinal: str | None = None, fuzzy: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``normalize`` of ``distinct_rows`` as a table, without the columns of a raw row but ``keep``."""
+    """``normalize`` of ``distinct_rows`` as a table, without the columns of a raw row but ``keep``.
+
+    The rows are dealt out again, as a few small files are read by few tasks,
+    whatever their rows cost.
+    """
     rows = distinct_rows(raw, ordinal, keep)
-    table = normalize(rows, learn_fuzzy(rows) if fuzzy else None, hash_mode, "ord")
+    table = normalize(rows.repartition("ord"), learn_fuzzy(rows) if fuzzy else None, hash_mode, "ord")
     return cut(table.drop(*[c for c in OF_A_ROW if c not in keep]), "normalized")
 
 

@@ -51,8 +51,7 @@ def reactions(spark: SparkSession, d: str, keep: tuple[str, ...] = ()) -> DataFr
 
 
 def sigs(spark: SparkSession, d: str) -> DataFrame:
-    rx = reactions(spark, d)
-    return mechanism.assign_clusters(mechanism.signatures(conditions.condition_keys(rx), rx))
+    return mechanism.assign_clusters(mechanism.distinct_signatures(conditions.condition_keys(reactions(spark, d), keep=mechanism.SIDES)))
 
 
 def clusters2(spark: SparkSession, d: str) -> DataFrame:
@@ -70,8 +69,8 @@ def metrics(spark: SparkSession, d: str) -> DataFrame:
 def fused(spark: SparkSession, d: str, check: bool = False) -> tuple[DataFrame, DataFrame]:
     """(assignments, cards) of all five phases."""
     rx = reactions(spark, d, keep=("yield",))
-    keys = conditions.condition_keys(rx)
-    sig = cut(mechanism.assign_clusters(mechanism.signatures(keys, rx)), "clustered")
+    keys = conditions.condition_keys(rx, keep=mechanism.SIDES)
+    sig = cut(mechanism.assign_clusters(mechanism.distinct_signatures(keys)), "clustered")
     assigned = cut(structures.assign_structures(structures.features(sig)), "structures")
     levels = conditions.level1_members(keys), mechanism.level2_members(sig), structures.level3_members(assigned)
     merged = cut(fusion.merge_assignments(*levels, check=check), "assignments")

@@ -786,3 +786,36 @@ def test_lines_are_sorted_once(spark):
     plan = planned(queries.reaction_view(spark, "/root/testdata/sf0.001"), "executedPlan").splitlines()
     dealt = next(i for i, x in enumerate(plan) if "Exchange hashpartitioning(l_orderkey" in x)
     assert any("Aggregate" in x for x in plan[:dealt]) and not any("Aggregate" in x for x in plan[dealt:])
+
+
+def test_words_of_parts_are_cut_before_lines_meet_them(spark):
+    plan = planned(queries.reaction_view(spark, "/root/testdata/sf0.001")).splitlines()
+    met = next(i for i, x in enumerate(plan) if "Join Inner, (l_partkey" in x)
+    cut_at = [i for i, x in enumerate(plan) if "p_name" in x and "split" in x.lower()]
+    assert cut_at and min(cut_at) > met
+
+
+def test_rows_are_made_distinct_before_texts_are_trimmed(spark, monkeypatch):
+    """One key, of the texts as they are; rows that differ in blanks are one reaction all the same."""
+    rows = [{**R1, "o": i, "rxn_id": str(i), "solvent": "water" + " " * (i % 3), "temperature": [25.0, float("nan"), -0.0][i % 3]} for i in range(30)]
+    raw, plans, every = frame(spark, *rows), {}, ["rxn_vid", "reaction_hash_v1", "ord", "temperature_K", "solvent_normalized", "yield"]
+    whole = normalize.phase0(raw, ordinal="o")[0].select(*every).orderBy("rxn_vid").collect()
+    monkeypatch.setattr(normalize, "cut", lambda df, name: plans.setdefault(name, planned(df)) and cut(df, name))
+    assert normalize.reactions(raw, ordinal="o", keep=("yield",)).select(*every).orderBy("rxn_vid").collect() == whole and len(whole) == 3
+    by = next(x for x in plans["distinct-rows"].splitlines() if "Aggregate [" in x)
+    assert re.search(r"Aggregate \[texts#\d+\]", by) and "trim(reactants" not in plans["distinct-rows"] and plans["distinct-rows"].count("trim(") <= 2
+
+
+def test_equal_sides_are_signed_once(spark, monkeypatch):
+    made = {}
+    kinds = [(["CCO"], ["CC=O"], "CCO"), (["N", "O"], ["ON"], "N"), (["N", "O"], ["ON"], None), (["NO"], ["ON"], "NO"), ([], [], None)]
+    rows = [(i, f"h{i % 3}", *kinds[i % len(kinds)]) for i in range(60)]
+    keyed = spark.createDataFrame(rows, "rxn_vid long, cond_hash string, reactants_canonical array<string>, products_canonical array<string>, role_main_substrate string")
+    want = mechanism.signatures(keyed.select("rxn_vid", "cond_hash"), keyed)
+    monkeypatch.setattr(mechanism, "cut", lambda df, name: made.setdefault(name, cut(df, name)))
+    got = mechanism.distinct_signatures(keyed)
+    assert got.dtypes == want.dtypes and got.orderBy("rxn_vid").collect() == want.orderBy("rxn_vid").collect() and want.count() == 60
+    assert made["signed"].count() == len(kinds)
+    made.clear()
+    queries.sigs(spark, "/root/testdata/sf0.01")
+    assert made["signed"].count() < made["signatures"].count()
