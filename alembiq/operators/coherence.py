@@ -68,7 +68,10 @@ def counted_metrics(counted: DataFrame, cluster: list[str], n: str = "n") -> Dat
 
 
 def signature_metrics(sigs: DataFrame) -> DataFrame | None:
-    """Per cluster: entropy of event families, mean tokens, share of mapped rows; None without cluster_id."""
+    """Per cluster: entropy of event families, mean tokens, share of mapped rows; None without cluster_id.
+
+    Families are found for the distinct tokens and joined to their counts.
+    """
     kinds = dict(sigs.dtypes)
     if "cluster_id" not in kinds:
         return None
@@ -77,10 +80,11 @@ def signature_metrics(sigs: DataFrame) -> DataFrame | None:
     rows = sigs.filter("cluster_id is not null")
     mapped = F.coalesce(F.lower("signature_type") == "mapped", F.lit(False)) if "signature_type" in sigs.columns else F.lit(False)
     base = rows.groupBy("cluster_id").agg(F.avg(F.size("event_tokens")).alias("event_token_mean"), F.avg(mapped.cast("int")).alias("mapped_share"))
-    families = rows.select("cluster_id", F.explode("event_tokens").alias("t")).select(
-        "cluster_id", chem.event_family(F.col("t"), composite=False).alias("family")
-    )
-    counted = families.groupBy("cluster_id", "family").agg(F.count("*").alias("n")).groupBy("cluster_id").agg(F.collect_list("n").alias("ns"))
+    each = rows.select("cluster_id", F.explode("event_tokens").alias("t")).groupBy("cluster_id", "t").agg(F.count("*").alias("n"))
+    tokens = cut(rows.select(F.explode("event_tokens").alias("token")).distinct(), "tokens")
+    named = cut(tokens.select("token", chem.event_family(F.col("token"), composite=False).alias("family")), "families")
+    families = each.join(named, F.col("t").eqNullSafe(F.col("token"))).groupBy("cluster_id", "family").agg(F.sum("n").alias("n"))
+    counted = families.groupBy("cluster_id").agg(F.collect_list("n").alias("ns"))
     spread = counted.select("cluster_id", entropy(F.array_sort("ns")).alias("event_entropy"))
     return base.join(spread, "cluster_id", "left").withColumn("event_entropy", F.coalesce("event_entropy", F.lit(0.0)))
 

@@ -819,3 +819,14 @@ def test_equal_sides_are_signed_once(spark, monkeypatch):
     made.clear()
     queries.sigs(spark, "/root/testdata/sf0.01")
     assert made["signed"].count() < made["signatures"].count()
+
+
+def test_families_are_found_once_a_token(spark, monkeypatch):
+    made = {}
+    sigs = spark.createDataFrame([(f"c{i % 3}", ["+C:1", "-o:2", None][: i % 4] + ["+N:1"] * 2) for i in range(40)] + [("none", []), (None, ["+Q:1"])], "cluster_id string, event_tokens array<string>")
+    monkeypatch.setattr(coherence, "cut", lambda df, name: made.setdefault(name, cut(df, name)))
+    got = {r.cluster_id: r for r in coherence.signature_metrics(sigs).collect()}
+    assert made["families"].count() == 4 and set(got) == {"c0", "c1", "c2", "none"} and got["none"].event_entropy == 0
+    tokens = [x for i in range(40) if i % 3 == 1 for x in ["+C:1", "-o:2", None][: i % 4] + ["+N:1"] * 2]
+    kinds = [sum(x in ("+C:1", "+N:1") for x in tokens), tokens.count("-o:2"), tokens.count(None)]
+    assert got["c1"].event_entropy == pytest.approx(-sum(n / len(tokens) * math.log2(n / len(tokens)) for n in kinds))
