@@ -89,7 +89,8 @@ def assign_clusters(sigs: DataFrame) -> DataFrame:
     keys = sigs.select("cond_hash", "coarse_text").distinct()
     place = F.row_number().over(Window.partitionBy("cond_hash").orderBy("coarse_text"))
     named = keys.select("cond_hash", "coarse_text", F.concat_ws("-", "cond_hash", place).alias("cluster_id"))
-    return sigs.join(named, ["cond_hash", "coarse_text"])
+    # small files of many rows: Spark would broadcast all signatures to the few tasks of the keys
+    return sigs.join(named.hint("merge"), ["cond_hash", "coarse_text"])
 
 
 def level2_members(sigs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators import canopy, coherence, conditions, fusion, mechanism, normal
 from ..shared import cut, shared_dir
 from ..sources import files
 from .oracle import ORACLE
-from .reaction_view import reaction_view
+from .reaction_view import distinct_view, reaction_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -47,7 +47,7 @@ def normalized(spark: SparkSession, d: str) -> DataFrame:
 
 
 def reactions(spark: SparkSession, d: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    return normalize.reactions(reaction_view(spark, d), ordinal="ord", keep=keep)
+    return normalize.reactions(distinct_view(spark, d), ordinal="ord", keep=keep)
 
 
 def sigs(spark: SparkSession, d: str) -> DataFrame:
@@ -231,7 +231,7 @@ def condition_keys(spark, d):
 
 @query
 def condition_groups(spark, d):
-    return conditions.condition_sizes(normalize.distinct_table(reaction_view(spark, d), ordinal="ord"))
+    return conditions.condition_sizes(normalize.distinct_table(distinct_view(spark, d), ordinal="ord"))
 
 
 @query

@@ -16,7 +16,7 @@ from alembiq.functions import chemistry as chem
 from alembiq.functions import hashing, units
 from alembiq.functions import parsing as p
 from alembiq.operators import bands, canopy, coherence, conditions, fusion, mechanism, normalize, quantiles, structures
-from alembiq.plans import queries
+from alembiq.plans import queries, reaction_view
 from alembiq.shared import cut
 from alembiq.sources import files
 
@@ -830,3 +830,46 @@ def test_families_are_found_once_a_token(spark, monkeypatch):
     tokens = [x for i in range(40) if i % 3 == 1 for x in ["+C:1", "-o:2", None][: i % 4] + ["+N:1"] * 2]
     kinds = [sum(x in ("+C:1", "+N:1") for x in tokens), tokens.count("-o:2"), tokens.count(None)]
     assert got["c1"].event_entropy == pytest.approx(-sum(n / len(tokens) * math.log2(n / len(tokens)) for n in kinds))
+
+
+def order_tables(spark, path, states):
+    """Orders, lines and parts with null and long texts; lines without a part; orders without lines."""
+    parts = [(i, None if i % 7 == 6 else f"{'hot red big'.split()[i % 3]} x", ["LARGE", "a b", None][i % 3]) for i in range(20)]
+    lines = [(i % 60, i % 23 if i % 4 else None, i % 5 + 1, float(i % 60), (i % 11) / 100, states[(i * 7) % len(states)]) for i in range(400)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_type string").write.parquet(f"{path}/part.parquet")
+    kinds = "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_discount double, l_linestatus string"
+    spark.createDataFrame(lines, kinds).write.parquet(f"{path}/lineitem.parquet")
+    spark.createDataFrame([(i, i * 5 % 13) for i in range(5, 70)], "o_orderkey long, o_custkey long").write.parquet(f"{path}/orders.parquet")
+    return str(path)
+
+
+@pytest.mark.parametrize("bound", [1 << 21, 0])
+@pytest.mark.parametrize("states", [["O", "F", None], ["open", "o", "", "\u00e9", None, "opened", "Z"]])
+def test_distinct_view_has_the_first_rows(spark, tmp_path, monkeypatch, states, bound):
+    monkeypatch.setattr(reaction_view, "BROADCAST_ROWS", bound)
+    d = order_tables(spark, tmp_path, states)
+    whole, some = queries.reaction_view(spark, d), queries.distinct_view(spark, d)
+    texts = [c for c in whole.columns if c not in ("ord", "rxn_id", "yield")]
+    first = lambda df: df.groupBy(*texts).agg(F.min("ord").alias("ord"), F.min_by("yield", "ord").alias("yield"), F.min_by("rxn_id", "ord").alias("rxn_id"))
+    assert whole.dtypes == some.dtypes and whole.count() > 20
+    assert first(whole).exceptAll(first(some)).isEmpty() and first(some).exceptAll(first(whole)).isEmpty()
+    assert some.exceptAll(whole).isEmpty()
+
+
+def test_lines_are_grouped_by_hashing(spark, monkeypatch):
+    """Nothing of the lines is sorted: the distinct rows of the queries have no sort by part or line, and parts no broadcast beyond the bound."""
+    plans = {}
+    monkeypatch.setattr(normalize, "cut", lambda df, name: plans.setdefault(name, planned(df, "executedPlan")) and cut(df, name))
+    monkeypatch.setattr(reaction_view, "BROADCAST_ROWS", 0)
+    queries.reactions(spark, "/root/testdata/sf0.001")
+    plan = plans["distinct-rows"]
+    assert re.search(r"HashAggregate\(keys=\[l_orderkey", plan) and "SortAggregate(keys=[l_orderkey" not in plan
+    assert "ShuffledHashJoin [l_partkey" in plan and not re.search(r"Sort \[l_partkey", plan)
+
+
+def test_signatures_are_not_broadcast(spark):
+    kinds = "rxn_vid long, cond_hash string, coarse_text string"
+    sigs = spark.createDataFrame([(i, f"h{i % 3}", f"t{i % 5}") for i in range(60)], kinds)
+    found = mechanism.assign_clusters(sigs)
+    assert "Broadcast" not in planned(found, "executedPlan")
+    assert {(r.cond_hash, r.coarse_text, r.cluster_id) for r in found.collect()} == {(f"h{i}", f"t{j}", f"h{i}-{j + 1}") for i in range(3) for j in range(5)}
