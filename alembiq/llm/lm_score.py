@@ -13,9 +13,12 @@ grows with the corpus at ``BITS_PER_ENTRY`` bits an entry.
 Segments are broadcast in blocks of at most ``block_bytes``. Up to
 ``hold_bytes`` together a worker holds them all; beyond that it reads block
 after block for each chunk of texts. No more than ``broadcast_bytes`` are
-broadcast: a larger filter stays where it is, and each chunk's distinct n-grams
-are sent to its blocks and the levels back, in one shuffle each. The scores
-are the same in all three ways.
+broadcast: a filter that may be larger is never put together. Texts are kept as
+chunks of word numbers, and for one length of n-grams after the other each
+chunk's distinct n-grams are sent to their segments once, which both builds the
+segments and asks them; the levels go back to the chunks. Shuffle files go as
+soon as a table is written, so that disk holds the chunks, the n-grams of one
+length, and the levels. The scores are the same in all three ways.
 
 Probabilities are smoothed by Dirichlet priors: after the context h, word w has
 (c(hw) + m p(w|h')) / (c(h) + m), where h' is h without its first word and m
@@ -32,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +55,11 @@ KEY_BYTES = 5
 LOW = np.uint64((1 << 8 * KEY_BYTES) - 1)
 CHUNK = 600_000
 OFTEN, HELD = 4, 500_000
+#: Training tokens that a segment is made for, segments that a task of the shuffle path holds at a time, and keys that it probes at a time.
+SEGMENT_TOKENS, BLOCK_SEGMENTS, PROBED = 500_000, 4, 1_000_000
+#: Keys of fewer tokens than 2**PLACE_BITS are sorted with their places in the low bits.
+PLACE_BITS = 20
+MANY = 255
 #: The least count of each level, from level 1 on, and the mean count of each level, from level 0 on.
 STARTS = np.array(sorted({1 << k for k in range(62)} | {3 << k for k in range(60)}), dtype=np.int64)
 MEANS = np.concatenate(([0.0], (STARTS[:-1] + STARTS[1:] - 1) / 2))
@@ -87,6 +96,36 @@ def whole(n: int, place: np.ndarray) -> np.ndarray:
     return place >= n - 2
 
 
+def own_keys(n: int, key: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A chunk's n-grams. The context of a text's first token, one end, may be in no text of the chunk and is added to the words."""
+    return np.append(key, END) if n == 1 else key[whole(n, place)]
+
+
+def arranged(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the keys by their high bits, where each run of equal keys begins). The order is the same whenever the keys are.
+
+    Two different keys that agree in 44 bits may break a run; the parts stand for the same key, and whoever reads them adds up.
+    """
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if len(keys) < 1 << PLACE_BITS:
+        low = np.uint64((1 << PLACE_BITS) - 1)
+        packed = keys & ~low | np.arange(len(keys), dtype=np.uint64)
+        packed.sort()
+        order = (packed & low).astype(np.int64)
+    else:
+        order = np.argsort(keys, kind="stable")
+    k = keys[order]
+    return order, np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+
+
+def inverted(order: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The run of each key."""
+    out = np.empty(len(order), dtype=np.int32)
+    out[order] = np.repeat(np.arange(len(start), dtype=np.int32), np.diff(np.append(start, len(order))))
+    return out
+
+
 def chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about CHUNK tokens."""
     sizes = batch.column("size").to_numpy(zero_copy_only=False)
@@ -173,11 +212,9 @@ class Chunk:
         self.keys: dict[int, np.ndarray] = {}
         self.inverse: dict[int, np.ndarray] = {}
         for n, key in ngrams(h):
-            own = key[whole(n, self.place)]
-            if n == 1:  # the context of a text's first token may be in no text of the chunk
-                own = np.append(own, END)
-            self.keys[n], inverse = np.unique(own, return_inverse=True)
-            self.inverse[n] = inverse.astype(np.int32)
+            own = own_keys(n, key, self.place)
+            order, start = arranged(own)
+            self.keys[n], self.inverse[n] = own[order[start]], inverted(order, start)
 
     def scores(self, level: dict[int, np.ndarray], n: int, v: int) -> np.ndarray:
         """log10 probability of each text, from the levels of the distinct n-grams."""
@@ -206,7 +243,7 @@ class Model:
         self.blocks, self.n_segments, self.hold = blocks, n_segments, hold
 
     def levels(self, chunk: Chunk) -> dict[int, np.ndarray]:
-        """Each block is read once; keys are sorted, so that a block's are one range of them."""
+        """Each block is read once; keys are in order of segment, so that a block's are one range of them."""
         out = {}
         for kind, keys in chunk.keys.items():
             segment = segment_of(keys, self.n_segments)
@@ -332,18 +369,19 @@ def _sized(docs: DataFrame, *more: Column) -> DataFrame:
     return docs.select(*more, text.alias("text"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("size"))
 
 
-def count(training: DataFrame, segment_tokens: int = 500_000) -> tuple[DataFrame, int]:
-    """(table kind, seg, key, cnt, bits; number of segments) of training(text).
+def token_estimate(training: DataFrame) -> float:
+    return _sized(training).agg(F.sum(F.col("size") / 6 + 1)).first()[0] or 0
+
+
+def count(training: DataFrame, n_segments: int) -> DataFrame:
+    """Table kind, seg, key, cnt, bits of training(text).
 
     Words (kind 1) are listed with their counts; each segment of every kind
     has one row more, with its part of the filter.
     """
-    sized = _sized(training)
-    size = sized.agg(F.sum(F.col("size") / 6 + 1)).first()[0] or 0
-    n_segments = int(size // segment_tokens) + 1
-    counted = sized.mapInArrow(_counter(n_segments), COUNTED)
+    counted = _sized(training).mapInArrow(_counter(n_segments), COUNTED)
     dealt = counted.repartition("kind", "seg").sortWithinPartitions("kind", "seg")
-    return cut(dealt.mapInArrow(_segments, BUILT), "ngrams"), n_segments
+    return cut(dealt.mapInArrow(_segments, BUILT), "ngrams", clean=True)
 
 
 def frequent(unigrams: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -432,78 +470,192 @@ def score_by_broadcast(sized: DataFrame, model: Model, known, n: int, v: int) ->
     return sized.mapInArrow(run, SCORED)
 
 
-ASKED = "serial long, kind int, block int, data binary, ids array<long>, held array<boolean>, sizes array<long>"
+TEXTS = "serial long, trains boolean, ids array<long>, held array<boolean>, sizes array<long>, words binary, places binary"
 
 
-def score_by_shuffle(sized: DataFrame, built: DataFrame, n_segments: int, width: dict[int, int], known, n: int, v: int) -> DataFrame:
-    """Send each chunk's distinct n-grams to the blocks of ``width`` segments that they are in, and the levels back.
+def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each chunk of training texts or of others: its distinct words, commonest first, and which of them each token is, in planes of a byte."""
+    hashes, serial = WordHashes(), TaskContext.get().partitionId() << 33
+    types = (pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary())
+    for batch in batches:
+        for trains in (True, False):
+            part = batch.filter(pc.equal(batch.column("trains"), trains))
+            for begin, end in chunks(part):
+                text, ids, held = (part.column(c).slice(begin, end - begin).to_pylist() for c in ("text", "doc_id", "held_out"))
+                h, sizes = tokens(text, hashes)
+                order, start = arranged(h)
+                commonest = np.argsort(-np.diff(np.append(start, len(h))), kind="stable")
+                rank = np.empty(len(start), dtype="<u4")
+                rank[commonest] = np.arange(len(start))
+                places = rank[inverted(order, start)].view(np.uint8).reshape(-1, 4).T
+                row = (serial, trains, ids, held, sizes.tolist(), h[order[start[commonest]]].astype("<u8").tobytes(), places.tobytes())
+                columns = [pa.array([x], type=t) for x, t in zip(row, types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["serial", "trains", "ids", "held", "sizes", "words", "places"])
+                serial += 1
 
-    Answers carry no keys: a chunk's keys are sorted, so the levels of its
-    blocks, in order of block, are those of its keys. Chunks are kept as token
-    hashes in between. Blocks and chunks stream through their tasks.
-    """
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for serial, chunk, ids, held in read_chunks(batches):
-            rows = [(serial, 0, 0, chunk.h.tobytes(), ids.to_pylist(), held.to_pylist(), chunk.sizes.tolist())]
-            for kind, keys in chunk.keys.items():
-                block = segment_of(keys, n_segments) // width[kind]
-                rows += [(serial, kind, int(block[x]), keys[x:y].tobytes(), None, None, None) for x, y in runs(block)]
-            types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()))
-            columns = [pa.array(x, type=t) for x, t in zip(zip(*rows, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=["serial", "kind", "block", "data", "ids", "held", "sizes"])
+def token_hashes(words: bytes, places: bytes) -> np.ndarray:
+    """The tokens of a row of TEXTS."""
+    place = np.frombuffer(places, dtype=np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0]
+    return np.frombuffer(words, dtype="<u8")[place]
+
+
+def binaries(data: bytes, ends: np.ndarray) -> pa.Array:
+    """A value from each end to the next."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype("<i4")), pa.py_buffer(data)])
+
+
+ASKED = "block int, serial long, trains boolean, fills binary, keys binary, counts binary, many binary"
+
+
+def _asker(kind: int, n_segments: int, width: int):
+    """A chunk's distinct n-grams of a kind, a row for each block of ``width`` segments: keys in each segment, keys, and the counts where it trains."""
+    n_blocks = -(-n_segments // width)
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, filter_, first, segments = None, None, 0, {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for kind, block, serial, seg, data in zip(*(batch.column(c) for c in ("kind", "block", "serial", "seg", "data")), strict=True):
-                here = (kind.as_py(), block.as_py())
-                if here != at:
-                    at, filter_, segments, first = here, None, {}, here[1] * width[here[0]]
-                if not serial.is_valid:
-                    segments[seg.as_py()] = data.as_py()
+            for serial, trains, sizes, words, places in zip(*(batch.column(c).to_pylist() for c in ("serial", "trains", "sizes", "words", "places")), strict=True):
+                h = token_hashes(words, places)
+                gram = next(key for n, key in ngrams(h) if n == kind)
+                own = own_keys(kind, gram, place_in_text(np.array(sizes, dtype=np.int64)))
+                if not len(own):
                     continue
-                if filter_ is None:
-                    filter_ = Filter(first, [segments.get(s, bytes(8)) for s in range(first, first + width[at[0]])])
-                    segments = {}
-                keys = np.frombuffer(data.as_py(), dtype="<u8")
-                found = filter_.probe(keys, segment_of(keys, n_segments))
-                columns = ([serial.as_py()], [at[0]], [at[1]], [found.tobytes()])
-                types = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(columns, types, strict=True)], names=["serial", "kind", "block", "data"])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, ids, held, serial, level = None, None, None, None, {}
-
-        def finish() -> pa.RecordBatch:
-            found = {kind: np.frombuffer(b"".join(level.get(kind, [])), dtype=np.uint8) for kind in chunk.keys}
-            return scored(chunk, found, ids, held, serial, known.value, n, v)
+                order, start = arranged(own)
+                key = own[order[start]]
+                fills = np.bincount(segment_of(key, n_segments), minlength=n_blocks * width)
+                ends = np.concatenate(([0], np.cumsum(fills)[width - 1 :: width]))
+                # the end that is added to the words is asked for, but is no token
+                cnt = np.add.reduceat((order < len(h)).astype(np.int64), start) if trains else np.zeros(0, np.int64)
+                many = cnt >= MANY
+                columns = {
+                    "block": pa.array(np.arange(n_blocks, dtype=np.int32)),
+                    "serial": pa.array(np.full(n_blocks, serial)),
+                    "trains": pa.array(np.full(n_blocks, trains)),
+                    "fills": binaries(fills.astype("<i4").tobytes(), np.arange(n_blocks + 1) * 4 * width),
+                    "keys": binaries(pack(kind, key), ends * (8 if kind == 1 else KEY_BYTES)),
+                    "counts": binaries(np.minimum(cnt, MANY).astype(np.uint8).tobytes(), ends * trains),
+                    "many": binaries(cnt[many].astype("<i8").tobytes(), np.concatenate(([0], np.cumsum(many)))[ends * trains] * 8),
+                }
+                yield pa.RecordBatch.from_pydict(columns).filter(pa.array(np.diff(ends) > 0))
+
+    return run
+
+
+ANSWERED = "kind int, block int, serial long, levels binary, counts binary, n long, v long"
+
+
+def _answerer(kind: int, width: int, n_segments: int):
+    """Rows come sorted by block: a block's segments are built from the counts of all its rows, and then give the level of every key.
 
+    For words the exact counts are answered, too, and a row more has the sum and the number of the block's words.
+    """
+
+    def finish(block: int, rows: list[tuple]) -> pa.RecordBatch:
+        serial, trains, fills, keys, counts, many = zip(*rows, strict=True)
+        first, fill = block * width, np.frombuffer(b"".join(fills), dtype="<i4").reshape(-1, width)
+        size = fill.sum(axis=1)
+        ends = np.concatenate(([0], np.cumsum(size)))
+        segment = np.repeat(np.tile(np.arange(width), len(fill)), fill.ravel())
+        key = unpack(kind, b"".join(keys))
+        if kind > 1:
+            key |= segment.astype(np.uint64) << np.uint64(8 * KEY_BYTES)
+        cnt = np.frombuffer(b"".join(counts), dtype=np.uint8).astype(np.int64)
+        cnt[cnt == MANY] = np.frombuffer(b"".join(many), dtype="<i8")
+        listed = key[np.repeat(np.array(trains), size)]
+        known, total = combine([listed[cnt > 0]], [cnt[cnt > 0]])
+        within = segment_of(known, n_segments) - first if kind == 1 else known >> np.uint64(8 * KEY_BYTES)
+        begin = np.searchsorted(within, np.arange(width + 1))
+        filter_ = Filter(first, [build_segment(known[a:b], total[a:b]) for a, b in zip(begin[:-1], begin[1:], strict=True)])
+        level = [filter_.probe(key[i : i + PROBED], segment[i : i + PROBED] + first) for i in range(0, len(key), PROBED)]
+        columns = [pa.array(serial, pa.int64()), binaries(np.concatenate(level).tobytes(), ends), pa.nulls(len(rows), pa.binary())]
+        sums = [None] * len(rows), [None] * len(rows)
+        if kind == 1:
+            at = np.minimum(np.searchsorted(known, key), max(0, len(known) - 1))
+            exact = np.where(known[at] == key, total[at], 0) if len(known) else np.zeros(len(key), np.int64)
+            columns[2] = binaries(exact.astype("<i8").tobytes(), ends * 8)
+            columns = [pa.concat_arrays([x, pa.nulls(1, x.type)]) for x in columns]
+            sums = [*sums[0], int(total.sum())], [*sums[1], len(known)]
+        place = [pa.array([x] * len(columns[0]), pa.int32()) for x in (kind, block)]
+        return pa.RecordBatch.from_arrays([*place, *columns, *(pa.array(x, pa.int64()) for x in sums)], names=["kind", "block", "serial", "levels", "counts", "n", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, []
+        for batch in batches:
+            blocks = batch.column("block").to_numpy()
+            for x, y in runs(blocks):
+                if blocks[x] != at:
+                    if rows:
+                        yield finish(at, rows)
+                    at, rows = int(blocks[x]), []
+                columns = (batch.column(c).slice(x, y - x).to_pylist() for c in ("serial", "trains", "fills", "keys", "counts", "many"))
+                rows += zip(*columns, strict=True)
+        if rows:
+            yield finish(at, rows)
+
+    return run
+
+
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _scorer(n: int, v: int):
+    """Rows come sorted by chunk: its tokens, and then the levels of its keys by kind and block, which is the order of the keys."""
+    floor = float(np.log10(n + 0.5 * (v + 1)))
+
+    def finish(text: tuple, answers: dict[int, list[tuple[bytes, bytes | None]]]) -> pa.RecordBatch:
+        ids, held, sizes, words, places = text
+        chunk = Chunk(token_hashes(words, places), np.array(sizes, dtype=np.int64))
+        level = {kind: np.frombuffer(b"".join(x for x, _ in answers.get(kind, [])), dtype=np.uint8) for kind in chunk.keys}
+        count = np.frombuffer(b"".join(x for _, x in answers[1]), dtype="<i8")
+        own = chunk.inverse[1][:-1]
+        base = np.add.reduceat(np.log10(count + 0.5)[own], chunk.starts) - chunk.sizes * floor
+        columns = {
+            "doc_id": pa.array(ids, pa.int64()),
+            "held_out": pa.array(held, pa.bool_()),
+            "n_tokens": pa.array(chunk.sizes),
+            "n_known": pa.array(np.add.reduceat((count > 0)[own].astype(np.int64), chunk.starts)),
+            "train_tokens": pa.array(np.full(len(sizes), n)),
+            "base_score": pa.array(base),
+            "score": pa.array(chunk.scores(level, n, v)),
+        }
+        return pa.RecordBatch.from_pydict(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text, answers = None, {}
         for batch in batches:
-            for i, kind in enumerate(batch.column("kind").to_pylist()):
-                data = batch.column("data")[i].as_py()
+            for kind, levels_, counts, *tokens_ in zip(*(batch.column(c).to_pylist() for c in ("kind", "levels", "counts", "ids", "held", "sizes", "words", "places")), strict=True):
                 if kind:
-                    level.setdefault(kind, []).append(data)
+                    answers.setdefault(kind, []).append((levels_, counts))
                     continue
-                if chunk:
-                    yield finish()
-                chunk = Chunk(np.frombuffer(data, dtype="<u8"), np.array(batch.column("sizes")[i].as_py(), dtype=np.int64))
-                serial, level = batch.column("serial")[i].as_py(), {}
-                ids, held = pa.array(batch.column("ids")[i].as_py(), pa.int64()), pa.array(batch.column("held")[i].as_py(), pa.bool_())
-        if chunk:
-            yield finish()
-
-    asked = cut(sized.mapInArrow(ask, ASKED), "lm-chunks")
-    wide = F.create_map(*[F.lit(x) for pair_ in width.items() for x in pair_])
-    none = F.lit(None)
-    parts = built.filter("bits is not null").select(
-        "kind", F.floor(F.col("seg") / wide[F.col("kind")]).cast("int").alias("block"), none.cast("long").alias("serial"), "seg", F.col("bits").alias("data")
-    )
-    probes = asked.filter("kind > 0").select("kind", "block", "serial", none.cast("int").alias("seg"), "data")
-    met = parts.unionByName(probes).repartition("kind", "block").sortWithinPartitions("kind", "block", F.asc_nulls_first("serial"), "seg")
-    answers = cut(met.mapInArrow(answer, "serial long, kind int, block int, data binary"), "lm-levels")
-    both = asked.filter("kind = 0").unionByName(answers, allowMissingColumns=True)
-    return both.repartition("serial").sortWithinPartitions("serial", "kind", "block").mapInArrow(score, SCORED)
+                if text:
+                    yield finish(text, answers)
+                text, answers = tuple(tokens_), {}
+        if text:
+            yield finish(text, answers)
+
+    return run
+
+
+def score_by_shuffle(sized: DataFrame, n_segments: int) -> DataFrame:
+    """Scores of sized(doc_id, held_out, trains, text, size) without a filter in one place.
+
+    Answers carry no keys: a chunk's keys are in order of block, so the levels
+    of its blocks, in that order, are those of its keys. A block holds the keys
+    of ``BLOCK_SEGMENTS`` segments, repeats in other chunks included.
+    """
+    width = min(BLOCK_SEGMENTS, n_segments)
+    texts = cut(sized.mapInArrow(_tokenize, TEXTS), "lm-chunks", clean=True, compression="zstd")
+    grams, answers = texts.select("serial", "trains", "sizes", "words", "places"), {}
+    for kind in range(1, ORDERS + 1):
+        asked = grams.mapInArrow(_asker(kind, n_segments, width), ASKED)
+        dealt = asked.repartition("block").sortWithinPartitions("block", "serial")
+        answers[kind] = cut(dealt.mapInArrow(_answerer(kind, width, n_segments), ANSWERED), "lm-levels", clean=True, compression="zstd")
+    totals = answers[1].agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    both = texts.select("serial", F.lit(0).alias("kind"), F.lit(0).alias("block"), "ids", "held", "sizes", "words", "places")
+    for found in answers.values():
+        both = both.unionByName(found.filter("serial is not null").drop("n", "v"), allowMissingColumns=True)
+    scored_ = both.repartition("serial").sortWithinPartitions("serial", "kind", "block").mapInArrow(_scorer(int(totals[0]), int(totals[1])), SCORES)
+    return cut(scored_, "scored", clean=True)
 
 
 def score_texts(
@@ -524,20 +676,29 @@ def score_texts(
     columns are not read.
     """
     spark = docs.sparkSession
-    built, n_segments = count(docs.filter(training).select("text"))
+    train = docs.filter(training).select("text")
+    estimate = token_estimate(train)
+    n_segments = int(estimate // SEGMENT_TOKENS) + 1
+
+    def apart() -> DataFrame:
+        trains = F.coalesce(training, F.lit(False)).alias("trains")
+        return score_by_shuffle(_sized(docs, F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), trains), n_segments)
+
+    # a token adds at most one entry of each order
+    if estimate * ORDERS * BITS_PER_ENTRY / 8 > broadcast_bytes:
+        return apart()
+    built = count(train, n_segments)
+    sizes = {r["kind"]: r["size"] for r in built.filter("bits is not null").groupBy("kind").agg(F.sum(F.length("bits")).alias("size")).collect()}
+    if (total := sum(sizes.values())) > broadcast_bytes:
+        return apart()
     unigrams = built.filter((F.col("kind") == 1) & F.col("bits").isNull()).select("key", "cnt")
     totals = unigrams.agg(F.coalesce(F.sum("cnt"), F.lit(0)), F.count("*")).first()
     n, v = int(totals[0]), int(totals[1])
-    sizes = {r["kind"]: r["size"] for r in built.filter("bits is not null").groupBy("kind").agg(F.sum(F.length("bits")).alias("size")).collect()}
     known = spark.sparkContext.broadcast(frequent(unigrams, frequent_words))
     sized = _sized(docs, F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"))
-    if (total := sum(sizes.values())) <= broadcast_bytes:
-        blocks = {kind: load_blocks(built, kind, block_bytes) for kind in range(1, ORDERS + 1)}
-        made = score_by_broadcast(sized, Model(blocks, n_segments, total <= hold_bytes), known, n, v)
-    else:
-        width = {kind: max(1, block_bytes * n_segments // max(1, sizes.get(kind, 1))) for kind in range(1, ORDERS + 1)}
-        made = score_by_shuffle(sized, built, n_segments, {k: min(w, n_segments) for k, w in width.items()}, known, n, v)
-    made = cut(made, "scored")
+    blocks = {kind: load_blocks(built, kind, block_bytes) for kind in range(1, ORDERS + 1)}
+    made = score_by_broadcast(sized, Model(blocks, n_segments, total <= hold_bytes), known, n, v)
+    made = cut(made, "scored", clean=True)
     found = made.select("rid", F.explode("rare").alias("key")).join(unigrams, "key", "left")
     extra = found.groupBy("rid").agg(
         F.sum(F.log10(F.coalesce(F.col("cnt"), F.lit(0)) + 0.5)).alias("more"), F.count("cnt").alias("known")

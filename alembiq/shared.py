@@ -24,16 +24,30 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+#: Whether Spark removes an execution's shuffle files at its end, and not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut(df: DataFrame, name: str, clean: bool = False, **options: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage once and for all: the files outlive any executor, the
     work before them runs once, and values that depend on a plan (partition
     order, for one) are fixed. The folder is removed when the driver ends.
+    With ``clean`` the shuffle files of writing it go at once. Options are the Parquet writer's.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/alembiq/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    if clean:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        if clean and before is None:
+            spark.conf.unset(CLEANUP)
+        elif clean:
+            spark.conf.set(CLEANUP, before)
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)

@@ -621,6 +621,47 @@ def test_lm_scores_tell_doubles_apart(spark):
     assert np.mean([by[i] > least for i in range(60, 100)]) > 0.9
 
 
+def test_lm_score_without_a_whole_filter(spark, texts, monkeypatch):
+    """Several segments, blocks and chunks, counts beyond a byte's, chunks that don't train, and no order of keys by place."""
+    docs = frame(spark, [*texts, *(prose(i, 40) for i in range(200, 260))])
+    held = langid.held_out(5, 1)
+    for name, value in (("CHUNK", 700), ("SEGMENT_TOKENS", 900), ("PROBED", 50)):
+        monkeypatch.setattr(lm_score, name, value)
+    want = {r.doc_id: r for r in lm_score.score_texts(docs, ~held, held).collect()}
+    for options in ({"BLOCK_SEGMENTS": 1, "MANY": 3}, {"BLOCK_SEGMENTS": 7, "PLACE_BITS": 3}):
+        for name, value in options.items():
+            monkeypatch.setattr(lm_score, name, value)
+        rows = lm_score.score_texts(docs, ~held, held, broadcast_bytes=0).collect()
+        assert {r.doc_id for r in rows} == set(want) and len(rows) == len(want)
+        for r in rows:
+            for x, y in zip(r, want[r.doc_id], strict=True):
+                assert x == pytest.approx(y, rel=1e-9)
+
+
+def test_lm_score_without_a_whole_filter_writes_less_than_the_texts(spark, monkeypatch):
+    texts = [prose(i, 1000) for i in range(300)]
+    made = []
+
+    def recorded(df, name, **options):
+        made.append(lm_score_cut(df, name, **options))
+        return made[-1]
+
+    lm_score_cut = lm_score.cut
+    monkeypatch.setattr(lm_score, "cut", recorded)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {b for b in disk.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+    docs = frame(spark, texts).cache()
+    assert docs.count() == 300
+    before = shuffles()
+    assert lm_score.score_texts(docs, F.col("doc_id") % 5 > 0, F.col("doc_id") % 5 == 0, broadcast_bytes=0).count() == 300
+    docs.unpersist()
+    written = sum(Path(f.removeprefix("file://")).stat().st_size for df in made for f in df.inputFiles())
+    assert written < sum(map(len, texts))
+    # nothing that the tables were shuffled through is left; what the small sums leave is no n-gram
+    left = sum(Path(disk.getFile(x).getPath()).stat().st_size for x in shuffles() - before)
+    assert left < 10_000
+
+
 def test_hot_ngrams_are_combined_as_they_stream():
     keys = np.arange(1, 400, dtype=np.uint64) << np.uint64(30)
     rows = [(1, 0, lm_score.pack(1, keys[i % 7 :: 7]), lm_score.pack(1, keys[:3]), np.array([5, 6, 7], "<i8").tobytes()) for i in range(70)]
